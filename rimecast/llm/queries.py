@@ -35,3 +35,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import count_tokens
 
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_file())
+
+
+@query()
+def op3_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_dups import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
