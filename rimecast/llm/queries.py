@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import oracles
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,3 +45,32 @@ def op3_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_dups import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
+#: Production parameters.
+MIN_SITES = 10
+LINE_LIMITS = {"max_docs": 10, "max_share": 0.01, "max_removed": 0.5}
+WEIGHTS = {"domain": {"web": 4, "books": 3, "code": 2, "news": 1}, "lang": {"en": 6, "de": 2, "fr": 1, "es": 1}}
+MIX = {"weights": WEIGHTS, "share": (1, 2), "max_epochs": 4, "seed": 17}
+
+
+@query(oracles.line_dedup(MIN_SITES))
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import remove_boilerplate
+
+    out = remove_boilerplate(table(spark, sf_dir, "documents"), min_sites=MIN_SITES)
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("WITH " + oracles.mixing("documents", **MIX) + " SELECT * FROM mixed")
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix_sources
+
+    return mix_sources(table(spark, sf_dir, "documents"), **MIX)
+
+
+@query(oracles.quality_rules(**LINE_LIMITS))
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_rules import apply_quality_rules
+
+    return apply_quality_rules(table(spark, sf_dir, "documents"), **LINE_LIMITS)
