@@ -74,3 +74,24 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_rules import apply_quality_rules
 
     return apply_quality_rules(table(spark, sf_dir, "documents"), **LINE_LIMITS)
+
+
+def _fold(n: int):
+    """crc32 of the id as text, modulo n."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+@query()
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import identify
+
+    out = identify(table(spark, sf_dir, "documents"), learn=_fold(5) != 0)
+    return out.select("doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score_toxicity
+
+    out = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn=_fold(4) != 2)
+    return out.select("doc_id", F.coalesce(_fold(4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
