@@ -95,3 +95,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn=_fold(4) != 2)
     return out.select("doc_id", F.coalesce(_fold(4) == 2, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query()
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import find_pii
+
+    return find_pii(table(spark, sf_dir, "documents"))
