@@ -102,3 +102,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import find_pii
 
     return find_pii(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"), k=20)
