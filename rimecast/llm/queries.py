@@ -109,3 +109,10 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import remove_repeats
 
     return remove_repeats(table(spark, sf_dir, "documents"), k=20)
+
+
+@query()
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import find_contamination
+
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
