@@ -283,3 +283,26 @@ def _search(shared, overlap: float):
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo), lists, best], ["doc_id", "text_key", "items", "overlap"])
 
     return run
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, *, threshold: float = 0.5, overlap: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` that hold no item, with all their columns: one filter pass for each shard."""
+    spark = docs.sparkSession
+    settings(spark)
+    at = docs.columns.index("text")
+
+    def clean(shared):
+        def run(batches):
+            for b in batches:
+                data, offsets = text_buffers(b.column(at))
+                good = np.ones(len(offsets) - 1, bool)
+                for lo, hi in chunks(offsets):
+                    h, first = word_hashes(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+                    good[[lo + i for i in matches(shared.value, h, first, overlap)]] = False
+                yield b.take(pa.array(np.flatnonzero(good)))
+
+        return run
+
+    for index in build(items, threshold):
+        docs = docs.mapInArrow(clean(spark.sparkContext.broadcast(index)), docs.schema)
+    return docs

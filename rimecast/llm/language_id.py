@@ -140,6 +140,19 @@ def train(docs: DataFrame, learn: Column) -> Model | None:
     return Model(x, np.array([r["lang"] for r in rows], object))
 
 
+def _predict(m: Model | None, column) -> tuple[np.ndarray, np.ndarray]:
+    data, offsets = text_buffers(column)
+    lang, score = np.full(len(offsets) - 1, "und", object), np.zeros(len(offsets) - 1)
+    some = has_letter(data, offsets, column)
+    if m is not None:
+        for lo, hi in _small(offsets):
+            if some[lo:hi].any():
+                got, s = m(features(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]))
+                lang[lo:hi] = np.where(some[lo:hi], got, "und")
+                score[lo:hi] = np.where(some[lo:hi], s, 0.0)
+    return lang, score
+
+
 def identify(docs: DataFrame, *, learn: Column) -> DataFrame:
     """One row per input row: doc_id, lang_pred, score. Only ``text`` is looked at for a prediction."""
     spark = docs.sparkSession
@@ -147,18 +160,25 @@ def identify(docs: DataFrame, *, learn: Column) -> DataFrame:
     model = spark.sparkContext.broadcast(train(docs, learn))
 
     def run(batches):
-        m = model.value
         for b in batches:
-            data, offsets = text_buffers(b.column(1))
-            lang, score = np.full(len(offsets) - 1, "und", object), np.zeros(len(offsets) - 1)
-            some = has_letter(data, offsets, b.column(1))
-            if m is not None:
-                for lo, hi in _small(offsets):
-                    if some[lo:hi].any():
-                        got, s = m(features(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]))
-                        lang[lo:hi] = np.where(some[lo:hi], got, "und")
-                        score[lo:hi] = np.where(some[lo:hi], s, 0.0)
+            lang, score = _predict(model.value, b.column(1))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+
+
+def accept(docs: DataFrame, *, learn: Column, min_score: float = 0.5) -> DataFrame:
+    """The rows whose language is known with at least ``min_score``, with all their columns."""
+    spark = docs.sparkSession
+    settings(spark)
+    model = spark.sparkContext.broadcast(train(docs, learn))
+    at = docs.columns.index("text")
+
+    def run(batches):
+        for b in batches:
+            lang, score = _predict(model.value, b.column(at))
+            good = np.flatnonzero((lang != "und") & (score >= min_score))
+            yield b.take(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)

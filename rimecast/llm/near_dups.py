@@ -116,7 +116,7 @@ def _signatures(k: int, n_bands: int, rows: int):
                 at = np.zeros(hi - lo + 1, np.int32)
                 np.cumsum(some * n_bands, out=at[1:])
                 lists = pa.ListArray.from_arrays(pa.array(at), signed(hashes.ravel()))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(n), key, lists], ["doc_id", "n_shingles", "node", "bands"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), b.column(2).slice(lo, hi - lo), pa.array(n), key, lists], ["doc_id", "text_key", "n_shingles", "node", "bands"])
 
     return run
 
@@ -219,11 +219,12 @@ def _verified(percent: int):
 
 
 def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80, n_bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept (doc_id = component_id)."""
+    """One row per input row: doc_id, text_key (hash of the text), n_shingles, component_id, kept (doc_id = component_id)."""
     spark = docs.sparkSession
     settings(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed_rows = materialize(texts.mapInArrow(_signatures(k, n_bands, rows), "doc_id long, n_shingles long, node long, bands array<long>"), "signatures")
+    keyed = texts.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    signed_rows = materialize(keyed.mapInArrow(_signatures(k, n_bands, rows), "doc_id long, text_key long, n_shingles long, node long, bands array<long>"), "signatures")
     classes = materialize(
         signed_rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes"
     )
@@ -241,8 +242,8 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80, n_bands:
     lowest = named.groupBy("root").agg(F.min("rep").alias("lowest"))
     named = named.join(lowest, "root").select("node", "lowest")
     named = materialize(classes.select("node", "rep").join(named, "node", "left").select("node", F.coalesce("lowest", "rep").alias("component_id")), "components")
-    out = signed_rows.select("doc_id", "n_shingles", "node").join(named, "node", "left")
-    out = out.select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    out = signed_rows.select("doc_id", "text_key", "n_shingles", "node").join(named, "node", "left")
+    out = out.select("doc_id", "text_key", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
@@ -260,3 +261,11 @@ def _links(spark, texts: DataFrame, member: DataFrame, n_members: int, n_all: in
     pack = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("family"), F.lit(packs))).otherwise(F.xxhash64("family", "i", "j"))
     rows = rows.select(pack.alias("pack"), "family", "i", "j", "block", "node", "shingles")
     return rows.groupBy("pack").applyInArrow(_verified(percent), "a long, b long")
+
+
+def deduplicate(docs: DataFrame, *, k: int = 5, percent: int = 80, n_bands: int = 48, rows: int = 5) -> DataFrame:
+    """The rows of ``docs`` that stay, one of each group, with all their columns; a repeated row stays once."""
+    found = near_duplicates(docs, k=k, percent=percent, n_bands=n_bands, rows=rows).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    keyed = docs.withColumn("_text_key", F.xxhash64("text"))
+    stay = keyed.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left_semi")
+    return stay.dropDuplicates(["doc_id", "_text_key"]).select(*docs.columns)

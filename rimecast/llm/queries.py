@@ -44,7 +44,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_dups import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+    return near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85).drop("text_key")
 
 
 #: Production parameters.
