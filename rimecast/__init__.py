@@ -1,0 +1,8 @@
+"""rimecast: precipitation type diagnostics of weather-model columns on Spark."""
+
+from .functions.constants import CODE_NAMES, TYPES
+from .operators.diagnose import categorical, diagnose_levels
+from .operators.kernel import categorical_arrays
+from .plans.monitoring import status as monitoring_status
+
+__all__ = ["CODE_NAMES", "TYPES", "categorical", "categorical_arrays", "diagnose_levels", "monitoring_status"]
