@@ -27,7 +27,8 @@ def with_type_probabilities(df: DataFrame, ice: str, generated: str, prefix: str
     """
     x = lambda name: F.col(f"_{prefix}{name}")
     n, e0, e1, e2 = F.col("n_areas"), F.col("e0"), F.col("e1"), F.col("e2")
-    cold, warm, icy = F.col("surface_tw") < 0, F.col("surface_tw") > 0, F.col("ground_temperature_c") < C.GROUND_FREEZING
+    sure = lambda test: F.coalesce(test, F.lit(False))  # noqa: E731  an undefined value is neither cold nor warm
+    cold, warm, icy = sure(F.col("surface_tw") < 0), sure(F.col("surface_tw") > 0), sure(F.col("ground_temperature_c") < C.GROUND_FREEZING)
     by_areas = lambda one, two, more: F.when(n == 1, one).when(n == 2, two).when(n > 2, more)
     ramp = lambda r, m: (-2.1 * r + 0.2 * m + 458.0) * F.when(m < 5.0, 0.2 * m).otherwise(1.0)
     share = F.col(ice) / 100.0

@@ -42,6 +42,12 @@ def with_probabilities(state: DataFrame) -> DataFrame:
     return with_type_probabilities(with_type_probabilities(state, "ice", "generated", "p_"), "relaxed_ice", "relaxed_generated", "r_")
 
 
+def _settled(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The same rows (one per key), as an aggregate on the partitioning they have: no exchange, and
+    a filter on a result isn't rewritten into the whole chain of formulas by the optimiser."""
+    return df.groupBy(*keys).agg(*[F.first(c).alias(c) for c in df.columns if c not in keys])
+
+
 def diagnose_levels(levels: DataFrame, keys: list[str], *, threshold: float = 0.0) -> DataFrame:
     """All columns, ungated: pure and microphysics-consistent probabilities and the code.
 
@@ -52,7 +58,7 @@ def diagnose_levels(levels: DataFrame, keys: list[str], *, threshold: float = 0.
     state = state.withColumn("fall", ~dry & F.coalesce(total(pure) == 0, F.lit(False)))
     mixed = {k: F.when(dry, 0.0).when(F.col("fall"), relaxed[k]).otherwise(pure[k]) for k in pure}
     out = state.select(*keys, F.col("ice").alias("pure_ice"), F.when(F.col("fall"), F.col("relaxed_ice")).otherwise(F.col("ice")).alias("ice"), *[v.alias(f"pure_{k}") for k, v in pure.items()], *[v.alias(k) for k, v in mixed.items()])
-    return out.withColumn("ptype", categorical_code(_named("")))
+    return _settled(out.withColumn("ptype", categorical_code(_named(""))), keys)
 
 
 def categorical(levels: DataFrame, keys: list[str], *, threshold: float = 0.0) -> DataFrame:
@@ -60,4 +66,5 @@ def categorical(levels: DataFrame, keys: list[str], *, threshold: float = 0.0) -
     wet = with_probabilities(column_state(with_thermodynamics(levels.where(is_active(threshold))), keys))
     wet = wet.withColumns({"pure": categorical_code(_named("p_")), "relaxed": categorical_code(_named("r_"))})
     dry = levels.where(~is_active(threshold)).select(*keys).distinct().withColumn("ptype", F.lit(0))
-    return wet.select(*keys, F.when(F.col("pure") != 0, F.col("pure")).otherwise(F.col("relaxed")).alias("ptype")).unionByName(dry)
+    code = F.when(F.col("pure") != 0, F.col("pure")).otherwise(F.col("relaxed"))
+    return _settled(wet.select(*keys, code.alias("ptype")), keys).unionByName(dry)

@@ -18,14 +18,15 @@ def invalid_codes(field: DataFrame, column: str = "ptype") -> DataFrame:
 def check_codes(field: DataFrame, column: str = "ptype", *, expected: int | None = None) -> DataFrame:
     """The field with integer codes; raises ValueError on a wrong count, undefined, broken or unknown values."""
     v = F.col(column).cast("double")
-    n, undefined, broken = field.agg(F.count("*"), F.count_if(~is_finite(v)), F.count_if(is_finite(v) & (v != F.rint(v)))).first()
+    whole = is_finite(v) & (v == F.rint(v))
+    n, undefined, broken, strange = field.agg(F.count("*"), F.count_if(~is_finite(v)), F.count_if(is_finite(v) & (v != F.rint(v))), F.count_if(whole & ~v.isin(*map(float, C.CODE_NAMES)))).first()
     if expected is not None and n != expected:
         raise ValueError(f"the field has {n} values, expected {expected}")
     if undefined:
         raise ValueError(f"{undefined} value(s) are not finite")
     if broken:
         raise ValueError(f"{broken} value(s) are not whole numbers")
-    unknown = [str(r["code"]) for r in invalid_codes(field, column).limit(20).collect()]
-    if unknown:
+    if strange:
+        unknown = [str(r["code"]) for r in invalid_codes(field, column).limit(20).collect()]
         raise ValueError(f"unknown code(s) {', '.join(unknown)}; allowed are {', '.join(map(str, sorted(C.CODE_NAMES)))}")
     return field.withColumn(column, F.col(column).cast("int"))

@@ -10,6 +10,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal rows out by their key when the scan gives fewer tasks than there are cores.
+
+    Done before rows are exploded to levels: the windows over a column's levels then find their
+    partitioning in place, and what is exchanged are columns, not levels.
+    """
+    return df.repartition(key) if df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism else df
+
+
 def _columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order with what shapes its column of air."""
     k = F.col("o_orderkey")
@@ -36,7 +45,7 @@ def _profile(h, lev=None):
 
 def profile_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """20 levels per order, lev 0 at the top."""
-    c = _columns(spark, sf_dir).withColumn("lev", F.explode(F.sequence(F.lit(0), F.lit(19))))
+    c = spread(_columns(spark, sf_dir), "cell_id").withColumn("lev", F.explode(F.sequence(F.lit(0), F.lit(19))))
     c = c.withColumn("height_m", 600.0 * (19.5 - F.col("lev")))
     t, p, qv = _profile(F.col("height_m"))
     c = c.withColumns({"temperature_k": t, "pressure_pa": p})
@@ -47,7 +56,7 @@ def profile_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def profile_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same columns with one array per quantity, made row by row without an exchange."""
-    c = _columns(spark, sf_dir)
+    c = spread(_columns(spark, sf_dir), "cell_id")
     heights = F.array(*[F.lit(600.0 * (19.5 - k)) for k in range(20)])
     c = c.withColumn("height_m", heights)
     c = c.withColumn("temperature_k", F.transform("height_m", lambda h: _profile(h)[0])).withColumn("pressure_pa", F.transform("height_m", lambda h: _profile(h)[1]))
