@@ -16,7 +16,8 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     Done before rows are exploded to levels: the windows over a column's levels then find their
     partitioning in place, and what is exchanged are columns, not levels.
     """
-    return df.repartition(key) if df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism else df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def _columns(spark: SparkSession, sf_dir: str) -> DataFrame:
