@@ -1,0 +1,305 @@
+"""Each operator on awkward rows and on an empty table, against a brute-force version."""
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from rimecast.llm import oracles, pii
+from rimecast.llm.decontaminate import drop_contaminated, find_contamination
+from rimecast.llm.language_id import accept, identify
+from rimecast.llm.line_dedup import remove_boilerplate
+from rimecast.llm.mixing import mix_sources
+from rimecast.llm.near_dups import deduplicate, near_duplicates
+from rimecast.llm.pii import find_pii
+from rimecast.llm.quality_rules import apply_quality_rules
+from rimecast.llm.queries import LINE_LIMITS, MIX, tokenizer_file
+from rimecast.llm.substring_dedup import remove_repeats
+from rimecast.llm.token_counts import count_tokens
+from rimecast.llm.toxicity import score_toxicity
+from tests.compare import check
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LAST = 2**63 - 1
+
+
+def bag(df, *names):
+    return Counter(tuple(r) for r in df.select(*names).collect())
+
+
+def test_token_counts(docs, nothing, rows):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(tokenizer_file())
+    want = Counter()
+    for i, text, *_ in rows:
+        n = len(t.encode(text or "", add_special_tokens=False).ids)
+        want[(i, len((text or "").encode()), n, n > 2048)] += 1
+    got = count_tokens(docs, tokenizer_file())
+    assert got.columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
+    assert bag(got, *got.columns) == want
+    assert count_tokens(nothing, tokenizer_file()).count() == 0
+
+
+PATTERNS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
+
+
+def base_brute(text):
+    out = []
+    for k, p in enumerate(PATTERNS):
+        for m in re.finditer(p, text):
+            d = re.sub("[^0-9]", "", m.group())
+            if k == 0 or k == 1 and all(int(x) <= 255 for x in m.group().split(".")) or k == 2 and 12 <= len(d) <= 19 and pii.luhn(d) or k == 3 and 9 <= len(d) <= 15:
+                out.append((m.start(), k, m.end()))
+    return sorted(out)
+
+
+def test_pii(docs, nothing, rows):
+    got = find_pii(docs, with_redacted=True)
+    want = Counter()
+    for i, text, *_ in rows:
+        spans = base_brute(text or "")
+        digest = hashlib.sha256(pii._text(spans).encode()).hexdigest()
+        want[(i, *(sum(k == j for _, k, _ in spans) for j in range(4)), digest)] += 1
+    assert bag(got, "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256") == want
+    one = got.where("doc_id = 52").first()
+    assert one["redacted"] == "mail <email>, ip <ip>, card <card>, tel <phone>, key <secret>"
+    assert got.where("doc_id = 40").first()["spans"] == ""
+    assert find_pii(nothing).count() == 0
+
+
+def test_pii_candidates():
+    model = pii.train()
+    chosen = lambda text: {text[s:e] for s, _, e in set(pii.all_spans(text, pii.base_spans(text), model)) - set(pii.base_spans(text))}
+    assert chosen("write to john.doe [at] example [dot] org please") == {"john.doe [at] example [dot] org"}
+    assert chosen("my ssn 123-45-6789 is here") == {"123-45-6789"}
+    assert chosen("login password=b7db7aa4a5fcc78305 now") == {"b7db7aa4a5fcc78305"}
+    assert not chosen("order 123-456-7890 and commit 0641917ea4e9feb9cda83477b57ac2654884f485")
+    assert not chosen("a plain text with (brackets) and 3 numbers 12 2024")
+
+
+def _shingles(text, k):
+    w = WORD.findall((text or "").translate({65 + i: 97 + i for i in range(26)}))
+    return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
+
+
+def components_brute(rows, k, percent):
+    sets = [_shingles(t, k) for _, t, *_ in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(rows)):
+        for b in range(a):
+            n = len(sets[a] & sets[b])
+            if sets[a] and sets[b] and 100 * n >= percent * len(sets[a] | sets[b]):
+                root[find(a)] = find(b)
+    low = defaultdict(lambda: None)
+    for i, (d, *_) in enumerate(rows):
+        if d is not None:
+            r = find(i)
+            low[r] = d if low[r] is None else min(low[r], d)
+    return [(d, len(sets[i]), low[find(i)] if sets[i] else d) for i, (d, *_) in enumerate(rows)]
+
+
+@pytest.mark.parametrize(("k", "percent"), [(3, 85), (5, 80)])
+def test_near_duplicates(docs, rows, k, percent):
+    got = bag(near_duplicates(docs, k=k, percent=percent), "doc_id", "n_shingles", "component_id", "kept")
+    assert got == Counter((d, n, c, d == c) for d, n, c in components_brute(rows, k, percent))
+
+
+def test_near_duplicate_families_in_blocks(spark, monkeypatch):
+    """A large family of near copies, cut into several blocks."""
+    import random
+
+    from rimecast.llm import near_dups
+
+    monkeypatch.setattr(near_dups, "BLOCK_DOCS", 16)
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(400)]
+    base, out = rng.sample(words, 60), []
+    for i in range(150):
+        w = list(base)
+        for _ in range(rng.randint(0, 4)):
+            w[rng.randrange(len(w))] = rng.choice(words)
+        out.append((i, " ".join(w)))
+    got = near_duplicates(spark.createDataFrame(out, "doc_id long, text string"), k=3, percent=85)
+    assert bag(got, "doc_id", "n_shingles", "component_id") == Counter(components_brute(out, 3, 85))
+
+
+def test_deduplicate(docs, nothing):
+    stay = deduplicate(docs)
+    assert stay.columns == docs.columns
+    ids = Counter(r[0] for r in stay.collect())
+    assert ids[47] == 1 and ids[48] == 2 and ids[30] == 1 and not ids[31] and not ids[45]
+    assert ids[40] == ids[41] == ids[42] == 1
+    assert deduplicate(nothing).count() == 0 and near_duplicates(nothing).count() == 0
+
+
+def _view(rows):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents(doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?, ?)", rows)
+    return con
+
+
+@pytest.fixture(scope="module")
+def plain_rows(rows):
+    """Rows that SQL keyed by doc_id can follow: no null or repeated ids."""
+    ids = Counter(r[0] for r in rows)
+    return [r for r in rows if r[0] is not None and ids[r[0]] == 1 and "\x00" not in (r[1] or "")]
+
+
+@pytest.mark.parametrize("sites", [3, 10, 12])
+def test_line_dedup_sql(spark, plain_rows, sites):
+    df = spark.createDataFrame(plain_rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = remove_boilerplate(df, min_sites=sites)
+    check(out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")), _view(plain_rows), oracles.line_dedup(sites))
+
+
+def test_line_dedup_rows(docs, nothing, rows):
+    out = remove_boilerplate(docs, min_sites=10)
+    assert out.count() == len(rows) and set(docs.columns) <= set(out.columns)
+    first = {r["doc_id"]: r["text"] for r in out.collect()}
+    assert "Shared boilerplate line." in first[0] and not any("Shared boilerplate" in (first[i] or "") for i in range(1, 30))
+    assert first[40] is None and first[41] == ""
+    assert remove_boilerplate(nothing).count() == 0
+
+
+@pytest.mark.parametrize("limits", [LINE_LIMITS, {"max_docs": 1, "max_share": 0.0, "max_removed": 0.05}])
+def test_quality_rules_sql(spark, plain_rows, limits):
+    df = spark.createDataFrame(plain_rows, "doc_id long, text string, lang string, source string, n_chars long")
+    check(apply_quality_rules(df, **limits), _view(plain_rows), oracles.quality_rules(**limits))
+
+
+def test_quality_rules_rows(docs, nothing, rows):
+    out = apply_quality_rules(docs, max_docs=1, max_share=0.0, max_removed=0.05)
+    assert out.count() == len(rows)
+    assert out.where("doc_id = 47").distinct().count() == 1
+    assert not out.where("doc_id = 40").first()["kept"]
+    assert apply_quality_rules(nothing).count() == 0
+
+
+def test_mixing_sql(spark, plain_rows):
+    df = spark.createDataFrame(plain_rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for mix in (MIX, MIX | {"share": (3, 1)}, MIX | {"weights": {"source": {"src1": 50}}, "share": (1, 7)}):
+        check(mix_sources(df, **mix), _view(plain_rows), "WITH " + oracles.mixing("documents", **mix) + " SELECT * FROM mixed")
+
+
+def test_mixing_rows(docs, nothing, rows):
+    all_of_it = mix_sources(docs, weights={}, share=(1, 1), max_epochs=1)
+    assert all_of_it.count() == sum(bool(WORD.search(r[1] or "")) for r in rows)
+    assert mix_sources(nothing, **MIX).count() == 0
+
+
+def repeats_brute(rows, k):
+    order = sorted(range(len(rows)), key=lambda i: LAST if rows[i][0] is None else rows[i][0])
+    seen, out = {}, [None] * len(rows)
+    for i in order:
+        w = WORD.findall(rows[i][1] or "")
+        gone = [False] * len(w)
+        for j in range(len(w) - k + 1):
+            if seen.setdefault(tuple(w[j : j + k]), (i, j)) != (i, j):
+                gone[j : j + k] = [True] * k
+        kept = " ".join(x for x, g in zip(w, gone, strict=True) if not g)
+        out[i] = (rows[i][0], len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest())
+    return out
+
+
+def test_substring_dedup(spark, docs, nothing, rows):
+    # rows with equal ids have an order of their own, and equal rows are one document
+    ids = Counter(r[0] for r in rows)
+    plain = [r for r in rows if ids[r[0]] == 1]
+    df = spark.createDataFrame(plain, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = remove_repeats(df, k=20)
+    assert bag(got, *got.columns) == Counter(repeats_brute(plain, 20))
+    short = remove_repeats(df, k=8, anchor=3)
+    assert bag(short, *short.columns) == Counter(repeats_brute(plain, 8))
+    assert remove_repeats(docs).count() == len(rows)
+    assert remove_repeats(nothing).count() == 0
+
+
+ITEMS = [(0, "What is the name of the tall tower by the river in the old town? It is the grey tower of the three sisters."), (1, "too short"), (2, None), (None, "no id at all for this item of the test"), (3, " ".join(f"w{i}" for i in range(300)))]
+
+
+def test_decontamination(spark, docs, nothing):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    more = [
+        (100, "before it " * 200 + ITEMS[0][1].upper().replace("?", " ?!") + " after it" * 100),
+        (101, "What is the name of the tall tower by the river in the old town? Nobody knows."),
+        (102, "head " + " ".join(f"w{i}" for i in range(300)) + " tail"),
+        (103, "the of tower river grey name town it is in by " * 30),
+        (104, None),
+    ]
+    df = spark.createDataFrame(more, "doc_id long, text string")
+    got = {r["doc_id"]: (r["items"], r["contaminated"]) for r in find_contamination(df, items).collect()}
+    assert got == {100: ([0], True), 101: ([], False), 102: ([3], True), 103: ([], False), 104: ([], False)}
+    assert {r[0] for r in drop_contaminated(df, items).collect()} == {101, 103, 104}
+    assert find_contamination(docs, items).count() == docs.count()
+    assert drop_contaminated(docs, items).columns == docs.columns
+    empty = spark.createDataFrame([], "item_id long, text string")
+    assert not find_contamination(docs, empty).where("contaminated").count() and find_contamination(nothing, items).count() == 0
+
+
+def test_decontamination_in_shards(spark, monkeypatch):
+    from rimecast.llm import decontaminate
+
+    monkeypatch.setattr(decontaminate, "INDEX_WORDS", 40)
+    items = [(i, " ".join(f"q{i}x{j}" for j in range(20)) + "? " + " ".join(f"a{i}x{j}" for j in range(8))) for i in range(6)]
+    df = spark.createDataFrame([(i, "noise " + t + " noise") for i, t in items] + [(9, items[1][1] + " " + items[4][1]), (9, "clean"), (None, items[2][1])], "doc_id long, text string")
+    got = bag(find_contamination(df, spark.createDataFrame(items, "item_id long, text string")).withColumn("i", F.concat_ws(",", "items")), "doc_id", "i")
+    assert got == Counter([(i, str(i)) for i in range(6)] + [(9, "1,4"), (9, ""), (None, "2")])
+
+
+def test_language(spark, docs, nothing, sf):
+    real = spark.read.parquet(f"{sf}/documents.parquet")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    out = identify(real, learn=fold != 0).join(real.select("doc_id", "lang"), "doc_id").where(fold == 0)
+    assert out.where("lang = lang_pred").count() >= 0.97 * out.count()
+    assert out.where("score < 0 or score > 1").count() == 0
+    odd = {r["doc_id"]: r for r in identify(docs, learn=F.lit(True)).collect()}
+    assert all(odd[i]["lang_pred"] == "und" and odd[i]["score"] == 0 for i in (40, 41, 42, 53)) and odd[0]["lang_pred"] == "en"
+    assert identify(docs, learn=F.lit(False)).where("lang_pred <> 'und'").count() == 0
+    assert accept(docs, learn=F.lit(True)).columns == docs.columns
+    assert accept(docs, learn=F.lit(True)).where("doc_id in (40, 41, 42, 53)").count() == 0
+    assert identify(nothing, learn=F.lit(True)).count() == 0
+
+
+def test_toxicity(spark, docs, nothing):
+    import random
+
+    rng = random.Random(4)
+    good, bad = "kind calm sunny river garden music paper window".split(), "zorgle mefquat"
+    rows = [(i, " ".join(rng.choices(good, k=60)) + (" " + rng.choice(bad.split()) if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    labels = df.select("doc_id", "toxic").union(spark.createDataFrame([(None, 1), (3, None), (10**9, 1)], "doc_id long, toxic int"))
+    learn = F.crc32(F.col("doc_id").cast("string")) % 4 != 2
+    out = score_toxicity(df, labels, learn=learn).join(df.select("doc_id", "toxic"), "doc_id").where(~learn)
+    assert out.where("predicted = toxic").count() >= 0.97 * out.count()
+    odd = score_toxicity(docs, labels, learn=learn)
+    assert odd.count() == docs.count() and odd.where("score is null or score < 0 or score > 1").count() == 0
+    none = labels.where("toxic = 0")
+    assert score_toxicity(docs, none, learn=learn).where("predicted = 1").count() == 0
+    assert score_toxicity(nothing, labels, learn=learn).count() == 0
+    assert score_toxicity(docs, labels.limit(0), learn=learn).count() == docs.count()
+
+
+def test_pipeline(spark, docs, nothing, sf, tmp_path):
+    import corpus_pipeline as p
+
+    assert [n for n, _ in p.STAGES] == ["language", "lines", "near_duplicates", "decontamination", "mixing"]
+    assert p.run(spark, sf).count() > 0
+    for table in (docs, nothing):
+        step = table
+        for name, stage in p.STAGES:
+            out = stage(spark, step, sf)
+            if name != "mixing":
+                assert out.columns == step.columns
+            step = p.materialize(out, "test")
+        assert step.count() > 0 or table is nothing
