@@ -11,7 +11,8 @@ emit only windows that may repeat. These are the edges of the graph: each k-mer
 occurrences' count, its earliest source coordinate, and whether all occurrences go on to one
 next edge and come from one previous edge. (3) Compaction: edges that follow each other at their
 source coordinates, with no branch between them, form one path; a path is named by its first
-edge. (4) A join of the occurrences with path heads gives whole spans (text, start, words);
+edge. (4) A join of the heads with their occurrences (a bit set
+of heads lets a third pass emit little else) gives whole spans (text, start, words);
 source coordinates tell the spans that start earlier elsewhere. (5) Only texts that a second bit
 set (of ids with spans) lets pass are joined with their spans; all others are emitted directly.
 
@@ -115,6 +116,27 @@ def _edges(k: int, anchor: int, wanted):
     return run
 
 
+def _occurrences(k: int, anchor: int, wanted, heads):
+    """Windows that may be path heads, with their coordinates."""
+
+    def run(batches):
+        keep, head = wanted.value, heads.value
+        for b in batches:
+            ids = b.column(0).to_numpy(zero_copy_only=False)
+            for lo, _, w, h, sequence, good, at, grams in _parse(b.column(1), k, anchor):
+                start = good[keep(grams[at])] if len(good) else good
+                if not len(start):
+                    continue
+                one = windows(h, k)
+                start = start[head(one[start])]
+                if len(start):
+                    owner = np.searchsorted(w.first, start, side="right") - 1
+                    columns = [signed(one[start]), signed(windows(h, k, 2)[start]), pa.array(ids[lo + owner]), signed(sequence[owner]), pa.array((start - w.first[owner]).astype(np.int32))]
+                    yield pa.RecordBatch.from_arrays(columns, ["h", "c", "doc", "sequence", "pos"])
+
+    return run
+
+
 def _plain(skip):
     """Rows that have no span: n_words and the digest of all words."""
 
@@ -200,7 +222,8 @@ def repeated_spans(docs: DataFrame, *, k: int = 20, anchor: int = ANCHOR) -> Dat
     size = F.count("*").over(Window.partitionBy("doc", "sequence", "path"))
     heads = paths.withColumn("edges", size).where("head = 1")
     heads = materialize(heads.select("h", "c", F.col("doc").alias("src_doc"), F.col("sequence").alias("src_sequence"), F.col("pos").alias("src_pos"), "edges"), "paths")
-    at = edges.select("h", "c", "doc", "sequence", "pos").join(heads, ["h", "c"])
+    first = spark.sparkContext.broadcast(key_filter(heads, "h", heads.count()))
+    at = texts.mapInArrow(_occurrences(k, anchor, wanted, first), "h long, c long, doc long, sequence long, pos int").join(heads, ["h", "c"])
     source = (F.col("doc") == F.col("src_doc")) & (F.col("sequence") == F.col("src_sequence")) & (F.col("pos") == F.col("src_pos"))
     return at.where(~source).select("doc", "sequence", F.col("pos").alias("start"), (F.col("edges") + (k - 1)).cast("int").alias("words"))
 
