@@ -100,8 +100,8 @@ def areas(tw: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.minimum(count, np.where(tw[-1] < 0, 2, 3)), e
 
 
-def codes(n: np.ndarray, e: np.ndarray, ice: np.ndarray, surface: np.ndarray, ground: np.ndarray) -> np.ndarray:
-    """Code of each column from areas, ice probability, surface wet bulb and ground temperature."""
+def probabilities(n: np.ndarray, e: np.ndarray, ice: np.ndarray, surface: np.ndarray, ground: np.ndarray) -> np.ndarray:
+    """Types (in tie order) by columns, from areas, ice probability, surface wet bulb and ground temperature."""
     clip = lambda x: np.where(x < 0, 0.0, np.where(x > 100, 100.0, x))
     with np.errstate(all="ignore"):
         pellets = lambda r, m: clip(ice / 100 * clip(2.3 * r - 42.0 * np.log(m + 1.0) + 3.0))
@@ -122,12 +122,20 @@ def codes(n: np.ndarray, e: np.ndarray, ice: np.ndarray, surface: np.ndarray, gr
             "snow": (ice, snow1, snowy(0.28, e[1]), snowy(0.28, e[2] + e[0])),
             "rain": (np.where(warm, 100 - ice, 0.0), np.where(cold, 0.0, rain1), zero, np.where(cold, 0.0, rain3)),
         }
-        grid = np.stack([clip(np.choose(np.minimum(n, 3), by[name])) for name in C.TYPES])
+        return np.stack([clip(np.choose(np.minimum(n, 3), by[name])) for name in C.TYPES])
+
+
+def categories(grid: np.ndarray) -> np.ndarray:
+    """Code of each column of probabilities; an undefined one never wins."""
     grid = np.where(np.isnan(grid), -np.inf, grid)
     best = grid.argmax(axis=0)
     return np.where(grid.max(axis=0) > 0, np.array(list(C.TYPES.values()))[best], 0).astype(np.int32)
 
 
+def codes(n: np.ndarray, e: np.ndarray, ice: np.ndarray, surface: np.ndarray, ground: np.ndarray) -> np.ndarray:
+    return categories(probabilities(n, e, ice, surface, ground))
+
+
 def ptype(t: np.ndarray, qv: np.ndarray, p: np.ndarray, h: np.ndarray, ground: np.ndarray) -> np.ndarray:
     """Codes of wet columns; all matrices are levels by columns, top first."""
     tc, rh, tw = thermodynamics(t, qv, p)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from rimecast.functions import constants as C
 from rimecast.functions.classify import categorical_code, with_type_probabilities
 from rimecast.functions.thermo import with_thermodynamics
-from rimecast.operators import diagnose, energy, kernel
+from rimecast.operators import diagnose, energy, kernel, local
+from rimecast.operators.quality import DataQualityError
 
 H5, H7, H8 = ([1000.0 * k for k in range(n - 1, -1, -1)] for n in (5, 7, 8))
 COLD = [-20.0, -18.0, -16.0, -14.0, -12.0]
@@ -132,3 +133,31 @@ def test_random_columns_agree(spark):
     fast = {r["cell_id"]: r["ptype"] for r in kernel.categorical_arrays(arrays, ["cell_id"]).collect()}
     assert long == fast
     assert len(set(long.values())) >= 5
+
+
+def test_local_columns():
+    for name, tws, rhs, hs, pr, tg, limit, code in SCENARIOS:
+        got = local.diagnose_thermodynamics(tws, tws, rhs, hs, pr, tg, threshold=limit)
+        assert got.code == code, name
+        if code == 0:
+            assert not any(got.probabilities.values())
+    last = local.diagnose_thermodynamics(COLD, COLD, [50.0, 80.0, 50.0, 50.0, 50.0], H5, 1.0, -5.0)
+    assert sum(last.pure.values()) == 0 and last.ice == 100.0 and last.pure_ice == 0.0
+    with pytest.raises(ValueError):
+        local.diagnose_thermodynamics(COLD, COLD, COLD, H7, 1.0, 0.0)
+
+
+def test_local_grid():
+    shape = (3, 2)
+    t = np.full(shape, 260.0)
+    p = np.repeat(np.array([4e4, 7e4, 9e4])[:, None], 2, axis=1)
+    half = np.repeat(np.array([9000.0, 6000.0, 3000.0, 0.0])[:, None], 2, axis=1)
+    codes, counted = local.diagnose_grid(t, p, np.full(shape, 0.0015), half, [1.0, 0.0], [-5.0, -5.0])
+    assert codes.tolist() == [codes[0], 0] and codes[0] > 0 and counted["active_columns"] == 1
+    bad = t.copy()
+    bad[0, 1] = np.nan
+    assert local.diagnose_grid(bad, p, np.full(shape, 0.0015), half, [1.0, 0.0], [-5.0, -5.0])[1]["invalid_profile_columns"] == 1
+    with pytest.raises(DataQualityError):
+        local.diagnose_grid(bad, p, np.full(shape, 0.0015), half, [1.0, 1.0], [-5.0, -5.0])
+    with pytest.raises(ValueError):
+        local.diagnose_grid(t, p, t, half[:3], [1.0, 0.0], [0.0, 0.0])
