@@ -22,15 +22,16 @@ def is_active(threshold: float = 0.0):
 
 
 def column_state(levels: DataFrame, keys: list[str]) -> DataFrame:
-    """Per column of levels with thermodynamics: ice probabilities, area energies, surface values."""
-    marked = energy.mark_segments(energy.fill_signs(layers.mark_layers(levels, keys), keys), keys)
-    rows = layers.layers(marked, keys)
-    ice = layers.ice_probabilities(rows, keys)
-    surface = marked.groupBy(*keys).agg(
-        F.max_by("wet_bulb_c", "lev").alias("surface_tw"), F.first("ground_temperature_c").alias("ground_temperature_c"), F.first("total_precip_mm").alias("total_precip_mm")
-    )
+    """Per column of levels with thermodynamics: ice probabilities, area energies, surface values.
+
+    Two branches over the same partitioning, layers (which carry the surface values along) and areas.
+    """
+    same = ("ground_temperature_c", "total_precip_mm")
+    rows = layers.layers(layers.mark_layers(levels, keys), keys, F.max_by("wet_bulb_c", "lev").alias("lowest_tw"), *[F.first(c).alias(c) for c in same])
+    ice = layers.ice_probabilities(rows, keys, surface_tw=F.max_by("lowest_tw", "first_lev"), **{c: F.first(c) for c in same})
+    marked = energy.mark_segments(energy.fill_signs(levels, keys), keys)
     areas = energy.surface_up(energy.merged_areas(energy.segments(marked, keys), keys), keys)
-    return ice.join(surface, keys).join(areas, keys, "left").withColumn("n_areas", energy.kept_areas(F.col("n_all"), F.col("surface_tw"))).drop("n_all")
+    return ice.join(areas, keys, "left").withColumn("n_areas", energy.kept_areas(F.col("n_all"), F.col("surface_tw"))).drop("n_all")
 
 
 def _named(prefix: str) -> dict[str, Column]:
