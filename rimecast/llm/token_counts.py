@@ -1,7 +1,7 @@
 """Token counts by a map-side two-tier lookup.
 
 Tier one: a broadcast table of the lengths (in tokens) of frequent pre-tokens, at most
-``TABLE_ENTRIES`` of them, picked from ``SAMPLE_ROWS`` documents. Tier two: each
+``TABLE_ENTRIES`` of them, picked from ``SAMPLE_ROWS`` documents of ordinary length. Tier two: each
 Python worker encodes what the table misses and keeps the lengths in a cache of at most
 ``CACHE_ENTRIES``, which outlives a task. The sample only decides what is fast: every
 pre-token of every whole text is counted, and no pre-token is ever shuffled.
@@ -24,6 +24,7 @@ from .common import settings
 
 TABLE_ENTRIES = 32768
 SAMPLE_ROWS = 2000
+SAMPLE_CHARS = 8192
 CACHE_ENTRIES = 400_000
 LONGEST_KEPT = 40
 
@@ -78,19 +79,15 @@ def _worker(path: str, table, token: str) -> _Lengths:
 
 
 def frequent_lengths(docs: DataFrame, path: str, *, text_col: str = "text") -> dict[str, int]:
-    """Lengths of the most frequent pre-tokens of ``SAMPLE_ROWS`` documents, counted on an executor."""
-
-    def counted(batches):
-        seen: Counter = Counter()
-        for b in batches:
-            for text in b.column(0).to_pylist():
-                seen.update(w for w in _PRE.findall(text.lower()) if len(w) <= LONGEST_KEPT)
-        lengths = _Lengths(path, {})
-        top = [w for w, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:TABLE_ENTRIES]]
-        yield pa.RecordBatch.from_arrays([pa.array(top, pa.string()), pa.array([lengths[w] for w in top], pa.int32())], ["word", "n"])
-
-    sample = docs.where(F.col(text_col).isNotNull()).select(text_col).limit(SAMPLE_ROWS)
-    return {r["word"]: r["n"] for r in sample.mapInArrow(counted, "word string, n int").collect()}
+    """Lengths of the most frequent pre-tokens of up to ``SAMPLE_ROWS`` texts of at most ``SAMPLE_CHARS``.
+
+    The rows are taken partition after partition until there are enough, so a large table isn't scanned.
+    """
+    size = F.length(text_col)
+    lengths, seen = _Lengths(path, {}), Counter()
+    for (text,) in docs.where((size > 0) & (size <= SAMPLE_CHARS)).select(text_col).limit(SAMPLE_ROWS).collect():
+        seen.update(w for w in _PRE.findall(text.lower()) if len(w) <= LONGEST_KEPT)
+    return {w: lengths[w] for w, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:TABLE_ENTRIES]}
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", limit: int = 2048) -> DataFrame:
