@@ -2,8 +2,8 @@
 
 A text is the set of its hashed byte n-grams (letters only, lower case, words set off by
 spaces). From labelled documents each n-gram gets its log-count ratio between toxic and other
-documents; the ``FEATURES`` n-grams that tell most are scaled by it, and a logistic regression
-on them gives the score, calibrated to the share of toxic labels.
+documents; the n-grams that mark toxic documents most (``FEATURES_EACH`` for each toxic document) are scaled by it, and a logistic
+regression on them gives the score, calibrated to the share of toxic labels.
 
 Training uses a bounded sample of labelled rows, about ``PER_CLASS`` of each class, picked by a
 hash of the id. Every text is scored whole. Null or empty texts get the score of the bias. Labels
@@ -25,7 +25,8 @@ from .linear import grams, letters, logistic
 PER_CLASS = 3000
 LOG2 = 20
 SIZES = (4, 5, 6)
-FEATURES = 30_000
+#: Features at most, and for each toxic document of the sample.
+FEATURES, FEATURES_EACH = 30_000, 10
 LEAST_DOCS = 4
 L2 = 1.0
 _SAMPLE_PARTS = 8
@@ -93,8 +94,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str) ->
         both += np.frombuffer(r["counts"], np.uint16).reshape(2, -1)
     df = both.sum(axis=0)
     ratio = np.log((both[1] + 1) / (both[1] + 1).sum()) - np.log((both[0] + 1) / (both[0] + 1).sum())
-    strength = np.where(df >= LEAST_DOCS, np.abs(ratio) * np.sqrt(df), -1.0)
-    best = np.argsort(-strength, kind="stable")[:FEATURES]
+    strength = np.where((df >= LEAST_DOCS) & (ratio > 0), ratio * np.sqrt(df), -1.0)
+    toxic = sample.where("label = 1").count()
+    best = np.argsort(-strength, kind="stable")[: min(FEATURES, FEATURES_EACH * toxic)]
     best = np.sort(best[strength[best] > 0])
     wanted = np.zeros(1 << LOG2, bool)
     wanted[best] = True
