@@ -7,7 +7,7 @@ import tempfile
 import uuid
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Most rows in one Arrow batch handed to Python; bounds a worker's memory.
@@ -35,23 +35,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage and survives lost executors."""
-    path = os.path.join(shared_dir(df.sparkSession), "rimecast", f"{label}-{uuid.uuid4().hex}")
+    path = os.path.join(_scratch(df.sparkSession), f"{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def row_key() -> list[Column]:
-    """Identity of a document row: its id and the hash of its text, so that repeated
-    rows share one result and rows with a null or repeated id stay apart by text."""
-    return [F.col("doc_id"), F.xxhash64("text").alias("text_key")]
+def _scratch(spark: SparkSession) -> str:
+    return os.path.join(shared_dir(spark), "rimecast", spark.sparkContext.applicationId)
 
 
-def same(a: DataFrame, b: DataFrame, *names: str) -> Column:
-    """Null-safe equality of columns, as a join condition."""
-    on = a[names[0]].eqNullSafe(b[names[0]])
-    for n in names[1:]:
-        on &= a[n].eqNullSafe(b[n])
-    return on
+def clean(spark: SparkSession) -> bool:
+    """Delete all that this application has materialized; call it when its results have been written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 class KeyFilter:
@@ -96,7 +92,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     size = _weight(e)
     while size[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # written, so that the join below exchanges both its sides and a hub's rows can be split
+        low = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "lowest")
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         large = large.unionByName(low.where("m < u").select("u", F.col("m").alias("v"))).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))

@@ -239,7 +239,7 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80, n_bands:
     comps = components(links, "a", "b")
     linked = comps.select("node", "root").unionByName(comps.select(F.col("root").alias("node"), "root")).distinct()
     named = linked.join(classes.select("node", "rep"), "node")
-    lowest = named.groupBy("root").agg(F.min("rep").alias("lowest"))
+    lowest = materialize(named.groupBy("root").agg(F.min("rep").alias("lowest")), "lowest")
     named = named.join(lowest, "root").select("node", "lowest")
     named = materialize(classes.select("node", "rep").join(named, "node", "left").select("node", F.coalesce("lowest", "rep").alias("component_id")), "components")
     out = signed_rows.select("doc_id", "text_key", "n_shingles", "node").join(named, "node", "left")
@@ -252,7 +252,7 @@ def _links(spark, texts: DataFrame, member: DataFrame, n_members: int, n_all: in
     wanted = spark.sparkContext.broadcast(key_filter(member.select(F.xxhash64("rep").alias("h")), "h", n_members))
     sets = texts.where("doc_id is not null").select("doc_id", F.xxhash64("doc_id").alias("h"), "text").mapInArrow(_members(k, wanted), "doc_id long, node long, shingles binary")
     cost = member.groupBy("family").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
-    cost = cost.select("family", F.ceil(F.greatest(F.col("m") / BLOCK_DOCS, F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    cost = materialize(cost.select("family", F.ceil(F.greatest(F.col("m") / BLOCK_DOCS, F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks")), "families")
     rows = member.join(cost, "family").join(sets, "node").where(F.col("rep") == F.col("doc_id")).select("family", "node", "shingles", "blocks")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
