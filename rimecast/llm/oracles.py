@@ -66,3 +66,30 @@ placed AS (SELECT tok.*, epochs, rest, md5(concat_ws(':', '{seed}', epochs::VARC
 run AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY place) AS sofar FROM placed),
 mixed AS (SELECT doc_id, domain, lang, source, n_tokens, unnest(range(0, epochs))::INT AS epoch FROM placed
   UNION ALL SELECT doc_id, domain, lang, source, n_tokens, epochs AS epoch FROM run WHERE sofar <= rest)"""
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+def near_duplicates(k: int, percent: int) -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    words = rf"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\x20\x09-\x0D]+')"
+    return f"""WITH RECURSIVE w AS (SELECT doc_id, {words} AS ws FROM documents),
+g AS (SELECT doc_id, array_to_string(ws[u.i : u.i + {k - 1}], ' ') AS s FROM w, LATERAL (SELECT unnest(range(1, len(ws) - {k - 2})) AS i) u WHERE len(ws) >= {k}
+  UNION SELECT doc_id, array_to_string(ws, ' ') FROM w WHERE len(ws) BETWEEN 1 AND {k - 1}),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * i >= {percent} * (x.n + y.n - i)),
+sym AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach AS (SELECT a, b FROM sym UNION SELECT reach.a, sym.b FROM reach JOIN sym ON reach.b = sym.a)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(w.doc_id, coalesce(r.low, w.doc_id)) AS component_id, w.doc_id = least(w.doc_id, coalesce(r.low, w.doc_id)) AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a) r USING (doc_id)"""
+
+
+def repeats(k: int) -> str:
+    return f"""WITH w AS (SELECT doc_id, {_WORDS} AS ws FROM documents),
+win AS (SELECT doc_id, u.i AS i, array_to_string(ws[u.i : u.i + {k - 1}], ' ') AS s FROM w, LATERAL (SELECT unnest(range(1, len(ws) - {k - 2})) AS i) u WHERE len(ws) >= {k}),
+late AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS rn FROM win) WHERE rn > 1),
+gone AS (SELECT DISTINCT doc_id, i + d AS i FROM late, (SELECT unnest(range(0, {k})) AS d)),
+tok AS (SELECT doc_id, u.i AS i, ws[u.i] AS x FROM w, LATERAL (SELECT unnest(range(1, len(ws) + 1)) AS i) u),
+kept AS (SELECT tok.doc_id, string_agg(x, ' ' ORDER BY tok.i) AS t, count(*) AS n FROM tok ANTI JOIN gone USING (doc_id, i) GROUP BY tok.doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(kept.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)"""

@@ -40,7 +40,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
-@query()
+@query(oracles.near_duplicates(3, 85))
 def op3_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_dups import near_duplicates
 
@@ -104,7 +104,7 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"))
 
 
-@query()
+@query(oracles.repeats(20))
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import remove_repeats
 

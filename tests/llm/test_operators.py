@@ -8,7 +8,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from rimecast.llm import oracles, pii
+from rimecast.llm import lines, oracles, pii
 from rimecast.llm.decontaminate import drop_contaminated, find_contamination
 from rimecast.llm.language_id import accept, identify
 from rimecast.llm.line_dedup import remove_boilerplate
@@ -156,8 +156,9 @@ def plain_rows(rows):
     return [r for r in rows if r[0] is not None and ids[r[0]] == 1 and "\x00" not in (r[1] or "")]
 
 
-@pytest.mark.parametrize("sites", [3, 10, 12])
-def test_line_dedup_sql(spark, plain_rows, sites):
+@pytest.mark.parametrize(("sites", "broadcast"), [(3, 50_000), (10, 50_000), (10, 0), (12, 0)])
+def test_line_dedup_sql(spark, plain_rows, sites, broadcast, monkeypatch):
+    monkeypatch.setattr(lines, "BROADCAST_ROWS", broadcast)
     df = spark.createDataFrame(plain_rows, "doc_id long, text string, lang string, source string, n_chars long")
     out = remove_boilerplate(df, min_sites=sites)
     check(out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")), _view(plain_rows), oracles.line_dedup(sites))
@@ -172,8 +173,9 @@ def test_line_dedup_rows(docs, nothing, rows):
     assert remove_boilerplate(nothing).count() == 0
 
 
-@pytest.mark.parametrize("limits", [LINE_LIMITS, {"max_docs": 1, "max_share": 0.0, "max_removed": 0.05}])
-def test_quality_rules_sql(spark, plain_rows, limits):
+@pytest.mark.parametrize(("limits", "broadcast"), [(LINE_LIMITS, 50_000), ({"max_docs": 1, "max_share": 0.0, "max_removed": 0.05}, 0)])
+def test_quality_rules_sql(spark, plain_rows, limits, broadcast, monkeypatch):
+    monkeypatch.setattr(lines, "BROADCAST_ROWS", broadcast)
     df = spark.createDataFrame(plain_rows, "doc_id long, text string, lang string, source string, n_chars long")
     check(apply_quality_rules(df, **limits), _view(plain_rows), oracles.quality_rules(**limits))
 
@@ -303,3 +305,53 @@ def test_pipeline(spark, docs, nothing, sf, tmp_path):
                 assert out.columns == step.columns
             step = p.materialize(out, "test")
         assert step.count() > 0 or table is nothing
+
+
+def test_components_and_scratch(spark):
+    import random
+
+    from rimecast.llm import common
+
+    rng = random.Random(9)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000, i) for i in range(1001, 1100)] + [(i, i + 1) for i in range(2000, 2060)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    got = {r["node"]: r["root"] for r in common.components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
+    assert got == {x: find(x) for x in list(root) if find(x) != x}
+    assert common.clean(spark)
+
+
+def test_key_filter_has_no_false_negatives(spark):
+    import numpy as np
+
+    from rimecast.llm.common import key_filter
+
+    keys = [r[0] for r in spark.range(5000).select(F.xxhash64("id")).collect()]
+    f = key_filter(spark.createDataFrame([(k,) for k in keys], "h long"), "h", len(keys))
+    assert f(np.array(keys, np.int64).view(np.uint64)).all()
+    other = np.array([r[0] for r in spark.range(10**6, 10**6 + 20000).select(F.xxhash64("id")).collect()], np.int64).view(np.uint64)
+    assert f(other).mean() < 0.02
+
+
+@pytest.mark.parametrize("name", ["op3_near_dups", "op4_line_dedup", "op6_mixing", "op7_quality_rules", "op9_substring_dedup"])
+def test_registered_queries_match_sql(spark, sf, name):
+    from rimecast.llm.queries import ORACLES, QUERIES
+    from tests.compare import connect
+
+    check(QUERIES[name](spark, sf), connect(sf), ORACLES[name])
+
+
+@pytest.mark.parametrize("name", ["op1_token_counts", "op2_pii", "op5_decontaminate", "op8_language_id", "op10_toxicity"])
+def test_other_registered_queries_give_a_row_per_document(spark, sf, name):
+    from rimecast.llm.queries import QUERIES
+
+    out = QUERIES[name](spark, sf)
+    assert out.select("doc_id").distinct().count() == out.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
