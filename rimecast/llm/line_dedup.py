@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
-from .lines import if_small, line_hashes, raw_lines
+from .lines import join_lines, line_hashes, raw_lines
 
 LG_K = 12
 _ERRORS = 4 * 1.04 / math.sqrt(1 << LG_K)
@@ -30,8 +30,8 @@ def boilerplate(docs: DataFrame, *, site_col: str = "source", min_sites: int = 1
     """Lines spread over ``min_sites`` sites or more: (line, first_doc)."""
     site = F.coalesce(F.col(site_col).cast("string"), F.lit("\0"))
     slots = docs.select("doc_id", site.alias("site"), F.explode(F.array_compact(F.array_distinct(line_hashes(F.col("text"))))).alias("line"))
-    often = if_small(materialize(slots.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= min_sites).select("line"), "common-lines"))
-    common = slots.join(often, "line")
+    often = materialize(slots.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= min_sites).select("line"), "common-lines")
+    common = join_lines(slots, often, "line")
     spread = common.groupBy("line").agg(F.hll_sketch_agg("site", LG_K).alias("sketch"), F.min("doc_id").alias("first_doc"))
     spread = materialize(spread.select("line", "first_doc", F.hll_sketch_estimate("sketch").alias("sites")), "line-spread")
     low, high = math.floor(min_sites * (1 - _ERRORS)), math.ceil(min_sites * (1 + _ERRORS))
@@ -43,9 +43,9 @@ def boilerplate(docs: DataFrame, *, site_col: str = "source", min_sites: int = 1
 
 def remove_boilerplate(docs: DataFrame, *, site_col: str = "source", min_sites: int = 10) -> DataFrame:
     """All columns of ``docs`` with ``text`` cleaned, and n_lines, n_removed (lines)."""
-    found = if_small(materialize(boilerplate(docs, site_col=site_col, min_sites=min_sites), "boilerplate"))
+    found = materialize(boilerplate(docs, site_col=site_col, min_sites=min_sites), "boilerplate")
     slots = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.explode(F.array_compact(F.array_distinct(line_hashes(F.col("text"))))).alias("line"))
-    hits = slots.join(found, "line").where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
+    hits = join_lines(slots, found, "line").where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
     hits = hits.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.collect_set("line").alias("_gone"))
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     joined = docs.select(*names).join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key")), "left")

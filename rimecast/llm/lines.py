@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 #: A side of at most so many rows is broadcast (a row is a few longs); a larger one is shuffled.
 BROADCAST_ROWS = 50_000
+SALTS = 16
 
 
 def raw_lines(text: Column) -> Column:
@@ -22,6 +23,14 @@ def line_hashes(text: Column) -> Column:
     return F.transform(plain, lambda x: F.when(F.trim(x) != "", F.xxhash64(F.trim(x))))
 
 
-def if_small(side: DataFrame) -> DataFrame:
-    """Hint a broadcast only for a table whose counted size allows it (``side`` is materialised)."""
-    return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
+def join_lines(slots: DataFrame, side: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join rows of lines (with doc_id) to a materialised table keyed by line.
+
+    A table of few rows is broadcast, after counting it. A larger one is copied to ``SALTS`` salts and
+    shuffled, so that a line which fills a third of all rows is dealt to many tasks.
+    """
+    if side.count() <= BROADCAST_ROWS:
+        return slots.join(F.broadcast(side), key, how)
+    salted = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = slots.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    return dealt.join(salted, [key, "_salt"], how).drop("_salt")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
-from .lines import if_small, line_hashes, raw_lines
+from .lines import join_lines, line_hashes, raw_lines
 
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
@@ -77,13 +77,13 @@ def apply_quality_rules(
     docs: DataFrame, *, host_col: str = "source", max_docs: int = 10, max_share: float = 0.01, max_removed: float = 0.5, min_words: int = 50, max_repeat_pct: int = 50
 ) -> DataFrame:
     """One row per input row: the counts, n_removed_words, base_failed, depleted, kept."""
-    over = if_small(materialize(frequent_lines(docs, host_col=host_col, max_docs=max_docs, max_share=max_share), "frequent-lines"))
+    over = materialize(frequent_lines(docs, host_col=host_col, max_docs=max_docs, max_share=max_share), "frequent-lines")
     host = F.xxhash64(host_col)
     lines = F.arrays_zip(line_hashes(F.col("text")).alias("h"), F.transform(raw_lines(F.col("text")), lambda x: F.size(_words(x))).alias("n"))
     slots = docs.select("doc_id", F.xxhash64("text").alias("text_key"), host.alias("host"), F.posexplode(lines).alias("pos", "line")).where(F.col("line.h").isNotNull())
     slots = slots.select("doc_id", "text_key", "pos", F.xxhash64("host", "line.h").alias("key"), F.col("line.n").alias("n"))
     # repeated rows bring the same lines once more: one row of each line and position counts
-    hits = slots.join(over, "key", "left_semi").groupBy("doc_id", "text_key", "pos").agg(F.max("n").alias("n"))
+    hits = join_lines(slots, over, "key", "left_semi").groupBy("doc_id", "text_key", "pos").agg(F.max("n").alias("n"))
     lost = hits.groupBy("doc_id", "text_key").agg(F.sum("n").alias("lost"))
     counts = text_counts(docs, host_col=host_col)
     joined = counts.join(lost.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"}), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
