@@ -93,3 +93,25 @@ gone AS (SELECT DISTINCT doc_id, i + d AS i FROM late, (SELECT unnest(range(0, {
 tok AS (SELECT doc_id, u.i AS i, ws[u.i] AS x FROM w, LATERAL (SELECT unnest(range(1, len(ws) + 1)) AS i) u),
 kept AS (SELECT tok.doc_id, string_agg(x, ' ' ORDER BY tok.i) AS t, count(*) AS n FROM tok ANTI JOIN gone USING (doc_id, i) GROUP BY tok.doc_id)
 SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(kept.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)"""
+
+
+def contamination(least: int, shingle: int, overlap: float) -> str:
+    """Verified overlaps over whole documents; the retrieval before it must not lose any of them."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    words = lambda x: rf"regexp_extract_all(translate(coalesce({x}, ''), '{upper}', '{upper.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    mark = r"(?:(?:^|\n)\s*(?:answer|a|antwort|réponse|respuesta)\s*[:.)]\s*|\?\s+)"
+    size = f"least({shingle}, greatest(1, len(ws)))"
+    return rf"""WITH i0 AS (SELECT item_id, text AS t, regexp_matches(text, '(?i){mark}') AS m FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+i1 AS (SELECT *, CASE WHEN m THEN regexp_extract(t, '(?is)^(.*){mark}(.*)$', 1) ELSE regexp_extract(t, '(?s)^(.*)[.!?]\s+(\S.*)$', 1) END AS head,
+  CASE WHEN m THEN regexp_extract(t, '(?is)^(.*){mark}(.*)$', 2) ELSE regexp_extract(t, '(?s)^(.*)[.!?]\s+(\S.*)$', 2) END AS tail FROM i0),
+i2 AS (SELECT item_id, t, CASE WHEN trim(head, E' \t\n\r') <> '' AND trim(tail, E' \t\n\r') <> '' THEN tail END AS a FROM i1),
+i3 AS (SELECT item_id, {words("left(t, length(t) - length(coalesce(a, '')))")} AS q, {words("coalesce(a, t)")} AS a, len({words("t")}) AS n FROM i2),
+role AS (SELECT item_id, r, CASE WHEN len(x) > 0 THEN x ELSE z END AS ws FROM (SELECT item_id, 'q' AS r, q AS x, a AS z FROM i3 WHERE n >= {least} UNION ALL SELECT item_id, 'a', a, q FROM i3 WHERE n >= {least})),
+want AS (SELECT DISTINCT item_id, r, {size} AS k, array_to_string(ws[u.i : u.i + {size} - 1], ' ') AS s FROM role, LATERAL (SELECT unnest(range(1, len(ws) - {size} + 2)) AS i) u),
+total AS (SELECT item_id, r, count(*) AS n FROM want GROUP BY item_id, r),
+d AS (SELECT doc_id, {words("text")} AS ws FROM documents),
+have AS (SELECT DISTINCT doc_id, z.k AS k, array_to_string(ws[u.i : u.i + z.k - 1], ' ') AS s FROM d, (SELECT DISTINCT k FROM want) z, LATERAL (SELECT unnest(range(1, len(ws) - z.k + 2)) AS i) u),
+hit AS (SELECT doc_id, item_id, r, count(*) AS n FROM have JOIN want USING (k, s) GROUP BY doc_id, item_id, r),
+pair AS (SELECT doc_id, item_id, min(hit.n / total.n) AS o FROM hit JOIN total USING (item_id, r) GROUP BY doc_id, item_id HAVING count(*) = 2 AND min(hit.n / total.n) >= {overlap})
+SELECT d.doc_id, count(item_id) AS n_items, coalesce(string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id), '') AS items, round(coalesce(max(o), 0.0), 6) AS overlap, count(item_id) > 0 AS contaminated, count(item_id) = 0 AS kept
+FROM d LEFT JOIN pair USING (doc_id) GROUP BY d.doc_id"""

@@ -111,8 +111,10 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), k=20)
 
 
-@query()
+@query(oracles.contamination(5, 5, 0.8))
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import find_contamination
 
-    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    out = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), overlap=0.8)
+    items = F.array_join(F.transform("items", lambda i: i.cast("string")), ",")
+    return out.select("doc_id", "n_items", items.alias("items"), F.round("overlap", 6).alias("overlap"), "contaminated", (~F.col("contaminated")).alias("kept"))
