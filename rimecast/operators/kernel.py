@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
+from ..shipping import ship
 
 
 def thermodynamics(t: np.ndarray, qv: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,6 +155,7 @@ def _matrix(column) -> np.ndarray:
 def categorical_arrays(columns: DataFrame, keys: list[str], *, threshold: float = 0.0) -> DataFrame:
     """(keys, ptype) from one row per column with arrays temperature_k, specific_humidity, pressure_pa,
     height_m (top first) and total_precip_mm, ground_temperature_c. Columns of a batch may differ in levels."""
+    ship(columns.sparkSession)
     names = ["temperature_k", "specific_humidity", "pressure_pa", "height_m"]
 
     def run(batches):

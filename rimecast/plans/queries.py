@@ -172,7 +172,7 @@ def code_name_lookup(spark, sf_dir):
 # time
 
 
-@query(f"WITH {O.ACCUMULATED} SELECT cell_id, CAST(step AS INTEGER) AS step, round(CASE WHEN row_number() OVER w = 1 THEN tot_prec ELSE tot_prec - lag(tot_prec) OVER w END, 6) AS total_precip_mm FROM acc WINDOW w AS (PARTITION BY cell_id ORDER BY step)")
+@query(f"WITH {O.ACCUMULATED} SELECT cell_id, CAST(step AS INTEGER) AS step, round(CASE WHEN row_number() OVER w = 1 THEN tot_prec ELSE tot_prec - lag(tot_prec) OVER w END, 6) + 0.0e0 AS total_precip_mm FROM acc WINDOW w AS (PARTITION BY cell_id ORDER BY step)")
 def deaccumulate(spark, sf_dir):
     return temporal.deaccumulate(fx.accumulated(spark, sf_dir), KEY).select("cell_id", "step", r6("total_precip_mm"))
 
@@ -185,7 +185,7 @@ def _hours(spark, sf_dir) -> DataFrame:
 
 @query(
     f"WITH {O.ACCUMULATED}, n AS (SELECT cell_id, row_number() OVER (PARTITION BY cell_id ORDER BY step) - 1 AS step, tot_prec FROM acc)"
-    " SELECT cell_id, CAST(step AS INTEGER) AS step, round(CASE WHEN step = 0 THEN tot_prec ELSE tot_prec - lag(tot_prec) OVER (PARTITION BY cell_id ORDER BY step) END, 6) AS total_precip_mm FROM n"
+    " SELECT cell_id, CAST(step AS INTEGER) AS step, round(CASE WHEN step = 0 THEN tot_prec ELSE tot_prec - lag(tot_prec) OVER (PARTITION BY cell_id ORDER BY step) END, 6) + 0.0e0 AS total_precip_mm FROM n"
 )
 def deaccumulate_stream(spark, sf_dir):
     """The whole table through the streaming operator, out of order."""

@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..shipping import ship
+
 
 def deaccumulate_stream(acc: DataFrame, key: str = "cell_id", *, first_step: int = 0) -> DataFrame:
     """Streaming (key, step, tot_prec) to (key, step, total_precip_mm)."""
@@ -30,6 +32,7 @@ def deaccumulate_stream(acc: DataFrame, key: str = "cell_id", *, first_step: int
         state.update((last, value, list(held), list(held.values())))
         yield pd.DataFrame(out, columns=[key, "step", "total_precip_mm"])
 
+    ship(acc.sparkSession)
     kind = acc.schema[key].dataType.simpleString()
     return acc.groupBy(key).applyInPandasWithState(
         advance, f"{key} {kind}, step int, total_precip_mm double", "last int, value double, steps array<int>, vals array<double>", "append", GroupStateTimeout.NoTimeout
