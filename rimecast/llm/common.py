@@ -10,6 +10,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 #: Most rows in one Arrow batch handed to Python; bounds a worker's memory.
 BATCH_ROWS = 512
 #: A key filter has at most this many bits (32 MB), whatever the input.
@@ -18,7 +20,8 @@ _SEGMENT = 32768
 
 
 def settings(spark: SparkSession) -> None:
-    """Arrow batch size for texts of unknown length."""
+    """What Python operators need: the package on the workers, and an Arrow batch size for texts of unknown length."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
