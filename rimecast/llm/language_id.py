@@ -6,7 +6,13 @@ linear support vector machines, the winner having most votes, then the largest s
 
 Training uses a bounded sample: about ``PER_LANGUAGE`` labelled documents of each language,
 picked by a hash of the id. Every text is predicted whole. The score is the least logistic
-margin against the rivals of the two stages, between 0 and 1.
+margin against the rivals of the two stages, between 0 and 1; a winner of all its duels has 0.5
+or more whatever the text, so the score alone can't tell an unknown language.
+
+Whether a text has a known language at all is its likeness: the mean log-probability of its
+n-grams in the learned language that fits best, less the mean over that language's own learning
+rows. The least likeness of a known text is calibrated on learning rows cut to ``CUT`` characters,
+as short texts vary most: all but a share of ``OUTSIDE`` of the cuts have it.
 
 Null texts and texts without a letter get ``und`` with score 0, as does everything where no
 language could be learned. With one learned language all texts with letters get it, score 1.
@@ -30,6 +36,10 @@ PER_LANGUAGE = 400
 LOG2 = 13
 SIZES = (1, 2, 3)
 SLOPE = 3.0
+#: Added to every n-gram's probability, as a share of an even spread over all n-grams.
+SMOOTH = 0.02
+CUT = 24
+OUTSIDE = 0.001
 #: Families by language code (fixed values); a code that isn't listed is a family of its own.
 FAMILIES = {
     "germanic": "en de nl sv da no nb nn is af lb fy".split(),
@@ -104,6 +114,20 @@ class Model:
         self.families = sorted(set(family))
         self.first = Duel(self.families, x, family)
         self.second = [Duel(sorted(set(lang[family == f])), x[family == f], lang[family == f]) for f in self.families]
+        shares = [np.square(x[lang == v]) for v in sorted(set(lang))]
+        self.log = np.log(np.stack([s.mean(axis=0) for s in shares]) + SMOOTH / (1 << LOG2)).astype(np.float32)
+        self.own = np.array([(s @ w).mean() for s, w in zip(shares, self.log, strict=True)])
+        self.least = -np.inf
+
+    def likeness(self, x: np.ndarray) -> np.ndarray:
+        return (np.square(x) @ self.log.T - self.own).max(axis=1)
+
+    def calibrate(self, cuts: pa.Array) -> None:
+        """Set ``least`` by short learning texts."""
+        data, offsets = text_buffers(cuts)
+        found = [self.likeness(features(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])) for lo, hi in _small(offsets)]
+        if found:
+            self.least = float(np.quantile(np.concatenate(found), OUTSIDE))
 
     def __call__(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         which, score = self.first(x)
@@ -122,7 +146,7 @@ def _vectors(batches):
         data, offsets = text_buffers(b.column(1))
         for lo, hi in _small(offsets):
             x = features(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-            yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary())], ["lang", "x"])
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary()), b.column(2).slice(lo, hi - lo)], ["lang", "x", "cut"])
 
 
 def train(docs: DataFrame, learn: Column) -> Model | None:
@@ -133,24 +157,30 @@ def train(docs: DataFrame, learn: Column) -> Model | None:
         return None
     place = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 20))
     rate = F.create_map(*[F.lit(v) for k, n in sorted(counts.items()) for v in (k, min(1 << 20, PER_LANGUAGE * (1 << 20) // n + 1))])
-    rows = known.where(place < rate[F.col("lang")]).select("lang", "text").mapInArrow(_vectors, "lang string, x binary").collect()
+    cut = F.regexp_extract("text", rf"(?s)\p{{L}}.{{0,{CUT - 1}}}", 0).alias("cut")
+    rows = known.where(place < rate[F.col("lang")]).select("lang", "text", cut).mapInArrow(_vectors, "lang string, x binary, cut string").collect()
     if not rows:
         return None
     x = np.stack([np.frombuffer(r["x"], np.float16) for r in rows]).astype(np.float32)
-    return Model(x, np.array([r["lang"] for r in rows], object))
+    model = Model(x, np.array([r["lang"] for r in rows], object))
+    model.calibrate(pa.array([r["cut"] for r in rows if r["cut"]], pa.string()))
+    return model
 
 
-def _predict(m: Model | None, column) -> tuple[np.ndarray, np.ndarray]:
+def _predict(m: Model | None, column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Language, score, and whether the text is like a learned language."""
     data, offsets = text_buffers(column)
-    lang, score = np.full(len(offsets) - 1, "und", object), np.zeros(len(offsets) - 1)
+    lang, score, known = np.full(len(offsets) - 1, "und", object), np.zeros(len(offsets) - 1), np.zeros(len(offsets) - 1, bool)
     some = has_letter(data, offsets, column)
     if m is not None:
         for lo, hi in _small(offsets):
             if some[lo:hi].any():
-                got, s = m(features(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]))
+                x = features(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+                got, s = m(x)
                 lang[lo:hi] = np.where(some[lo:hi], got, "und")
                 score[lo:hi] = np.where(some[lo:hi], s, 0.0)
-    return lang, score
+                known[lo:hi] = some[lo:hi] & (m.likeness(x) >= m.least)
+    return lang, score, known
 
 
 def identify(docs: DataFrame, *, learn: Column) -> DataFrame:
@@ -161,7 +191,7 @@ def identify(docs: DataFrame, *, learn: Column) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            lang, score = _predict(model.value, b.column(1))
+            lang, score, _ = _predict(model.value, b.column(1))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -169,7 +199,7 @@ def identify(docs: DataFrame, *, learn: Column) -> DataFrame:
 
 
 def accept(docs: DataFrame, *, learn: Column, min_score: float = 0.5) -> DataFrame:
-    """The rows whose language is known with at least ``min_score``, with all their columns."""
+    """The rows like a learned language and with at least ``min_score``, with all their columns."""
     spark = docs.sparkSession
     settings(spark)
     model = spark.sparkContext.broadcast(train(docs, learn))
@@ -177,8 +207,8 @@ def accept(docs: DataFrame, *, learn: Column, min_score: float = 0.5) -> DataFra
 
     def run(batches):
         for b in batches:
-            lang, score = _predict(model.value, b.column(at))
-            good = np.flatnonzero((lang != "und") & (score >= min_score))
+            _, score, known = _predict(model.value, b.column(at))
+            good = np.flatnonzero(known & (score >= min_score))
             yield b.take(pa.array(good))
 
     return docs.mapInArrow(run, docs.schema)

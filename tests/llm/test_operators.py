@@ -273,6 +273,31 @@ def test_language(spark, docs, nothing, sf):
     assert identify(nothing, learn=F.lit(True)).count() == 0
 
 
+UNKNOWN = [
+    "To jest zwykły tekst po polsku, który opisuje małe miasto nad rzeką i jego mieszkańców. Wszyscy chodzą tam na targ w sobotę rano.",
+    "Tämä on tavallinen suomenkielinen teksti, joka kertoo pienestä kaupungista joen rannalla ja sen asukkaista.",
+    "Это обычный текст на русском языке, который рассказывает о маленьком городе у реки.",
+    "qzx vkjw pqgh zzkv wxqj bvkp xqzt jjwk qpfz vxkq",
+]
+
+
+@pytest.mark.parametrize("langs", ["en de fr es", "en"])
+def test_language_unknown(spark, sf, langs):
+    """Languages that were never learned and random letters go, with one learned language too; short clean texts stay."""
+    import random
+
+    rng = random.Random(3)
+    learned = spark.read.parquet(f"{sf}/documents.parquet").where(F.col("lang").isin(langs.split())).select("doc_id", "text", "lang")
+    words = [w for r in learned.where("lang = 'en'").orderBy("doc_id").limit(40).collect() for w in WORD.findall(r["text"] or "") if re.fullmatch("[a-z]+", w)]
+    noise = [" ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 9))) for _ in range(n)) for n in (10, 80) * 10]
+    short = [" ".join(rng.sample(words, n)) + "." for n in (3, 5, 8) * 10]
+    more = [(-1 - i, t, None) for i, t in enumerate(UNKNOWN + noise)] + [(10**9 + i, t, None) for i, t in enumerate(short)]
+    out = accept(learned.union(spark.createDataFrame(more, learned.schema)), learn=F.lit(True))
+    assert out.where("doc_id < 0").count() == 0
+    assert out.where(f"doc_id >= {10**9}").count() == len(short)
+    assert out.where(f"doc_id between 0 and {10**9 - 1}").count() >= 0.99 * learned.where(F.col("text").rlike("[A-Za-z]")).count()
+
+
 def test_toxicity(spark, docs, nothing):
     import random
 
