@@ -61,9 +61,9 @@ class Calibrated:
     """Boosted trees with Platt scaling on held-out rows and, per kind, the lowest probability
     from which on the held-out rows reach ``precision``."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, kind: np.ndarray, kinds: int, precision: float, seed: int = 5):
+    def __init__(self, x: np.ndarray, y: np.ndarray, kind: np.ndarray, kinds: int, precision: float, seed: int = 5, **shape: int):
         held = np.random.default_rng(seed).random(len(y)) < 0.4
-        self.model = BoostedTrees(x[~held], y[~held])
+        self.model = BoostedTrees(x[~held], y[~held], **shape)
         m, t = self.model.margin(x[held]), y[held]
         a, b = 1.0, 0.0
         for _ in range(50):

@@ -2,8 +2,9 @@
 
 Base spans (email, ip, card, phone) follow fixed patterns and checks and always stay.
 Beyond them, high-recall generators propose spans that may overlap one another: written-out
-addresses, telephone numbers without a plus, long digit groups, IPv6 addresses, identity
-numbers, keys and passwords. Boosted trees see a candidate's format (lengths, digit groups,
+addresses, telephone numbers without a plus, long digit groups, IPv6 addresses (shortened too),
+identity and account numbers (IBANs of a listed country by its length), keys, and whatever stands
+behind a word such as password, token or key. Boosted trees see a candidate's format (lengths, digit groups,
 checksums, mixture of characters) and its context (words before it, neighbouring characters);
 per kind, the threshold is calibrated on held-out examples to ``PRECISION``. Chosen spans that
 overlap a base span or a better one are dropped.
@@ -19,6 +20,7 @@ row; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
 
 import numpy as np
@@ -33,7 +35,7 @@ from .common import settings
 #: The order of kinds at equal starts; the first four are the base kinds.
 KINDS = ("email", "ip", "card", "phone", "id", "secret")
 PRECISION = 0.97
-EXAMPLES = 6000
+EXAMPLES = 9000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -80,15 +82,32 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 #: Generators of candidates: kind and pattern. They are meant to find too much.
 GENERATORS = [
     (0, re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?[\[(]\x20?(?:at|AT)\x20?[\])]\x20?[A-Za-z0-9-]{1,64}(?:(?:\.|\x20?[\[(]\x20?(?:dot|DOT)\x20?[\])]\x20?)[A-Za-z0-9-]{1,64}){1,8}")),
-    (1, re.compile(r"(?<![0-9A-Fa-f:.])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Fa-f:])")),
     (2, re.compile(r"(?<![0-9-])[0-9]{4}(?:[\x20.-]?[0-9]{4}){2}[\x20.-]?[0-9]{1,7}(?![0-9-])")),
     (3, re.compile(r"(?<![0-9+.-])\(?[0-9]{2,5}\)?[\x20./-]{1,2}[0-9]{2,4}(?:[\x20.-][0-9]{2,5}){1,3}(?![0-9-])")),
     (3, re.compile(r"(?<![0-9+.A-Za-z-])[0-9]{9,12}(?![0-9A-Za-z.-])")),
     (4, re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")),
-    (4, re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?![A-Za-z0-9])")),
     (5, re.compile(r"(?<![A-Za-z0-9])[A-Z]{4}[A-Z0-9]{16}(?![A-Za-z0-9])")),
-    (5, re.compile(r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,64}|[0-9a-f]{16,20})(?![A-Za-z0-9])")),
+    (5, re.compile(r"(?<![A-Za-z0-9])[0-9A-Fa-f]{16,}+(?![A-Za-z0-9])")),
+    (5, re.compile(r"(?<![A-Za-z0-9_-])(?:gh[pousr]_|github_pat_|sk-|xox[abprs]-|AIza|eyJ)[A-Za-z0-9_.-]{15,}+(?<![.-])")),
 ]
+_IPV6 = re.compile(r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{0,4}:){2,8}[0-9A-Fa-f]{0,4}(?!:?[0-9A-Za-z])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,4})?(?![A-Za-z0-9])")
+#: Characters of an IBAN by country (fixed values).
+IBAN_LENGTHS = {
+    n: codes.split()
+    for n, codes in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM",
+        28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+}
+_IBAN_LENGTH = {code: n for n, codes in IBAN_LENGTHS.items() for code in codes}
+#: What stands behind such a word, within quotes or up to a blank, may be a secret.
+_MARKS = ("passw", "passphrase", "pwd", "secret", "token", "key", "credential", "login")
+_MARKED = re.compile(r"(?:passw(?:or)?d|passphrase|pwd|secret|token|key|credentials?|login)[\"']?\x20{0,2}(?:[:=]{1,2}>?|is\b)?\x20{0,2}(?:\"([^\"\n]{4,})\"|'([^'\n]{4,})'|([^\s\"'][^\s]{3,}+))", re.IGNORECASE | re.ASCII)
+_PREFIX = re.compile(r"gh[pousr]_|github_pat_|sk-|xox[abprs]-|AIza|eyJ")
+_HEX = frozenset("0123456789abcdefABCDEF")
+_SIGN = re.compile(r"(?:[:=]>?|\bis)\x20{0,2}[\"']?$")
 _CONTEXT = [
     re.compile(p, re.IGNORECASE)
     for p in (
@@ -105,8 +124,53 @@ _CONTEXT = [
 ]
 
 
+def _ipv6(text: str):
+    for m in _IPV6.finditer(text):
+        s = m.group()
+        if s.endswith(":") and not s.endswith("::"):  # the sentence's own colon
+            s = s[:-1]
+        try:
+            ipaddress.IPv6Address(s)
+        except ValueError:
+            continue
+        yield m.start(), m.start() + len(s)
+
+
+def _ibans(text: str):
+    """Account numbers; behind a listed country's length the text goes on with other words."""
+    for m in _IBAN.finditer(text):
+        left, end = _IBAN_LENGTH.get(m.group()[:2], 0), m.start()
+        while left and end < m.end():
+            left -= text[end] != " "
+            end += 1
+        whole = left == 0 and end > m.start() and (end == m.end() or not text[end].isalnum())
+        yield m.start(), end if whole else m.end()
+
+
+def _marked(text: str):
+    low = text.lower()
+    if any(w in low for w in _MARKS):
+        at = 0
+        while m := _MARKED.search(text, at):
+            start, end = m.span(m.lastindex)
+            if m.lastindex == 3:
+                end = start + len(text[start:end].rstrip(".,;:)]}>\"'"))
+            if end - start >= 4:
+                yield start, end
+            at = start  # a value may be a mark itself, as in "secret key: ..."
+
+
+def mod97(s: str) -> bool:
+    """The check of an IBAN."""
+    c = s.replace(" ", "")
+    return len(c) > 4 and c.isascii() and c.isalnum() and int("".join(str(int(x, 36)) for x in c[4:] + c[:4])) % 97 == 1
+
+
 def candidates(text: str) -> list[tuple[int, int, int]]:
-    return sorted({(m.start(), kind, m.end()) for kind, p in GENERATORS for m in p.finditer(text)})
+    found = {(m.start(), kind, m.end()) for kind, p in GENERATORS for m in p.finditer(text)}
+    for kind, spans in ((1, _ipv6(text)), (4, _ibans(text)), (5, _marked(text))):
+        found.update((s, kind, e) for s, e in spans)
+    return sorted(found)
 
 
 def describe(text: str, start: int, kind: int, end: int) -> list[float]:
@@ -119,11 +183,16 @@ def describe(text: str, start: int, kind: int, end: int) -> list[float]:
         *(float(kind == k) for k in range(len(KINDS))),
         len(s), len(digits), sum(c.isalpha() for c in s), sum(c.isupper() for c in s), len(groups), max(map(len, groups), default=0), min(map(len, groups), default=0),
         len(set(s)) / len(s), float(luhn(digits)) if digits else 0.0, float("(" in s), s.count("-"), s.count("."), s.count(" "), float(s.startswith("0")), float(s.startswith("(")),
+        float(kind == 4 and len(s) < 50 and mod97(s)), float(_IBAN_LENGTH.get(s[:2]) == len(s.replace(" ", ""))), s.count(":"), float(bool(_SIGN.search(before))), sum(not c.isalnum() and c != " " for c in s),
+        float(s.islower()), float(bool(digits) and any(c.isalpha() for c in s)), float(bool(_PREFIX.match(s))), float(set(s) <= _HEX),
         float(s.startswith("AKIA")), float(before[-1:] in "=:\"'"), float(after.isalnum()), float(after in "\"'"),
         *(float(bool(p.search(before))) for p in _CONTEXT), *(float(bool(p.search(near))) for p in _CONTEXT),
     ]
 
 
+_TO_LETTERS = str.maketrans("0123456789", "QRSTUVWXYZ")
+
+
 def _examples(n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features, labels and kinds of candidates in generated sentences; each has one marked span."""
     rng = np.random.default_rng(seed)
@@ -132,6 +201,8 @@ def _examples(n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarra
     low = lambda k: "".join(chr(97 + int(i)) for i in rng.integers(0, 26, k))
     up = lambda k: "".join(pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(k))
     hexa = lambda k: "".join(pick("0123456789abcdef") for _ in range(k))
+    alnum = lambda k: "".join(pick("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(k))
+    either = lambda t: t.upper() if rng.random() < 0.3 else t
 
     def card():
         d = dig(15)
@@ -140,29 +211,55 @@ def _examples(n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarra
     def grouped(d):
         return pick([" ", "-", ""]).join(d[i : i + 4] for i in range(0, len(d), 4))
 
+    def iban():
+        land = pick(["DE", "FR", "ES", "GB", "NL", "IT", "AT", "CH", "BE", "PL", "PT", "SE"])
+        n = _IBAN_LENGTH[land] - 4
+        body = {"GB": up(4).translate(_TO_LETTERS) + dig(n - 4), "NL": up(4).translate(_TO_LETTERS) + dig(n - 4), "IT": "X" + dig(n - 1), "FR": dig(n - 3) + "M" + dig(2)}.get(land) or dig(n)
+        check = 98 - int("".join(str(int(x, 36)) for x in body + land + "00")) % 97
+        c = f"{land}{check:02d}{body}"
+        return pick([c, " ".join(c[i : i + 4] for i in range(0, len(c), 4))])
+
+    def short_ipv6():
+        k = int(rng.integers(1, 6))
+        head = pick(["2001:db8", "fe80", "2a02:" + hexa(4), hexa(4)])
+        return either(f"{head}::" + ":".join(hexa(int(rng.integers(1, 5))) for _ in range(k)))
+
+    def password():
+        w, d = low(int(rng.integers(4, 9))), dig(int(rng.integers(1, 5)))
+        return pick([w + d, w.capitalize() + d + pick("!?$#@%&*"), w.capitalize() + pick("!?$#@%&*") + d, alnum(int(rng.integers(8, 33))), f"{w}-{low(5)}-{low(4)}", w + low(4), w[:3] + pick("!$#%&*") + alnum(5)])
+
     def local():
         a, b, c = dig(3), dig(3), dig(4)
         return pick([f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"0{a} {b} {c}", f"0{dig(9)}"])
 
     good = [
         lambda: (pick(["mail me at ", "contact: ", "", "write to "]), f"{low(6)}{pick(['.', '_', ''])}{low(4)}{pick([' [at] ', ' (at) ', '[at]'])}{low(6)}{pick(['.', ' [dot] ', ' (dot) '])}{pick(['com', 'org', 'net'])}"),
-        lambda: (pick(["host ", "ip address ", "server at ", ""]), ":".join(hexa(4) for _ in range(8))),
+        lambda: (pick(["host ", "ip address ", "server at ", ""]), either(":".join(hexa(4) for _ in range(8)))),
+        lambda: (pick(["host ", "ip address ", "server at ", "ipv6 ", "", "connect to "]), short_ipv6()),
         lambda: (pick(["card number ", "visa ", "pay with card ", "credit card: "]), grouped(card())),
         lambda: (pick(["call ", "tel ", "phone: ", "fax ", "mobile ", "whatsapp "]), local()),
         lambda: (pick(["ssn ", "social security number ", "tax identity "]), f"{dig(3)}-{dig(2)}-{dig(4)}"),
-        lambda: (pick(["iban ", "account ", "pay to account "]), f"{pick(['DE', 'FR', 'ES', 'GB'])}{dig(2)} {dig(4)} {dig(4)} {dig(4)} {dig(4)}"),
-        lambda: (pick(["key ", "", "", low(5) + " "]), "AKIA" + up(16)),
-        lambda: (pick(["password=", 'token = "', "secret: ", "api key ", "login token "]), hexa(int(pick([16, 18, 20, 32, 40, 64])))),
+        lambda: (pick(["iban ", "account ", "pay to account "]), iban()),
+        lambda: (pick(["iban ", "iban: ", "account ", "pay to account ", "", low(5) + " "]), iban()),
+        lambda: (pick(["key ", "", "", low(5) + " "]), "AKIA" + pick([t := up(16), t, t.translate(_TO_LETTERS)])),
+        lambda: (pick(["password=", 'token = "', "secret: ", "api key ", "login token "]), either(hexa(int(pick([16, 18, 20, 24, 28, 32, 40, 48, 64, 96]))))),
+        lambda: (pick(["password: ", "password=", "password is ", "pwd: ", "secret: ", "api_key=", "api key: ", 'token = "', "my login password is ", "credentials: ", "passwd="]), password()),
+        lambda: (pick(["", "", "key ", "token: ", "use ", low(5) + " "]), pick(["ghp_", "sk-", "xoxb-", "AIza", "eyJ"]) + alnum(int(rng.integers(20, 40)))),
     ]
     bad = [
         lambda: (pick(["see note ", "type ", ""]), f"{low(5)} (at) {low(6)}.{low(9)}"),
+        lambda: (pick(["the ", "a ", "forgot ", "this "]) + pick(["password ", "token ", "key ", "secret ", "login ", "credentials "]), pick([low(int(rng.integers(4, 10))), f"count {dig(3)}", "points", "reset", "page", "value", "itself", "manager"])),
+        lambda: (pick(["the password is ", "the key is ", "the secret is ", "key: ", "token: "]), pick(["wrong", "required", "missing", "that", "long", "safe", "expired", "invalid", "simple", "none", "needed", "stored", "below", "this", "when"])),
+        lambda: (pick(["class ", "ratio ", "see ", "use ", "verse "]), pick([f"{pick('abcdef')}::{pick('abcdef')}", "::", f"::{pick('abcdef')}{pick('abcdef')}"])),
         lambda: (pick(["checksum ", "digest "]), ":".join(hexa(4) for _ in range(8))),
         lambda: (pick(["order ", "invoice no. ", "total ", "serial ", "isbn "]), grouped(dig(16))),
         lambda: (pick(["order ", "part ", "page ", "date ", "version ", "isbn ", "", low(5) + " "]), pick([f"{dig(3)}-{dig(3)}-{dig(4)}", f"20{dig(2)}-{dig(2)}-{dig(2)}", f"{dig(2)}.{dig(2)}.20{dig(2)}", f"{dig(3)} {dig(3)} {dig(3)}", dig(10)])),
         lambda: (pick(["part ", "model ", "order ", "ref "]), f"{dig(3)}-{dig(2)}-{dig(4)}"),
         lambda: (pick(["serial ", "sku ", "model "]), f"{up(2)}{dig(2)} {up(4)} {up(4)} {up(4)}"),
-        lambda: (pick(["serial ", "model ", "", "part "]), "".join(pick("BCDEFGHXYZ") for _ in range(4)) + up(16)),
-        lambda: (pick(["commit ", "sha ", "md5 ", "checksum ", "build ", "hash "]), hexa(int(pick([16, 20, 32, 40, 64])))),
+        lambda: (pick(["serial ", "sku ", "model ", "part ", ""]), f"{pick(['DE', 'FR', 'ES', 'GB', 'XY', 'AB'])}{dig(int(rng.integers(12, 26)))}"),
+        lambda: (pick(["serial ", "model ", "", "part "]), "".join(pick("BCDEFGHXYZ") for _ in range(4)) + pick([t := up(16), t, t.translate(_TO_LETTERS)])),
+        lambda: (pick(["commit ", "sha ", "md5 ", "checksum ", "build ", "hash "]), either(hexa(int(pick([16, 20, 24, 32, 40, 64, 96]))))),
+        lambda: (pick(["order ", "total ", "seed ", "number ", ""]), dig(int(rng.integers(16, 40)))),
     ]
     x, y, kinds = [], [], []
     while len(y) < n:
@@ -181,7 +278,7 @@ def _examples(n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 def train() -> Calibrated:
     x, y, kinds = _examples(EXAMPLES)
-    return Calibrated(x, y, kinds, len(KINDS), PRECISION)
+    return Calibrated(x, y, kinds, len(KINDS), PRECISION, trees=150, depth=4)
 
 
 def all_spans(text: str, base: list[tuple[int, int, int]], model: Calibrated) -> list[tuple[int, int, int]]:
@@ -194,7 +291,13 @@ def all_spans(text: str, base: list[tuple[int, int, int]], model: Calibrated) ->
         return base
     p = model.probability(np.array([describe(text, *c) for c in free], np.float64))
     taken: list[tuple[int, int, int]] = []
-    good = sorted((-p[i], free[i]) for i in range(len(free)) if p[i] >= model.threshold[free[i][1]])
+    good, far = [], [-1] * len(KINDS)
+    for i in sorted(np.flatnonzero(p >= model.threshold[[k for _, k, _ in free]]), key=lambda i: (free[i][0], -free[i][2])):
+        _, k, e = free[i]
+        if e > far[k]:  # else it lies within another good one of its kind
+            far[k] = e
+            good.append((-p[i], free[i]))
+    good.sort()
     spots: set[int] = set()
     for _, c in good:
         own = range(c[0], c[2])

@@ -81,6 +81,27 @@ def test_pii_candidates():
     assert not chosen("a plain text with (brackets) and 3 numbers 12 2024")
 
 
+FORMS = {
+    "id": ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "GB82 WEST 1234 5698 7654 32", "FR1420041010050500013M02606", "FR14 2004 1010 0505 0001 3M02 606", "ES91 2100 0418 4502 0005 1332"],
+    "ip": ["2001:db8::1", "fe80::1ff:fe23:4567:890a", "2001:0DB8:85A3:0000:0000:8A2E:0370:7334"],
+    "secret": ["hunter2", "Tr0ub4dor&3", "B7DB7AA4A5FCC78305A1B2C3", "b7db7aa4a5fcc78305a1b2c3", "ghp_16C7e42F292c6912E7710c838347Ae178B4a"],
+}
+LEADS = {"id": "pay to iban ", "ip": "the server at ", "secret": "login password: "}
+
+
+def test_pii_forms():
+    """Common written forms are proposed whole, and chosen and redacted whole in a clear context."""
+    model = pii.train()
+    for kind, forms in FORMS.items():
+        for form in forms:
+            text = f"please note {LEADS[kind]}{form} MAKE it so"
+            at = text.index(form)
+            assert (at, pii.KINDS.index(kind), at + len(form)) in pii.candidates(text), form
+            assert pii.redact(text, pii.all_spans(text, pii.base_spans(text), model)) == text.replace(form, f"<{kind}>"), form
+    for text in ("the password reset page is a key point", "at 12:30:45 see std::vector and a::b", "total 12345678901234567890123 and commit 0641917EA4E9FEB9CDA83477B57AC265"):
+        assert pii.all_spans(text, pii.base_spans(text), model) == pii.base_spans(text), text
+
+
 def _shingles(text, k):
     w = WORD.findall((text or "").translate({65 + i: 97 + i for i in range(26)}))
     return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
