@@ -28,7 +28,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import text_buffers
 from .boosting import Calibrated
 from .common import settings
 
@@ -321,10 +320,6 @@ def _text(spans) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
-_MAYBE = np.zeros(256, bool)
-_MAYBE[[*range(48, 58), ord("@"), ord("("), ord("[")]] = True
-
-
 def find_pii(docs: DataFrame, *, with_redacted: bool = False) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans and, on request, the redacted text."""
     spark = docs.sparkSession
@@ -334,15 +329,13 @@ def find_pii(docs: DataFrame, *, with_redacted: bool = False) -> DataFrame:
     def run(batches):
         for b in batches:
             texts = b.column(1)
-            data, offsets = text_buffers(texts)
-            total = np.zeros(len(data) + 1, np.int64)
-            np.cumsum(_MAYBE[data], out=total[1:])
-            busy = total[offsets[1:]] > total[offsets[:-1]]  # other texts hold nothing that a pattern needs
             n = len(texts)
             counts, digest, spans = np.zeros((4, n), np.int64), [hashlib.sha256(b"").hexdigest()] * n, [""] * n
             clean = texts.to_pylist() if with_redacted else None
-            for i in map(int, np.flatnonzero(busy)):
+            for i in range(n):
                 text = texts[i].as_py()
+                if not text:
+                    continue
                 base = base_spans(text)
                 for _, k, _ in base:
                     counts[k, i] += 1
