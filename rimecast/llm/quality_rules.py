@@ -9,8 +9,8 @@ per host. A line is over the limit when it occurs in more than ``max_docs`` docu
 host and in more than ``max_share`` of them; it is taken out, and a document that loses more
 than ``max_removed`` of its words that way is depleted and rejected.
 
-A null text has no words and fails; a null host is a host of its own. Repeated rows count as
-documents of their own in line counts and get equal results. Other columns are not read.
+A null text has no words and fails; a null host is a host of its own. Rows of equal id and text
+are one document in line counts and host sizes, and get equal results. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -66,10 +66,10 @@ def text_counts(docs: DataFrame, *, host_col: str = "source") -> DataFrame:
 
 def frequent_lines(docs: DataFrame, *, host_col: str = "source", max_docs: int = 10, max_share: float = 0.01) -> DataFrame:
     """Keys (hash of host and line) of the lines over the limits."""
-    host = F.xxhash64(host_col)
-    slots = docs.select(host.alias("host"), F.explode(F.array_compact(F.array_distinct(line_hashes(F.col("text"))))).alias("line"))
-    often = slots.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > max_docs)
-    sizes = docs.groupBy(host.alias("host")).agg(F.count("*").alias("docs"))
+    of = docs.select(F.xxhash64(host_col).alias("host"), "doc_id", F.xxhash64("text").alias("text_key"), "text")
+    slots = of.select("host", "doc_id", "text_key", F.explode(F.array_compact(F.array_distinct(line_hashes(F.col("text"))))).alias("line"))
+    often = slots.distinct().groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > max_docs)
+    sizes = of.select("host", "doc_id", "text_key").distinct().groupBy("host").agg(F.count("*").alias("docs"))
     return often.join(sizes, "host").where(F.col("n") > F.col("docs") * max_share).select(F.xxhash64("host", "line").alias("key"))
 
 

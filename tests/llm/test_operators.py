@@ -216,6 +216,18 @@ def test_quality_rules_rows(docs, nothing, rows):
     assert apply_quality_rules(nothing).count() == 0
 
 
+def test_quality_rules_count_documents(spark):
+    """Repeated rows are one document in line counts and in a host's size."""
+    body = lambda i: "\n".join(" ".join(f"w{i}x{j}x{k}" for k in range(12)) for j in range(6))
+    common = "a line that eleven documents of the host have"
+    rows = [(0, body(0), "a")] * 11 + [(i, body(i), "a") for i in range(1, 20)] + [(100 + i, body(100 + i) + "\n" + common, "b") for i in range(11)] + [(200, body(200), "b")] * 2000
+    out = apply_quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4), **LINE_LIMITS)
+    assert out.count() == len(rows)
+    assert out.where("n_removed_words > 0").select("doc_id").distinct().count() == 11
+    assert out.where("doc_id < 100 and (depleted or not kept or n_removed_words > 0)").count() == 0
+    assert out.where("doc_id between 100 and 110 and n_removed_words = 9 and kept").count() == 11
+
+
 def test_mixing_sql(spark, plain_rows):
     df = spark.createDataFrame(plain_rows, "doc_id long, text string, lang string, source string, n_chars long")
     for mix in (MIX, MIX | {"share": (3, 1)}, MIX | {"weights": {"source": {"src1": 50}}, "share": (1, 7)}):
