@@ -7,7 +7,8 @@ rules with under 50 words, or with over half of its words in repeated windows.
 Line frequency: normalised lines are hashed and the documents that have each are counted
 per host. A line is over the limit when it occurs in more than ``max_docs`` documents of the
 host and in more than ``max_share`` of them; it is taken out, and a document that loses more
-than ``max_removed`` of its words that way is depleted and rejected.
+than ``max_removed`` of its words that way is depleted and rejected. With ``with_text`` the
+result also has each text without its lines over the limit.
 
 A null text has no words and fails; a null host is a host of its own. Rows of equal id and text
 are one document in line counts and host sizes, and get equal results. Other columns are not read.
@@ -42,10 +43,11 @@ def _covered(placed: Column) -> Column:
     return F.aggregate(at, first, lambda s, p: F.struct((s["n"] + F.least(F.lit(3), p - s["last"])).alias("n"), p.alias("last")))["n"]
 
 
-def text_counts(docs: DataFrame, *, host_col: str = "source") -> DataFrame:
-    """doc_id, text_key, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
+def text_counts(docs: DataFrame, *, host_col: str = "source", with_text: bool = False) -> DataFrame:
+    """doc_id, text_key, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and, on request, full_text."""
+    full = ["full_text"] * with_text
     text = F.coalesce(F.col("text"), F.lit(""))
-    a = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.col(host_col).cast("string").alias("host"), text.alias("text"), _words(F.col("text")).alias("words"))
+    a = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.col(host_col).cast("string").alias("host"), text.alias("text"), _words(F.col("text")).alias("words"), *[F.col("text").alias(c) for c in full])
     lines = F.filter(raw_lines(F.col("text")), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     b = a.select(
         "doc_id", "text_key", "host",
@@ -54,14 +56,16 @@ def text_counts(docs: DataFrame, *, host_col: str = "source") -> DataFrame:
         F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         lines.alias("lines"),
         _triples(F.col("words")).alias("grams"),
+        *full,
     )
     repeated = F.size(F.array_distinct("grams")) < F.size("grams")
     c = b.select(
         "doc_id", "text_key", "host", "n_words", "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.when(repeated, F.sort_array(F.transform("grams", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))).alias("placed"),
+        *full,
     )
-    return c.select("doc_id", "text_key", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", F.coalesce(_covered(F.col("placed")), F.lit(0).cast("long")).alias("n_repeat_words"))
+    return c.select("doc_id", "text_key", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", F.coalesce(_covered(F.col("placed")), F.lit(0).cast("long")).alias("n_repeat_words"), *full)
 
 
 def frequent_lines(docs: DataFrame, *, host_col: str = "source", max_docs: int = 10, max_share: float = 0.01) -> DataFrame:
@@ -74,9 +78,9 @@ def frequent_lines(docs: DataFrame, *, host_col: str = "source", max_docs: int =
 
 
 def apply_quality_rules(
-    docs: DataFrame, *, host_col: str = "source", max_docs: int = 10, max_share: float = 0.01, max_removed: float = 0.5, min_words: int = 50, max_repeat_pct: int = 50
+    docs: DataFrame, *, host_col: str = "source", max_docs: int = 10, max_share: float = 0.01, max_removed: float = 0.5, min_words: int = 50, max_repeat_pct: int = 50, with_text: bool = False
 ) -> DataFrame:
-    """One row per input row: the counts, n_removed_words, base_failed, depleted, kept."""
+    """One row per input row: the counts, n_removed_words, base_failed, depleted, kept and, on request, the text without its lines over the limits."""
     over = materialize(frequent_lines(docs, host_col=host_col, max_docs=max_docs, max_share=max_share), "frequent-lines")
     host = F.xxhash64(host_col)
     lines = F.arrays_zip(line_hashes(F.col("text")).alias("h"), F.transform(raw_lines(F.col("text")), lambda x: F.size(_words(x))).alias("n"))
@@ -84,11 +88,13 @@ def apply_quality_rules(
     slots = slots.select("doc_id", "text_key", "pos", F.xxhash64("host", "line.h").alias("key"), F.col("line.n").alias("n"))
     # repeated rows bring the same lines once more: one row of each line and position counts
     hits = join_lines(slots, over, "key", "left_semi").groupBy("doc_id", "text_key", "pos").agg(F.max("n").alias("n"))
-    lost = hits.groupBy("doc_id", "text_key").agg(F.sum("n").alias("lost"))
-    counts = text_counts(docs, host_col=host_col)
+    lost = hits.groupBy("doc_id", "text_key").agg(F.sum("n").alias("lost"), *[F.collect_set("pos").alias("gone")] * with_text)
+    counts = text_counts(docs, host_col=host_col, with_text=with_text)
     joined = counts.join(lost.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"}), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words"))
     lost_words = F.least(F.coalesce("lost", F.lit(0)), F.col("n_words"))
     depleted = lost_words > F.col("n_words") * max_removed
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return joined.select(*names, failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), lost_words.cast("long").alias("n_removed_words"), depleted.alias("depleted"))
+    stay = F.filter(raw_lines(F.col("full_text")), lambda x, i: ~F.array_contains(F.col("gone"), i))
+    clean = [F.when(F.col("gone").isNull(), F.col("full_text")).otherwise(F.array_join(stay, "\n")).alias("text")] * with_text
+    return joined.select(*names, failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), lost_words.cast("long").alias("n_removed_words"), depleted.alias("depleted"), *clean)

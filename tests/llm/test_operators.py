@@ -228,6 +228,22 @@ def test_quality_rules_count_documents(spark):
     assert out.where("doc_id between 100 and 110 and n_removed_words = 9 and kept").count() == 11
 
 
+def test_quality_rules_text(docs, rows):
+    """The text comes without the lines over the limits, which hold just the words counted as removed."""
+    limits = {"max_docs": 2, "max_share": 0.0, "max_removed": 0.5}
+    out = apply_quality_rules(docs, **limits, with_text=True)
+    plain = apply_quality_rules(docs, **limits)
+    assert bag(out, *plain.columns) == bag(plain, *plain.columns)
+    left = defaultdict(set)
+    for r in out.collect():
+        left[r["doc_id"]].add(r["text"])
+        assert len(WORD.findall(r["text"] or "")) == r["n_words"] - r["n_removed_words"]
+    assert all(len(left[i]) == 1 for i in (0, 40, 41, 47)) and left[40] == {None} and left[41] == {""}
+    for i, text, *_ in rows[:30]:
+        want = text.split("\n")[:-1] if i % 14 < 2 else text.split("\n")
+        assert left[i] == {"\n".join(want)}, i
+
+
 def test_mixing_sql(spark, plain_rows):
     df = spark.createDataFrame(plain_rows, "doc_id long, text string, lang string, source string, n_chars long")
     for mix in (MIX, MIX | {"share": (3, 1)}, MIX | {"weights": {"source": {"src1": 50}}, "share": (1, 7)}):
