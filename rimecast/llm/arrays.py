@@ -1,8 +1,9 @@
 """NumPy primitives over Arrow string columns: words, word hashes, window hashes.
 
-Everything works on the UTF-8 bytes of many texts at once. Texts are taken in
-chunks of about ``CHUNK`` bytes (a longer text is a chunk of its own), so memory
-is bounded by the longest text, not by the batch.
+Everything works on the UTF-8 bytes of many texts at once. A batch is bounded by Spark in bytes
+(spark.sql.execution.arrow.maxBytesPerBatch, or one row if that is longer); its texts are taken in
+chunks of about ``CHUNK`` bytes (a longer text is a chunk of its own), so what is computed beside the batch is
+bounded by the longest text.
 
 Nulls count as empty texts; an empty text has no words.
 """
@@ -10,6 +11,7 @@ Nulls count as empty texts; an empty text has no words.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +22,10 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-_BASE, _BASE_INV = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
-_BYTE = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
+#: A longer word is hashed by itself.
+_LONG_WORD = 64
+_LEFT, _RIGHT = U(0x9E3779B97F4A7C15), U(0xD1B54A32D192ED03)
+_TAIL = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -34,22 +38,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class _Powers:
-    """Powers of an odd base modulo 2**64, grown on demand."""
-
-    def __init__(self, base: int):
-        self.base, self.table = base, np.ones(1, dtype=np.uint64)
-
-    def __call__(self, n: int) -> np.ndarray:
-        while len(self.table) < n:
-            step = U(pow(self.base, len(self.table), 1 << 64))
-            self.table = np.concatenate([self.table, self.table * step])
-        return self.table[:n]
-
-
-_UP, _DOWN = _Powers(_BASE), _Powers(_BASE_INV)
-
-
 def text_buffers(column) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of an Arrow string column; nulls become empty texts."""
     if isinstance(column, pa.ChunkedArray):
@@ -94,30 +82,66 @@ class Words:
         #: word range of text i: first[i]..first[i+1]
         self.first = np.searchsorted(self.start, offsets)
 
-    def hashes(self) -> np.ndarray:
-        n = len(self.data)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[self.data] * _UP(n), out=total[1:])
-        h = (total[self.end] - total[self.start]) * _DOWN(n + 1)[self.start]
-        return mix(h ^ (self.end - self.start).astype(np.uint64))
+    def hashes(self, lane: int = 0) -> np.ndarray:
+        """A 64-bit hash of each word; lanes are independent of one another.
+
+        Blocks of eight bytes go through the finaliser one after the other, so that no arrangement of
+        bytes cancels out; words over ``_LONG_WORD`` bytes get a cryptographic digest.
+        """
+        size = self.end - self.start
+        h = mix(size.astype(np.uint64) * _RIGHT + U(lane + 1))
+        if not len(h):
+            return h
+        padded = np.zeros(len(self.data) + 8, np.uint8)
+        padded[: len(self.data)] = self.data
+        eight = np.ndarray(len(self.data) + 1, "<u8", padded, strides=(1,))
+        at = np.arange(len(h))
+        for j in range(0, _LONG_WORD, 8):
+            block = eight[self.start[at] + j] & _TAIL[np.minimum(size[at] - j, 8)]
+            h[at] = mix((h[at] ^ block) * _LEFT)
+            at = at[size[at] > j + 8]
+            if not len(at):
+                break
+        for i in np.flatnonzero(size > _LONG_WORD):
+            digest = blake2b(self.data[self.start[i] : self.end[i]].tobytes(), digest_size=8, salt=bytes([lane]))
+            h[i] = U(int.from_bytes(digest.digest(), "little"))
+        return h
+
+    def joined(self, keep: np.ndarray | None = None) -> tuple[bytes, np.ndarray]:
+        """The words (at positions ``keep``, else all), each followed by a space, and where each text's begin."""
+        keep = np.arange(len(self.start)) if keep is None else keep
+        size = self.end[keep] - self.start[keep] + 1
+        to = np.r_[0, np.cumsum(size)]
+        source = np.arange(to[-1]) + np.repeat(self.start[keep] - to[:-1], size)
+        out = np.append(self.data, np.uint8(0x20))[np.minimum(source, len(self.data))]
+        out[to[1:] - 1] = 0x20
+        return out.tobytes(), to[np.searchsorted(keep, self.first)]
+
+    def digests(self) -> list[bytes]:
+        """128 bits for the word sequence of each text."""
+        raw, cut = self.joined()
+        return [blake2b(raw[a:z], digest_size=16).digest() for a, z in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+
+
+def combine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """A hash of two hashes in order."""
+    return mix(x * _LEFT + (y ^ (y >> U(29))) * _RIGHT)
 
 
 def windows(words: np.ndarray, k: int, salt: int = 0) -> np.ndarray:
-    """Hash of each run of ``k`` consecutive word hashes (ends of texts are the caller's)."""
+    """Hash of each run of ``k`` consecutive word hashes (ends of texts are the caller's), from halves of doubled width."""
     n = len(words) - k + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    if salt:
-        words = mix(words + U(salt))
-    if k <= 4:
-        x = words[:n] * _UP(k + 1)[k]
-        for j in range(1, k):
-            x = x + words[j : j + n] * _UP(k + 1)[k - j]
-    else:
-        total = np.zeros(len(words) + 1, np.uint64)
-        np.cumsum(words * _UP(len(words)), out=total[1:])
-        x = (total[k:] - total[:n]) * _DOWN(n)
-    return mix(x + U(k))
+    part, width, out, done = mix(words + U(salt)) if salt else words, 1, None, 0
+    while True:
+        if k & width:
+            out = part[:n] if out is None else combine(out[:n], part[done : done + n])
+            done += width
+        if done == k:
+            return mix(out + U(k))
+        part = combine(part[: len(part) - width], part[width:])
+        width *= 2
 
 
 def inside(first: np.ndarray, k: int) -> np.ndarray:
@@ -133,17 +157,11 @@ def inside(first: np.ndarray, k: int) -> np.ndarray:
 
 def fold(values: np.ndarray, lo: int, hi: int) -> bytes:
     """128-bit digest of a slice of 64-bit values."""
-    import hashlib
-
-    return hashlib.blake2b(values[lo:hi].tobytes(), digest_size=16).digest()
+    return blake2b(values[lo:hi].tobytes(), digest_size=16).digest()
 
 
-def fold_long(values: np.ndarray, first: np.ndarray, salt: int = 0) -> np.ndarray:
-    """One order-sensitive 64-bit hash of each text's word hashes."""
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(mix(values + U(salt)) * _UP(len(values)), out=total[1:])
-    h = (total[first[1:]] - total[first[:-1]]) * _DOWN(len(values) + 1)[first[:-1]]
-    return mix(h ^ (first[1:] - first[:-1]).astype(np.uint64) * U(_BASE))
+def binaries(values: list[bytes | None]) -> pa.Array:
+    return pa.array(values, pa.binary())
 
 
 def signed(x: np.ndarray) -> pa.Array:

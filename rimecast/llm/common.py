@@ -7,22 +7,25 @@ import tempfile
 import uuid
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..shipping import ship
-
-#: Most rows in one Arrow batch handed to Python; bounds a worker's memory.
-BATCH_ROWS = 512
-#: A key filter has at most this many bits (32 MB), whatever the input.
+#: A key filter has at most this many bits (32 MB), and is used for at most ``MAX_FILTER_KEYS`` keys;
+#: beyond that callers join on the keys, so that no filter lets nearly everything through.
 MAX_FILTER_BITS = 1 << 28
+MAX_FILTER_KEYS = MAX_FILTER_BITS // 12
 _SEGMENT = 32768
 
 
-def settings(spark: SparkSession) -> None:
-    """What Python operators need: the package on the workers, and an Arrow batch size for texts of unknown length."""
-    ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """Column names like the given ones that clash with none of ``taken``, whatever the case."""
+    used, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -54,11 +57,7 @@ def clean(spark: SparkSession) -> bool:
 
 
 class KeyFilter:
-    """A bit set over well-mixed 64-bit keys with no false negatives.
-
-    Its size is fixed by ``MAX_FILTER_BITS``: on more keys it lets more through, never
-    less, and whatever passes is decided exactly afterwards.
-    """
+    """A bit set over well-mixed 64-bit keys with no false negatives; whatever passes is decided exactly afterwards."""
 
     def __init__(self, bits: np.ndarray, log2: int):
         self.bits, self.log2 = bits, log2
@@ -72,9 +71,15 @@ class KeyFilter:
         return hit
 
 
-def key_filter(keys: DataFrame, column: str, n: int) -> KeyFilter:
-    """Build a KeyFilter of ``n`` keys on the executors; the driver gets bits only."""
-    log2 = min(MAX_FILTER_BITS.bit_length() - 1, max(20, (32 * max(n, 1)).bit_length()))
+def _log2(n: int) -> int:
+    return min(MAX_FILTER_BITS.bit_length() - 1, max(20, (32 * max(n, 1)).bit_length()))
+
+
+def key_filter(keys: DataFrame, column: str, n: int) -> KeyFilter | None:
+    """Build a KeyFilter of ``n`` keys on the executors (the driver gets bits only); None if they are too many."""
+    if n > MAX_FILTER_KEYS:
+        return None
+    log2 = _log2(n)
     m, key = (1 << log2) - 1, F.col(column)
     at = F.explode(F.array(key.bitwiseAND(F.lit(m)), F.shiftrightunsigned(key, 32).bitwiseAND(F.lit(m)))).alias("at")
     segments = keys.select(at).groupBy(F.shiftright("at", 15).alias("segment")).agg(F.bitmap_construct_agg(F.col("at") % _SEGMENT).alias("part"))
@@ -85,6 +90,26 @@ def key_filter(keys: DataFrame, column: str, n: int) -> KeyFilter:
     return KeyFilter(bits, log2)
 
 
+def split_rows(rows: DataFrame, key: Column, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose 64-bit ``key`` may be among ``keys`` (one long column, written out), and the rows whose key surely isn't.
+
+    Built-in functions only. The bit set is a broadcast table of segments, 32 MB at most; with more
+    than ``MAX_FILTER_KEYS`` keys all rows may be among them.
+    """
+    n, (column,) = keys.count(), keys.columns
+    if n > MAX_FILTER_KEYS:
+        return rows, rows.limit(0)
+    m = (1 << _log2(n)) - 1
+    place = F.col(column).bitwiseAND(F.lit(m)).alias("at")
+    segment, part, at = fresh(rows.columns, "segment", "part", "at")
+    bits = keys.select(place).groupBy(F.shiftright("at", 15).alias(segment)).agg(F.bitmap_construct_agg(F.col("at") % _SEGMENT).alias(part))
+    bits = materialize(bits, "key-bits")
+    tested = rows.withColumn(at, key.bitwiseAND(F.lit(m))).withColumn(segment, F.shiftright(at, 15)).join(F.broadcast(bits), segment, "left")
+    byte = F.conv(F.hex(F.substring(F.col(part), F.shiftright(F.col(at) % _SEGMENT, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.coalesce(F.shiftright(byte, 0).bitwiseAND(F.pow(F.lit(2), F.col(at) % 8).cast("int")) != 0, F.lit(False))
+    return tested.where(bit).select(*rows.columns), tested.where(~bit).select(*rows.columns)
+
+
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Connected components of undirected edges: rows (node, root), root the smallest node.
 

@@ -33,8 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from .arrays import Words, chunks, text_buffers, windows
-from .common import settings
+
 
 PART_WORDS = 128
 LEAST_WORDS = 5
@@ -250,7 +251,7 @@ def build(items: DataFrame, threshold: float) -> Iterator[Index]:
 def find_contamination(docs: DataFrame, items: DataFrame, *, threshold: float = 0.5, overlap: float = 0.8) -> DataFrame:
     """One row per input row: doc_id, n_items, items (sorted ids), overlap (of the best), contaminated."""
     spark = docs.sparkSession
-    settings(spark)
+    ship(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
     found: DataFrame | None = None
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
@@ -288,7 +289,7 @@ def _search(shared, overlap: float):
 def drop_contaminated(docs: DataFrame, items: DataFrame, *, threshold: float = 0.5, overlap: float = 0.8) -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns: one filter pass for each shard."""
     spark = docs.sparkSession
-    settings(spark)
+    ship(spark)
     at = docs.columns.index("text")
 
     def clean(shared):

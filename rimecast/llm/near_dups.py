@@ -4,59 +4,71 @@ A document's set holds the distinct ``k``-word shingles of its text with A-Z in
 case; a text of fewer words is one shingle, an empty or null text has the empty set
 and is linked with nothing. Documents link when ``100 * |A & B| >= percent * |A | B|``.
 
-Plan. (1) One pass over the texts gives every row the hash of its set and the band hashes
+Plan. (1) One pass over the texts gives every row a 128-bit digest of its set and the band hashes
 of its sketch. Rows with equal sets form a class, so copies never meet again. (2) Classes
 that share a band belong to one candidate family, found as components of bucket-to-leader
-edges. (3) A second pass recomputes the sets of family members only. A family is cut into
-blocks of bounded size and each pair of blocks is one task group: no family, however large,
-is gathered in one place, and none is cut short. Intersections are counted exactly. (4) The
-verified links' components give every row its ``component_id``, the smallest id reachable.
-
-Sets are compared as sets of 64-bit shingle hashes. A pair at the threshold 0.85 is missed
-by all 40 bands of 6 coordinates with a chance below 1e-8.
-
-Repeated rows, and rows that repeat an id, are members of the class of their set. A row
-with a null id is reported with the component of its class but names none itself; a class
-of such rows only has a null ``component_id``. Other columns are not read.
+edges. (3) A second pass recomputes the sets of one row of each class in a family. (4) A family of at
+most ``BLOCK_DOCS`` classes is compared in one place. In a larger one, leaders come first: each member
+is compared with the most central member of its buckets, for ``LEADER_ROUNDS`` rounds, and what is
+connected by then is dropped where all members of a bucket are. Only buckets that
+still hold several components go on: their members are cut into blocks of bounded size, and pairs of blocks
+that hold different components are compared. So a family of copies close to one member costs traffic
+in proportion to its size, none is gathered in one place, and none is cut short. Intersections are
+counted exactly. (5) The verified links' components give every row its ``component_id``, the smallest
+id reachable.
+
+Classes are told apart by cryptographic digests (of the words themselves where a set has one
+shingle, which can link with no other set); intersections are counted over 64-bit shingle hashes. A pair at
+the threshold 0.85 is missed by all 40 bands of 6 coordinates with a chance below 1e-8.
+
+Ids may be of any type that has an order. Repeated rows, and rows that repeat an id, are members of the
+class of their set. A row with a null id is reported with the component of its class and links others, but
+names no component; a component of such rows only has a null ``component_id``. Other columns are not read.
 """
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import U, Words, chunks, fold_long, inside, mix, signed, text_buffers, windows
-from .common import components, key_filter, materialize, settings
+from ..shipping import ship
+from .arrays import U, Words, binaries, chunks, fold, inside, mix, signed, text_buffers, windows
+from .common import components, fresh, key_filter, materialize, split_rows
 
 BANDS, ROWS = 40, 6
 #: Most documents and shingles in a block of a family.
 BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1_000_000
+LEADER_ROUNDS = 2
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingle hashes of each text, and where each text's begin."""
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, list[bytes | None]]:
+    """Sorted distinct shingle hashes of each text, where each text's begin, and the digest of each set (None: empty)."""
     w = Words(data, offsets, lower=True)
     h = w.hashes()
-    keep = inside(w.first, k)
-    at = np.flatnonzero(keep)
+    at = np.flatnonzero(inside(w.first, k))
     grams = windows(h, k)[at]
     cut = np.searchsorted(at, w.first)
     counts = np.diff(w.first)
-    short = fold_long(h, w.first, k)
-    parts, sizes = [], np.zeros(w.n_texts, np.int64)
+    parts, sizes, digests = [], np.zeros(w.n_texts, np.int64), []
     for i in range(w.n_texts):
-        if counts[i] >= k:
-            parts.append(np.unique(grams[cut[i] : cut[i + 1]]))
-        elif counts[i]:
-            parts.append(short[i : i + 1])
-        else:
+        lo, n = w.first[i], int(counts[i])
+        if n == 0:
+            digests.append(None)
             continue
+        parts.append(np.unique(grams[cut[i] : cut[i + 1]]) if n >= k else windows(h[lo : lo + n], n))
         sizes[i] = len(parts[-1])
+        if sizes[i] > 1:
+            digests.append(fold(parts[-1], 0, len(parts[-1])))
+        else:
+            one = b" ".join(w.data[w.start[j] : w.end[j]].tobytes() for j in range(lo, lo + min(n, k)))
+            digests.append(blake2b(one, digest_size=16, person=b"one shingle").digest())
     first = np.zeros(w.n_texts + 1, np.int64)
     np.cumsum(sizes, out=first[1:])
-    return (np.concatenate(parts) if parts else np.empty(0, np.uint64)), first
+    return (np.concatenate(parts) if parts else np.empty(0, np.uint64)), first, digests
 
 
 def sketches(flat: np.ndarray, first: np.ndarray, t: int) -> np.ndarray:
@@ -99,44 +111,39 @@ def bands(table: np.ndarray, n_bands: int, rows: int) -> np.ndarray:
     return h
 
 
-def _set_keys(flat: np.ndarray, first: np.ndarray) -> np.ndarray:
-    return fold_long(flat, first, 7)
-
-
 def _signatures(k: int, n_bands: int, rows: int):
     def run(batches):
         for b in batches:
             data, offsets = text_buffers(b.column(1))
             for lo, hi in chunks(offsets, 1 << 20):
-                flat, first = shingle_sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], k)
+                flat, first, digests = shingle_sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], k)
                 n = np.diff(first)
                 some = n > 0
-                key = pa.array(_set_keys(flat, first).view(np.int64), mask=~some)
                 hashes = bands(sketches(flat, first, n_bands * rows), n_bands, rows) if some.any() else np.empty((0, n_bands), np.uint64)
                 at = np.zeros(hi - lo + 1, np.int32)
                 np.cumsum(some * n_bands, out=at[1:])
                 lists = pa.ListArray.from_arrays(pa.array(at), signed(hashes.ravel()))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), b.column(2).slice(lo, hi - lo), pa.array(n), key, lists], ["doc_id", "text_key", "n_shingles", "node", "bands"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), b.column(2).slice(lo, hi - lo), pa.array(n), binaries(digests), lists], ["doc_id", "text_key", "n_shingles", "digest", "bands"])
 
     return run
 
 
 def _members(k: int, wanted):
-    """Sets of the documents whose hashed id passes the filter."""
+    """Sets of the rows whose key passes the filter (all, if there is none)."""
 
     def run(batches):
         keep = wanted.value
         for b in batches:
-            hit = np.flatnonzero(keep(b.column(1).to_numpy(zero_copy_only=False).view(np.uint64)))
-            if not len(hit):
-                continue
-            b = b.take(pa.array(hit))
-            data, offsets = text_buffers(b.column(2))
+            if keep is not None:
+                hit = np.flatnonzero(keep(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)))
+                if not len(hit):
+                    continue
+                b = b.take(pa.array(hit))
+            data, offsets = text_buffers(b.column(1))
             for lo, hi in chunks(offsets, 1 << 20):
-                flat, first = shingle_sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], k)
-                key = pa.array(_set_keys(flat, first).view(np.int64), mask=np.diff(first) == 0)
+                flat, first, digests = shingle_sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], k)
                 sets = pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer((first * 8).astype(np.int32)), pa.py_buffer(flat.tobytes())])
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), key, sets], ["doc_id", "node", "shingles"])
+                yield pa.RecordBatch.from_arrays([binaries(digests), sets], ["digest", "shingles"])
 
     return run
 
@@ -218,44 +225,145 @@ def _verified(percent: int):
     return run
 
 
+def _followers(percent: int):
+    """Links of followers to their leader; a group holds one leader and a bounded share of its followers."""
+
+    def run(table: pa.Table) -> pa.Table:
+        leads, node = table["leads"].to_numpy(zero_copy_only=False), table["node"].to_numpy()
+        shingles = table["shingles"].to_pylist()
+        top = int(np.flatnonzero(leads)[0])
+        one, found = np.frombuffer(shingles[top], np.uint64), []
+        for r in np.flatnonzero(~leads):
+            other = np.frombuffer(shingles[r], np.uint64)
+            at = np.minimum(np.searchsorted(one, other), len(one) - 1)
+            both = int((one[at] == other).sum())
+            if 100 * both >= percent * (len(one) + len(other) - both):
+                found.append(node[r])
+        return pa.table({"a": pa.array(found, pa.int64()), "b": pa.array([node[top]] * len(found), pa.int64())})
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80, n_bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per input row: doc_id, text_key (hash of the text), n_shingles, component_id, kept (doc_id = component_id)."""
     spark = docs.sparkSession
-    settings(spark)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    ship(spark)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    texts = docs.select("doc_id", "text")
     keyed = texts.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-    signed_rows = materialize(keyed.mapInArrow(_signatures(k, n_bands, rows), "doc_id long, text_key long, n_shingles long, node long, bands array<long>"), "signatures")
-    classes = materialize(
-        signed_rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes"
+    signed_rows = materialize(keyed.mapInArrow(_signatures(k, n_bands, rows), f"doc_id {kind}, text_key long, n_shingles long, digest binary, bands array<long>"), "signatures")
+    classes = signed_rows.where("digest is not null").groupBy("digest").agg(
+        F.min("doc_id").alias("rep"), F.min(F.xxhash64("doc_id", "text_key")).alias("pick"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
     )
-    slots = classes.select("node", F.explode("bands").alias("bucket"))
+    classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    # a set of one shingle is like no other set
+    slots = classes.where("n > 1").select("node", F.explode("bands").alias("bucket"))
     leaders = materialize(slots.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("c")).where("c > 1").drop("c"), "leaders")
     candidates = slots.join(leaders, "bucket").where("node <> leader").select("node", "leader").distinct()
-    comps = components(candidates, "node", "leader")
-    family = comps.select("node", F.col("root").alias("family")).unionByName(comps.select(F.col("root").alias("node"), F.col("root").alias("family"))).distinct()
-    member = materialize(family.join(classes.select("node", "rep", "n"), "node").where("rep is not null"), "members")
-    n_members, n_all = member.agg(F.count("*"), F.sum("n")).first()
-    links = _links(spark, texts, member, n_members, n_all or 0, k, percent)
-    comps = components(links, "a", "b")
-    linked = comps.select("node", "root").unionByName(comps.select(F.col("root").alias("node"), "root")).distinct()
+    family = _with_roots(components(candidates, "node", "leader"), "family")
+    member = materialize(family.join(classes.select("node", "digest", "pick", "n"), "node"), "members")
+    links = _links(texts, member, slots, k, percent)
+    linked = _with_roots(components(links, "a", "b"), "root")
     named = linked.join(classes.select("node", "rep"), "node")
     lowest = materialize(named.groupBy("root").agg(F.min("rep").alias("lowest")), "lowest")
     named = named.join(lowest, "root").select("node", "lowest")
-    named = materialize(classes.select("node", "rep").join(named, "node", "left").select("node", F.coalesce("lowest", "rep").alias("component_id")), "components")
-    out = signed_rows.select("doc_id", "text_key", "n_shingles", "node").join(named, "node", "left")
-    out = out.select("doc_id", "text_key", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    named = materialize(classes.select("node", "digest", "rep").join(named, "node", "left").select("digest", F.coalesce("lowest", "rep").alias("component_id")), "components")
+    out = signed_rows.select("doc_id", "text_key", "n_shingles", "digest").join(named, "digest", "left")
+    out = out.select("doc_id", "text_key", "n_shingles", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _links(spark, texts: DataFrame, member: DataFrame, n_members: int, n_all: int, k: int, percent: int) -> DataFrame:
+def _with_roots(found: DataFrame, name: str) -> DataFrame:
+    """(node, root) with a row for the roots too."""
+    return found.select("node", F.col("root").alias(name)).unionByName(found.select(F.col("root").alias("node"), F.col("root").alias(name)).distinct())
+
+
+def _links(texts: DataFrame, member: DataFrame, slots: DataFrame, k: int, percent: int) -> DataFrame:
     """Verified links (a, b), enough of them to connect all that are linked."""
-    wanted = spark.sparkContext.broadcast(key_filter(member.select(F.xxhash64("rep").alias("h")), "h", n_members))
-    sets = texts.where("doc_id is not null").select("doc_id", F.xxhash64("doc_id").alias("h"), "text").mapInArrow(_members(k, wanted), "doc_id long, node long, shingles binary")
-    cost = member.groupBy("family").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
-    cost = materialize(cost.select("family", F.ceil(F.greatest(F.col("m") / BLOCK_DOCS, F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks")), "families")
-    rows = member.join(cost, "family").join(sets, "node").where(F.col("rep") == F.col("doc_id")).select("family", "node", "shingles", "blocks")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    spark = texts.sparkSession
+    n_members, n_all = member.agg(F.count("*"), F.sum("n")).first()
+    picked = texts.select(F.xxhash64("doc_id", F.xxhash64("text")).alias("h"), "text")
+    chosen = key_filter(member, "pick", n_members)
+    if chosen is None:
+        picked = picked.join(member.select(F.col("pick").alias("h")), "h", "left_semi")
+    sets = picked.mapInArrow(_members(k, spark.sparkContext.broadcast(chosen)), "digest binary, shingles binary")
+    sets = sets.groupBy("digest").agg(F.first("shingles").alias("shingles"))  # repeated rows bring a set more than once
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    cost = materialize(member.groupBy("family").agg(blocks.alias("blocks")), "families")
+    known = materialize(member.join(cost, "family").join(sets, "digest").select("family", "blocks", "node", "n", "shingles"), "sets")
+    whole = known.where("blocks = 1").select("family", "node", "n", "shingles", F.lit(None).cast("long").alias("part"), F.lit(0).alias("chunk"))
+    if cost.where("blocks > 1").isEmpty():
+        return _compared(whole, n_all or 0, percent)
+    large = known.where("blocks > 1").select("node", "n", "shingles")
+    slots = materialize(slots.join(large.select("node"), "node"), "large-slots")
+    label, links = large.select("node", F.col("node").alias("label")), None
+    tried = None
+    for _ in range(LEADER_ROUNDS):
+        labelled, open_ = _open(slots, label)
+        leader = _leaders(labelled, open_)
+        if tried is not None:
+            leader = leader.join(tried, ["node", "leader"], "left_anti")
+        leader = materialize(leader, "led")
+        tried = leader if tried is None else tried.unionByName(leader)
+        found = materialize(_led(leader, large, percent), "leader-links")
+        links = found if links is None else links.unionByName(found)
+        label = components(links, "a", "b").select("node", F.col("root").alias("label"))
+        label = materialize(large.select("node").join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label")), "labels")
+    labelled, open_ = _open(slots, label)
+    rest = labelled.join(open_, "bucket")
+    low = materialize(rest.groupBy("bucket").agg(F.min("node").alias("leader")), "open-leaders")
+    family = _with_roots(components(rest.select("node", "bucket").join(low, "bucket").select("node", "leader"), "node", "leader"), "family")
+    left = materialize(family.join(label, "node").join(large.select("node", "n"), "node"), "left")
+    return _compared(whole.unionByName(_cut(left).join(large.select("node", "shingles"), "node").select(*whole.columns)), n_all or 0, percent).unionByName(links)
+
+
+def _open(slots: DataFrame, label: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Slots with their labels, and the buckets that hold several labels, with their sizes."""
+    labelled = materialize(slots.join(label, "node"), "labelled")
+    mixed = labelled.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"))
+    return labelled, materialize(mixed.where("lo <> hi").select("bucket", "size"), "open")
+
+
+def _leaders(labelled: DataFrame, open_: DataFrame) -> DataFrame:
+    """(node, leader): of the most central members of its open buckets, those of another component, the most central."""
+    rows = labelled.join(open_, "bucket")
+    central = materialize(rows.groupBy("node").agg(F.sum("size").alias("c")), "central")
+    rows = labelled.join(open_.select("bucket"), "bucket").join(central, "node")
+    top = materialize(rows.groupBy("bucket").agg(F.max(F.struct("c", "node", "label")).alias("top")), "bucket-leaders")
+    rows = labelled.join(top, "bucket").where(F.col("label") != F.col("top.label"))
+    return rows.groupBy("node").agg(F.max(F.struct("top.c", "top.node"))["node"].alias("leader"))
+
+
+def _led(leader: DataFrame, large: DataFrame, percent: int) -> DataFrame:
+    """Links between members and their leaders; a leader's followers are dealt out in chunks, each with a copy of the leader."""
+    sized = leader.join(large.select("node", "n"), "node")
+    chunks_ = F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    parts = materialize(sized.groupBy("leader").agg(chunks_.alias("chunks")), "led-chunks")
+    follow = leader.join(parts, "leader").join(large, "node")
+    follow = follow.select("leader", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk"), "node", F.lit(False).alias("leads"), "shingles")
+    lead = parts.select(F.col("leader").alias("node"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")).join(large, "node")
+    lead = lead.select(F.col("node").alias("leader"), "chunk", "node", F.lit(True).alias("leads"), "shingles")
+    return follow.unionByName(lead).groupBy("leader", "chunk").applyInArrow(_followers(percent), "a long, b long")
+
+
+def _cut(left: DataFrame) -> DataFrame:
+    """Blocks of the members that are left: chunks of their own (``part``) for large components, mixed ones for the others."""
+    size = materialize(left.groupBy("family", "label").agg(F.count("*").alias("m"), F.sum("n").alias("total")), "left-components")
+    own = (F.col("m") >= BLOCK_DOCS // 2) | (F.col("total") >= BLOCK_SHINGLES // 2)
+    part, load = F.when(own, F.col("label")).alias("part"), F.greatest(F.sum("m") / BLOCK_DOCS, F.sum("total") / BLOCK_SHINGLES)
+    chunked = materialize(size.groupBy("family", part).agg(F.ceil(load).cast("int").alias("chunks")), "left-blocks")
+    rows = left.join(size.select("family", "label", part), ["family", "label"]).withColumnRenamed("family", "f").withColumnRenamed("part", "p")
+    rows = rows.join(chunked, (F.col("f") == F.col("family")) & F.col("p").eqNullSafe(F.col("part")))
+    return rows.select("family", "node", "n", "part", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk"))
+
+
+def _compared(rows: DataFrame, n_all: int, percent: int) -> DataFrame:
+    """Links of all pairs in rows (family, node, n, shingles, part, chunk) but those of one ``part``."""
+    grid = materialize(rows.select("family", "part", "chunk").distinct().groupBy("family").agg(F.sort_array(F.collect_list(F.struct("part", "chunk"))).alias("grid")), "grids")
+    rows = rows.join(grid, "family")
+    other = F.filter(F.transform("grid", lambda x, i: F.when(~F.coalesce(x["part"] == F.col("part"), F.lit(False)), i)), lambda i: i.isNotNull())
+    block = (F.array_position("grid", F.struct("part", "chunk")) - 1).cast("int")
+    rows = rows.select("family", "node", "shingles", block.alias("block"), F.size("grid").alias("blocks"), F.explode(other).alias("other"))
     rows = rows.select("family", "node", "shingles", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "blocks")
     packs = max(1, n_all // 400_000)
     pack = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("family"), F.lit(packs))).otherwise(F.xxhash64("family", "i", "j"))
@@ -264,8 +372,17 @@ def _links(spark, texts: DataFrame, member: DataFrame, n_members: int, n_all: in
 
 
 def deduplicate(docs: DataFrame, *, k: int = 5, percent: int = 80, n_bands: int = 48, rows: int = 5) -> DataFrame:
-    """The rows of ``docs`` that stay, one of each group, with all their columns; a repeated row stays once."""
-    found = near_duplicates(docs, k=k, percent=percent, n_bands=n_bands, rows=rows).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    keyed = docs.withColumn("_text_key", F.xxhash64("text"))
-    stay = keyed.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left_semi")
-    return stay.dropDuplicates(["doc_id", "_text_key"]).select(*docs.columns)
+    """The rows of ``docs`` that stay, one of each group, with all their columns; a repeated row stays once.
+
+    Only rows that may go, or may be repeated, are exchanged.
+    """
+    own = F.xxhash64("doc_id", F.xxhash64("text"))
+    found = near_duplicates(docs, k=k, percent=percent, n_bands=n_bands, rows=rows)
+    found = materialize(found.select("doc_id", "text_key", "kept", F.xxhash64("doc_id", "text_key").alias("key")), "decisions")
+    doubtful = found.groupBy("key").agg(F.count("*").alias("n"), F.min("kept").alias("kept")).where("n > 1 or not kept").select("key")
+    maybe, sure = split_rows(docs, own, materialize(doubtful, "doubtful"))
+    text_key, id_, key_ = fresh(docs.columns, "text_key", "stay_id", "stay_key")
+    stay = found.where("kept").select(F.col("doc_id").alias(id_), F.col("text_key").alias(key_)).distinct()
+    maybe = maybe.withColumn(text_key, F.xxhash64("text"))
+    maybe = maybe.join(stay, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(text_key) == F.col(key_)), "left_semi")
+    return sure.unionByName(maybe.dropDuplicates(["doc_id", text_key]).select(*docs.columns))

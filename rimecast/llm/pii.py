@@ -28,8 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from .boosting import Calibrated
-from .common import settings
+
 
 #: The order of kinds at equal starts; the first four are the base kinds.
 KINDS = ("email", "ip", "card", "phone", "id", "secret")
@@ -323,7 +324,7 @@ def _text(spans) -> str:
 def find_pii(docs: DataFrame, *, with_redacted: bool = False) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans and, on request, the redacted text."""
     spark = docs.sparkSession
-    settings(spark)
+    ship(spark)
     model = spark.sparkContext.broadcast(train())
 
     def run(batches):

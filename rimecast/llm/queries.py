@@ -108,7 +108,8 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import remove_repeats
 
-    return remove_repeats(table(spark, sf_dir, "documents"), k=20)
+    out = remove_repeats(table(spark, sf_dir, "documents"), k=20)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
 @query(oracles.contamination(5, 5, 0.8))

@@ -5,40 +5,47 @@ word sequence also starts earlier (in a row with a smaller id, or earlier in the
 
 Plan. (1) Anchors: each window has a minimizer, the smallest of its hashed ``ANCHOR``-word
 runs; equal windows have equal minimizers. An anchor matters when texts with different word
-sequences have it, or one text has it twice: whole copies alone don't count, they are settled
-by the hash of their words. (2) A bit set of these anchors, of bounded size, lets a second pass
+sequences have it, or one text has it twice. (2) A bit set of these anchors lets a second pass
 emit only windows that may repeat. These are the edges of the graph: each k-mer with its
-occurrences' count, its earliest source coordinate, and whether all occurrences go on to one
-next edge and come from one previous edge. (3) Compaction: edges that follow each other at their
-source coordinates, with no branch between them, form one path; a path is named by its first
-edge. (4) A join of the heads with their occurrences (a bit set
-of heads lets a third pass emit little else) gives whole spans (text, start, words);
-source coordinates tell the spans that start earlier elsewhere. (5) Only texts that a second bit
-set (of ids with spans) lets pass are joined with their spans; all others are emitted directly.
-
-Both bit sets err only towards too many, and whatever passes is decided exactly, so they bound
-memory without changing results. k-mers are compared by two independent 64-bit hashes.
-
-A row's own start matters for ties: rows that repeat an id are one after the other in the order
-of their word-sequence hashes; exactly repeated rows (same id and words) are one document and get
-equal results. Rows with a null id come after all others. Null texts have no words. Other columns
-are not read.
+occurrences' count, its earliest source coordinate, and the edge that follows and the one that precedes all
+occurrences, where there is only one. (3) Compaction by joins: an edge begins a path when nothing, or
+several edges, precede it, or when the one edge before it branches; that is a join of edges with the
+branching ones. Ends of paths are found likewise. Within a path all occurrences go on together, so its edges follow one
+another at their earliest coordinates, and the path that begins at a coordinate ends at the next end there. (4) A
+join of the heads with their occurrences (a bit set of heads lets a third pass emit little else) gives whole
+spans (text, start, words); source coordinates tell the spans that start earlier elsewhere. (5) Rows that may
+have spans are joined with them; all others are emitted directly.
+
+Texts with equal words follow each other's every edge, so the graph needs none of them but for what other texts share
+with them: each copy but the first is one span from its first edge to its last, told by a 128-bit digest of
+the words themselves.
+
+Bit sets err only towards too many, and whatever passes is decided exactly; with more keys than a set can
+tell apart, joins take their place. k-mers are compared by two independent 64-bit hashes, which no arrangement of
+words makes equal.
+
+Ids must be whole numbers (TypeError otherwise). A row's own start matters for ties: rows that repeat an id are one
+after the other in the order of their word sequences' hashes; exactly repeated rows (same id and words) are one document and get
+equal results. Rows with a null id come after all others. Null texts have no words. Other columns are not read.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .arrays import Words, chunks, fold_long, inside, mix, signed, text_buffers, windows
-from .common import key_filter, materialize, settings
+from ..shipping import ship
+from .arrays import U, Words, binaries, chunks, fold, inside, signed, text_buffers, windows
+from .common import key_filter, materialize, split_rows
 
 ANCHOR = 6
 _LAST = 0x7FFFFFFFFFFFFFFF
+#: Bits of a word sequence's hash within a coordinate, and of a position.
+_SEQ_BITS, _POS_BITS = 30, 32
+_EDGE = "h long, c long, at decimal(38,0), next long, prev long"
 
 
 def minimizers(grams: np.ndarray, span: int) -> np.ndarray:
@@ -56,62 +63,99 @@ def minimizers(grams: np.ndarray, span: int) -> np.ndarray:
     return at
 
 
-def _parse(batch_texts, k: int, anchor: int):
-    """Per chunk: the first row, words, word hashes, hash of each text's sequence, valid windows and their anchors."""
-    data, offsets = text_buffers(batch_texts)
+def coordinates(doc: np.ndarray, sequence: np.ndarray, pos: np.ndarray) -> pa.Array:
+    """Doc, sequence and position as one decimal that sorts by them in turn."""
+    out = np.empty((len(doc), 2), np.uint64)
+    low = _SEQ_BITS + _POS_BITS
+    doc = np.ascontiguousarray(doc, np.int64)
+    out[:, 0] = (doc.view(np.uint64) << U(low)) | ((sequence >> U(64 - _SEQ_BITS)) << U(_POS_BITS)) | pos.astype(np.uint64)
+    out[:, 1] = (doc >> (64 - low)).view(np.uint64)
+    return pa.Array.from_buffers(pa.decimal128(38, 0), len(doc), [None, pa.py_buffer(out.tobytes())])
+
+
+def _places(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Doc, sequence bits and position of coordinates."""
+    raw = np.frombuffer(column.buffers()[1], np.uint64)[2 * column.offset : 2 * (column.offset + len(column))].reshape(-1, 2)
+    low = _SEQ_BITS + _POS_BITS
+    doc = (raw[:, 1] << U(64 - low)) | (raw[:, 0] >> U(low))
+    return doc.view(np.int64), ((raw[:, 0] >> U(_POS_BITS)) & U((1 << _SEQ_BITS) - 1)).astype(np.int32), (raw[:, 0] & U((1 << _POS_BITS) - 1)).astype(np.int64)
+
+
+def _sequences(w: Words, h: np.ndarray) -> np.ndarray:
+    """A hash of each text's word sequence."""
+    cut = w.first.tolist()
+    return np.array([int.from_bytes(fold(h, a, z)[:8], "little") for a, z in zip(cut[:-1], cut[1:], strict=True)], np.uint64)
+
+
+def _parse(texts, k: int, anchor: int):
+    """Per chunk: the first row, words, word hashes, valid windows, their anchors' positions, and hashes of anchors."""
+    data, offsets = text_buffers(texts)
     for lo, hi in chunks(offsets):
         w = Words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
         h = w.hashes()
-        sequence = fold_long(h, w.first, 3)
         if len(h) < k:
-            yield lo, hi, w, h, sequence, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
             continue
         grams = windows(h, anchor, 1)
         at = minimizers(grams, k - anchor + 1)
         good = np.flatnonzero(inside(w.first, k))
-        yield lo, hi, w, h, sequence, good, at[good], grams
+        if len(good):
+            yield lo, w, h, good, at[good], grams
+
 
+def _own_anchors(k: int, anchor: int, with_doc: bool):
+    """Each text's distinct anchors with the hash of its sequence; one that it has twice comes with a second hash too."""
 
-def _anchors(k: int, anchor: int):
     def run(batches):
         for b in batches:
-            for _, _, w, _, sequence, good, at, grams in _parse(b.column(0), k, anchor):
-                if not len(good):
-                    continue
+            doc = b.column(0).to_numpy(zero_copy_only=False)
+            for lo, w, h, _, at, grams in _parse(b.column(1), k, anchor):
                 at = np.unique(at)
                 owner = np.searchsorted(w.first, at, side="right") - 1
-                value = grams[at]
+                value, sequence = grams[at], _sequences(w, h)
                 order = np.lexsort((value, owner))
                 value, owner = value[order], owner[order]
                 first = np.r_[True, (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])]
-                again = np.add.reduceat(np.ones(len(value), np.int64), np.flatnonzero(first)) > 1
-                yield pa.RecordBatch.from_arrays([signed(value[first]), signed(sequence[owner[first]]), pa.array(again)], ["anchor", "sequence", "again"])
+                if with_doc:
+                    value, owner = value[first], owner[first]
+                    yield pa.RecordBatch.from_arrays([signed(value), pa.array(doc[lo + owner]), _bits(sequence[owner])], ["anchor", "doc", "seq"])
+                    continue
+                twice = np.add.reduceat(np.ones(len(value), np.int64), np.flatnonzero(first)) > 1
+                value, s = value[first], sequence[owner[first]]
+                yield pa.RecordBatch.from_arrays([signed(np.r_[value, value[twice]]), signed(np.r_[s, ~s[twice]])], ["anchor", "sequence"])
 
     return run
 
 
+def _bits(sequence: np.ndarray) -> pa.Array:
+    return pa.array((sequence >> U(64 - _SEQ_BITS)).astype(np.int32))
+
+
+def _wanted(batch, lo: int, w: Words, good: np.ndarray, at: np.ndarray, grams: np.ndarray, keep) -> np.ndarray:
+    """Mask over the windows: their anchors pass the filter or, without one, are in the row's own list."""
+    if keep is not None:
+        return keep(grams[at])
+    hit, owner = np.zeros(len(good), bool), np.searchsorted(w.first, good, side="right") - 1
+    for i in np.unique(owner):
+        mine = owner == i
+        hit[mine] = np.isin(grams[at[mine]].view(np.int64), batch.column(2)[int(lo + i)].values.to_numpy())
+    return hit
+
+
 def _edges(k: int, anchor: int, wanted):
     def run(batches):
-        keep = wanted.value
         for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
-            for lo, _, w, h, sequence, good, at, grams in _parse(b.column(1), k, anchor):
-                if not len(good):
-                    continue
-                hit = keep(grams[at])
-                if not hit.any():
+            doc = b.column(0).to_numpy(zero_copy_only=False)
+            for lo, w, h, good, at, grams in _parse(b.column(1), k, anchor):
+                start = good[_wanted(b, lo, w, good, at, grams, wanted.value)]
+                if not len(start):
                     continue
-                start = good[hit]
-                one, two = windows(h, k)[start], windows(h, k, 2)[start]
+                one, two = windows(h, k)[start], windows(w.hashes(1), k)[start]
                 owner = np.searchsorted(w.first, start, side="right") - 1
-                joined = np.zeros(len(start), bool)  # the next row is the next window of the same text
-                joined[:-1] = (start[1:] == start[:-1] + 1) & (owner[1:] == owner[:-1])
-                mixed = mix(one ^ mix(two))
+                joined = (start[1:] == start[:-1] + 1) & (owner[1:] == owner[:-1])  # the next row is the next window of the same text
                 after, before = np.zeros(len(start), np.uint64), np.zeros(len(start), np.uint64)
-                after[:-1] = np.where(joined[:-1], mixed[1:] | np.uint64(1), 0)
-                before[1:] = np.where(joined[:-1], mixed[:-1] | np.uint64(1), 0)
-                columns = [signed(one), signed(two), pa.array(ids[lo + owner]), signed(sequence[owner]), pa.array((start - w.first[owner]).astype(np.int32)), signed(after), signed(before)]
-                yield pa.RecordBatch.from_arrays(columns, ["h", "c", "doc", "sequence", "pos", "next", "prev"])
+                after[:-1], before[1:] = np.where(joined, one[1:], 0), np.where(joined, one[:-1], 0)
+                place = coordinates(doc[lo + owner], _sequences(w, h)[owner], start - w.first[owner])
+                yield pa.RecordBatch.from_arrays([signed(one), signed(two), place, signed(after), signed(before)], ["h", "c", "at", "next", "prev"])
 
     return run
 
@@ -120,140 +164,141 @@ def _occurrences(k: int, anchor: int, wanted, heads):
     """Windows that may be path heads, with their coordinates."""
 
     def run(batches):
-        keep, head = wanted.value, heads.value
+        head = heads.value
         for b in batches:
-            ids = b.column(0).to_numpy(zero_copy_only=False)
-            for lo, _, w, h, sequence, good, at, grams in _parse(b.column(1), k, anchor):
-                start = good[keep(grams[at])] if len(good) else good
-                if not len(start):
-                    continue
+            doc = b.column(0).to_numpy(zero_copy_only=False)
+            for lo, w, h, good, at, grams in _parse(b.column(1), k, anchor):
+                start = good[_wanted(b, lo, w, good, at, grams, wanted.value)]
                 one = windows(h, k)
-                start = start[head(one[start])]
+                start = start if head is None else start[head(one[start])]
                 if len(start):
                     owner = np.searchsorted(w.first, start, side="right") - 1
-                    columns = [signed(one[start]), signed(windows(h, k, 2)[start]), pa.array(ids[lo + owner]), signed(sequence[owner]), pa.array((start - w.first[owner]).astype(np.int32))]
-                    yield pa.RecordBatch.from_arrays(columns, ["h", "c", "doc", "sequence", "pos"])
+                    columns = [signed(one[start]), signed(windows(w.hashes(1), k)[start]), pa.array(doc[lo + owner]), _bits(_sequences(w, h)[owner]), pa.array((start - w.first[owner]).astype(np.int64))]
+                    yield pa.RecordBatch.from_arrays(columns, ["h", "c", "doc", "seq", "pos"])
 
     return run
 
 
-def _plain(skip):
-    """Rows that have no span: n_words and the digest of all words."""
+def _placed(batches):
+    """Coordinates taken apart."""
+    for b in batches:
+        doc, seq, pos = _places(b.column(2))
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(doc), pa.array(seq), pa.array(pos), b.column(3)], ["h", "c", "doc", "seq", "pos", "ends"])
 
-    def run(batches):
-        hidden = skip.value
-        for b in batches:
-            free = np.flatnonzero(~hidden(b.column(1).to_numpy(zero_copy_only=False).view(np.uint64)))
-            if len(free):
-                b = b.take(pa.array(free))
-                yield from _finish(b.column(0), b.column(2), None)
 
-    return run
+def _texts(docs: DataFrame) -> DataFrame:
+    if not isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        raise TypeError("substring dedup needs whole numbers as doc_id: which of two repeats stays is told by the order of ids")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), "text")
 
 
-def _passing(hidden):
-    """Rows that may have spans, with the hash of their word sequence."""
+def _listed(texts: DataFrame, shared: DataFrame, k: int, anchor: int) -> DataFrame:
+    """Texts with their shared anchors as lists: the way beyond the size of a bit set."""
+    own = texts.mapInArrow(_own_anchors(k, anchor, True), "anchor long, doc long, seq int").join(shared, "anchor", "left_semi")
+    lists = own.groupBy("doc", "seq").agg(F.collect_set("anchor").alias("anchors"))
+    return materialize(texts.mapInArrow(_tagged, "doc long, seq int, text string").join(lists, ["doc", "seq"]).select("doc", "text", "anchors"), "listed")
 
-    def run(batches):
-        wanted = hidden.value
-        for b in batches:
-            hit = np.flatnonzero(wanted(b.column(2).to_numpy(zero_copy_only=False).view(np.uint64)))
-            if len(hit):
-                b = b.take(pa.array(hit))
-                data, offsets = text_buffers(b.column(3))
-                for lo, hi in chunks(offsets):
-                    w = Words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-                    part = b.slice(lo, hi - lo)
-                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), signed(fold_long(w.hashes(), w.first, 3)), part.column(3)], ["doc_id", "doc", "sequence", "text"])
 
-    return run
+def _tagged(batches):
+    """Texts with the bits of their sequence."""
+    for b in batches:
+        data, offsets = text_buffers(b.column(1))
+        for lo, hi in chunks(offsets):
+            w = Words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+            part = b.slice(lo, hi - lo)
+            yield pa.RecordBatch.from_arrays([part.column(0), _bits(_sequences(w, w.hashes())), part.column(1)], ["doc", "seq", "text"])
 
 
-def _cut(batches):
-    for b in batches:
-        yield from _finish(b.column(0), b.column(1), b.column(2))
+def paths(graph: DataFrame) -> DataFrame:
+    """Unbranched paths of edges (h, c, at, next, prev; 0: none, or several): (h, c, doc, seq, pos) of the first edge and ``edges``, their number."""
+    begins, ends = (materialize(graph.where(f"{c} = 0").select("h"), name) for c, name in (("prev", "path-begins"), ("next", "path-ends")))
 
+    def beside(column: str, keys: DataFrame) -> DataFrame:
+        maybe, _ = split_rows(graph.where(F.col(column) != 0), F.col(column), keys)
+        return maybe.join(keys.select(F.col("h").alias(column)), column, "left_semi")
 
-def _finish(ids, texts, spans):
-    data, offsets = text_buffers(texts)
-    for lo, hi in chunks(offsets):
-        w = Words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-        n = np.diff(w.first)
-        gone = np.zeros(len(w.start), bool)
-        if spans is not None:
-            for i in range(hi - lo):
-                for s in spans[lo + i].as_py() or ():
-                    gone[w.first[i] + s["start"] : min(w.first[i] + s["start"] + s["words"], w.first[i + 1])] = True
-        # one buffer of kept words, each followed by a space
-        kept = np.flatnonzero(~gone)
-        size = w.end[kept] - w.start[kept] + 1
-        to = np.r_[0, np.cumsum(size)]
-        source = np.arange(to[-1]) + np.repeat(w.start[kept] - to[:-1], size)
-        out = np.append(w.data, np.uint8(0x20))[np.minimum(source, len(w.data))]
-        out[to[1:] - 1] = 0x20
-        cut = to[np.searchsorted(kept, w.first)]
-        raw = out.tobytes()
-        digest = [hashlib.sha256(raw[a : max(a, z - 1)]).hexdigest() for a, z in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
-        removed = n - np.diff(np.searchsorted(kept, w.first))
-        yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), pa.array(n.astype(np.int64)), pa.array(removed.astype(np.int64)), pa.array(digest, pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256"])
+    first = graph.where("prev = 0").unionByName(beside("prev", ends)).select("h", "c", "at", F.lit(False).alias("ends"))
+    last = graph.where("next = 0").unionByName(beside("next", begins)).select("h", "c", "at", F.lit(True).alias("ends"))
+    marks = first.unionByName(last).mapInArrow(_placed, "h long, c long, doc long, seq int, pos long, ends boolean")
+    ahead = Window.partitionBy("doc", "seq").orderBy("pos").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    marks = marks.withColumn("end", F.min(F.when(F.col("ends"), F.col("pos"))).over(ahead))
+    return marks.where(~F.col("ends")).select("h", "c", "doc", "seq", "pos", (F.col("end") - F.col("pos") + 1).alias("edges"))
 
 
 def repeated_spans(docs: DataFrame, *, k: int = 20, anchor: int = ANCHOR) -> DataFrame:
-    """Spans to remove: (doc, sequence, start, words), ids as in ``docs`` (null ids as the largest)."""
+    """Spans to remove: (doc, seq, start, words), ids as in ``docs`` (null ids as the largest), seq: bits of the hash of the row's words."""
     spark = docs.sparkSession
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), "text").where(F.col("text").isNotNull())
-    found = texts.select("text").mapInArrow(_anchors(k, anchor), "anchor long, sequence long, again boolean")
-    found = found.groupBy("anchor").agg(F.min("sequence").alias("a"), F.max("sequence").alias("z"), F.max("again").alias("again"))
-    shared = materialize(found.where("a <> z or again").select("anchor"), "anchors")
-    wanted = spark.sparkContext.broadcast(key_filter(shared, "anchor", shared.count()))
-    edges = texts.mapInArrow(_edges(k, anchor, wanted), "h long, c long, doc long, sequence long, pos int, next long, prev long")
-    coordinate = F.struct("doc", "sequence", "pos")
-    graph = edges.groupBy("h", "c").agg(
-        F.count("*").alias("n"), F.min(coordinate).alias("src"),
-        F.min("next").alias("next_lo"), F.max("next").alias("next_hi"), F.min("prev").alias("prev_lo"), F.max("prev").alias("prev_hi"),
-    )
-    one_next = (F.col("next_lo") == F.col("next_hi")) & (F.col("next_lo") != 0)
-    one_prev = (F.col("prev_lo") == F.col("prev_hi")) & (F.col("prev_lo") != 0)
-    graph = graph.where("n > 1").select("h", "c", "src.*", one_next.alias("one_next"), one_prev.alias("one_prev"))
-    along = Window.partitionBy("doc", "sequence").orderBy("pos")
-    unbranched = (F.lag("pos").over(along) == F.col("pos") - 1) & F.lag("one_next").over(along) & F.col("one_prev")
-    marked = graph.withColumn("head", (~F.coalesce(unbranched, F.lit(False))).cast("int"))
-    paths = marked.withColumn("path", F.sum("head").over(along))
-    size = F.count("*").over(Window.partitionBy("doc", "sequence", "path"))
-    heads = paths.withColumn("edges", size).where("head = 1")
-    heads = materialize(heads.select("h", "c", F.col("doc").alias("src_doc"), F.col("sequence").alias("src_sequence"), F.col("pos").alias("src_pos"), "edges"), "paths")
+    ship(spark)
+    texts = _texts(docs).where(F.col("text").isNotNull()).select("doc", "text")
+    found = texts.mapInArrow(_own_anchors(k, anchor, False), "anchor long, sequence long")
+    found = found.groupBy("anchor").agg(F.min("sequence").alias("a"), F.max("sequence").alias("z"))
+    shared = materialize(found.where("a <> z").select("anchor"), "anchors")
+    chosen = key_filter(shared, "anchor", shared.count())
+    if chosen is None:
+        texts = _listed(texts, shared, k, anchor)
+    wanted = spark.sparkContext.broadcast(chosen)
+    edges = texts.mapInArrow(_edges(k, anchor, wanted), _EDGE)
+    graph = edges.groupBy("h", "c").agg(F.count("*").alias("n"), F.min("at").alias("at"), *[f(c).alias(f"{c}_{name}") for c in ("next", "prev") for name, f in (("lo", F.min), ("hi", F.max))])
+    one = lambda c: F.when(F.col(f"{c}_lo") == F.col(f"{c}_hi"), F.col(f"{c}_lo")).otherwise(0).alias(c)
+    graph = materialize(graph.where("n > 1").select("h", "c", "at", one("next"), one("prev")), "graph")
+    heads = paths(graph).select("h", "c", F.col("doc").alias("src_doc"), F.col("seq").alias("src_seq"), F.col("pos").alias("src_pos"), "edges")
+    heads = materialize(heads, "paths")
     first = spark.sparkContext.broadcast(key_filter(heads, "h", heads.count()))
-    at = texts.mapInArrow(_occurrences(k, anchor, wanted, first), "h long, c long, doc long, sequence long, pos int").join(heads, ["h", "c"])
-    source = (F.col("doc") == F.col("src_doc")) & (F.col("sequence") == F.col("src_sequence")) & (F.col("pos") == F.col("src_pos"))
-    return at.where(~source).select("doc", "sequence", F.col("pos").alias("start"), (F.col("edges") + (k - 1)).cast("int").alias("words"))
+    at = texts.mapInArrow(_occurrences(k, anchor, wanted, first), "h long, c long, doc long, seq int, pos long").join(heads, ["h", "c"])
+    source = (F.col("doc") == F.col("src_doc")) & (F.col("seq") == F.col("src_seq")) & (F.col("pos") == F.col("src_pos"))
+    spans = at.where(~source).select("doc", "seq", F.col("pos").cast("int").alias("start"), (F.col("edges") + (k - 1)).cast("int").alias("words"))
+    return spans.unionByName(_copies(_texts(docs).where(F.col("text").isNotNull()).select("doc", "text"), k))
+
 
+def _copies(texts: DataFrame, k: int) -> DataFrame:
+    """One span for each text whose words are all those of a text with a smaller id."""
+    rows = materialize(texts.mapInArrow(_digests, "doc long, seq int, digest binary, n int").where(F.col("n") >= k), "sequences")
+    originals = materialize(rows.groupBy("digest").agg(F.min("doc").alias("original"), F.count("*").alias("copies")).where("copies > 1").select("digest", "original"), "originals")
+    return rows.join(originals, "digest").where("doc <> original").select("doc", "seq", F.lit(0).alias("start"), F.col("n").alias("words"))
 
-def _sequences(batches):
+
+def _digests(batches):
+    for b in batches:
+        data, offsets = text_buffers(b.column(1))
+        for lo, hi in chunks(offsets):
+            w = Words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), _bits(_sequences(w, w.hashes())), binaries(w.digests()), pa.array(np.diff(w.first).astype(np.int32))], ["doc", "seq", "digest", "n"])
+
+
+def _cut(batches):
+    """Each text's words that lie in none of its spans (the last column), joined by a space."""
     for b in batches:
+        spans, listed = (b.column(2), True) if b.num_columns > 2 else (None, False)
         data, offsets = text_buffers(b.column(1))
         for lo, hi in chunks(offsets):
             w = Words(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-            n = np.diff(w.first)
-            yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), signed(fold_long(w.hashes(), w.first, 3)), pa.array(n.astype(np.int32))], ["doc", "sequence", "n"])
+            gone = np.zeros(len(w.start), bool)
+            for i in range(hi - lo if listed else 0):
+                for s in spans[lo + i].as_py() or ():
+                    gone[w.first[i] + s["start"] : min(w.first[i] + s["start"] + s["words"], w.first[i + 1])] = True
+            kept = np.flatnonzero(~gone)
+            raw, cut = w.joined(kept)
+            n, left = np.diff(w.first), np.diff(np.searchsorted(kept, w.first))
+            text = pa.array([raw[a : max(a, z - 1)] for a, z in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)], pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int64)), pa.array((n - left).astype(np.int64)), text], ["doc_id", "n_words", "n_removed", "text"])
 
 
 def remove_repeats(docs: DataFrame, *, k: int = 20, anchor: int = ANCHOR) -> DataFrame:
-    """One row per input row: doc_id, n_words, n_removed, kept_sha256 (of kept words joined by a space)."""
-    spark = docs.sparkSession
-    settings(spark)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), "text")
-    spans = repeated_spans(docs, k=k, anchor=anchor).select("doc", "sequence", "start", "words")
-    # whole copies: every window of theirs starts in the first row of the same words
-    rows = texts.where("text is not null").select("doc", "text").mapInArrow(_sequences, "doc long, sequence long, n int").where(F.col("n") >= k)
-    rows = materialize(rows, "sequences")
-    originals = rows.groupBy("sequence").agg(F.min("doc").alias("original"), F.count("*").alias("copies")).where("copies > 1")
-    copies = rows.join(materialize(originals, "originals"), "sequence").where("doc <> original").select("doc", "sequence", F.lit(0).alias("start"), F.col("n").alias("words"))
-    every = spans.unionByName(copies).groupBy("doc", "sequence").agg(F.collect_set(F.struct("start", "words")).alias("spans"))
-    every = materialize(every.select("doc", "sequence", "spans"), "spans")
-    hidden = spark.sparkContext.broadcast(key_filter(every.select(F.xxhash64("doc").alias("h")), "h", every.count()))
-    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-    hashed = texts.select("doc_id", F.xxhash64("doc").alias("h"), "text")
-    plain = hashed.mapInArrow(_plain(hidden), schema)
-    busy = texts.select("doc_id", "doc", F.xxhash64("doc").alias("h"), "text").mapInArrow(_passing(hidden), "doc_id long, doc long, sequence long, text string")
-    busy = busy.join(every, ["doc", "sequence"], "left").select("doc_id", "text", "spans").mapInArrow(_cut, schema)
-    return plain.unionByName(busy)
+    """One row per input row: doc_id, n_words, n_removed, text (the words that stay, joined by a space)."""
+    ship(docs.sparkSession)
+    texts = _texts(docs)
+    every = repeated_spans(docs, k=k, anchor=anchor).groupBy("doc", "seq").agg(F.collect_set(F.struct("start", "words")).alias("spans"))
+    every = materialize(every, "spans")
+    maybe, plain = split_rows(texts, F.xxhash64("doc"), materialize(every.select(F.xxhash64("doc").alias("h")), "span-keys"))
+    schema = "doc_id long, n_words long, n_removed long, text string"
+    busy = maybe.select("doc", "text", "doc_id").mapInArrow(_tagged_rows, "doc long, seq int, text string, doc_id long")
+    busy = busy.join(every, ["doc", "seq"], "left").select("doc_id", "text", "spans").mapInArrow(_cut, schema)
+    return plain.select("doc_id", "text").mapInArrow(_cut, schema).unionByName(busy)
+
+
+def _tagged_rows(batches):
+    for b in batches:
+        at = 0
+        for part in _tagged(iter([b])):
+            yield pa.RecordBatch.from_arrays([*part.columns, b.column(2).slice(at, part.num_rows)], ["doc", "seq", "text", "doc_id"])
+            at += part.num_rows

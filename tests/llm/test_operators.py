@@ -266,7 +266,7 @@ def repeats_brute(rows, k):
             if seen.setdefault(tuple(w[j : j + k]), (i, j)) != (i, j):
                 gone[j : j + k] = [True] * k
         kept = " ".join(x for x, g in zip(w, gone, strict=True) if not g)
-        out[i] = (rows[i][0], len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest())
+        out[i] = (rows[i][0], len(w), sum(gone), kept)
     return out
 
 
@@ -281,6 +281,48 @@ def test_substring_dedup(spark, docs, nothing, rows):
     assert bag(short, *short.columns) == Counter(repeats_brute(plain, 8))
     assert remove_repeats(docs).count() == len(rows)
     assert remove_repeats(nothing).count() == 0
+    with pytest.raises(TypeError):
+        remove_repeats(df.withColumn("doc_id", F.col("doc_id").cast("string")))
+
+
+def test_substring_dedup_repeated_ids(spark, docs, rows):
+    """Rows of one id come in some order of their own; exactly repeated rows are one document."""
+    got = bag(remove_repeats(docs, k=20), "doc_id", "n_words", "n_removed", "text")
+    texts, order = list(dict.fromkeys((r[0], r[1]) for r in rows)), []
+    for flip in (False, True):
+        out = repeats_brute(sorted(texts, key=lambda r: (LAST if r[0] is None else r[0], r[1] or ""), reverse=flip) if not flip else texts, 20)
+        order.append(Counter({k: n for k, n in Counter((i, w, g, t) for i, w, g, t in out).items()}))
+    single = {i for i, n in Counter(r[0] for r in texts).items() if n == 1}
+    want = {k for k in order[0] if k[0] in single and k[0] is not None}
+    assert {k for k in got if k[0] in single and k[0] is not None} == want
+    assert sum(got.values()) == len(rows) and len([k for k in got if k[0] == 47]) == 1
+
+
+def test_substring_dedup_without_filters(spark, rows, monkeypatch):
+    """More keys than bit sets can hold: joins give the same."""
+    from rimecast.llm import common
+
+    monkeypatch.setattr(common, "MAX_FILTER_KEYS", 0)
+    ids = Counter(r[0] for r in rows)
+    plain = [r for r in rows if ids[r[0]] == 1]
+    df = spark.createDataFrame(plain, "doc_id long, text string, lang string, source string, n_chars long")
+    got = remove_repeats(df, k=20)
+    assert bag(got, *got.columns) == Counter(repeats_brute(plain, 20))
+    assert bag(near_duplicates(df, k=3, percent=85), "doc_id", "n_shingles", "component_id") == Counter(components_brute(plain, 3, 85))
+    assert bag(deduplicate(df), "doc_id") == Counter((d,) for d, _, c in components_brute(plain, 5, 80) if d == c)
+
+
+def test_paths_branch_and_loop(spark):
+    """Overlapping, branching and self-repeating passages, against brute force."""
+    import random
+
+    rng = random.Random(7)
+    pieces = [[f"{chr(97 + p)}{i}" for i in range(rng.randint(4, 25))] for p in range(8)]
+    rows = [(i, " ".join(w for _ in range(rng.randint(1, 6)) for w in rng.choice(pieces))) for i in range(120)] + [(500, "go " * 60), (501, "go on " * 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for k, anchor in ((6, 3), (20, 6)):
+        got = remove_repeats(df, k=k, anchor=anchor)
+        assert bag(got, *got.columns) == Counter(repeats_brute(rows, k))
 
 
 ITEMS = [(0, "What is the name of the tall tower by the river in the old town? It is the grey tower of the three sisters."), (1, "too short"), (2, None), (None, "no id at all for this item of the test"), (3, " ".join(f"w{i}" for i in range(300)))]
@@ -436,3 +478,47 @@ def test_other_registered_queries_give_a_row_per_document(spark, sf, name):
 
     out = QUERIES[name](spark, sf)
     assert out.select("doc_id").distinct().count() == out.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+
+
+def thue_morse(a, b, doublings):
+    """Two arrangements of two symbols whose polynomial hashes modulo 2**64 are equal for every base."""
+    x, y = [a], [b]
+    for _ in range(doublings):
+        x, y = x + y, y + x
+    return x, y
+
+
+def test_word_and_window_hashes():
+    import random
+
+    import numpy as np
+
+    from rimecast.llm.arrays import Words, windows
+
+    rng = random.Random(1)
+    words = ["w%d" % rng.randrange(500) if rng.random() < 0.9 else "long" * rng.randrange(1, 60) for _ in range(3000)] + ["".join(w) for w in thue_morse("a", "b", 10)] + ["é" * 5, "x" * 64, "x" * 65]
+    raw = np.frombuffer(" ".join(words).encode(), np.uint8)
+    w = Words(raw, np.array([0, len(raw)]))
+    lanes = [w.hashes(0), w.hashes(1)]
+    assert not set(lanes[0].tolist()) & set(lanes[1].tolist())
+    for h in lanes:
+        for k in (1, 2, 3, 5, 6, 7, 8, 13, 20):
+            seen = {}
+            for i, x in enumerate(windows(h, k).tolist()):
+                assert seen.setdefault(tuple(words[i : i + k]), x) == x
+            assert len(set(seen.values())) == len(seen), k
+
+
+def test_thue_morse_texts_stay_apart(spark):
+    """Neither words nor sequences of them are taken for one another, however they are arranged."""
+    one, two = ("".join(x) for x in thue_morse("a", "b", 10))
+    step = [" ".join(f"{s}{i}" for i in range(19)) for s in ("p", "q")]
+    gap = [[x + f" n{j}" for j, x in enumerate(y)] for y in thue_morse(*step, 10)]
+    far = [" ".join(gap[0]), " ".join(" ".join(x.split()[:-1]) + f" m{j}" for j, x in enumerate(gap[1]))]
+    plain = [" ".join(x) for x in thue_morse("yes", "no", 10)]
+    df = spark.createDataFrame(list(enumerate([one, two, *far, *plain])), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in near_duplicates(df, k=3, percent=85).collect()}
+    assert [got[i]["component_id"] for i in range(4)] == [0, 1, 2, 3]
+    want = {r[0]: r for r in repeats_brute([(r["doc_id"], r["text"]) for r in df.collect()], 20)}
+    cut = {r["doc_id"]: tuple(r) for r in remove_repeats(df, k=20).collect()}
+    assert cut == want and [cut[i][2] for i in range(4)] == [0, 0, 0, 0]
