@@ -1,47 +1,50 @@
 """Benchmark decontamination: a BM25 index of test items, queried by every training passage.
 
-Index. Test items, cut into parts of at most ``PART_WORDS`` words, are indexed with BM25
-impacts, each divided by the part's score against itself, so that a score of 1 is the part's
-own text. Parts are ordered by vocabulary and grouped in blocks; each term keeps its largest
-impact per block. An index holds at most ``INDEX_WORDS`` words; a larger benchmark is taken in
-several such shards, so what is broadcast is bounded whatever the benchmark's size.
-
-Retrieval (block-max WAND, for many passages in lock-step). A text's passages overlap by half
-and are twice as long as the longest part, so a part always lies wholly within one. Frequent terms
-whose impacts together stay below half the threshold in every part are left aside; the lists
-of the other terms are merged, and a block is looked into only if its maxima plus what the frequent
-terms can add reach the threshold. In such blocks each part's score is computed in full, and
-all parts at or above the threshold are retrieved: there is no cut at k.
-
-Verification. An item is question and answer: the answer follows an answer mark or the last
-question mark, or else is the last sentence. A passage contaminates its document when it holds at
-least ``overlap`` of the five-word shingles of the question, and of the answer, of one part.
-
-Words are runs of letters and digits in lower case. One row per input row, in one pass over the
-texts. Null or empty texts and items match nothing; items of fewer than ``LEAST_WORDS`` words are not
-looked for. Repeated items each count; other columns are not read.
+Rule. An item is question and answer: the answer follows an answer mark or the last question mark, or
+else is the last sentence; without either, the whole text is both. A document is contaminated when it holds at least
+``overlap`` of the distinct five-word shingles of the question, and of the answer, anywhere in its text. A
+question or answer of under five words is one shingle; an item of under five words counts only as a whole.
+
+Index. Items are indexed with BM25 impacts, each divided by the item's score against itself, so that a score of 1 is
+the item's own text. Document frequencies are counted in Spark over the whole benchmark. Items are ordered by vocabulary
+and grouped in blocks; each term keeps its largest impact per block. An index holds at most ``INDEX_WORDS`` words (or one
+longer item); a larger benchmark is taken in several such shards, one pass over the documents for each, so what is broadcast
+is bounded whatever the benchmark's size.
+
+Retrieval (block-max WAND, for many passages in lock-step). As the rule looks at the whole text, a passage is a whole text:
+cutting it could only lose. Each item has a threshold of its own, which follows from the rule: ``m`` missing shingles lack at
+most ``m`` words (``2 m`` where shingles repeat), so a contaminated document scores at least 1 less the ``m`` largest
+impacts of the question and of the answer; retrieval loses nothing that verification keeps. Frequent terms whose impacts
+together stay below half the threshold of every item are left aside; the lists of the other terms are merged, and a block
+is looked into only if its maxima plus what the frequent terms can add reach the least threshold in it. In such
+blocks each item's score is computed in full, and all items at or above their threshold are retrieved: there is no cut
+at k. What is retrieved is verified by the rule.
+
+Words are runs of letters and digits in lower case. One row per input row. Null or empty texts and items match
+nothing. Ids may be of any type; items with equal ids (null is one, too) are reported once, with the best of their
+overlaps. Other columns are not read.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..shipping import ship
 from .arrays import Words, chunks, text_buffers, windows
+from .common import materialize
 
 
-PART_WORDS = 128
-LEAST_WORDS = 5
 INDEX_WORDS = 2_000_000
 BLOCK = 8
 SHINGLE = 5
+_CLOSE = 1e-9
 K1, B = 1.2, 0.75
 
 _PLAIN = np.full(256, 0x20, np.uint8)
@@ -70,70 +73,73 @@ def question_and_answer(text: str) -> tuple[str, str]:
 
 
 def shingles(h: np.ndarray) -> np.ndarray:
-    return np.unique(windows(h, min(SHINGLE, max(1, len(h)))))
-
-
-class Part:
-    def __init__(self, item: int, words: np.ndarray, question: np.ndarray, answer: np.ndarray):
-        self.item, self.words, self.question, self.answer = item, words, question, answer
-        #: words in a shingle of the question, and of the answer
-        self.sizes = tuple(min(SHINGLE, max(1, len(x))) for x in (question, answer))
-
-
-def parts_of(item: int, text: str) -> Iterator[Part]:
-    """Parts of one item; question and answer as word hashes cut to the part."""
-    first, second = question_and_answer(text)
-    if first == text:
-        h = cut = _hashes(text)
-        n = len(h)
-    else:
-        cut, tail = _hashes(first), _hashes(second)
-        h, n = np.r_[cut, tail], len(cut)
-    if len(h) < LEAST_WORDS:
-        return
-    for at in range(0, len(h), PART_WORDS):
-        at = max(0, min(at, len(h) - PART_WORDS))
-        words = h[at : at + PART_WORDS]
-        q, a = h[at : min(n, at + PART_WORDS)], h[max(n, at) : at + PART_WORDS]
-        yield Part(item, words, q if len(q) else words, a if len(a) and first != text else words)
+    """All shingles, in order."""
+    return windows(h, min(SHINGLE, max(1, len(h))))
+
+
+class Item:
+    """One row of the benchmark: its words (the first ``cut`` are the question's; -1: all are both) and their document frequencies."""
+
+    def __init__(self, item, words: np.ndarray, cut: int, terms: np.ndarray, df: np.ndarray):
+        self.item, self.n = item, len(words)
+        order = np.argsort(terms)
+        self.terms, self.df = terms[order], df[order]
+        self.tf = np.bincount(np.searchsorted(self.terms, words), minlength=len(terms))
+        whole = cut <= 0 or cut >= len(words) or len(words) < SHINGLE
+        #: words of the question and the answer, shingles of each with their size
+        self.roles = [words] if whole else [words[:cut], words[cut:]]
+        self.wanted = [(min(SHINGLE, len(r)), np.unique(shingles(r))) for r in self.roles]
+
+    def impacts(self, n_items: int, mean: float) -> np.ndarray:
+        idf = np.log1p((n_items - self.df + 0.5) / (self.df + 0.5))
+        v = idf * self.tf * (K1 + 1) / (self.tf + K1 * (1 - B + B * self.n / mean))
+        return v / v.sum()
+
+    def threshold(self, impacts: np.ndarray, overlap: float) -> float:
+        """The least score of a text that holds enough of both."""
+        lost = 0.0
+        for words, (_, wanted) in zip(self.roles, self.wanted, strict=True):
+            n = len(wanted)
+            missing = n - int(np.ceil(overlap * n - _CLOSE))
+            if n < len(shingles(words)):
+                missing *= 2
+            own = np.sort(impacts[np.searchsorted(self.terms, np.unique(words))])
+            lost += float(own[len(own) - min(missing, len(own)) :].sum())
+        return max(1.0 - lost, 1e-6)
 
 
 class Index:
     """Impacts of one shard."""
 
-    def __init__(self, parts: list[Part], df: Counter, n_parts: int, mean: float, threshold: float):
-        self.threshold = threshold
-        terms = [np.unique(p.words, return_counts=True) for p in parts]
-        # parts that share rare terms stand together
-        order = sorted(range(len(parts)), key=lambda i: tuple(sorted((-df[int(t)], int(t)) for t in terms[i][0])[:4]))
-        self.parts, terms = [parts[i] for i in order], [terms[i] for i in order]
-        self.vocabulary = np.unique(np.concatenate([t for t, _ in terms])) if terms else np.empty(0, np.uint64)
-        freq = np.array([df[int(t)] for t in self.vocabulary], np.float64)
-        idf = np.log1p((n_parts - freq + 0.5) / (freq + 0.5))
-        self.ids, self.impacts = [], []
-        for (t, tf), p in zip(terms, self.parts, strict=True):
-            i = np.searchsorted(self.vocabulary, t)
-            v = idf[i] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(p.words) / mean))
+    def __init__(self, items: list[Item], n_items: int, mean: float, overlap: float):
+        # items that share rare terms stand together
+        self.items = sorted(items, key=lambda x: tuple(sorted(zip(x.df.tolist(), x.terms.tolist(), strict=True))[:4]))
+        self.vocabulary = np.unique(np.concatenate([x.terms for x in self.items]))
+        freq = np.zeros(len(self.vocabulary))
+        self.ids, self.impacts, least = [], [], []
+        for x in self.items:
+            i, v = np.searchsorted(self.vocabulary, x.terms), x.impacts(n_items, mean)
+            freq[i] = x.df
             self.ids.append(i)
-            self.impacts.append(v / v.sum())
-        self.longest = max((len(p.words) for p in self.parts), default=1)
-        self.n_blocks = -(-len(self.parts) // BLOCK)
+            self.impacts.append(v)
+            least.append(x.threshold(v, overlap))
+        self.least = np.array(least)
+        self.n_blocks = -(-len(self.items) // BLOCK)
+        self.block_least = np.array([self.least[b * BLOCK : (b + 1) * BLOCK].min() for b in range(self.n_blocks)])
         self._split(freq)
         bits = 1 << 20
         self.maybe = np.zeros(bits, bool)
         self.maybe[(self.vocabulary & np.uint64(bits - 1)).astype(np.int64)] = True
-        for p in self.parts:
-            p.question, p.answer = shingles(p.question), shingles(p.answer)
 
     def _split(self, freq: np.ndarray) -> None:
-        """Put the most frequent terms aside while no part gets more than half the threshold from them."""
-        aside, rest = np.zeros(len(self.vocabulary), bool), np.zeros(len(self.parts))
+        """Put the most frequent terms aside while no item gets more than half its threshold from them."""
+        aside, rest = np.zeros(len(self.vocabulary), bool), np.zeros(len(self.items))
         holders: dict[int, list[tuple[int, float]]] = {}
         for d, (i, v) in enumerate(zip(self.ids, self.impacts, strict=True)):
             for t, x in zip(i.tolist(), v.tolist(), strict=True):
                 holders.setdefault(t, []).append((d, x))
         for t in np.argsort(-freq, kind="stable").tolist():
-            if freq[t] < 2 or any(rest[d] + x > self.threshold / 2 for d, x in holders[t]):
+            if freq[t] < 2 or any(rest[d] + x > self.least[d] / 2 for d, x in holders[t]):
                 continue
             aside[t] = True
             for d, x in holders[t]:
@@ -174,13 +180,13 @@ class Index:
         pair, inverse = np.unique(np.repeat(p, size) * self.n_blocks + self.block[at], return_inverse=True)
         bound = np.bincount(inverse, self.top[at], len(pair))
         p, b = np.divmod(pair, max(1, self.n_blocks))
-        good = bound + self.rest[b] >= self.threshold - 1e-9
+        good = bound + self.rest[b] >= self.block_least[b] - _CLOSE
         return p[good], b[good]
 
     def retrieve(self, block: int, present: np.ndarray) -> list[int]:
-        """Parts of a block whose full score reaches the threshold; ``present``: a mask over the vocabulary."""
+        """Items of a block whose full score reaches their threshold; ``present``: a mask over the vocabulary."""
         lo = block * BLOCK
-        return [d for d in range(lo, min(lo + BLOCK, len(self.parts))) if self.impacts[d][present[self.ids[d]]].sum() >= self.threshold - 1e-9]
+        return [d for d in range(lo, min(lo + BLOCK, len(self.items))) if self.impacts[d][present[self.ids[d]]].sum() >= self.least[d] - _CLOSE]
 
 
 def _held(part: np.ndarray, found: np.ndarray) -> float:
@@ -188,90 +194,91 @@ def _held(part: np.ndarray, found: np.ndarray) -> float:
     return float((found[at] == part).mean()) if len(found) else 0.0
 
 
-def matches(index: Index, h: np.ndarray, first: np.ndarray, overlap: float) -> dict[int, dict[int, float]]:
+def matches(index: Index, h: np.ndarray, first: np.ndarray, overlap: float) -> dict[int, dict]:
     """Text -> {item: overlap} for the texts of a chunk."""
-    out: dict[int, dict[int, float]] = {}
+    out: dict[int, dict] = {}
     term = index.terms(h)
-    stride = index.longest
-    n = np.diff(first)
-    owner = np.repeat(np.arange(len(n)), n)
-    place = np.arange(len(h)) - first[owner]
-    # passage j of a text starts at word j * stride and has 2 * stride words
-    count = np.maximum(1, -(-n // stride) - 1)
-    base = np.r_[0, np.cumsum(count)]
-    seg = place // stride
-    right = base[owner] + np.minimum(seg, count[owner] - 1)
-    left = base[owner] + np.maximum(seg - 1, 0)
-    more = (left != right) & (term >= 0)
-    passage, block = index.candidates(np.r_[term, term[more]], np.r_[right, left[more]])
-    present, last = np.zeros(len(index.vocabulary), bool), -1
-    for p, b in zip(passage.tolist(), block.tolist(), strict=True):
-        i = int(np.searchsorted(base, p, side="right")) - 1
-        lo = int(first[i]) + (p - int(base[i])) * stride
-        hi = min(lo + 2 * stride, int(first[i + 1]))
-        if p != last:
+    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    text, block = index.candidates(term, owner)
+    present, last, found = np.zeros(len(index.vocabulary), bool), -1, {}
+    for i, b in zip(text.tolist(), block.tolist(), strict=True):
+        lo, hi = int(first[i]), int(first[i + 1])
+        if i != last:
             present[:] = False
             t = term[lo:hi]
             present[t[t >= 0]] = True
-            last, found = p, {}
+            last, found = i, {}
         for d in index.retrieve(b, present):
-            part = index.parts[d]
-            held = []
-            for want, size in zip((part.question, part.answer), part.sizes, strict=True):
+            x, held = index.items[d], []
+            for size, wanted in x.wanted:
                 if size not in found:
                     found[size] = np.unique(windows(h[lo:hi], size))
-                held.append(_held(want, found[size]))
-            if min(held) >= overlap:
+                held.append(_held(wanted, found[size]))
+            if min(held) >= overlap - _CLOSE:
                 best = out.setdefault(i, {})
-                best[part.item] = max(best.get(part.item, 0.0), min(held))
+                best[x.item] = max(best.get(x.item, 0.0), min(held))
     return out
 
 
-def build(items: DataFrame, threshold: float) -> Iterator[Index]:
-    """Indexes of shards of bounded size; statistics are those of the whole benchmark."""
-    rows = lambda: ((r["item_id"], r["text"]) for r in items.where("item_id is not null and text is not null").select("item_id", "text").toLocalIterator())
-    df: Counter = Counter()
-    n = words = 0
-    for item, text in rows():
-        for p in parts_of(item, text):
-            df.update(map(int, np.unique(p.words)))
-            n, words = n + 1, words + len(p.words)
+def _parsed(batches):
+    """Word hashes of items, and how many are the question's (-1: no answer was found)."""
+    for b in batches:
+        words, cuts = [], []
+        for text in b.column(1).to_pylist():
+            first, second = question_and_answer(text)
+            q = _hashes(first)
+            words.append((q if first == text else np.r_[q, _hashes(second)]).view(np.int64))
+            cuts.append(-1 if first == text else len(q))
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words, pa.list_(pa.int64())), pa.array(cuts, pa.int32())], ["item_id", "words", "cut"])
+
+
+def build(items: DataFrame, overlap: float) -> Iterator[Index]:
+    """Indexes of shards of bounded size; statistics are those of the whole benchmark, counted in Spark."""
+    kind = items.schema["item_id"].dataType.simpleString()
+    parsed = items.where("text is not null").select("item_id", "text").mapInArrow(_parsed, f"item_id {kind}, words array<long>, cut int")
+    parsed = materialize(parsed.where(F.size("words") > 0).withColumn("num", F.monotonically_increasing_id()), "items")
+    n_items, mean = parsed.agg(F.count("*"), F.avg(F.size("words"))).first()
+    terms = parsed.select("num", F.explode(F.array_distinct("words")).alias("term"))
+    counts = materialize(terms.groupBy("term").agg(F.count("*").alias("df")), "term-counts")
+    held = terms.join(counts, "term").groupBy("num").agg(F.collect_list(F.struct("term", "df")).alias("held"))  # no longer than the item
     batch, size = [], 0
-    for item, text in rows():
-        for p in parts_of(item, text):
-            if size + len(p.words) > INDEX_WORDS:
-                yield Index(batch, df, n, words / n, threshold)
-                batch, size = [], 0
-            batch.append(p)
-            size += len(p.words)
+    for r in materialize(parsed.join(held, "num").select("item_id", "words", "cut", "held.term", "held.df"), "indexed-items").toLocalIterator():
+        words, terms_ = (np.array(r[c], np.int64).view(np.uint64) for c in ("words", "term"))
+        if batch and size + len(words) > INDEX_WORDS:
+            yield Index(batch, n_items, mean, overlap)
+            batch, size = [], 0
+        batch.append(Item(r["item_id"], words, r["cut"], terms_, np.array(r["df"], np.float64)))
+        size += len(words)
     if batch:
-        yield Index(batch, df, n, words / n, threshold)
+        yield Index(batch, n_items, mean, overlap)
 
 
-def find_contamination(docs: DataFrame, items: DataFrame, *, threshold: float = 0.5, overlap: float = 0.8) -> DataFrame:
-    """One row per input row: doc_id, n_items, items (sorted ids), overlap (of the best), contaminated."""
+def _in_order(ids) -> list:
+    return sorted(ids, key=lambda x: (x is None, x if x is not None else 0))
+
+
+def find_contamination(docs: DataFrame, items: DataFrame, *, overlap: float = 0.8) -> DataFrame:
+    """One row per input row: doc_id, n_items, items (sorted ids, null last), overlap (of the best), contaminated."""
     spark = docs.sparkSession
     ship(spark)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    found: DataFrame | None = None
+    kind, item = (d.schema[c].dataType.simpleString() for d, c in ((docs, "doc_id"), (items, "item_id")))
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    for index in build(items, threshold):
-        part = texts.mapInArrow(_search(spark.sparkContext.broadcast(index), overlap), f"doc_id {kind}, text_key long, items array<long>, overlap double")
-        found = part if found is None else found.unionByName(part)
-        shards = 1 if found is part else 2
-    if found is None:
-        found, shards = texts.select("doc_id", "text_key", F.array().cast("array<long>").alias("items"), F.lit(0.0).alias("overlap")), 1
-    if shards > 1:  # equal rows get equal results, so one of each is enough
-        merged = found.where(F.size("items") > 0).groupBy("doc_id", "text_key")
+    none, parts = F.array().cast(f"array<{item}>"), []
+    for index in build(items, overlap):
+        parts.append(texts.mapInArrow(_search(spark.sparkContext.broadcast(index), overlap, to_arrow_type(items.schema["item_id"].dataType)), f"doc_id {kind}, text_key long, items array<{item}>, overlap double"))
+    found = parts[0] if parts else texts.select("doc_id", none.alias("items"), F.lit(0.0).alias("overlap"))
+    if len(parts) > 1:  # equal rows get equal results, so one of each is enough
+        for part in parts[1:]:
+            found = found.unionByName(part)
+        merged = found.where(F.size("items") > 0).groupBy(F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
         merged = merged.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"), F.max("overlap").alias("overlap"))
-        merged = merged.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"})
-        found = texts.join(merged, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
-        found = found.select("doc_id", F.coalesce("items", F.array().cast("array<long>")).alias("items"), F.coalesce("overlap", F.lit(0.0)).alias("overlap"))
+        found = texts.join(merged, F.col("doc_id").eqNullSafe(F.col("id")) & F.col("text_key").eqNullSafe(F.col("key")), "left")
+        found = found.select("doc_id", F.coalesce("items", none).alias("items"), F.coalesce("overlap", F.lit(0.0)).alias("overlap"))
     n = F.size("items").cast("long")
     return found.select("doc_id", n.alias("n_items"), "items", "overlap", (n > 0).alias("contaminated"))
 
 
-def _search(shared, overlap: float):
+def _search(shared, overlap: float, kind: pa.DataType):
     def run(batches):
         index = shared.value
         for b in batches:
@@ -279,14 +286,14 @@ def _search(shared, overlap: float):
             for lo, hi in chunks(offsets):
                 h, first = word_hashes(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 got = matches(index, h, first, overlap)
-                lists = pa.array([sorted(got.get(i, ())) for i in range(hi - lo)], pa.list_(pa.int64()))
+                lists = pa.array([_in_order(got.get(i, ())) for i in range(hi - lo)], pa.list_(kind))
                 best = pa.array([max(got[i].values()) if i in got else 0.0 for i in range(hi - lo)], pa.float64())
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), b.column(1).slice(lo, hi - lo), lists, best], ["doc_id", "text_key", "items", "overlap"])
 
     return run
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, *, threshold: float = 0.5, overlap: float = 0.8) -> DataFrame:
+def drop_contaminated(docs: DataFrame, items: DataFrame, *, overlap: float = 0.8) -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns: one filter pass for each shard."""
     spark = docs.sparkSession
     ship(spark)
@@ -304,6 +311,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, *, threshold: float = 0
 
         return run
 
-    for index in build(items, threshold):
+    for index in build(items, overlap):
         docs = docs.mapInArrow(clean(spark.sparkContext.broadcast(index)), docs.schema)
     return docs

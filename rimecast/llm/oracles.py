@@ -95,7 +95,7 @@ kept AS (SELECT tok.doc_id, string_agg(x, ' ' ORDER BY tok.i) AS t, count(*) AS
 SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(kept.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)"""
 
 
-def contamination(least: int, shingle: int, overlap: float) -> str:
+def contamination(shingle: int, overlap: float) -> str:
     """Verified overlaps over whole documents; the retrieval before it must not lose any of them."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     words = lambda x: rf"regexp_extract_all(translate(coalesce({x}, ''), '{upper}', '{upper.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -105,8 +105,8 @@ def contamination(least: int, shingle: int, overlap: float) -> str:
 i1 AS (SELECT *, CASE WHEN m THEN regexp_extract(t, '(?is)^(.*){mark}(.*)$', 1) ELSE regexp_extract(t, '(?s)^(.*)[.!?]\s+(\S.*)$', 1) END AS head,
   CASE WHEN m THEN regexp_extract(t, '(?is)^(.*){mark}(.*)$', 2) ELSE regexp_extract(t, '(?s)^(.*)[.!?]\s+(\S.*)$', 2) END AS tail FROM i0),
 i2 AS (SELECT item_id, t, CASE WHEN trim(head, E' \t\n\r') <> '' AND trim(tail, E' \t\n\r') <> '' THEN tail END AS a FROM i1),
-i3 AS (SELECT item_id, {words("left(t, length(t) - length(coalesce(a, '')))")} AS q, {words("coalesce(a, t)")} AS a, len({words("t")}) AS n FROM i2),
-role AS (SELECT item_id, r, CASE WHEN len(x) > 0 THEN x ELSE z END AS ws FROM (SELECT item_id, 'q' AS r, q AS x, a AS z FROM i3 WHERE n >= {least} UNION ALL SELECT item_id, 'a', a, q FROM i3 WHERE n >= {least})),
+i3 AS (SELECT item_id, {words("left(t, length(t) - length(coalesce(a, '')))")} AS q, {words("coalesce(a, t)")} AS a, {words("t")} AS w FROM i2),
+role AS (SELECT item_id, r, CASE WHEN len(w) < {shingle} THEN w WHEN len(x) > 0 THEN x ELSE z END AS ws FROM (SELECT item_id, w, 'q' AS r, q AS x, a AS z FROM i3 UNION ALL SELECT item_id, w, 'a', a, q FROM i3) WHERE len(w) > 0),
 want AS (SELECT DISTINCT item_id, r, {size} AS k, array_to_string(ws[u.i : u.i + {size} - 1], ' ') AS s FROM role, LATERAL (SELECT unnest(range(1, len(ws) - {size} + 2)) AS i) u),
 total AS (SELECT item_id, r, count(*) AS n FROM want GROUP BY item_id, r),
 d AS (SELECT doc_id, {words("text")} AS ws FROM documents),

@@ -112,7 +112,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
-@query(oracles.contamination(5, 5, 0.8))
+@query(oracles.contamination(5, 0.8))
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import find_contamination
 
