@@ -24,7 +24,7 @@ def line_hashes(text: Column) -> Column:
 
 
 def join_lines(slots: DataFrame, side: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Join rows of lines (with doc_id) to a materialised table keyed by line.
+    """Join rows of lines (with doc_id and text_key) to a materialised table keyed by line.
 
     A table of few rows is broadcast, after counting it. A larger one is copied to ``SALTS`` salts and
     shuffled, so that a line which fills a third of all rows is dealt to many tasks.
@@ -32,5 +32,5 @@ def join_lines(slots: DataFrame, side: DataFrame, key: str, how: str = "inner")
     if side.count() <= BROADCAST_ROWS:
         return slots.join(F.broadcast(side), key, how)
     salted = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    dealt = slots.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    dealt = slots.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(SALTS)).cast("int"))
     return dealt.join(salted, [key, "_salt"], how).drop("_salt")

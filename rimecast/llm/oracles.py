@@ -25,7 +25,7 @@ w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM ra
 tri AS (SELECT doc_id, u.i AS i, count(*) OVER (PARTITION BY doc_id, ws[u.i], ws[u.i + 1], ws[u.i + 2]) AS c FROM w, LATERAL (SELECT unnest(range(1, len(ws) - 1)) AS i) u),
 cov AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM tri, (VALUES (0), (1), (2)) v(k) WHERE c >= 2 GROUP BY doc_id),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM lines WHERE k <> '' GROUP BY doc_id),
-hot AS (SELECT site, k FROM (SELECT site, k, count(DISTINCT doc_id) AS n FROM lines WHERE k <> '' GROUP BY site, k) JOIN (SELECT site, count(*) AS docs FROM raw GROUP BY site) USING (site)
+hot AS (SELECT site, k FROM (SELECT site, k, count(DISTINCT doc_id) AS n FROM lines WHERE k <> '' GROUP BY site, k) JOIN (SELECT site, count(DISTINCT doc_id) AS docs FROM raw GROUP BY site) USING (site)
   WHERE n > {max_docs} AND n > docs * {max_share}),
 lost AS (SELECT doc_id, sum(len(regexp_extract_all(l, '[^\x20\x09-\x0D]+'))) AS n FROM lines JOIN hot USING (site, k) GROUP BY doc_id),
 f AS (SELECT doc_id, len(ws) AS n_words, len(array_to_string(ws, '')) AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,

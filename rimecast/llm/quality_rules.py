@@ -4,14 +4,15 @@ In-text counts: words (``[^\\x20\\x09-\\x0D]+``), their characters, symbols, rep
 and words in three-word windows found at least twice in the text. A document fails the base
 rules with under 50 words, or with over half of its words in repeated windows.
 
-Line frequency: normalised lines are hashed and the documents that have each are counted
-per host. A line is over the limit when it occurs in more than ``max_docs`` documents of the
+Line frequency: normalised lines are hashed once, into a table of lines, and the distinct documents
+that have each are counted per host. A line is over the limit when it occurs in more than ``max_docs`` documents of the
 host and in more than ``max_share`` of them; it is taken out, and a document that loses more
 than ``max_removed`` of its words that way is depleted and rejected. With ``with_text`` the
 result also has each text without its lines over the limit.
 
-A null text has no words and fails; a null host is a host of its own. Rows of equal id and text
-are one document in line counts and host sizes, and get equal results. Other columns are not read.
+A null text has no words and fails; a null host is a host of its own. Documents are told apart by their ids, so rows that
+repeat an id are one document in line counts and host sizes; rows with a null id are, if their texts differ, documents of their
+own. Repeated rows get equal results. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -68,26 +69,31 @@ def text_counts(docs: DataFrame, *, host_col: str = "source", with_text: bool =
     return c.select("doc_id", "text_key", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", F.coalesce(_covered(F.col("placed")), F.lit(0).cast("long")).alias("n_repeat_words"), *full)
 
 
-def frequent_lines(docs: DataFrame, *, host_col: str = "source", max_docs: int = 10, max_share: float = 0.01) -> DataFrame:
-    """Keys (hash of host and line) of the lines over the limits."""
-    of = docs.select(F.xxhash64(host_col).alias("host"), "doc_id", F.xxhash64("text").alias("text_key"), "text")
-    slots = of.select("host", "doc_id", "text_key", F.explode(F.array_compact(F.array_distinct(line_hashes(F.col("text"))))).alias("line"))
-    often = slots.distinct().groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") > max_docs)
-    sizes = of.select("host", "doc_id", "text_key").distinct().groupBy("host").agg(F.count("*").alias("docs"))
-    return often.join(sizes, "host").where(F.col("n") > F.col("docs") * max_share).select(F.xxhash64("host", "line").alias("key"))
+def line_table(docs: DataFrame, host_col: str) -> DataFrame:
+    """Lines with a word, written out: (doc_id, text_key, host, pos, key, n), ``key`` of host and line, ``n`` its words."""
+    lines = F.arrays_zip(line_hashes(F.col("text")).alias("h"), F.transform(raw_lines(F.col("text")), lambda x: F.size(_words(x))).alias("n"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.xxhash64(host_col).alias("host"), F.posexplode(lines).alias("pos", "line")).where(F.col("line.h").isNotNull())
+    return materialize(rows.select("doc_id", "text_key", "host", "pos", F.xxhash64("host", "line.h").alias("key"), F.col("line.n").alias("n")), "lines")
+
+
+def frequent_lines(docs: DataFrame, lines: DataFrame, *, host_col: str = "source", max_docs: int = 10, max_share: float = 0.01) -> DataFrame:
+    """Keys of the lines over the limits. Only lines of enough rows have their distinct documents counted."""
+    unnamed = F.when(F.col("doc_id").isNull(), F.col("text_key")).alias("unnamed")
+    often = materialize(lines.groupBy("key").agg(F.count("*").alias("rows")).where(F.col("rows") > max_docs).select("key"), "often")
+    held = join_lines(lines, often, "key", "left_semi").select("host", "key", "doc_id", unnamed).distinct().groupBy("host", "key").agg(F.count("*").alias("n")).where(F.col("n") > max_docs)
+    of = docs.select(F.xxhash64(host_col).alias("host"), "doc_id", F.xxhash64("text").alias("text_key"))
+    sizes = of.select("host", "doc_id", unnamed).distinct().groupBy("host").agg(F.count("*").alias("docs"))
+    return held.join(sizes, "host").where(F.col("n") > F.col("docs") * max_share).select("key")
 
 
 def apply_quality_rules(
     docs: DataFrame, *, host_col: str = "source", max_docs: int = 10, max_share: float = 0.01, max_removed: float = 0.5, min_words: int = 50, max_repeat_pct: int = 50, with_text: bool = False
 ) -> DataFrame:
     """One row per input row: the counts, n_removed_words, base_failed, depleted, kept and, on request, the text without its lines over the limits."""
-    over = materialize(frequent_lines(docs, host_col=host_col, max_docs=max_docs, max_share=max_share), "frequent-lines")
-    host = F.xxhash64(host_col)
-    lines = F.arrays_zip(line_hashes(F.col("text")).alias("h"), F.transform(raw_lines(F.col("text")), lambda x: F.size(_words(x))).alias("n"))
-    slots = docs.select("doc_id", F.xxhash64("text").alias("text_key"), host.alias("host"), F.posexplode(lines).alias("pos", "line")).where(F.col("line.h").isNotNull())
-    slots = slots.select("doc_id", "text_key", "pos", F.xxhash64("host", "line.h").alias("key"), F.col("line.n").alias("n"))
+    lines = line_table(docs, host_col)
+    over = materialize(frequent_lines(docs, lines, host_col=host_col, max_docs=max_docs, max_share=max_share), "frequent-lines")
     # repeated rows bring the same lines once more: one row of each line and position counts
-    hits = join_lines(slots, over, "key", "left_semi").groupBy("doc_id", "text_key", "pos").agg(F.max("n").alias("n"))
+    hits = join_lines(lines, over, "key", "left_semi").groupBy("doc_id", "text_key", "pos").agg(F.max("n").alias("n"))
     lost = hits.groupBy("doc_id", "text_key").agg(F.sum("n").alias("lost"), *[F.collect_set("pos").alias("gone")] * with_text)
     counts = text_counts(docs, host_col=host_col, with_text=with_text)
     joined = counts.join(lost.withColumnsRenamed({"doc_id": "_id", "text_key": "_key"}), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")

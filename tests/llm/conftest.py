@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_words string, kept string, score string, line string, node string, bands string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_words string, kept string, score string, line string, node string, bands string, _id string, _key string, _gone string, _text_key string, n_removed long, n_lines long, id string, key string, gone string, text_key string, segment string, part string, at string"
 
 
 def sentence(rng, n, words):
@@ -52,7 +52,7 @@ def rows():
 def docs(spark, rows, tmp_path_factory):
     """The same as a table with further columns whose names clash with those of results."""
     path = str(tmp_path_factory.mktemp("docs") / "documents.parquet")
-    spark.createDataFrame([r + ("x",) * 6 for r in rows], SCHEMA).repartition(3).write.parquet(path)
+    spark.createDataFrame([r + ("x",) * 10 + (7, 7) + ("x",) * 7 for r in rows], SCHEMA).repartition(3).write.parquet(path)
     return spark.read.parquet(path)
 
 

@@ -217,10 +217,11 @@ def test_quality_rules_rows(docs, nothing, rows):
 
 
 def test_quality_rules_count_documents(spark):
-    """Repeated rows are one document in line counts and in a host's size."""
+    """Repeated rows, and rows that repeat an id, are one document in line counts and in a host's size."""
     body = lambda i: "\n".join(" ".join(f"w{i}x{j}x{k}" for k in range(12)) for j in range(6))
     common = "a line that eleven documents of the host have"
     rows = [(0, body(0), "a")] * 11 + [(i, body(i), "a") for i in range(1, 20)] + [(100 + i, body(100 + i) + "\n" + common, "b") for i in range(11)] + [(200, body(200), "b")] * 2000
+    rows += [(300, body(300 + i) + "\na line of one id with many texts", "a") for i in range(30)]
     out = apply_quality_rules(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4), **LINE_LIMITS)
     assert out.count() == len(rows)
     assert out.where("n_removed_words > 0").select("doc_id").distinct().count() == 11
@@ -347,6 +348,53 @@ def test_decontamination(spark, docs, nothing):
     assert not find_contamination(docs, empty).where("contaminated").count() and find_contamination(nothing, items).count() == 0
 
 
+@pytest.mark.parametrize("shard", [2_000_000, 300])
+def test_decontamination_sql(spark, monkeypatch, shard):
+    """Items of 1 to 1,000 words, held whole, in part, in pieces and without their rare words: retrieval loses nothing that the rule keeps."""
+    import random
+
+    from rimecast.llm import decontaminate
+
+    monkeypatch.setattr(decontaminate, "INDEX_WORDS", shard)
+    rng = random.Random(11)
+    vocabulary = [f"{a}{b}" for a in "ka lo mi nu pe ra so ti".split() for b in "be da fi go hu je la mo".split()]
+    words = lambda n: rng.choices(vocabulary, weights=[1 / (i + 1) for i in range(len(vocabulary))], k=n)
+    items, docs = [], []
+    for i, n in enumerate([1, 2, 3, 4, 5, 6, 7, 9, 12, 20, 40, 100, 128, 129, 200, 300, 500, 1000] * 2):
+        q = words(n)
+        items.append((i, " ".join(q) + ("? " + " ".join(words(rng.choice([1, 3, 5, 8, 40]))) if i % 2 else "")))
+    same = [f"s{j}" for j in range(40)]
+    items += [(100 + i, " ".join([*same[:20], f"rare{i}", *same[20:]]) + "? " + " ".join(same[5:15])) for i in range(60)]
+    for i, text in items:
+        w = text.replace("?", " ?").split()
+        cuts = [w, w[: len(w) * 9 // 10], w[len(w) // 20 :], w[len(w) // 3 :]]
+        docs += [" ".join(words(10) + c + words(10)) for c in cuts]
+        piece = [w[j : j + max(6, len(w) // 3)] for j in range(0, len(w), max(6, len(w) // 3))]
+        docs.append(" ".join(x for p in piece[::-1] for x in p + words(150)))
+        docs.append(" ".join(x if rng.random() > 0.03 else "zz" for x in w))
+    docs += [" ".join([*same[:20], *same[20:]]) + " " + " ".join(same[5:15]), " ".join(same), " ".join(words(20_000))]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(4)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE benchmark(item_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO benchmark VALUES (?, ?)", items)
+    con.execute("CREATE TABLE documents(doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(docs)))
+    out = find_contamination(df, spark.createDataFrame(items, "item_id long, text string").repartition(3))
+    out = out.select("doc_id", "n_items", F.array_join(F.transform("items", lambda i: i.cast("string")), ",").alias("items"), F.round("overlap", 6).alias("overlap"), "contaminated", (~F.col("contaminated")).alias("kept"))
+    check(out, con, oracles.contamination(5, 0.8))
+    first = out.where(f"doc_id = {len(docs) - 3}").first()
+    assert first["n_items"] == 60
+
+
+def test_decontamination_needs_the_answer(spark):
+    question = " ".join(f"q{i}" for i in range(400))
+    items = spark.createDataFrame([("a-1", f"{question}? the answer is forty two and nothing else"), (None, "an item without any id at all? yes it has none"), ("b", "two words")], "item_id string, text string")
+    df = spark.createDataFrame([(1, " ".join(question.split()[:128])), (2, question), (3, f"{question} the answer is forty two and nothing else"), (4, "x an item without any id at all yes it has none"), (None, "here two words stand")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_items"], r["items"]) for r in find_contamination(df, items).collect()}
+    assert got == {1: (0, []), 2: (0, []), 3: (1, ["a-1"]), 4: (1, [None]), None: (1, ["b"])}
+    assert {r[0] for r in drop_contaminated(df, items).collect()} == {1, 2}
+
+
 def test_decontamination_in_shards(spark, monkeypatch):
     from rimecast.llm import decontaminate
 
@@ -426,6 +474,8 @@ def test_pipeline(spark, docs, nothing, sf, tmp_path):
             out = stage(spark, step, sf)
             if name != "mixing":
                 assert out.columns == step.columns
+                if table is docs:  # columns that the stage might use itself keep their values
+                    assert {tuple(r) for r in out.select("_id", "_key", "_gone", "_text_key", "n_removed", "n_lines", "id", "key", "at").distinct().collect()} == {("x",) * 4 + (7, 7) + ("x",) * 3}
             step = p.materialize(out, "test")
         assert step.count() > 0 or table is nothing
 
