@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rimecast.llm.common import materialize
+from rimecast.llm.common import fresh, materialize
 from rimecast.llm.decontaminate import drop_contaminated
 from rimecast.llm.language_id import accept
 from rimecast.llm.line_dedup import remove_boilerplate
@@ -28,9 +28,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    clean = remove_boilerplate(docs, min_sites=MIN_SITES)
-    left = clean.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    size = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    n_lines, n_removed = fresh(docs.columns, "n_lines", "n_removed")
+    clean = remove_boilerplate(docs, min_sites=MIN_SITES, counts=(n_lines, n_removed))
+    left = clean.where((F.col(n_removed) == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    size = F.when(F.col(n_removed) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", size).select(*docs.columns)
 
 
