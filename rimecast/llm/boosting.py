@@ -78,8 +78,9 @@ class Calibrated:
             of = kind[held] == k
             if of.any():
                 order = np.argsort(-p[of], kind="stable")
-                hit = np.cumsum(t[of][order]) / np.arange(1, of.sum() + 1)
-                good = np.flatnonzero(hit >= precision)
+                hit, sorted_p = np.cumsum(t[of][order]) / np.arange(1, of.sum() + 1), p[of][order]
+                last = np.r_[sorted_p[1:] < sorted_p[:-1], True]  # all rows of one probability come or go together
+                good = np.flatnonzero(last & (hit >= precision))
                 if len(good):
                     self.threshold[k] = max(0.5, p[of][order][good[-1]])
 

@@ -4,8 +4,8 @@ A text is its hashed byte n-grams (letters only, lower case), as square roots of
 stage picks the language family, a second the language within it; both are one-versus-one
 linear support vector machines, the winner having most votes, then the largest sum of margins.
 
-Training uses a bounded sample: about ``PER_LANGUAGE`` labelled documents of each language,
-picked by a hash of the id. Every text is predicted whole. The score is the least logistic
+Training uses a bounded sample: at most ``PER_LANGUAGE`` labelled documents, picked by a hash of id and text, of each
+of at most ``LANGUAGES`` languages (those with most labelled rows). Every text is predicted whole. The score is the least logistic
 margin against the rivals of the two stages, between 0 and 1; a winner of all its duels has 0.5
 or more whatever the text, so the score alone can't tell an unknown language.
 
@@ -25,7 +25,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shipping import ship
@@ -33,7 +33,7 @@ from .arrays import chunks, text_buffers
 
 from .linear import grams, letters, svm
 
-PER_LANGUAGE = 400
+PER_LANGUAGE, LANGUAGES = 400, 64
 LOG2 = 13
 SIZES = (1, 2, 3)
 SLOPE = 3.0
@@ -153,13 +153,18 @@ def _vectors(batches):
 def train(docs: DataFrame, learn: Column) -> Model | None:
     """Fit on a sample of the rows where ``learn`` holds and the language is known."""
     known = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    most = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    counts = {r["lang"]: r["n"] for r in most.collect()}
     if not counts:
         return None
-    place = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 20))
+    place = F.pmod(F.xxhash64("doc_id", "text", F.lit("language")), F.lit(1 << 20))
     rate = F.create_map(*[F.lit(v) for k, n in sorted(counts.items()) for v in (k, min(1 << 20, PER_LANGUAGE * (1 << 20) // n + 1))])
     cut = F.regexp_extract("text", rf"(?s)\p{{L}}.{{0,{CUT - 1}}}", 0).alias("cut")
-    rows = known.where(place < rate[F.col("lang")]).select("lang", "text", cut).mapInArrow(_vectors, "lang string, x binary, cut string").collect()
+    # repeated rows have one place and count once
+    drawn = known.where(place < F.coalesce(rate[F.col("lang")], F.lit(0))).groupBy("lang", "doc_id", F.xxhash64("text").alias("key")).agg(F.first("text").alias("text"))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "key"), "doc_id")
+    drawn = drawn.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= PER_LANGUAGE)
+    rows = drawn.select("lang", "text", cut).mapInArrow(_vectors, "lang string, x binary, cut string").collect()
     if not rows:
         return None
     x = np.stack([np.frombuffer(r["x"], np.float16) for r in rows]).astype(np.float32)

@@ -92,11 +92,13 @@ def svm(x: np.ndarray, y: np.ndarray, cost: float = 20.0) -> np.ndarray:
 
 def logistic(rows: np.ndarray, starts: np.ndarray, scale: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float) -> np.ndarray:
     """Logistic regression on sparse 0/1 features times ``scale``; labels 0 and 1. The last weight is the bias."""
-    n = len(scale)
-    owner = np.repeat(np.arange(len(y)), np.diff(starts))
+    n, sizes = len(scale), np.diff(starts)
+    some = sizes > 0
+    owner = np.repeat(np.arange(len(y), dtype=np.int32), sizes)
 
     def f(w):
-        z = np.bincount(owner, weights=(w[:-1] * scale)[rows], minlength=len(y)) + w[-1]
+        z = np.full(len(y), w[-1])
+        z[some] += np.add.reduceat((w[:-1] * scale)[rows], starts[:-1][some])
         loss = weight * (np.logaddexp(0, z) - y * z)
         g = weight * (1 / (1 + np.exp(-z)) - y)
         return loss.sum() + 0.5 * l2 * (w[:-1] @ w[:-1]), np.r_[np.bincount(rows, weights=g[owner], minlength=n) * scale + l2 * w[:-1], g.sum()]

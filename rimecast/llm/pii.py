@@ -14,7 +14,7 @@ that this module writes itself from a seed: sentences with personal data, and se
 with order numbers, versions, dates, measures and the like in the same formats.
 
 Offsets are code points, ends exclusive. Null and empty texts have no spans. One row per input
-row; other columns are not read.
+row: repeated rows get equal results, null ids are carried through; other columns are not read.
 """
 
 from __future__ import annotations
@@ -322,16 +322,19 @@ def _text(spans) -> str:
 
 
 def find_pii(docs: DataFrame, *, with_redacted: bool = False) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans and, on request, the redacted text."""
+    """doc_id, the base spans' counts n_email, n_ip, n_card, n_phone, base_sha256, spans, n_id and n_secret, n_added (all
+    spans beyond the base ones), n_spans and, on request, the redacted text."""
     spark = docs.sparkSession
     ship(spark)
     model = spark.sparkContext.broadcast(train())
+    base_counts = [f"n_{k}" for k in KINDS[:4]]
+    more = ["n_id", "n_secret", "n_added", "n_spans"]
 
     def run(batches):
         for b in batches:
             texts = b.column(1)
             n = len(texts)
-            counts, digest, spans = np.zeros((4, n), np.int64), [hashlib.sha256(b"").hexdigest()] * n, [""] * n
+            counts, digest, spans = np.zeros((8, n), np.int64), [hashlib.sha256(b"").hexdigest()] * n, [""] * n
             clean = texts.to_pylist() if with_redacted else None
             for i in range(n):
                 text = texts[i].as_py()
@@ -343,14 +346,19 @@ def find_pii(docs: DataFrame, *, with_redacted: bool = False) -> DataFrame:
                 digest[i] = hashlib.sha256(_text(base).encode()).hexdigest()
                 every = all_spans(text, base, model.value)
                 spans[i] = _text(every)
+                for _, k, _ in every:
+                    if k >= 4:
+                        counts[k, i] += 1
+                counts[6:, i] = len(every) - len(base), len(every)
                 if clean is not None:
                     clean[i] = redact(text, every)
-            columns = [b.column(0), *map(pa.array, counts), pa.array(digest, pa.string()), pa.array(spans, pa.string())]
-            names = ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]
+            columns = [b.column(0), *map(pa.array, counts[:4]), pa.array(digest, pa.string()), pa.array(spans, pa.string()), *map(pa.array, counts[4:])]
+            names = ["doc_id", *base_counts, "base_sha256", "spans", *more]
             if clean is not None:
                 columns, names = [*columns, pa.array(clean, pa.string())], [*names, "redacted"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string" + ", redacted string" * with_redacted
+    numbers = lambda names: ", ".join(f"{c} long" for c in names)
+    schema = f"doc_id {kind}, {numbers(base_counts)}, base_sha256 string, spans string, {numbers(more)}" + ", redacted string" * with_redacted
     return docs.select(F.col("doc_id"), "text").mapInArrow(run, schema)

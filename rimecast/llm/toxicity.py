@@ -2,11 +2,11 @@
 
 A text is the set of its hashed byte n-grams (letters only, lower case, words set off by
 spaces). From labelled documents each n-gram gets its log-count ratio between toxic and other
-documents; the n-grams that mark toxic documents most (``FEATURES_EACH`` for each toxic document) are scaled by it, and a logistic
+documents; all n-grams of at least ``LEAST_DOCS`` labelled documents, of either sign, are scaled by it, and a logistic
 regression on them gives the score, calibrated to the share of toxic labels.
 
-Training uses a bounded sample of labelled rows, about ``PER_CLASS`` of each class, picked by a
-hash of the id. Every text is scored whole. Null or empty texts get the score of the bias. Labels
+Training uses at most ``PER_CLASS`` labelled documents of each class, those with the smallest hashes of their
+ids; of rows that repeat an id, one text counts. Every text is scored whole. Null or empty texts get the score of the bias. Labels
 that are null or belong to no document are not used, several labels of one id count as their
 largest. Without labels of both classes the score is the share of toxic labels (0 if none).
 """
@@ -23,11 +23,9 @@ from .arrays import chunks, text_buffers
 from .common import materialize
 from .linear import grams, letters, logistic
 
-PER_CLASS = 3000
+PER_CLASS = 1500
 LOG2 = 20
 SIZES = (4, 5, 6)
-#: Features at most, and for each toxic document of the sample.
-FEATURES, FEATURES_EACH = 30_000, 10
 LEAST_DOCS = 4
 L2 = 1.0
 _SAMPLE_PARTS = 8
@@ -53,7 +51,7 @@ def feature_sets(data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray | Non
 
 
 def _document_counts(batches):
-    counts = np.zeros((2, 1 << LOG2), np.uint16)
+    counts = np.zeros((2, 1 << LOG2), np.uint32)
     for b in batches:
         data, offsets = text_buffers(b.column(1))
         label = b.column(0).to_numpy(zero_copy_only=False)
@@ -85,22 +83,22 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str) ->
     nothing = np.zeros(1 << LOG2, np.float32), float(prior)
     if not 0 < share < 1:
         return nothing
-    place = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 20))
-    rate = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1 << 20, PER_CLASS * (1 << 20) // n + 1))])
-    picked = known.where(place < rate[F.col("label")])  # bounded by PER_CLASS, so it can be broadcast
-    sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("label", "text")
-    sample = materialize(sample.repartition(_SAMPLE_PARTS), "labelled-sample")
+    picked = None
+    for c in (0, 1):  # the smallest hashes of each class
+        part = known.where(F.col("label") == c).orderBy(F.xxhash64("doc_id", F.lit("toxicity")), "doc_id").limit(PER_CLASS)
+        picked = part if picked is None else picked.unionByName(part)
+    picked = materialize(picked, "labelled-ids")
+    sample = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    sample = materialize(sample.select("label", "text").repartition(_SAMPLE_PARTS), "labelled-sample")
     both = np.zeros((2, 1 << LOG2), np.int64)
     for r in sample.mapInArrow(_document_counts, "counts binary").toLocalIterator():
-        both += np.frombuffer(r["counts"], np.uint16).reshape(2, -1)
+        both += np.frombuffer(r["counts"], np.uint32).reshape(2, -1)
     df = both.sum(axis=0)
     ratio = np.log((both[1] + 1) / (both[1] + 1).sum()) - np.log((both[0] + 1) / (both[0] + 1).sum())
-    strength = np.where((df >= LEAST_DOCS) & (ratio > 0), ratio * np.sqrt(df), -1.0)
-    toxic = sample.where("label = 1").count()
-    best = np.argsort(-strength, kind="stable")[: min(FEATURES, FEATURES_EACH * toxic)]
-    best = np.sort(best[strength[best] > 0])
-    wanted = np.zeros(1 << LOG2, bool)
-    wanted[best] = True
+    wanted = df >= LEAST_DOCS
+    best = np.flatnonzero(wanted)
+    if not len(best):
+        return nothing
     rows = sample.mapInArrow(_sparse_rows(spark.sparkContext.broadcast(wanted)), "label int, codes binary").collect()
     y = np.array([r["label"] for r in rows], np.float64)
     if not 0 < y.sum() < len(y):

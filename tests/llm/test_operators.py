@@ -44,6 +44,32 @@ def test_token_counts(docs, nothing, rows):
     assert count_tokens(nothing, tokenizer_file()).count() == 0
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "piece_bpe_32k.model", "word_bpe_49k.json"])
+def test_token_counts_of_any_vocabulary(docs, rows, name):
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    path = tokenizer_file(name)
+    if name.endswith(".model"):
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        size = lambda t: len(model.encode(t))
+    else:
+        t = Tokenizer.from_file(path)
+        size = lambda x: len(t.encode(x, add_special_tokens=False).ids)
+    assert bag(count_tokens(docs, path), "doc_id", "n_tokens") == Counter((i, size(text or "")) for i, text, *_ in rows)
+
+
+def test_token_counts_of_odd_texts():
+    """Texts that only the library can cut, pieces by pieces, as it encodes them whole."""
+    from rimecast.llm.token_counts import _Lengths
+
+    odd = ["x<|endoftext|>y <|startoftext|>", "ﬁne Ⅷ straße İstanbul ΑΣ Σας", "한국어 텍스트 日本語ひらがな カタカナ", "a\u0301e\u0327 o\u0308", "\u200b\u2028\x85\x1c x", "😀👩‍👩‍👧 it's I'M we'LL", " ", "", "\0 a\0b", "ǆ ǅ Ǆ ŉ ῼ", "12.5 ½ ²", "a" * 500 + "b c"]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        lengths = _Lengths(tokenizer_file(name), {})
+        for text in odd + ["\n".join(odd)]:
+            assert lengths.count(text) == lengths.encode(text), (name, text)
+
+
 PATTERNS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
 
 
