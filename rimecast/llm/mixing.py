@@ -10,11 +10,12 @@ nodes, in whole tokens (decimals), so no loop and no driver state is needed.
 
 Selection: a leaf's budget is spent on whole epochs and then a prefix of one more. Epoch
 ``e`` orders the leaf's documents by a seeded digest; documents are taken while the running
-sum of tokens stays within the rest. The running sum works by slots of the digest first, so
-that only one slot of a leaf is ever sorted, however large the leaf.
+sum of tokens stays within the rest. The running sum goes down the digest's leading characters: at each of
+``SLOT_LEVELS`` levels the 256 slots of the slot in which the prefix ends are summed up, so that only one of
+some 16 million slots of a leaf is ever sorted: 600 rows of a leaf of ten billion.
 
-A document's tokens are its words; a null or empty text has none, is never selected and
-counts nowhere. Null domains, languages or sources form leaves of their own (''), and weights
+A document's tokens are its words, or what the column ``tokens`` says (null: 0); a document without any, as one with a null
+or empty text, is never selected and counts nowhere. Null domains, languages or sources form leaves of their own (''), and weights
 default to 1. Repeated rows are each a document with the same place in the order: their tokens
 are taken together or not at all.
 """
@@ -28,7 +29,8 @@ from .common import materialize
 
 LEVELS = ("domain", "lang", "source")
 _WIDE = "decimal(38,0)"
-SLOT_CHARS = 3
+#: Levels of slots, and characters of the digest in each.
+SLOT_LEVELS, SLOT_CHARS = 3, 2
 
 
 def default_domain(source: Column) -> Column:
@@ -98,14 +100,15 @@ def _few(leaves: DataFrame) -> DataFrame:
 
 
 def mix_sources(
-    docs: DataFrame, *, weights: dict[str, dict[str, int]], share: tuple[int, int] = (1, 2), max_epochs: int = 4, seed: int = 17
+    docs: DataFrame, *, weights: dict[str, dict[str, int]], share: tuple[int, int] = (1, 2), max_epochs: int = 4, seed: int = 17, tokens: Column | None = None
 ) -> DataFrame:
     """Selected rows (doc_id, domain, lang, source, n_tokens, epoch): one for each epoch that takes a document.
 
     The total budget is ``share`` (numerator, denominator) of all tokens.
     """
     source = F.coalesce("source", F.lit(""))
-    rows = docs.select("doc_id", default_domain(F.col("source")).alias("domain"), F.coalesce("lang", F.lit("")).alias("lang"), source.alias("source"), n_words(F.col("text")).alias("n_tokens"))
+    size = n_words(F.col("text")) if tokens is None else tokens.cast("long")
+    rows = docs.select("doc_id", default_domain(F.col("source")).alias("domain"), F.coalesce("lang", F.lit("")).alias("lang"), source.alias("source"), size.alias("n_tokens"))
     rows = materialize(rows.where("n_tokens > 0"), "token-counts")
     leaves = rows.groupBy(*LEVELS).agg(F.sum("n_tokens").cast(_WIDE).alias("tokens")).withColumn("cap", (F.col("tokens") * max_epochs).cast(_WIDE))
     leaves = materialize(leaves, "leaves")
@@ -113,18 +116,28 @@ def mix_sources(
     plan = budgets(leaves, F.lit(int(whole) * share[0] // share[1]), weights)
     plan = plan.withColumn("epochs", _floor_div(F.col("budget"), F.col("tokens")).cast("int")).withColumn("rest", (F.col("budget") % F.col("tokens")).cast("long"))
     plan = materialize(plan.select(*LEVELS, "epochs", "rest"), "budgets")
-    placed = rows.join(_few(plan), list(LEVELS)).withColumn("place", digest(seed, F.col("epochs"), F.col("doc_id")))
-    placed = placed.withColumn("slot", F.substring("place", 1, SLOT_CHARS))
-    slots = placed.groupBy(*LEVELS, "slot").agg(F.sum("n_tokens").alias("sum"), F.first("rest").alias("rest"))
-    upto = Window.partitionBy(*LEVELS).orderBy("slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    slots = slots.withColumn("end", F.sum("sum").over(upto))
-    # slots that fit wholly, then the one slot of each leaf in which the prefix ends
-    fits, edge = F.col("end") <= F.col("rest"), (F.col("end") > F.col("rest")) & (F.col("end") - F.col("sum") < F.col("rest"))
-    cuts = slots.groupBy(*LEVELS).agg(F.max(F.when(fits, F.col("slot"))).alias("fit"), F.max(F.when(edge, F.col("slot"))).alias("edge"), F.max(F.when(edge, F.col("end") - F.col("sum"))).alias("start"))
-    placed = placed.join(_few(materialize(cuts, "cuts")), list(LEVELS))
     names = ["doc_id", *LEVELS, "n_tokens"]
+    placed = rows.join(_few(plan), list(LEVELS))
+    chosen = placed.where("epochs > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("epochs") - 1))).select(*names, "epoch")
+    open_ = placed.where("rest > 0").withColumn("place", digest(seed, F.col("epochs"), F.col("doc_id")))
+    for level in range(SLOT_LEVELS):
+        fits, open_ = _by_slots(open_, 1 + level * SLOT_CHARS)
+        chosen = chosen.unionByName(fits.select(*names, F.col("epochs").alias("epoch")))
+        open_ = materialize(open_, "edge-slots")
     run = Window.partitionBy(*LEVELS).orderBy("place").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    cut = placed.where("slot = edge").withColumn("sofar", F.col("start") + F.sum("n_tokens").over(run)).where("sofar <= rest")
-    last = placed.where("slot <= fit").select(*names, "epochs").unionByName(cut.select(*names, "epochs"))
-    full = placed.where("epochs > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("epochs") - 1)))
-    return full.select(*names, "epoch").unionByName(last.select(*names, F.col("epochs").alias("epoch")))
+    last = open_.withColumn("sofar", F.sum("n_tokens").over(run)).where("sofar <= rest")
+    return chosen.unionByName(last.select(*names, F.col("epochs").alias("epoch")))
+
+
+def _by_slots(rows: DataFrame, at: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of the slots that fit wholly into the rest, and rows of the one slot of each leaf in which it ends, with what is left of it."""
+    rows = rows.withColumn("slot", F.substring("place", at, SLOT_CHARS))
+    slots = rows.groupBy(*LEVELS, "slot").agg(F.sum("n_tokens").alias("sum"), F.first("rest").alias("rest"))
+    upto = Window.partitionBy(*LEVELS).orderBy("slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    slots = slots.withColumn("end", F.sum("sum").over(upto))
+    before = F.col("end") - F.col("sum")
+    fits, edge = F.col("end") <= F.col("rest"), (F.col("end") > F.col("rest")) & (before < F.col("rest"))
+    cuts = slots.groupBy(*LEVELS).agg(F.max(F.when(fits, F.col("slot"))).alias("fit"), F.max(F.when(edge, F.col("slot"))).alias("edge"), F.max(F.when(edge, before)).alias("start"))
+    cut = rows.join(_few(materialize(cuts, "cuts")), list(LEVELS))
+    ends = cut.where("slot = edge").withColumn("rest", F.col("rest") - F.col("start"))
+    return cut.where("slot <= fit"), ends.drop("slot", "fit", "edge", "start")

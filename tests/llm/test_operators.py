@@ -277,6 +277,49 @@ def test_mixing_sql(spark, plain_rows):
         check(mix_sources(df, **mix), _view(plain_rows), "WITH " + oracles.mixing("documents", **mix) + " SELECT * FROM mixed")
 
 
+def test_mixing_against_brute_force(spark):
+    """Budgets by pouring tokens in one by one level after another, prefixes by sorting."""
+    import random
+    from fractions import Fraction
+
+    rng = random.Random(8)
+    rows = [(i, "x", rng.choice("en de fr es".split()), f"src{min(rng.randrange(30), rng.randrange(30))}", rng.randrange(0, 60)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, size int")
+    weights, share, epochs = {"domain": {"web": 4, "books": 3}, "lang": {"en": 6, "de": 2}, "source": {"src3": 9}}, (5, 3), 3
+    leaves = defaultdict(list)
+    for i, _, lang, source, n in rows:
+        if n:
+            leaves[("web books code news".split()[int(source[3:]) % 4], lang, source)].append((i, n))
+
+    def pour(amount, caps, w):
+        """Shares by weight; what overflows a full child goes to its siblings."""
+        got, left = dict.fromkeys(caps, Fraction(0)), Fraction(amount)
+        while left > 0 and (open_ := [c for c in caps if got[c] < caps[c]]):
+            step = min(min((caps[c] - got[c]) / Fraction(w[c]) for c in open_), left / sum(w[c] for c in open_))
+            for c in open_:
+                got[c] += step * w[c]
+            left -= step * sum(w[c] for c in open_)
+        return {c: int(x) for c, x in got.items()}
+
+    cap = lambda prefix: sum(n for k, v in leaves.items() if k[: len(prefix)] == prefix for _, n in v) * epochs
+    given = {(): min(sum(n for v in leaves.values() for _, n in v) * share[0] // share[1], cap(()))}
+    for depth, level in enumerate(("domain", "lang", "source")):
+        nodes = {k[: depth + 1] for k in leaves}
+        given = {c: b for p, amount in given.items() for kids in [[k for k in nodes if k[:depth] == p]] for c, b in pour(amount, {k: cap(k) for k in kids}, {k: weights[level].get(k[-1], 1) for k in kids}).items()}
+    want = Counter()
+    for leaf, held in leaves.items():
+        whole = sum(n for _, n in held)
+        e, rest = divmod(given[leaf], whole)
+        want.update((i, k) for i, _ in held for k in range(e))
+        for i, n in sorted(held, key=lambda x: hashlib.md5(f"17:{e}:{x[0]}".encode()).hexdigest()):
+            rest -= n
+            if rest < 0:
+                break
+            want[(i, e)] += 1
+    got = bag(mix_sources(df, weights=weights, share=share, max_epochs=epochs, tokens=F.col("size")), "doc_id", "epoch")
+    assert got == want
+
+
 def test_mixing_rows(docs, nothing, rows):
     all_of_it = mix_sources(docs, weights={}, share=(1, 1), max_epochs=1)
     assert all_of_it.count() == sum(bool(WORD.search(r[1] or "")) for r in rows)
