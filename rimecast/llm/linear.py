@@ -90,17 +90,27 @@ def svm(x: np.ndarray, y: np.ndarray, cost: float = 20.0) -> np.ndarray:
     return minimize(f, np.zeros(x.shape[1] + 1))
 
 
-def logistic(rows: np.ndarray, starts: np.ndarray, scale: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float) -> np.ndarray:
-    """Logistic regression on sparse 0/1 features times ``scale``; labels 0 and 1. The last weight is the bias."""
-    n, sizes = len(scale), np.diff(starts)
-    some = sizes > 0
-    owner = np.repeat(np.arange(len(y), dtype=np.int32), sizes)
+def logistic(sets: list[np.ndarray], scale: np.ndarray, y: np.ndarray, weight: np.ndarray, l2: float, block: int = 1 << 20) -> np.ndarray:
+    """Logistic regression on sparse 0/1 features (positions, one array a row) times ``scale``; labels 0 and 1. The last weight is the bias.
+
+    Rows are taken in blocks of about ``block`` positions, which bounds what is held beside them.
+    """
+    n, sizes = len(scale), np.array([len(s) for s in sets])
+    starts = np.r_[0, np.cumsum(sizes)]
+    cuts = np.unique(np.r_[np.searchsorted(starts, np.arange(0, starts[-1] + 1, block)), len(sets)])
+    parts = [(lo, hi, np.concatenate(sets[lo:hi]).astype(np.int32), starts[lo:hi] - starts[lo], sizes[lo:hi]) for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+    sets.clear()
 
     def f(w):
-        z = np.full(len(y), w[-1])
-        z[some] += np.add.reduceat((w[:-1] * scale)[rows], starts[:-1][some])
-        loss = weight * (np.logaddexp(0, z) - y * z)
-        g = weight * (1 / (1 + np.exp(-z)) - y)
-        return loss.sum() + 0.5 * l2 * (w[:-1] @ w[:-1]), np.r_[np.bincount(rows, weights=g[owner], minlength=n) * scale + l2 * w[:-1], g.sum()]
+        scaled, loss, slope, bias = w[:-1] * scale, 0.0, np.zeros(n), 0.0
+        for lo, hi, rows, at, size in parts:
+            z, some = np.full(hi - lo, w[-1]), size > 0
+            if len(rows):
+                z[some] += np.add.reduceat(scaled[rows], at[some])
+            loss += (weight[lo:hi] * (np.logaddexp(0, z) - y[lo:hi] * z)).sum()
+            g = weight[lo:hi] * (1 / (1 + np.exp(-z)) - y[lo:hi])
+            slope += np.bincount(rows, weights=np.repeat(g, size), minlength=n)
+            bias += g.sum()
+        return loss + 0.5 * l2 * (w[:-1] @ w[:-1]), np.r_[slope * scale + l2 * w[:-1], bias]
 
     return minimize(f, np.zeros(n + 1))

@@ -2,8 +2,8 @@
 
 A text is the set of its hashed byte n-grams (letters only, lower case, words set off by
 spaces). From labelled documents each n-gram gets its log-count ratio between toxic and other
-documents; all n-grams of at least ``LEAST_DOCS`` labelled documents, of either sign, are scaled by it, and a logistic
-regression on them gives the score, calibrated to the share of toxic labels.
+documents; all n-grams of at least ``LEAST_DOCS`` labelled documents, of either sign, are scaled by it (drawn towards 0
+where few documents speak for it), and a logistic regression on them gives the score, calibrated to the share of toxic labels.
 
 Training uses at most ``PER_CLASS`` labelled documents of each class, those with the smallest hashes of their
 ids; of rows that repeat an id, one text counts. Every text is scored whole. Null or empty texts get the score of the bias. Labels
@@ -26,8 +26,10 @@ from .linear import grams, letters, logistic
 PER_CLASS = 1500
 LOG2 = 20
 SIZES = (4, 5, 6)
-LEAST_DOCS = 4
-L2 = 1.0
+LEAST_DOCS = 8
+#: An n-gram of so many documents has its ratio multiplied by the square root of a half.
+DRAWN = 20
+L2 = 0.3
 _SAMPLE_PARTS = 8
 
 
@@ -93,20 +95,21 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str) ->
     both = np.zeros((2, 1 << LOG2), np.int64)
     for r in sample.mapInArrow(_document_counts, "counts binary").toLocalIterator():
         both += np.frombuffer(r["counts"], np.uint32).reshape(2, -1)
+    sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     df = both.sum(axis=0)
-    ratio = np.log((both[1] + 1) / (both[1] + 1).sum()) - np.log((both[0] + 1) / (both[0] + 1).sum())
     wanted = df >= LEAST_DOCS
     best = np.flatnonzero(wanted)
-    if not len(best):
+    if len(sizes) < 2 or not len(best):
         return nothing
-    rows = sample.mapInArrow(_sparse_rows(spark.sparkContext.broadcast(wanted)), "label int, codes binary").collect()
-    y = np.array([r["label"] for r in rows], np.float64)
-    if not 0 < y.sum() < len(y):
-        return nothing
-    sets = [np.searchsorted(best, np.frombuffer(r["codes"], np.int32)) for r in rows]
-    starts = np.r_[0, np.cumsum([len(s) for s in sets])]
+    log = [np.log((both[c] + 1) / (sizes[c] + 2)) for c in (0, 1)]
+    ratio = (log[1] - log[0]) * np.sqrt(df / (df + DRAWN))
+    place, y, sets = np.cumsum(wanted, dtype=np.int32) - 1, [], []
+    for r in sample.mapInArrow(_sparse_rows(spark.sparkContext.broadcast(wanted)), "label int, codes binary").toLocalIterator():
+        y.append(r["label"])
+        sets.append(place[np.frombuffer(r["codes"], np.int32)])
+    y = np.array(y, np.float64)
     weight = np.where(y > 0, share * len(y) / y.sum(), (1 - share) * len(y) / (len(y) - y.sum()))
-    w = logistic(np.concatenate(sets).astype(np.int64), starts, ratio[best], y, weight, L2)
+    w = logistic(sets, ratio[best], y, weight, L2)
     table = np.zeros(1 << LOG2, np.float32)
     table[best] = w[:-1] * ratio[best]
     return table, float(w[-1])
