@@ -21,7 +21,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--lookback-days", type=int, default=2)
     p.add_argument("--chunk-size", type=int, default=2)
     p.add_argument("--workers", type=int, default=4)
-    p.add_argument("--document-root", help="folder for summary.json and monitoring.json")
+    p.add_argument("--document-root", help="folder for summary.json and monitoring.json in place of _documents in the output root")
     p.add_argument("--summary-json")
     p.add_argument("--monitoring-json")
     p.add_argument("--max-wall-s", type=float)

@@ -22,6 +22,11 @@ def parse_step(text: Column) -> Column:
     )
 
 
+def field_step(end_step: Column, step: Column) -> Column:
+    """The step of a field: the end of its interval, or else its step, whichever can be read first."""
+    return F.coalesce(parse_step(end_step), parse_step(step))
+
+
 def member_kind(member: Column) -> Column:
     """cf for the control member, pf for others, NULL for what isn't three digits."""
     return F.when(member == "000", "cf").when(member.rlike(r"^\d{3}$"), "pf")

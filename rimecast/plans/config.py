@@ -31,7 +31,7 @@ def parse_members(text: str, model: str) -> tuple[str, ...]:
 
 @dataclass(frozen=True)
 class RunConfig:
-    """A validated run. ``workers`` and ``prefetch`` are accepted for compatible calls; Spark schedules."""
+    """A validated run: ``workers`` members at a time; ``chunk_size`` and ``prefetch`` are accepted for compatible calls, Spark schedules."""
 
     model: str
     members: tuple[str, ...] | None = None
@@ -41,6 +41,7 @@ class RunConfig:
     chunk_size: int = 2
     workers: int = 4
     prefetch: bool = True
+    full_levels: int = C.FULL_LEVELS
 
     def __post_init__(self):
         known = members_of(self.model)
@@ -53,7 +54,7 @@ class RunConfig:
         object.__setattr__(self, "max_step", C.MODELS[self.model][1] if self.max_step is None else self.max_step)
         if self.max_step < 0:
             raise ValueError(f"max_step must not be negative, got {self.max_step}")
-        for name in ("chunk_size", "workers"):
+        for name in ("chunk_size", "workers", "full_levels"):
             if getattr(self, name) <= 0:
                 raise ValueError(f"{name} must be positive, got {getattr(self, name)}")
         if not math.isfinite(self.threshold_mm) or self.threshold_mm < 0:

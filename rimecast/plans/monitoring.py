@@ -67,8 +67,38 @@ def missing_outputs(processed: DataFrame, max_step: int, written: DataFrame) ->
     return wanted.join(written.select("member", "step").distinct(), ["member", "step"], "left_anti")
 
 
-def alert_table(results: DataFrame, expected_steps: int) -> DataFrame:
-    """Alerts of many members at once: rows (code, n_members, members) from member, failed, steps, written."""
+def missing_paths(spark, summary: dict) -> list[str]:
+    """Folders of steps that processed members should have and that aren't there or hold no file; outputs aren't read."""
+    from ..sources.sinks import RUN_KEYS, _Files
+
+    root = str(summary["output_root"]).rstrip("/")
+    files, lost = _Files(spark, root), []
+    for m in summary["processed_members"]:
+        base = "/".join([root, *(f"{k}={v}" for k, v in zip(RUN_KEYS, (summary["model"], summary["date"], summary["time"], m), strict=True))])
+        there = {s.getPath().getParent().getName() for s in files.fs.globStatus(files.make(f"{base}/step=*/*.parquet")) or []}
+        lost += [f"{base}/step={k}" for k in range(summary["max_step"] + 1) if f"step={k}" not in there]
+    return lost
+
+
+def alert_table(results: DataFrame, expected_steps: int, *, asked: DataFrame | None = None, written: DataFrame | None = None, wall: DataFrame | None = None, max_wall_s: float | None = None) -> DataFrame:
+    """Alerts of many members at once: rows (code, n_members, members), members sorted and comma-joined.
+
+    ``results``: member, failed, steps, written and, if known, the fatal quality counters (NULL: 0). With ``asked`` (member) those
+    without a result are found, with ``written`` (member, step) the processed ones that lack outputs, and with ``wall`` (wall_s, one
+    row a run) and ``max_wall_s`` the runs that took too long (they have no members).
+    """
     short = ~F.col("failed") & ((F.coalesce("steps", F.lit(-1)) != expected_steps) | (F.coalesce("written", F.lit(-1)) != expected_steps))
-    rows = results.select("member", F.explode(F.array_compact(F.array(F.when(F.col("failed"), "failed_members"), F.when(short, "incomplete_member_outputs")))).alias("code"))
-    return rows.groupBy("code").agg(F.count("*").alias("n_members"), F.concat_ws(",", F.sort_array(F.collect_list("member"))).alias("members"))
+    counters = [c for c in C.FATAL_COUNTERS if c in results.columns]
+    fatal = [F.when(~F.col("failed") & (sum((F.coalesce(c, F.lit(0)) for c in counters), F.lit(0)) > 0), "fatal_data_quality")] if counters else []
+    kinds = F.array_compact(F.array(F.when(F.col("failed"), "failed_members"), F.when(short, "incomplete_member_outputs"), *fatal))
+    rows = results.select("member", F.explode(kinds).alias("code"))
+    if asked is not None:
+        rows = rows.unionByName(unaccounted(asked, results, results.limit(0)).select("member", F.lit("missing_member_results").alias("code")))
+    if written is not None:
+        lost = missing_outputs(results.where(~F.col("failed")), expected_steps - 1, written).select("member").distinct()
+        rows = rows.unionByName(lost.select("member", F.lit("missing_output_files").alias("code")))
+    out = rows.groupBy("code").agg(F.count("*").alias("n_members"), F.concat_ws(",", F.sort_array(F.collect_list("member"))).alias("members"))
+    if wall is not None and max_wall_s is not None:
+        late = wall.where(F.col("wall_s") > max_wall_s).limit(1).select(F.lit("wall_clock_exceeded").alias("code"), F.lit(0).cast("long").alias("n_members"), F.lit("").alias("members"))
+        out = out.unionByName(late)
+    return out

@@ -127,4 +127,9 @@ h AS (SELECT user_id AS cell_id, (day(ts) - 1) * 24 + hour(ts) AS step, sum(valu
 g AS (SELECT a.cell_id, b.step FROM (SELECT DISTINCT cell_id FROM h) a CROSS JOIN (SELECT DISTINCT step FROM h) b),
 acc AS (SELECT g.cell_id, g.step, sum(coalesce(h.inc, 0.0e0)) OVER (PARTITION BY g.cell_id ORDER BY g.step) AS tot_prec FROM g LEFT JOIN h ON g.cell_id = h.cell_id AND g.step = h.step)"""
 
+#: Levels of the derived run above its vertical cut, each member, step and cell under one number.
+RUN_COLUMNS = COLUMNS.replace("levels AS (", "base AS (") + """,
+levels AS (SELECT CAST(m AS BIGINT) * 1000000000 + s * 500000000 + cell_id AS cell_id, lev, height_m, temperature_k + 2.0e0 * m - 1.5e0 * s AS temperature_k, pressure_pa, specific_humidity, total_precip_mm, ground_temperature_c + 0.25e0 - s AS ground_temperature_c
+  FROM base, (VALUES (0), (1), (2)) ms(m), (VALUES (0), (1)) ss(s) WHERE height_m <= 9000)"""
+
 EMBEDDED = "levels AS (SELECT vec_id, i - 1 AS lev, 12000.0e0 - 187.5e0 * (i - 1) AS height_m, 20.0e0 * CAST(embedding[i] AS DOUBLE) AS wet_bulb_c FROM embeddings, range(1, 65) r(i))"

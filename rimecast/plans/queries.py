@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -11,12 +10,17 @@ from pyspark.sql import functions as F
 
 from ..functions import classify, guards, thermo, tokens
 from ..functions import constants as C
-from ..operators import align, diagnose, energy, kernel, layers, quality, temporal, validate, vertical
+from ..operators import align, blocks, diagnose, energy, kernel, layers, quality, temporal, validate, vertical
+from ..scratch import shared_dir
 from ..sources import fixtures as fx
+from ..sources.field_store import FieldStore, write_fields
+from ..sources.sinks import read_categorical
 from ..sources.synthetic import synthetic_arrays, synthetic_levels
 from ..streaming.deaccumulate import replay
 from . import catalog, monitoring
 from . import oracles as O
+from . import run as runs
+from .config import RunConfig
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -189,8 +193,7 @@ def _hours(spark, sf_dir) -> DataFrame:
 )
 def deaccumulate_stream(spark, sf_dir):
     """The whole table through the streaming operator, out of order."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="rimecast-")
-    return replay(_hours(spark, sf_dir), f"{base}/stream-{uuid.uuid4().hex}").select("cell_id", "step", r6("total_precip_mm"))
+    return replay(_hours(spark, sf_dir), f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}").select("cell_id", "step", r6("total_precip_mm"))
 
 
 @query(
@@ -396,14 +399,98 @@ def missing_outputs(spark, sf_dir):
     return monitoring.missing_outputs(seen.select("member").distinct(), 719, seen)
 
 
+_ALERTS = (
+    f"WITH {_SEEN}, w AS (SELECT member, count(*) AS written FROM seen GROUP BY member), r AS (SELECT member, member = 'error' AS failed, count(DISTINCT day(ts)) AS steps, count(*) FILTER (WHERE value > 3 * (SELECT avg(value) FROM events)) AS bad"
+    " FROM events WHERE event_type <> 'click' GROUP BY member), m(member) AS (SELECT DISTINCT event_type FROM events),"
+    " a AS (SELECT member, 'failed_members' AS code FROM r WHERE failed UNION ALL SELECT member, 'incomplete_member_outputs' FROM r JOIN w USING (member) WHERE NOT failed AND (steps <> 720 OR written <> 720)"
+    " UNION ALL SELECT member, 'fatal_data_quality' FROM r WHERE NOT failed AND bad > 0 UNION ALL SELECT member, 'missing_member_results' FROM m ANTI JOIN r USING (member)"
+    " UNION ALL SELECT member, 'missing_output_files' FROM r JOIN w USING (member) WHERE NOT failed AND written < 720)"
+    " SELECT code, count(*) AS n_members, string_agg(member, ',' ORDER BY member) AS members FROM a GROUP BY code UNION ALL SELECT 'wall_clock_exceeded', 0, '' FROM (SELECT sum(value) AS s FROM events) WHERE s > 1000"
+).replace("member = 'error' AS failed", "event_type = 'error' AS failed").replace("(SELECT member, event_type", "(SELECT event_type AS member, event_type")
+
+
+@query(_ALERTS)
+def alerts(spark, sf_dir):
+    """All six kinds: members are event types, steps their days, outputs their hours."""
+    e = fx.table(spark, sf_dir, "events")
+    limit = e.agg(F.avg("value").alias("mean"))
+    bad = F.count_if(F.col("value") > 3 * F.col("mean")).alias(C.FATAL_COUNTERS[0])
+    seen = _seen(spark, sf_dir)
+    r = e.where("event_type <> 'click'").join(F.broadcast(limit)).groupBy(F.col("event_type").alias("member")).agg(F.countDistinct(F.dayofmonth("ts")).alias("steps"), bad)
+    r = r.join(seen.groupBy("member").agg(F.count("*").alias("written")), "member").withColumn("failed", F.col("member") == "error")
+    asked = e.select(F.col("event_type").alias("member")).distinct()
+    return monitoring.alert_table(r, 720, asked=asked, written=seen, wall=e.agg(F.sum("value").alias("wall_s")), max_wall_s=1000.0)
+
+
+# whole runs
+
+_RUN_CODES = O.ptype(O.RUN_COLUMNS) + ", cells AS (SELECT lpad(CAST(cell_id // 1000000000 AS VARCHAR), 3, '0') AS member, CAST(cell_id % 1000000000 // 500000000 AS INTEGER) AS step, cell_id % 500000000 AS cell_id, ptype FROM codes) "
+
+
+def _run_twice(spark, sf_dir) -> tuple[str, dict]:
+    """A run over the derived store, done a second time with all its members at once: its outputs' root and its summary."""
+    base = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+    write_fields(fx.run_fields(spark, sf_dir), f"{base}/store")
+    config = RunConfig(fx.RUN["model"], fx.RUN_MEMBERS, fx.RUN_STEPS - 1, cutoff_m=9000.0, full_levels=fx.RUN_LEVELS)
+    ask = {"run_date": fx.RUN["run_date"], "run_time": fx.RUN["run_time"], "check_outputs": True, "max_wall_s": 1e6}
+    runs.run(spark, f"{base}/store", f"{base}/out", config, **ask)
+    return f"{base}/out", runs.run(spark, f"{base}/store", f"{base}/out", config, **ask)
+
+
+@query(_RUN_CODES + "SELECT member, step, CAST(cell_id AS BIGINT) AS cell_id, ptype, 502712 AS param_id FROM cells")
+def run_outputs(spark, sf_dir):
+    """Outputs after a run and its repetition, several members at a time: catalogue, fields, levels, blocks, gate and sink."""
+    root, _ = _run_twice(spark, sf_dir)
+    return read_categorical(spark, root).select("member", "step", "cell_id", "ptype", "param_id")
+
+
 @query(
-    f"WITH {_SEEN}, r AS (SELECT member, member = 'error' AS failed, count(*) AS steps FROM seen GROUP BY member),"
-    " a AS (SELECT member, 'failed_members' AS code FROM r WHERE failed UNION ALL SELECT member, 'incomplete_member_outputs' FROM r WHERE NOT failed AND steps <> 720)"
-    " SELECT code, count(*) AS n_members, string_agg(member, ',' ORDER BY member) AS members FROM a GROUP BY code"
+    "SELECT m.member, CASE WHEN m.member = '000' THEN 'cf' ELSE 'pf' END AS type, nullif(CAST(m.member AS INTEGER), 0) AS number, 2 AS steps, 2 AS written, 15 AS retained_full_levels, CAST(2 * count(*) AS BIGINT) AS total_columns,"
+    " CAST(2 * count(*) FILTER (WHERE NOT (o_orderkey % 10 < 3) AND o_totalprice % 100.0e0 > 0) AS BIGINT) AS active_columns, CAST(0 AS BIGINT) AS invalid_profile_columns, 'ok' AS status, 0 AS recommended_exit_code"
+    " FROM orders, (VALUES ('000'), ('001'), ('002')) m(member) GROUP BY m.member"
 )
-def alerts(spark, sf_dir):
-    r = _seen(spark, sf_dir).groupBy("member").agg(F.count("*").alias("steps")).withColumns({"written": F.col("steps"), "failed": F.col("member") == "error"})
-    return monitoring.alert_table(r, 720)
+def run_summary(spark, sf_dir):
+    """What the summary says of each member, and the monitoring of the run."""
+    _, s = _run_twice(spark, sf_dir)
+    status = s["monitoring"]
+    rows = [
+        (m, r["run"]["type"], r["run"]["number"], r["steps"], r["written"], r["retained_full_levels"], r["total_columns"], r["active_columns"], r["data_quality"]["invalid_profile_columns"], status["status"], status["recommended_exit_code"])
+        for m, r in s["per_member"].items()
+    ]
+    kinds = "member string, type string, number int, steps int, written int, retained_full_levels int, total_columns long, active_columns long, invalid_profile_columns long, status string, recommended_exit_code int"
+    return spark.createDataFrame(rows, kinds)
+
+
+def _derived_store(spark, sf_dir, fields: DataFrame) -> FieldStore:
+    root = f"{shared_dir(spark)}/store-{uuid.uuid4().hex}"
+    write_fields(fields, root)
+    return FieldStore(spark, root)
+
+
+@query(
+    "WITH e AS (SELECT p.id AS param_id, s.step, l.lev FROM (VALUES (500014), (500001), (500035)) p(id), (SELECT unnest(range(0, 2)) AS step) s, (SELECT unnest(range(6, 21)) AS lev) l UNION ALL SELECT p.id, s.step, 0 FROM (VALUES (500041), (500010)) p(id), (SELECT unnest(range(0, 2)) AS step) s"
+    " UNION ALL SELECT 500008, 0, unnest(range(6, 22))), n AS (SELECT *, CASE WHEN param_id = 500035 AND lev = 9 AND step = 1 THEN 0 WHEN param_id IN (500001, 500041) AND step = 0 THEN 2 ELSE 1 END AS n FROM e)"
+    " SELECT param_id, CAST(step AS INTEGER) AS step, CAST(lev AS INTEGER) AS lev, CAST(n AS BIGINT) AS n FROM n WHERE n <> 1"
+)
+def field_count_check(spark, sf_dir):
+    """Fields of a member that are missing (one) or repeated (a parameter's first step)."""
+    fields = fx.run_fields(spark, sf_dir).where("member = '001'")
+    lost = (F.col("param_id") == C.PARAMS["QV"]) & (F.col("lev") == 9) & (F.col("step") == 1)
+    again = fields.where(F.col("param_id").isin(C.PARAMS["P"], C.PARAMS["TOT_PREC"]) & (F.col("step") == 0))
+    config = RunConfig(fx.RUN["model"], ("001",), fx.RUN_STEPS - 1, cutoff_m=9000.0, full_levels=fx.RUN_LEVELS)
+    found, first = runs.member_fields(_derived_store(spark, sf_dir, fields.where(~lost).unionByName(again)), config, "001", fx.RUN["run_date"], fx.RUN["run_time"])
+    return blocks.field_counts(found, runs.expected_fields(spark, config, first))
+
+
+@query(
+    "SELECT o_orderkey, CAST(CASE o_orderkey % 4 WHEN 0 THEN o_orderkey % 50 WHEN 1 THEN o_orderkey % 50 WHEN 2 THEN o_orderkey % 30 ELSE o_orderkey % 30 END AS INTEGER) AS step FROM orders"
+)
+def field_steps(spark, sf_dir):
+    """The end of a field's interval counts before its step, if it can be read."""
+    k = F.col("o_orderkey")
+    end = F.when(k % 4 == 0, (k % 50).cast("string")).when(k % 4 == 1, F.concat(((k % 50) * 60).cast("string"), F.lit("m"))).when(k % 4 == 2, F.lit("90m"))
+    step = F.concat((k % 30).cast("string"), F.lit("h"))
+    return fx.table(spark, sf_dir, "orders").select("o_orderkey", tokens.field_step(end, step).alias("step"))
 
 
 # sink checks and benchmark
@@ -414,14 +501,14 @@ def validate_codes(spark, sf_dir):
     return validate.invalid_codes(fx.table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 20).alias("ptype")))
 
 
-@query(O.ptype(O.synthetic(2000, 80)) + " SELECT ptype, count(*) AS n, 1500 AS active_columns FROM codes GROUP BY ptype")
+@query(O.ptype(O.synthetic(20_000, 80)) + " SELECT ptype, count(*) AS n, 15000 AS active_columns FROM codes GROUP BY ptype")
 def benchmark_synthetic(spark, sf_dir):
     """Codes of the synthetic grid, with its active columns."""
-    grid = synthetic_levels(spark, 2000, 80)
-    active = synthetic_arrays(spark, 2000, 80).where("total_precip_mm > 0").count()
+    grid = synthetic_levels(spark, 20_000, 80)
+    active = synthetic_arrays(spark, 20_000, 80).where("total_precip_mm > 0").count()
     return diagnose.categorical(grid, KEY).groupBy("ptype").agg(F.count("*").alias("n")).withColumn("active_columns", F.lit(active))
 
 
-@query(O.ptype(O.synthetic(2000, 80)) + " SELECT cell_id, ptype FROM codes")
+@query(O.ptype(O.synthetic(20_000, 80)) + " SELECT cell_id, ptype FROM codes")
 def benchmark_synthetic_arrays(spark, sf_dir):
-    return kernel.categorical_arrays(synthetic_arrays(spark, 2000, 80), KEY)
+    return kernel.categorical_arrays(synthetic_arrays(spark, 20_000, 80), KEY)

@@ -1,7 +1,9 @@
 """A whole run: fields of every member in, categorical fields, summary and monitoring out.
 
-A member is one lazy plan over all its steps (no loop over steps or chunks) and two actions:
-the quality counters, which gate it, and the write. A member that fails doesn't stop the others.
+A member is one plan over all its steps: its fields are counted by their keys, cut into blocks, exchanged once and
+diagnosed in one pass, whose results (codes and quality counters) are written beside the outputs. The counters gate the
+member; only then its codes take the place of what it had before. Members run at the same time, each into a folder of its own, and
+one that fails leaves its outputs as they were and doesn't stop the others.
 """
 
 from __future__ import annotations
@@ -15,61 +17,113 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
-from ..functions.thermo import full_level_heights
-from ..operators import align, diagnose, quality, vertical
-from ..operators.temporal import deaccumulate
-from ..sources.field_store import FieldStore, cells
-from ..sources.sinks import write_categorical, write_json
+from ..operators import align, blocks, vertical
+from ..operators.quality import DataQualityError
+from ..sources.field_store import PARTITIONS, FieldStore
+from ..sources.sinks import staging, write_categorical, write_json
 from . import catalog, monitoring
 from .config import RunConfig
 from .provenance import snapshot
 
 LOG = logging.getLogger(__name__)
+TIMINGS = ("discovery_s", "request_s", "diagnose_s", "quality_s", "write_s")
+_PREVIEW = 5
 
 
-def _named(fields: DataFrame, param: str, name: str) -> DataFrame:
-    return fields.where(F.col("param_id") == C.PARAMS[param]).select("step", "cell_id", F.col("value").alias(name))
+def run_record(config: RunConfig, member: str, run_date: str, run_time: str) -> dict:
+    """What identifies a member's run: the control member has no number."""
+    control = int(member) == 0
+    return {"date": run_date, "time": run_time, "model": config.model, "member": member, "type": "cf" if control else "pf", "number": None if control else int(member), "max_step": config.max_step}
 
 
-def member_levels(store: FieldStore, config: RunConfig, member: str, run_date: str, run_time: str) -> DataFrame:
-    """Levels of one member, all steps: step, cell_id, lev and the diagnostic's inputs."""
+def member_fields(store: FieldStore, config: RunConfig, member: str, run_date: str, run_time: str) -> tuple[DataFrame, int]:
+    """All fields that a member needs, and its first level kept (numbered from 1)."""
     ask = {"model": config.model, "run_date": run_date, "run_time": run_time, "member": member}
     steps = (0, config.max_step)
-    hhl = cells(store.request(**ask, params=["HHL"], steps=(0, 0))).select("cell_id", (F.col("lev") - 1).alias("lev"), F.col("value").alias("hhl_m"))
-    heights = full_level_heights(hhl, ["cell_id"]).select("cell_id", "lev", "height_m")
-    start = vertical.level_selection(heights, config.cutoff_m).first()["first_lev"]
-    fields = cells(store.request(**ask, params=list(align.LEVEL_PARAMS), steps=steps, levels=(start + 1, C.FULL_LEVELS)))
-    levels = align.align_levels(fields.withColumn("lev", F.col("lev") - 1), ["step", "cell_id"])
-    levels = align.attach_heights(levels, heights.where(F.col("lev") >= start), ["cell_id", "lev"])
-    flat = cells(store.request(**ask, params=["TOT_PREC", "T_G"], steps=steps))
-    rain = deaccumulate(_named(flat, "TOT_PREC", "tot_prec"), ["cell_id"]).select("step", "cell_id", "total_precip_mm")
-    surface = rain.join(_named(flat, "T_G", "ground_temperature_k"), ["step", "cell_id"])
-    return align.attach_surface(levels, surface, ["step", "cell_id"])
-
-
-def run_member(store: FieldStore, config: RunConfig, member: str, run_date: str, run_time: str, output: str, *, check_inputs: bool = True) -> dict:
+    heights = store.request(**ask, params=["HHL"], steps=(0, 0))
+    first = vertical.level_selection(blocks.lowest_heights(heights), config.cutoff_m).first()["first_lev"]
+    first = 1 if first is None else first + 1
+    levels = store.request(**ask, params=list(blocks.LEVEL_PARAMS), steps=steps, levels=(first, config.full_levels))
+    heights = heights.where(F.col("lev").between(first, config.full_levels + 1))
+    flat = store.request(**ask, params=["TOT_PREC"], steps=steps, timespan="fs").unionByName(store.request(**ask, params=["T_G"], steps=steps))
+    return heights.unionByName(levels).unionByName(flat), first
+
+
+def expected_fields(spark: SparkSession, config: RunConfig, first: int) -> DataFrame:
+    """(param_id, step, lev): what has to be there once."""
+    rows = [("HHL", 0, first, config.full_levels + 1)] + [(p, config.max_step, first, config.full_levels) for p in blocks.LEVEL_PARAMS] + [(p, config.max_step, 0, 0) for p in ("TOT_PREC", "T_G")]
+    t = spark.createDataFrame([(C.PARAMS[p], s, a, z) for p, s, a, z in rows], "param_id int, last int, low int, high int")
+    t = t.select("param_id", F.explode(F.sequence(F.lit(0), "last")).alias("step"), "low", "high")
+    return t.select("param_id", "step", F.explode(F.sequence("low", "high")).alias("lev"))
+
+
+def check_fields(fields: DataFrame, config: RunConfig, first: int) -> DataFrame:
+    """The fields, each exactly once: of repeated single-level fields the last written counts, what else is missing or repeated is an error."""
+    odd = blocks.field_counts(fields, expected_fields(fields.sparkSession, config, first)).orderBy("param_id", "step", "lev").limit(_PREVIEW + 1).collect()
+    names = {i: n for n, i in C.PARAMS.items()}
+    flat = {C.PARAMS[p] for p in ("TOT_PREC", "T_G")}
+    if any(r["n"] == 0 or r["param_id"] not in flat for r in odd):
+        said = [f"{names[r['param_id']]} step {r['step']} level {r['lev']}: expected 1 field, got {r['n']}" for r in odd[:_PREVIEW]]
+        raise RuntimeError("; ".join(said) + ("; ..." if len(odd) > _PREVIEW else ""))
+    if not odd:
+        return fields
+    single = F.col("param_id").isin(*flat)
+    return fields.where(~single).unionByName(align.last_of_each(fields.where(single), [*PARTITIONS, "step", "lev"], "written"))
+
+
+def gate(results: DataFrame, config: RunConfig) -> dict[str, int]:
+    """Quality counters of all steps; RuntimeError for broken fields, DataQualityError in the order precipitation, ground, profile."""
+    problems = [f"step {r['step']}: {r['problem']}" for r in results.where("problem is not null").select("step", "problem").distinct().orderBy("step", "problem").limit(_PREVIEW).collect()]
+    if problems:
+        raise RuntimeError("; ".join(problems))
+    *counts, n, n_blocks = results.agg(*[F.sum(c) for c in C.QUALITY_COUNTERS], F.count("*"), F.countDistinct("block")).first()
+    if n != n_blocks * (config.max_step + 1):
+        raise RuntimeError(f"{n} results of {n_blocks} block(s), expected {n_blocks * (config.max_step + 1)}")
+    found = dict(zip(C.QUALITY_COUNTERS, (int(x or 0) for x in counts), strict=True))
+    if found["invalid_total_precip_columns"]:
+        raise DataQualityError(f"precipitation is not finite in {found['invalid_total_precip_columns']} column(s)")
+    for counter, column, what in (("invalid_active_ground_temperature_columns", "bad_ground", "ground temperature"), ("invalid_active_profile_columns", "bad_profile", "temperature, pressure, humidity or height")):
+        if found[counter]:
+            few = results.select("step", F.explode(column).alias("cell")).orderBy("step", "cell").limit(_PREVIEW + 1).collect()
+            where = ",".join(f"{r['step']}/{r['cell']}" for r in few[:_PREVIEW]) + (",..." if len(few) > _PREVIEW else "")
+            raise DataQualityError(f"{what} is not finite in active column(s): {where}")
+    return found
+
+
+def run_member(store: FieldStore, config: RunConfig, member: str, run_date: str, run_time: str, output: str, *, check_inputs: bool = True, discovery_s: float = 0.0) -> dict:
     """Counts, quality counters and timings of one member."""
-    times, begun = {}, time.perf_counter()
+    times, start = {"discovery_s": discovery_s}, time.perf_counter()
+    begun = start
 
     def lap(name: str) -> None:
         nonlocal begun
         now = time.perf_counter()
-        times[name], begun = round(now - begun, 3), now
+        times[name], begun = times.get(name, 0.0) + now - begun, now
 
+    LOG.info("member %s of %s %s %s begins: steps 0 to %s", member, config.model, run_date, run_time, config.max_step)
+    spark = store.spark
     if check_inputs:
-        catalog.check_complete(store.catalogue(), model=config.model, run_date=run_date, run_time=run_time, member=member, max_step=config.max_step)
-    lap("discovery_s")
-    levels = member_levels(store, config, member, run_date, run_time)
+        catalog.check_complete(store.catalogue(), model=config.model, run_date=run_date, run_time=run_time, member=member, max_step=config.max_step, full=config.full_levels, half=config.full_levels + 1)
+        lap("discovery_s")
+    fields, first = member_fields(store, config, member, run_date, run_time)
+    fields = check_fields(fields, config, first)
     lap("request_s")
-    counted = quality.gate(quality.column_flags(levels, ["step", "cell_id"], threshold=config.threshold_mm).withColumn("where", F.concat_ws("/", "step", "cell_id")), "where")
-    lap("quality_s")
-    codes = diagnose.categorical(levels, ["step", "cell_id"], threshold=config.threshold_mm)
-    named = {"model": config.model, "run_date": run_date, "run_time": run_time, "member": member}
-    field = codes.withColumns({k: F.lit(v) for k, v in named.items()})
-    write_categorical(field, output, expected=counted["total_columns"])
-    written = store.spark.read.parquet(output).where((F.col("member") == member) & (F.col("run_date") == run_date) & (F.col("run_time") == run_time)).select("step").distinct().count()
-    lap("write_s")
-    return {"steps": config.max_step + 1, "written": written, "active_columns": counted["active_columns"], "total_columns": counted["total_columns"], "data_quality": counted, "timings_s": times}
+    with staging(spark, output) as path:
+        found = blocks.diagnose_blocks(blocks.field_blocks(fields), first_level=first, last_level=config.full_levels, threshold=config.threshold_mm)
+        found.write.parquet(path)
+        results = spark.read.schema(found.schema).parquet(path)
+        lap("diagnose_s")
+        counted = gate(results, config)
+        lap("quality_s")
+        named = {"model": config.model, "run_date": run_date, "run_time": run_time, "member": member}
+        written = write_categorical(blocks.cell_codes(results).withColumns({k: F.lit(v) for k, v in named.items()}), output, expected=counted["total_columns"])
+        lap("write_s")
+    LOG.info("member %s ends: %s step(s) written, %s of %s columns active", member, written.get(member, 0), counted["active_columns"], counted["total_columns"])
+    return {
+        "run": run_record(config, member, run_date, run_time), "chunk_size": config.chunk_size, "prefetch": config.prefetch, "steps": config.max_step + 1, "written": written.get(member, 0),
+        "retained_full_levels": config.full_levels - first + 1, "active_columns": counted["active_columns"], "total_columns": counted["total_columns"], "data_quality": counted,
+        "timings_s": {k: round(times.get(k, 0.0), 3) for k in TIMINGS}, "wall_s": round(time.perf_counter() - start, 3),
+    }
 
 
 def merge_counts(results: dict[str, dict], key: str, names) -> dict:
@@ -77,50 +131,57 @@ def merge_counts(results: dict[str, dict], key: str, names) -> dict:
     return {n: round(sum(r[key].get(n, 0) for r in results.values()), 3) for n in names}
 
 
+def document_folder(output_root: str, model: str, run_date: str, run_time: str) -> str:
+    """Where summary.json and monitoring.json of a run go by default: a folder that readers of the outputs skip."""
+    return f"{output_root.rstrip('/')}/_documents/{model}/{run_date}/{run_time}"
+
+
 def run(
     spark: SparkSession, store_root: str, output_root: str, config: RunConfig, *, run_date: str | None = None, run_time: str | None = None, lookback_days: int = 2,
     check_inputs: bool = True, max_wall_s: float | None = None, check_outputs: bool = False, summary_json: str | Path | None = None, monitoring_json: str | Path | None = None, document_root: str | Path | None = None,
 ) -> dict:
-    """Run all members; returns the summary with its monitoring status, also written as JSON under ``document_root``."""
+    """Run all members; returns the summary with its monitoring status.
+
+    Both are also written as JSON: to ``document_folder``, or under ``document_root`` if it is given, and to the files asked for.
+    """
     if (run_date is None) != (run_time is None):
         raise ValueError("give both the date and the time of a run, or neither")
     if max_wall_s is not None and max_wall_s <= 0:
         raise ValueError(f"max_wall_s must be positive, got {max_wall_s}")
-    store, begun = FieldStore(spark, store_root), time.perf_counter()
+    LOG.info("run of %s begins: member(s) %s", config.model, ", ".join(config.members))
+    store, begun, discovery = FieldStore(spark, store_root), time.perf_counter(), 0.0
     if run_date is None:
         probe = "000" if "000" in config.members else config.members[0]
-        run_date, run_time = catalog.discover(store.catalogue(), model=config.model, member=probe, max_step=config.max_step, lookback_days=lookback_days)
-    discovery, begun = time.perf_counter() - begun, time.perf_counter()
+        run_date, run_time = catalog.discover(store.catalogue(), model=config.model, member=probe, max_step=config.max_step, lookback_days=lookback_days, full=config.full_levels, half=config.full_levels + 1)
+        discovery = time.perf_counter() - begun
+        LOG.info("newest complete run of %s: %s %s", config.model, run_date, run_time)
+    begun = time.perf_counter()
     done: dict[str, dict] = {}
     failed: dict[str, str] = {}
 
     def one(member: str) -> None:
         try:
-            done[member] = run_member(store, config, member, run_date, run_time, output_root, check_inputs=check_inputs)
+            done[member] = run_member(store, config, member, run_date, run_time, output_root, check_inputs=check_inputs, discovery_s=discovery)
         except Exception as x:  # a member's failure is a result
             failed[member] = f"{type(x).__name__}: {x}"
             LOG.exception("member %s failed", member)
 
-    with ThreadPoolExecutor(min(config.workers, len(config.members))) as pool:
+    workers = min(config.workers, len(config.members))
+    with ThreadPoolExecutor(workers) as pool:
         list(pool.map(one, config.members))
     ordered = {m: done[m] for m in config.members if m in done}
     summary = {
         "model": config.model, "date": run_date, "time": run_time, "members": list(config.members), "processed_members": list(ordered), "failed": failed, "max_step": config.max_step,
-        "chunk_size": config.chunk_size, "prefetch": config.prefetch, "workers": config.workers, "output_root": output_root, "discovery_s": round(discovery, 3),
-        "timings_s": merge_counts(ordered, "timings_s", ("discovery_s", "request_s", "quality_s", "write_s")), "data_quality": merge_counts(ordered, "data_quality", C.QUALITY_COUNTERS),
-        "provenance": snapshot(), "wall_s": round(time.perf_counter() - begun, 3), "per_member": ordered,
+        "chunk_size": config.chunk_size, "prefetch": config.prefetch, "workers": workers, "output_root": str(output_root), "discovery_s": round(discovery, 3),
+        "timings_s": merge_counts(ordered, "timings_s", TIMINGS), "data_quality": merge_counts(ordered, "data_quality", C.QUALITY_COUNTERS),
+        "provenance": snapshot(spark), "wall_s": round(time.perf_counter() - begun, 3), "per_member": ordered,
     }
-    lost = None
-    if check_outputs and ordered:
-        there = spark.read.parquet(output_root).where((F.col("model") == config.model) & (F.col("run_date") == run_date) & (F.col("run_time") == run_time))
-        wanted = spark.createDataFrame([(m,) for m in ordered], "member string")
-        lost = [f"{r['member']}/{r['step']}" for r in monitoring.missing_outputs(wanted, config.max_step, there).orderBy("member", "step").collect()]
+    lost = monitoring.missing_paths(spark, summary) if check_outputs else None
     summary["monitoring"] = monitoring.status(summary, max_wall_s=max_wall_s, missing_outputs=lost)
-    places = [(summary, summary_json), (summary["monitoring"], monitoring_json)]
-    if document_root is not None:
-        base = Path(document_root) / config.model / run_date / run_time
-        places += [(summary, base / "summary.json"), (summary["monitoring"], base / "monitoring.json")]
-    for payload, place in places:
-        if place is not None:
-            write_json(payload, place)
+    folder = document_folder(output_root, config.model, run_date, run_time) if document_root is None else f"{str(document_root).rstrip('/')}/{config.model}/{run_date}/{run_time}"
+    for payload, name, other in ((summary, "summary.json", summary_json), (summary["monitoring"], "monitoring.json", monitoring_json)):
+        for place in (f"{folder}/{name}", other):
+            if place is not None:
+                write_json(payload, place, spark)
+    LOG.info("run of %s ends: %s processed, %s failed, status %s, %.3f s", config.model, len(ordered), len(failed), summary["monitoring"]["status"], summary["wall_s"])
     return summary

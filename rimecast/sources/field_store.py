@@ -40,9 +40,11 @@ class FieldStore:
         self.spark, self.root = spark, root
 
     def scan(self) -> DataFrame:
-        return self.spark.read.schema(SCHEMA).parquet(self.root)
+        """All fields; ``written`` orders repeated ones by when, and where in a file, they were written."""
+        fields = self.spark.read.schema(SCHEMA).parquet(self.root)
+        return fields.withColumn("written", F.struct("_metadata.file_modification_time", "_metadata.file_path", "_metadata.row_index"))
 
-    def request(self, *, model: str, run_date: str, run_time: str, member: str | list[str], params: list[str], steps: tuple[int, int] | None = None, levels: tuple[int, int] | None = None) -> DataFrame:
+    def request(self, *, model: str, run_date: str, run_time: str, member: str | list[str], params: list[str], steps: tuple[int, int] | None = None, levels: tuple[int, int] | None = None, timespan: str | None = None) -> DataFrame:
         """Fields of a request: partition filters first, then step and level ranges pushed to the scan."""
         members = [member] if isinstance(member, str) else member
         out = self.scan().where(
@@ -50,6 +52,8 @@ class FieldStore:
         )
         if steps:
             out = out.where(F.col("step").between(*steps))
+        if timespan:
+            out = out.where(F.col("timespan") == timespan)
         return out.where(F.col("lev").between(*levels)) if levels else out
 
     def catalogue(self) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import constants as C
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -89,3 +91,37 @@ def wet_bulb_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wet-bulb profiles of 64 levels from embeddings."""
     e = table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode("embedding").alias("lev", "v"))
     return e.select("vec_id", "lev", (12000.0 - 187.5 * F.col("lev")).alias("height_m"), (20.0 * F.col("v").cast("double")).alias("wet_bulb_c"))
+
+
+#: Members, steps and levels of the derived store.
+RUN = {"model": "CH1", "run_date": "20240101", "run_time": "0000"}
+RUN_MEMBERS, RUN_STEPS, RUN_LEVELS = ("000", "001", "002"), 2, 20
+
+
+def run_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of a run over the profiles, one cell per order: members and steps differ in temperature and ground.
+
+    Precipitation comes accumulated, half levels lie 300 m above and below each full level.
+    """
+    base = profile_levels(spark, sf_dir)
+    m, s = F.col("member").cast("int"), F.col("step")
+    when = base.withColumn("member", F.explode(F.array(*map(F.lit, RUN_MEMBERS)))).withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(RUN_STEPS - 1))))
+
+    def one(rows: DataFrame, param: str, lev, value, levtype: str = "ml", timespan: str = "none") -> DataFrame:
+        return rows.select("member", s.alias("step"), lev.cast("int").alias("lev"), "cell_id", value.alias("value"), F.lit(C.PARAMS[param]).alias("param_id"), F.lit(levtype).alias("levtype"), F.lit(timespan).alias("timespan"))
+
+    ground = when.where("lev = 0")
+    edges = ground.where("step = 0").withColumn("half", F.explode(F.sequence(F.lit(0), F.lit(RUN_LEVELS))))
+    parts = [
+        one(when, "T", F.col("lev") + 1, F.col("temperature_k") + 2.0 * m - 1.5 * s),
+        one(when, "P", F.col("lev") + 1, F.col("pressure_pa")),
+        one(when, "QV", F.col("lev") + 1, F.col("specific_humidity")),
+        one(ground, "TOT_PREC", F.lit(0), F.col("total_precip_mm") * (s + 1), "sfc", "fs"),
+        one(ground, "T_G", F.lit(0), F.col("ground_temperature_c") + 0.25 - s + C.KELVIN, "sfc"),
+        one(edges, "HHL", F.col("half") + 1, 600.0 * (20.0 - F.col("half"))),
+    ]
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    fields = rows.groupBy("member", "step", "lev", "param_id", "levtype", "timespan").agg(F.sort_array(F.collect_list(F.struct("cell_id", "value")))["value"].alias("values"))
+    return fields.withColumns({k: F.lit(v) for k, v in RUN.items()})

@@ -1,41 +1,170 @@
-"""Outputs: categorical fields as partitioned tables, documents as JSON files."""
+"""Outputs: categorical fields as partitioned tables or encoded messages, documents as JSON files."""
 
 from __future__ import annotations
 
 import json
 import os
 import tempfile
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
+from math import prod
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import constants as C
+from ..functions.tokens import output_path
 from ..operators.validate import check_codes
+from ..shipping import ship
 
-OUTPUT_KEYS = ["model", "run_date", "run_time", "member", "step"]
+RUN_KEYS = ["model", "run_date", "run_time", "member"]
+OUTPUT_KEYS = [*RUN_KEYS, "step"]
 
 
-def write_categorical(field: DataFrame, root: str, *, expected: int | None = None, mode: str = "append") -> None:
-    """Validate, then write cell_id and ptype under model/run_date/run_time/member/step.
+OUTPUT_SCHEMA = "cell_id long, ptype int, param_id int, model string, run_date string, run_time string, member string, step int"
 
-    The commit protocol makes a job's files visible together or not at all.
+
+def read_categorical(spark: SparkSession, root: str) -> DataFrame:
+    """What ``write_categorical`` has written; members stay text."""
+    return spark.read.schema(OUTPUT_SCHEMA).parquet(root)
+
+
+class _Files:
+    """Hadoop's view of a path, whatever file system it is on."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        sc = spark.sparkContext
+        self.make = sc._jvm.org.apache.hadoop.fs.Path
+        self.fs = self.make(root).getFileSystem(sc._jsc.hadoopConfiguration())
+
+    def folders(self, pattern: str) -> list[str]:
+        return [s.getPath().toString() for s in self.fs.globStatus(self.make(pattern)) or [] if s.isDirectory()]
+
+    def exists(self, path: str) -> bool:
+        return self.fs.exists(self.make(path))
+
+    def delete(self, path: str) -> None:
+        self.fs.delete(self.make(path), True)
+
+    def move(self, source: str, target: str) -> None:
+        self.fs.mkdirs(self.make(target).getParent())
+        if not self.fs.rename(self.make(source), self.make(target)):
+            raise OSError(f"can't move {source} to {target}")
+
+
+@contextmanager
+def staging(spark: SparkSession, root: str) -> Iterator[str]:
+    """A folder of its own beside the outputs, which readers of ``root`` skip; it goes in any case."""
+    path = f"{root.rstrip('/')}/_staging/{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        _Files(spark, root).delete(path)
+
+
+def write_categorical(field: DataFrame, root: str, *, expected: int | None = None) -> dict[str, int]:
+    """Write cell_id and ptype under model/run_date/run_time/member/step, in place of what those members had.
+
+    All is written beside the outputs and checked there (codes, and their number if ``expected`` is given); only then each
+    member's folder is put in its place by renaming. A failure leaves the outputs as they were, a second write gives the same
+    rows, and other members may be written meanwhile. Returns the number of steps written of each member.
     """
-    good = check_codes(field, expected=expected).withColumn("param_id", F.lit(C.OUTPUT_PARAM))
-    good.select(*OUTPUT_KEYS, "param_id", "cell_id", "ptype").write.mode(mode).partitionBy(*OUTPUT_KEYS).parquet(root)
+    spark = field.sparkSession
+    whole = isinstance(field.schema["ptype"].dataType, T.IntegralType)
+    good = field if whole else check_codes(field, expected=expected)
+    with staging(spark, root) as path:
+        rows = good.select(*OUTPUT_KEYS, F.lit(C.OUTPUT_PARAM).alias("param_id"), "cell_id", F.col("ptype").cast("int").alias("ptype"))
+        rows.write.partitionBy(*OUTPUT_KEYS).parquet(f"{path}/new")
+        files = _Files(spark, root)
+        members = files.folders(f"{path}/new/" + "/".join(f"{k}=*" for k in RUN_KEYS))
+        if members:
+            if whole:
+                check_codes(spark.read.schema(rows.schema).parquet(f"{path}/new"), expected=expected)
+        elif expected:
+            raise ValueError(f"the field has 0 values, expected {expected}")
+        done = {}
+        for k, new in enumerate(members):
+            names = new.split("/")[-len(RUN_KEYS) :]
+            place, old = "/".join([root.rstrip("/"), *names]), f"{path}/old-{k}"
+            replaced = files.exists(place)
+            if replaced:
+                files.move(place, old)
+            try:
+                files.move(new, place)
+            except Exception:
+                if replaced:
+                    files.move(old, place)
+                raise
+            done[names[-1].split("=", 1)[1]] = len(files.folders(f"{place}/step=*"))
+        return done
 
 
-def write_json(payload: dict, destination: str | Path) -> Path:
-    """Indented, sorted JSON with a final newline; a reader sees the old file or the whole new one."""
-    path = Path(destination)
+@dataclass(frozen=True)
+class Template:
+    """What an encoder fills with codes: a message of one field, and the field's shape."""
+
+    message: bytes
+    shape: tuple[int, ...]
+
+
+def write_messages(field: DataFrame, root: str, templates: DataFrame, encode: Callable[[Template, list[int]], bytes]) -> DataFrame:
+    """Encoded outputs, one file per member and step: rows (model, run_date, run_time, member, step, path, cells).
+
+    ``templates``: rows (model, shape, message); ``encode`` makes the message of a field from its template and its codes in
+    the order of cells. ``root`` is a folder that all executors share. A file appears whole, by renaming, or not at all.
+    """
+    spark = field.sparkSession
+    ship(spark)
+    checked = check_codes(field)
+    whole = checked.groupBy(*OUTPUT_KEYS).agg(F.sort_array(F.collect_list(F.struct("cell_id", "ptype")))["ptype"].alias("codes"))  # one field
+    path = output_path(root, *[F.col(k) for k in OUTPUT_KEYS]).alias("path")
+    rows = whole.select(*OUTPUT_KEYS, "codes", path).join(templates.select("model", "shape", "message"), "model")
+
+    def write(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            for r in b.to_pylist():
+                if prod(r["shape"]) != len(r["codes"]):
+                    raise ValueError(f"{len(r['codes'])} codes don't fill the shape {r['shape']} of {r['path']}")
+                _whole_file(Path(r["path"]), encode(Template(r["message"], tuple(r["shape"])), r["codes"]))
+            n = pa.array([len(r["codes"]) for r in b.to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in OUTPUT_KEYS], b.column("path"), n], [*OUTPUT_KEYS, "path", "cells"])
+
+    kinds = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in OUTPUT_KEYS)
+    return rows.mapInArrow(write, f"{kinds}, path string, cells long")
+
+
+def _whole_file(path: Path, content: bytes) -> None:
     path.parent.mkdir(parents=True, exist_ok=True)
-    text = json.dumps(payload, indent=2, sort_keys=True) + "\n"
     fd, part = tempfile.mkstemp(dir=path.parent, prefix=f"{path.name}.", suffix=".tmp")
     try:
-        with os.fdopen(fd, "w", encoding="utf-8") as f:
-            f.write(text)
+        with os.fdopen(fd, "wb") as f:
+            f.write(content)
         os.replace(part, path)
     except BaseException:
         Path(part).unlink(missing_ok=True)
         raise
+
+
+def write_json(payload: dict, destination: str | Path, spark: SparkSession | None = None) -> str | Path:
+    """Indented, sorted JSON with a final newline; a reader sees the old file or the whole new one.
+
+    With a session the destination may be on any file system that Hadoop knows.
+    """
+    text = json.dumps(payload, indent=2, sort_keys=True) + "\n"
+    if spark is not None and "://" in str(destination):
+        files, part = _Files(spark, str(destination)), f"{destination}.{uuid.uuid4().hex}.tmp"
+        out = files.fs.create(files.make(part), True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        files.delete(str(destination))
+        files.move(part, str(destination))
+        return destination
+    path = Path(destination)
+    _whole_file(path, text.encode())
     return path

@@ -14,7 +14,7 @@ from rimecast.plans import catalog, monitoring, provenance
 from rimecast.plans.config import RunConfig, parse_members
 from rimecast.plans.run import run
 from rimecast.sources.field_store import FieldStore, write_fields
-from rimecast.sources.sinks import write_categorical, write_json
+from rimecast.sources.sinks import read_categorical, write_categorical, write_json
 from rimecast.streaming.deaccumulate import replay
 
 
@@ -148,55 +148,155 @@ def test_alerts(change, kw, codes):
             assert a["details"]["count"] == 12 and len(a["details"]["preview"]) == 10 and a["details"]["truncated"]
 
 
-def test_provenance(tmp_path):
-    got = provenance.snapshot(tmp_path)
-    assert set(got) == {"python", "platform", "package_versions", "git", "argv"} and got["git"] == {"available": False}
+def test_provenance(spark, tmp_path):
+    got = provenance.snapshot(spark, tmp_path)
+    assert set(got) == {"engine", "session", "packages", "commit", "command"} and got["commit"] is None
+    assert got["engine"]["spark"] == spark.version and got["session"]["master"] == spark.sparkContext.master
+    (tmp_path / ".git" / "refs").mkdir(parents=True)
+    (tmp_path / ".git" / "HEAD").write_text("ref: refs/main\n")
+    assert provenance.commit_of(tmp_path) is None
+    (tmp_path / ".git" / "packed-refs").write_text("# pack-refs\nabc123 refs/main\n")
+    assert provenance.commit_of(tmp_path) == "abc123"
+    (tmp_path / ".git" / "refs" / "main").write_text("def456\n")
+    assert provenance.commit_of(tmp_path) == "def456"
 
 
 LEVELS, CELLS, STEPS = 3, 4, 2
 
 
-def _store(spark, root, members=("000", "001"), drop=None):
-    """A tiny store; ``drop`` leaves a (member, parameter) out."""
-    rows = []
+def _store(spark, root, members=("000", "001"), drop=None, again=None, cells=CELLS, ground=270.0):
+    """A tiny store; ``drop`` leaves fields (member, parameter, step, level; None: any) out, ``again`` doubles them."""
+    from rimecast.sources.field_store import SCHEMA
+
+    rows, twice = [], []
+    hit = lambda what, key: what is not None and all(w is None or w == k for w, k in zip(what, key, strict=True))
+
+    def put(m, p, step, lev, values, levtype="ml", span="none"):
+        row = (step, lev, levtype, span, values, "CH1", "20240101", "0000", m, C.PARAMS[p])
+        if not hit(drop, (m, p, step, lev)):
+            rows.append(row)
+        if hit(again, (m, p, step, lev)):
+            twice.append(row)
+
     for m in members:
-        put = lambda p, step, lev, values, levtype="ml", span="none": None if (m, p) == drop else rows.append((step, lev, levtype, span, values, "CH1", "20240101", "0000", m, C.PARAMS[p]))  # noqa: B023, E731
         for k in range(LEVELS + 1):
-            put("HHL", 0, k + 1, [3000.0 * (LEVELS - k)] * CELLS)
+            put(m, "HHL", 0, k + 1, [3000.0 * (LEVELS - k)] * cells)
         for s in range(STEPS):
             for k in range(LEVELS):
-                put("T", s, k + 1, [255.0 + 6 * k + c for c in range(CELLS)])
-                put("P", s, k + 1, [4e4 + 3e4 * k] * CELLS)
-                put("QV", s, k + 1, [0.001 + 0.0012 * k] * CELLS)
-            put("TOT_PREC", s, 0, [0.0, 1.0 * (s + 1), 2.0 * (s + 1), 5.0], "sfc", "fs")
-            put("T_G", s, 0, [270.0] * CELLS, "sfc")
-    from rimecast.sources.field_store import SCHEMA
-
+                put(m, "T", s, k + 1, [255.0 + 6 * k + c % 7 for c in range(cells)])
+                put(m, "P", s, k + 1, [4e4 + 3e4 * k] * cells)
+                put(m, "QV", s, k + 1, [0.001 + 0.0012 * k] * cells)
+            put(m, "TOT_PREC", s, 0, [(0.0, 1.0 * (s + 1), 2.0 * (s + 1), 5.0)[c % 4] for c in range(cells)], "sfc", "fs")
+            put(m, "T_G", s, 0, [ground if m == members[0] else 270.0] * cells, "sfc")
     write_fields(spark.createDataFrame(rows, SCHEMA), str(root))
+    if twice:
+        write_fields(spark.createDataFrame(twice, SCHEMA), str(root))
+
 
+def _run(spark, tmp_path, members=("000", "001"), **more):
+    config = RunConfig("CH1", members, STEPS - 1, full_levels=LEVELS, **more.pop("config", {}))
+    return run(spark, str(tmp_path / "store"), str(tmp_path / "out"), config, run_date="20240101", run_time="0000", **more)
 
-@pytest.fixture
-def small_levels(monkeypatch):
-    monkeypatch.setattr(C, "FULL_LEVELS", LEVELS)
-    monkeypatch.setattr(catalog.expectations, "__defaults__", (LEVELS, LEVELS + 1))
-    monkeypatch.setattr(catalog.check_complete, "__kwdefaults__", {"full": LEVELS, "half": LEVELS + 1})
 
+def _rows(spark, tmp_path):
+    return sorted(map(tuple, read_categorical(spark, str(tmp_path / "out")).select("member", "step", "cell_id", "ptype").collect()))
 
-def test_run_with_a_failing_member(spark, tmp_path, small_levels):
-    _store(spark, tmp_path / "store", drop=("001", "T_G"))
-    config = RunConfig("CH1", ("000", "001"), STEPS - 1)
-    got = run(spark, str(tmp_path / "store"), str(tmp_path / "out"), config, run_date="20240101", run_time="0000", check_outputs=True, document_root=tmp_path / "docs")
+
+def test_run_with_a_failing_member(spark, tmp_path):
+    _store(spark, tmp_path / "store", drop=("001", "T_G", None, None))
+    got = _run(spark, tmp_path, check_outputs=True, document_root=tmp_path / "docs")
     assert got["processed_members"] == ["000"] and "T_G" in got["failed"]["001"]
     assert got["per_member"]["000"]["written"] == STEPS and got["data_quality"]["total_columns"] == CELLS * STEPS
+    assert got["per_member"]["000"]["run"] == {"date": "20240101", "time": "0000", "model": "CH1", "member": "000", "type": "cf", "number": None, "max_step": STEPS - 1}
     assert got["data_quality"]["active_columns"] == 3 + 2  # the last cell has no new rain in the second hour
     assert [a["code"] for a in got["monitoring"]["alerts"]] == ["failed_members"]
-    out = spark.read.parquet(str(tmp_path / "out"))
-    assert out.count() == CELLS * STEPS and out.where("ptype = 0").count() == 3
+    out = _rows(spark, tmp_path)
+    assert len(out) == CELLS * STEPS and sum(r[3] == 0 for r in out) == 3 and {r[0] for r in out} == {"000"}
     docs = tmp_path / "docs" / "CH1" / "20240101" / "0000"
     assert json.loads((docs / "summary.json").read_text())["monitoring"] == json.loads((docs / "monitoring.json").read_text())
 
 
-def test_discovery(spark, tmp_path, small_levels):
+def test_run_with_many_workers_and_again(spark, tmp_path):
+    """All members at once give all rows; a second run gives the same; documents go beside the outputs; another member is left alone."""
+    members = tuple(f"{i:03d}" for i in range(6))
+    _store(spark, tmp_path / "store", members=members)
+    got = _run(spark, tmp_path, members, config={"workers": 4}, check_outputs=True)
+    assert got["failed"] == {} and got["monitoring"]["ok"] and got["workers"] == 4
+    first = _rows(spark, tmp_path)
+    assert len(first) == len(members) * STEPS * CELLS
+    assert _run(spark, tmp_path, members, config={"workers": 4}, check_outputs=True)["monitoring"]["ok"] and _rows(spark, tmp_path) == first
+    _run(spark, tmp_path, ("003",))
+    assert _rows(spark, tmp_path) == first
+    assert json.loads((tmp_path / "out/_documents/CH1/20240101/0000/summary.json").read_text())["members"] == ["003"]
+    assert not list((tmp_path / "out" / "_staging").iterdir())
+
+
+def test_failed_member_keeps_earlier_outputs_whole(spark, tmp_path):
+    _store(spark, tmp_path / "store")
+    _run(spark, tmp_path)
+    first = _rows(spark, tmp_path)
+    import shutil
+
+    shutil.rmtree(tmp_path / "store")
+    _store(spark, tmp_path / "store", ground=float("nan"))
+    got = _run(spark, tmp_path)
+    assert "ground temperature is not finite in active column(s): 0/1,0/2,0/3,1/1,1/2" in got["failed"]["000"] and got["processed_members"] == ["001"]
+    assert _rows(spark, tmp_path) == first
+
+
+@pytest.mark.parametrize(
+    ("change", "match"),
+    [({"drop": ("000", "QV", 1, 2)}, "QV step 1 level 2: expected 1 field, got 0"), ({"again": ("000", "P", 0, 3)}, "P step 0 level 3: expected 1 field, got 2"), ({"drop": ("000", "TOT_PREC", 1, None)}, "TOT_PREC step 1 level 0"), ({"again": ("000", "HHL", 0, 2)}, "HHL step 0 level 2")],
+)
+def test_run_counts_fields_exactly(spark, tmp_path, change, match):
+    _store(spark, tmp_path / "store", members=("000",), **change)
+    got = _run(spark, tmp_path, ("000",), check_inputs=False)
+    assert match in got["failed"]["000"] and got["processed_members"] == []
+
+
+def test_run_takes_the_last_of_repeated_surface_fields(spark, tmp_path):
+    _store(spark, tmp_path / "store", members=("000",), again=("000", "TOT_PREC", None, None))
+    got = _run(spark, tmp_path, ("000",))
+    assert got["failed"] == {} and len(_rows(spark, tmp_path)) == CELLS * STEPS
+
+
+def test_blocks_agree_with_long_levels(spark, tmp_path):
+    """Many blocks of cells give what the levels of each cell give on the other path."""
+    from rimecast.operators import blocks, diagnose
+
+    cells = 2500
+    _store(spark, tmp_path / "store", members=("000",), cells=cells)
+    assert _run(spark, tmp_path, ("000",))["failed"] == {}
+    got = _rows(spark, tmp_path)
+    assert len(got) == cells * STEPS and blocks.BLOCK < cells
+    rows = [(s, c, k, 255.0 + 6 * k + c % 7, 4e4 + 3e4 * k, 0.001 + 0.0012 * k, 3000.0 * (LEVELS - k - 0.5), (0.0, 1.0, 2.0, 5.0 if s == 0 else 0.0)[c % 4], 270.0 - 273.15) for s in range(STEPS) for c in range(28) for k in range(LEVELS)]
+    long = diagnose.categorical(spark.createDataFrame(rows, "step int, cell_id int, lev int, temperature_k double, pressure_pa double, specific_humidity double, height_m double, total_precip_mm double, ground_temperature_c double"), ["step", "cell_id"])
+    want = {(r["step"], r["cell_id"]): r["ptype"] for r in long.collect()}
+    assert all(code == want[(step, cell % 28)] for _, step, cell, code in got)
+
+
+def test_messages(spark, tmp_path):
+    from rimecast.sources.sinks import write_messages
+
+    df = spark.createDataFrame([("CH1", "20240101", "0000", "000", s, c, c % 2) for s in (0, 25) for c in range(4)], "model string, run_date string, run_time string, member string, step int, cell_id long, ptype int")
+    templates = spark.createDataFrame([("CH1", [2, 2], bytearray(b"head:"))], "model string, shape array<int>, message binary")
+    encode = lambda t, codes: t.message + bytes(codes)
+    done = {r["step"]: (r["path"], r["cells"]) for r in write_messages(df, str(tmp_path), templates, encode).collect()}
+    assert done[25] == (str(tmp_path / "CH1/20240101/0000/000/lfff01010000.ptype.grib2"), 4)
+    assert (tmp_path / "CH1/20240101/0000/000/lfff00000000.ptype.grib2").read_bytes() == b"head:\x00\x01\x00\x01"
+    with pytest.raises(Exception, match="don't fill"):
+        write_messages(df, str(tmp_path), templates.withColumn("shape", F.array(F.lit(3))), encode).collect()
+
+
+def test_missing_parameter_at_a_level_is_an_error(spark):
+    from rimecast.operators.align import align_levels
+
+    rows = [(c, k, C.PARAMS[p], 1.0) for c in range(2) for k in range(2) for p in ("T", "P", "QV") if (c, k, p) != (1, 1, "P")]
+    with pytest.raises(Exception, match="P: expected 1 value, got 0 at cell_id 1, lev 1"):
+        align_levels(spark.createDataFrame(rows, "cell_id int, lev int, param_id int, value double"), ["cell_id"]).collect()
+
+
+def test_discovery(spark, tmp_path):
     _store(spark, tmp_path / "s")
     store = FieldStore(spark, str(tmp_path / "s"))
     cat = store.catalogue()
@@ -206,7 +306,7 @@ def test_discovery(spark, tmp_path, small_levels):
     now = cat.withColumn("run_date", F.lit(today))
     assert catalog.discover(now, model="CH1", member="000", max_step=1, lookback_days=2, full=LEVELS, half=LEVELS + 1) == (today, "0000")
     with pytest.raises(RuntimeError, match="TOT_PREC"):
-        catalog.check_complete(cat, model="CH1", run_date="20240101", run_time="0000", member="000", max_step=5)
+        catalog.check_complete(cat, model="CH1", run_date="20240101", run_time="0000", member="000", max_step=5, full=LEVELS, half=LEVELS + 1)
 
 
 @pytest.mark.parametrize("extra", [["--date", "20240101"], ["--max-wall-s", "0"], ["--members", "x"], ["--max-step", "-1"], ["--chunk-size", "0"], ["--workers", "0"]])
