@@ -9,11 +9,11 @@ of its sketch. Rows with equal sets form a class, so copies never meet again. (2
 that share a band belong to one candidate family, found as components of bucket-to-leader
 edges. (3) A second pass recomputes the sets of one row of each class in a family. (4) A family of at
 most ``BLOCK_DOCS`` classes is compared in one place. In a larger one, leaders come first: each member
-is compared with the most central member of its buckets, for ``LEADER_ROUNDS`` rounds, and what is
-connected by then is dropped where all members of a bucket are. Only buckets that
-still hold several components go on: their members are cut into blocks of bounded size, and pairs of blocks
-that hold different components are compared. So a family of copies close to one member costs traffic
-in proportion to its size, none is gathered in one place, and none is cut short. Intersections are
+is compared with the ``LEADERS`` leaders that it shares most with, and a family that is connected by then is done.
+Of the others, components that share buckets go on together: their members are cut into blocks of bounded size, those of a large
+component into blocks of its own, and pairs of blocks that hold different components are compared. So a family of copies close to
+their leaders costs traffic in proportion to its size; ``m`` members outside the largest component add about ``m / 1024`` of it, the price of
+losing no link. No family is gathered in one place, and none is cut short. Intersections are
 counted exactly. (5) The verified links' components give every row its ``component_id``, the smallest
 id reachable.
 
@@ -42,7 +42,7 @@ from .common import components, fresh, key_filter, materialize, split_rows
 BANDS, ROWS = 40, 6
 #: Most documents and shingles in a block of a family.
 BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1_000_000
-LEADER_ROUNDS = 2
+LEADERS = 3
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, list[bytes | None]]:
@@ -258,11 +258,11 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80, n_bands:
     classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     # a set of one shingle is like no other set
     slots = classes.where("n > 1").select("node", F.explode("bands").alias("bucket"))
-    leaders = materialize(slots.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("c")).where("c > 1").drop("c"), "leaders")
-    candidates = slots.join(leaders, "bucket").where("node <> leader").select("node", "leader").distinct()
-    family = _with_roots(components(candidates, "node", "leader"), "family")
+    leaders = materialize(slots.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("c")).where("c > 1"), "leaders")
+    pairs = materialize(slots.join(leaders, "bucket").where("node <> leader").groupBy("node", "leader").agg(F.sum("c").alias("c")), "pairs")
+    family = _with_roots(components(pairs, "node", "leader"), "family")
     member = materialize(family.join(classes.select("node", "digest", "pick", "n"), "node"), "members")
-    links = _links(texts, member, slots, k, percent)
+    links = _links(texts, member, pairs, k, percent)
     linked = _with_roots(components(links, "a", "b"), "root")
     named = linked.join(classes.select("node", "rep"), "node")
     lowest = materialize(named.groupBy("root").agg(F.min("rep").alias("lowest")), "lowest")
@@ -278,7 +278,7 @@ def _with_roots(found: DataFrame, name: str) -> DataFrame:
     return found.select("node", F.col("root").alias(name)).unionByName(found.select(F.col("root").alias("node"), F.col("root").alias(name)).distinct())
 
 
-def _links(texts: DataFrame, member: DataFrame, slots: DataFrame, k: int, percent: int) -> DataFrame:
+def _links(texts: DataFrame, member: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """Verified links (a, b), enough of them to connect all that are linked."""
     spark = texts.sparkSession
     n_members, n_all = member.agg(F.count("*"), F.sum("n")).first()
@@ -295,45 +295,19 @@ def _links(texts: DataFrame, member: DataFrame, slots: DataFrame, k: int, percen
     if cost.where("blocks > 1").isEmpty():
         return _compared(whole, n_all or 0, percent)
     large = known.where("blocks > 1").select("node", "n", "shingles")
-    slots = materialize(slots.join(large.select("node"), "node"), "large-slots")
-    label, links = large.select("node", F.col("node").alias("label")), None
-    tried = None
-    for _ in range(LEADER_ROUNDS):
-        labelled, open_ = _open(slots, label)
-        leader = _leaders(labelled, open_)
-        if tried is not None:
-            leader = leader.join(tried, ["node", "leader"], "left_anti")
-        leader = materialize(leader, "led")
-        tried = leader if tried is None else tried.unionByName(leader)
-        found = materialize(_led(leader, large, percent), "leader-links")
-        links = found if links is None else links.unionByName(found)
-        label = components(links, "a", "b").select("node", F.col("root").alias("label"))
-        label = materialize(large.select("node").join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label")), "labels")
-    labelled, open_ = _open(slots, label)
-    rest = labelled.join(open_, "bucket")
-    low = materialize(rest.groupBy("bucket").agg(F.min("node").alias("leader")), "open-leaders")
-    family = _with_roots(components(rest.select("node", "bucket").join(low, "bucket").select("node", "leader"), "node", "leader"), "family")
-    left = materialize(family.join(label, "node").join(large.select("node", "n"), "node"), "left")
+    most = F.slice(F.sort_array(F.collect_list(F.struct("c", "leader")), asc=False), 1, LEADERS)["leader"]  # a node has as many leaders as bands at most
+    led = pairs.groupBy("node").agg(most.alias("leaders")).join(large.select("node"), "node")
+    links = materialize(_led(materialize(led.select("node", F.explode("leaders").alias("leader")), "led"), large, percent), "leader-links")
+    label = components(links, "a", "b").select("node", F.col("root").alias("label"))
+    label = materialize(large.select("node").join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label")), "labels")
+    # components that meet in a bucket: each has a member there, the bucket's leader belongs to one of them
+    ends = pairs.join(label, "node").select("leader", F.col("label").alias("a")).distinct()
+    meet = materialize(ends.join(label.select(F.col("node").alias("leader"), F.col("label").alias("b")), "leader").where("a <> b").select("a", "b").distinct(), "meeting")
+    family = _with_roots(components(meet, "a", "b"), "family").select(F.col("node").alias("label"), "family")
+    left = materialize(label.join(family, "label").join(large.select("node", "n"), "node"), "left")
     return _compared(whole.unionByName(_cut(left).join(large.select("node", "shingles"), "node").select(*whole.columns)), n_all or 0, percent).unionByName(links)
 
 
-def _open(slots: DataFrame, label: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Slots with their labels, and the buckets that hold several labels, with their sizes."""
-    labelled = materialize(slots.join(label, "node"), "labelled")
-    mixed = labelled.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size"))
-    return labelled, materialize(mixed.where("lo <> hi").select("bucket", "size"), "open")
-
-
-def _leaders(labelled: DataFrame, open_: DataFrame) -> DataFrame:
-    """(node, leader): of the most central members of its open buckets, those of another component, the most central."""
-    rows = labelled.join(open_, "bucket")
-    central = materialize(rows.groupBy("node").agg(F.sum("size").alias("c")), "central")
-    rows = labelled.join(open_.select("bucket"), "bucket").join(central, "node")
-    top = materialize(rows.groupBy("bucket").agg(F.max(F.struct("c", "node", "label")).alias("top")), "bucket-leaders")
-    rows = labelled.join(top, "bucket").where(F.col("label") != F.col("top.label"))
-    return rows.groupBy("node").agg(F.max(F.struct("top.c", "top.node"))["node"].alias("leader"))
-
-
 def _led(leader: DataFrame, large: DataFrame, percent: int) -> DataFrame:
     """Links between members and their leaders; a leader's followers are dealt out in chunks, each with a copy of the leader."""
     sized = leader.join(large.select("node", "n"), "node")
