@@ -1,4 +1,7 @@
-"""Command line of a run; the exit code is the monitoring's recommendation."""
+"""Command line of a run; the exit code is the monitoring's recommendation.
+
+Option names and defaults are fixed values: they are the interface that run scripts use.
+"""
 
 from __future__ import annotations
 

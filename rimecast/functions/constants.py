@@ -1,4 +1,4 @@
-"""Fixed values of the diagnostic: thresholds, formula constants, codes, parameters, models."""
+"""Fixed values of the diagnostic, which results depend on: thresholds, formula constants, codes, parameters, models."""
 
 from __future__ import annotations
 
@@ -14,11 +14,11 @@ LEAST_AREA, SHALLOW_REFREEZING = 2.0, 1.0
 GROUND_FREEZING = -3.0
 VERTICAL_CUTOFF = 12000.0
 #: Dew point.
-DEW_B, DEW_A, VAPOUR_RATIO = 5420.0, 2.53e11, 0.622
+DEW_TEMPERATURE, DEW_PRESSURE, VAPOUR_RATIO = 5420.0, 2.53e11, 0.622
 #: Saturation vapour pressure over ice.
-SAT_1, SAT_2, SAT_3, SAT_4 = 611.21, 22.587, 273.16, -0.7
+ICE_VAPOUR_PA, ICE_VAPOUR_RATE, TRIPLE_POINT, ICE_VAPOUR_OFFSET = 611.21, 22.587, 273.16, -0.7
 #: Wet-bulb approximation.
-WB_G, WB_H, WB_I, WB_L, WB_M, WB_N, WB_O = 0.5, 0.6, 700.0, 0.1, 6400.0, 11.564, 1742.0
+WB_HALF_STEP, WB_DEW_WEIGHT, WB_DEW_SCALE, WB_TENTHS, WB_PRESSURE_GROWTH, WB_GROWTH_RATE, WB_GROWTH_OFFSET = 0.5, 0.6, 700.0, 0.1, 6400.0, 11.564, 1742.0
 #: Ice fraction between NO_ICE and ALL_ICE: coefficients of powers 4 to 0.
 ICE_POLYNOMIAL = (-0.065, -3.1544, -56.414, -449.6, -1308.0)
 

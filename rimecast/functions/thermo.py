@@ -16,19 +16,19 @@ def celsius(kelvin: Column) -> Column:
 def dew_point_k(humidity: Column, pressure: Column) -> Column:
     vapour = humidity * pressure
     # no vapour: the logarithm is infinite and the dew point absolute zero
-    return F.when(vapour > 0, ratio(F.lit(C.DEW_B), F.ln(F.lit(C.DEW_A * C.VAPOUR_RATIO) / vapour))).when(vapour == 0, 0.0)
+    return F.when(vapour > 0, ratio(F.lit(C.DEW_TEMPERATURE), F.ln(F.lit(C.DEW_PRESSURE * C.VAPOUR_RATIO) / vapour))).when(vapour == 0, 0.0)
 
 
 def ice_vapour_pressure(kelvin: Column) -> Column:
-    return C.SAT_1 * F.exp(ratio(C.SAT_2 * (kelvin - C.SAT_3), kelvin - C.SAT_4))
+    return C.ICE_VAPOUR_PA * F.exp(ratio(C.ICE_VAPOUR_RATE * (kelvin - C.TRIPLE_POINT), kelvin - C.ICE_VAPOUR_OFFSET))
 
 
 def wet_bulb_c(temperature_c: Column, dew_k: Column, pressure: Column) -> Column:
     dew = (dew_k - C.KELVIN) * 10.0
     spread = temperature_c * 10.0 - dew
-    z = dew + C.WB_G * spread * (C.WB_H - dew / C.WB_I)
-    growth = F.exp(ratio(C.WB_N * z, C.WB_O + z))
-    return C.WB_L * (dew + ratio(spread, 1.0 + ratio(10.0 * C.WB_M * growth, pressure)))
+    z = dew + C.WB_HALF_STEP * spread * (C.WB_DEW_WEIGHT - dew / C.WB_DEW_SCALE)
+    growth = F.exp(ratio(C.WB_GROWTH_RATE * z, C.WB_GROWTH_OFFSET + z))
+    return C.WB_TENTHS * (dew + ratio(spread, 1.0 + ratio(10.0 * C.WB_PRESSURE_GROWTH * growth, pressure)))
 
 
 def with_thermodynamics(levels: DataFrame) -> DataFrame:

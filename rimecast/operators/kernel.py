@@ -21,13 +21,13 @@ def thermodynamics(t: np.ndarray, qv: np.ndarray, p: np.ndarray) -> tuple[np.nda
     """Temperature (deg C), humidity over ice (percent), wet bulb (deg C)."""
     with np.errstate(all="ignore"):
         tc = t - C.KELVIN
-        dew = C.DEW_B / np.log(C.DEW_A * C.VAPOUR_RATIO / (qv * p))
-        pressure = lambda x: C.SAT_1 * np.exp(C.SAT_2 * (x - C.SAT_3) / (x - C.SAT_4))
+        dew = C.DEW_TEMPERATURE / np.log(C.DEW_PRESSURE * C.VAPOUR_RATIO / (qv * p))
+        pressure = lambda x: C.ICE_VAPOUR_PA * np.exp(C.ICE_VAPOUR_RATE * (x - C.TRIPLE_POINT) / (x - C.ICE_VAPOUR_OFFSET))
         rh = pressure(dew) / pressure(t) * 100.0
         d = (dew - C.KELVIN) * 10.0
         s = tc * 10.0 - d
-        z = d + C.WB_G * s * (C.WB_H - d / C.WB_I)
-        tw = C.WB_L * (d + s / (1.0 + 10.0 * C.WB_M * np.exp(C.WB_N * z / (C.WB_O + z)) / p))
+        z = d + C.WB_HALF_STEP * s * (C.WB_DEW_WEIGHT - d / C.WB_DEW_SCALE)
+        tw = C.WB_TENTHS * (d + s / (1.0 + 10.0 * C.WB_PRESSURE_GROWTH * np.exp(C.WB_GROWTH_RATE * z / (C.WB_GROWTH_OFFSET + z)) / p))
     return tc, rh, tw
 
 

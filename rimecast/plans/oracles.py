@@ -27,7 +27,7 @@ levels AS (SELECT g.cell_id, k.lev, 0.5e0 * ({h("k.lev")} + {h("(k.lev + 1)")})
 
 
 THERMO = f"""
-t1 AS (SELECT *, temperature_k - {C.KELVIN} AS temperature_c, CASE WHEN specific_humidity * pressure_pa > 0 THEN {C.DEW_B}e0 / ln({C.DEW_A * C.VAPOUR_RATIO!r} / (specific_humidity * pressure_pa))
+t1 AS (SELECT *, temperature_k - {C.KELVIN} AS temperature_c, CASE WHEN specific_humidity * pressure_pa > 0 THEN {C.DEW_TEMPERATURE}e0 / ln({C.DEW_PRESSURE * C.VAPOUR_RATIO!r} / (specific_humidity * pressure_pa))
   WHEN specific_humidity * pressure_pa = 0 THEN 0.0e0 END AS dew_point_k FROM levels),
 t2 AS (SELECT *, exp(22.587e0 * (dew_point_k - 273.16e0) / (dew_point_k + 0.7e0)) / exp(22.587e0 * (temperature_k - 273.16e0) / (temperature_k + 0.7e0)) * 100.0e0 AS rh_ice_pct,
   temperature_c * 10.0e0 AS tl, (dew_point_k - 273.15e0) * 10.0e0 AS tp FROM t1),

@@ -2,13 +2,16 @@
 
 State per column: the last step that was put out and its accumulated value, and steps that came
 early. Steps are expected from ``first_step`` on without gaps; a step is held back until the one
-before it has come, so out-of-order input gives the batch result. Late repeats are dropped.
+before it has come, so out-of-order input gives the batch result. Late repeats are dropped. With ``patience_ms`` a
+column that holds steps back and gets none for so long gives its missing step up: the next one is put out with an
+undefined amount (as in the batch, where the step before is undefined), so what is held can't grow without end.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -16,26 +19,38 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..shipping import ship
 
 
-def deaccumulate_stream(acc: DataFrame, key: str = "cell_id", *, first_step: int = 0) -> DataFrame:
+def released(last: int, value: float, steps: np.ndarray, values: np.ndarray, first_step: int, give_up: bool = False) -> tuple[int, float, np.ndarray, np.ndarray, np.ndarray]:
+    """Steps that follow on without a gap leave the held ones (sorted, distinct): last step and value, amounts put out, steps and values still held."""
+    if give_up and len(steps) and steps[0] != last + 1:
+        last, value = int(steps[0]) - 1, np.nan
+    n = int(np.argmin(np.r_[steps == last + 1 + np.arange(len(steps)), False]))
+    before = np.r_[0.0 if last < first_step else value, values[: max(0, n - 1)]][:n]
+    amounts = values[:n] - before
+    if n:
+        last, value = int(steps[n - 1]), float(values[n - 1])
+    return last, value, amounts, steps[n:], values[n:]
+
+
+def deaccumulate_stream(acc: DataFrame, key: str = "cell_id", *, first_step: int = 0, patience_ms: int | None = None) -> DataFrame:
     """Streaming (key, step, tot_prec) to (key, step, total_precip_mm)."""
 
     def advance(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last, value, steps, values = state.get if state.exists else (first_step - 1, 0.0, [], [])
-        held = dict(zip(steps, values, strict=True))
-        for b in batches:
-            held.update({int(s): float(v) for s, v in zip(b["step"], b["tot_prec"], strict=True) if s > last and int(s) not in held})
-        out = []
-        while last + 1 in held:
-            now = held.pop(last + 1)
-            out.append((group[0], last + 1, now if last < first_step else now - value))
-            last, value = last + 1, now
-        state.update((last, value, list(held), list(held.values())))
-        yield pd.DataFrame(out, columns=[key, "step", "total_precip_mm"])
+        late = state.hasTimedOut
+        new = pd.concat([pd.DataFrame({"step": steps, "tot_prec": values}, dtype="float64"), *([] if late else [b[["step", "tot_prec"]] for b in batches])])
+        new = new[new["step"] > last].drop_duplicates("step").sort_values("step", kind="stable")
+        begin = last + 1 if not late or new.empty else int(new["step"].iloc[0])
+        last, value, amounts, steps, values = released(last, value, new["step"].to_numpy(np.int64), new["tot_prec"].to_numpy(np.float64), first_step, late)
+        state.update((last, value, steps.tolist(), values.tolist()))
+        if patience_ms is not None and len(steps):
+            state.setTimeoutDuration(patience_ms)
+        yield pd.DataFrame({key: [group[0]] * len(amounts), "step": np.arange(begin, begin + len(amounts), dtype=np.int32), "total_precip_mm": amounts})
 
     ship(acc.sparkSession)
     kind = acc.schema[key].dataType.simpleString()
     return acc.groupBy(key).applyInPandasWithState(
-        advance, f"{key} {kind}, step int, total_precip_mm double", "last int, value double, steps array<int>, vals array<double>", "append", GroupStateTimeout.NoTimeout
+        advance, f"{key} {kind}, step int, total_precip_mm double", "last int, value double, steps array<int>, vals array<double>", "append",
+        GroupStateTimeout.NoTimeout if patience_ms is None else GroupStateTimeout.ProcessingTimeTimeout,
     )
 
 

@@ -13,6 +13,7 @@ from rimecast.operators.quality import DataQualityError
 H5, H7, H8 = ([1000.0 * k for k in range(n - 1, -1, -1)] for n in (5, 7, 8))
 COLD = [-20.0, -18.0, -16.0, -14.0, -12.0]
 NOSE = [-8.0, 2.0, 4.0, 1.0, -1.0]
+#: Fixed values, which stand for the agreed behaviour of each rule:
 #: name, wet bulb from the top, humidity over ice, heights, precipitation, ground, threshold, code
 SCENARIOS = [
     ("snow", COLD, [90.0] * 5, H5, 1.0, -5.0, 0.0, 5),
@@ -61,6 +62,7 @@ def test_scenarios_arrays():
 def test_golden_thermodynamics(spark):
     df = spark.createDataFrame([(263.15, 0.0015, 70000.0), (273.15, 0.0035, 85000.0), (278.15, 0.0060, 95000.0)], "temperature_k double, specific_humidity double, pressure_pa double")
     got = with_thermodynamics(df).select("temperature_c", "wet_bulb_c", "rh_ice_pct").collect()
+    # fixed values, agreed golden numbers
     want = [(-10.0, -11.66723349, 54.71357185), (0.0, -1.30330555, 75.81552405), (5.0, 5.34851860, 105.80420823)]
     for a, b in zip(got, want, strict=True):
         assert a[0] == pytest.approx(b[0], abs=1e-10)
@@ -161,3 +163,24 @@ def test_local_grid():
         local.diagnose_grid(bad, p, np.full(shape, 0.0015), half, [1.0, 1.0], [-5.0, -5.0])
     with pytest.raises(ValueError):
         local.diagnose_grid(t, p, t, half[:3], [1.0, 0.0], [0.0, 0.0])
+
+
+def test_full_grid_agrees_with_columns():
+    rng = np.random.default_rng(3)
+    n, shape = 12, (4, 5)
+    half = np.linspace(9000, 0, n + 1)[:, None, None] + np.zeros((1, *shape))
+    t = 250 + np.linspace(0, 30, n)[:, None, None] + rng.normal(0, 4, (n, *shape))
+    p = np.linspace(3e4, 1e5, n)[:, None, None] + np.zeros((1, *shape))
+    q = rng.uniform(5e-4, 6e-3, (n, *shape))
+    rain, ground = rng.choice([0.0, 0.4, 2.0], shape), rng.uniform(-6, 6, shape)
+    got = local.diagnose_grid_full(t, p, q, half, rain, ground, threshold=0.1)
+    codes, _ = local.diagnose_grid(t, p, q, half, rain, ground, threshold=0.1)
+    h = 0.5 * (half[:-1] + half[1:])
+    for at in np.ndindex(shape):
+        one = local.diagnose_column(t[:, *at], p[:, *at], q[:, *at], h[:, *at], rain[at], ground[at], threshold=0.1)
+        assert got.code[at] == one.code == codes[at]
+        assert {k: v[at] for k, v in got.probabilities.items()} == pytest.approx(one.probabilities, nan_ok=True)
+        assert (got.pure_ice[at], got.ice[at]) == pytest.approx((one.pure_ice, one.ice))
+    t[:, 0, 0] = np.nan
+    assert local.diagnose_grid_full(t, p, q, half, rain, ground).code.shape == shape  # no gate
+    local.warm_up()

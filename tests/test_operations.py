@@ -319,3 +319,32 @@ def test_command_line_rejects(extra):
 def test_command_line_defaults():
     a = parser().parse_args(["--model", "CH2", "--store", "s", "--output-root", "o"])
     assert (a.members, a.lookback_days, a.chunk_size, a.workers, a.vertical_cutoff_m) == ("all", 2, 2, 4, 12000.0)
+
+
+def test_definition_path():
+    from rimecast.sources.definitions import executor_settings, search_path
+
+    there = {"/own", "/pkg", "/tmp/a", "/over"}.__contains__
+    assert search_path(None, installed=["/pkg", "/none", "/pkg"], fallbacks=["/tmp/a"], overlay="/over", exists=there) == "/over:/pkg:/tmp/a"
+    once = search_path("/pkg:/else", override="/own:/gone", overlay="/over", exists=there)
+    assert once == "/over:/own:/pkg:/else" and search_path(once, override="/own:/gone", overlay="/over", exists=there) == once
+    assert search_path(None, exists=there) is None and executor_settings("DEFS", None) == {}
+    assert executor_settings("DEFS", "/a") == {"spark.executorEnv.DEFS": "/a"}
+
+
+def test_rates():
+    from rimecast.functions.rates import columns_per_second
+
+    assert columns_per_second(10, 4.0) == 2.5 and columns_per_second(10, 0.0) == 0.0
+
+
+def test_held_steps_are_released_in_order_or_given_up():
+    import numpy as np
+
+    from rimecast.streaming.deaccumulate import released
+
+    last, value, out, steps, values = released(-1, 0.0, np.array([0, 1, 3]), np.array([1.0, 4.0, 9.0]), 0)
+    assert (last, value, out.tolist(), steps.tolist()) == (1, 4.0, [1.0, 3.0], [3])
+    assert len(released(last, value, steps, values, 0)[2]) == 0
+    last, value, out, steps, _ = released(last, value, steps, values, 0, give_up=True)
+    assert last == 3 and value == 9.0 and np.isnan(out).tolist() == [True] and not len(steps)
