@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,17 +35,44 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage and survives lost executors."""
     path = os.path.join(_scratch(df.sparkSession), f"{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    _written(df.sparkSession).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _written(spark: SparkSession) -> list[str]:
+    """Folders that this application has materialized and not deleted, oldest first."""
+    sc = spark.sparkContext
+    if not hasattr(sc, "_rimecast_written"):
+        sc._rimecast_written = []
+    return sc._rimecast_written
+
+
+@contextmanager
+def only_last(spark: SparkSession) -> Iterator[None]:
+    """Of what is materialized within, only the last table stays: what came before served to make it.
+
+    Only for blocks whose other tables no plan outside still reads.
+    """
+    paths, before = _written(spark), len(_written(spark))
+    yield
+    for path in paths[before:-1]:
+        _delete(spark, path)
+    del paths[before:-1]
+
+
+def _delete(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _scratch(spark: SparkSession) -> str:
     return os.path.join(shared_dir(spark), "rimecast", spark.sparkContext.applicationId)
 
 
 def clean(spark: SparkSession) -> bool:
     """Delete all that this application has materialized; call it when its results have been written."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _written(spark).clear()
+    return _delete(spark, _scratch(spark))
 
 
 class KeyFilter:

@@ -83,7 +83,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 GENERATORS = [
     (0, re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\x20?[\[(]\x20?(?:at|AT)\x20?[\])]\x20?[A-Za-z0-9-]{1,64}(?:(?:\.|\x20?[\[(]\x20?(?:dot|DOT)\x20?[\])]\x20?)[A-Za-z0-9-]{1,64}){1,8}")),
     (2, re.compile(r"(?<![0-9-])[0-9]{4}(?:[\x20.-]?[0-9]{4}){2}[\x20.-]?[0-9]{1,7}(?![0-9-])")),
-    (3, re.compile(r"(?<![0-9+.-])\(?[0-9]{2,5}\)?[\x20./-]{1,2}[0-9]{2,4}(?:[\x20.-][0-9]{2,5}){1,3}(?![0-9-])")),
+    (3, re.compile(r"(?<![0-9+.-])\(?[0-9]{2,5}\)?[\x20./-]{1,2}[0-9]{2,8}(?:[\x20.-][0-9]{2,5}){1,3}(?![0-9-])")),
     (3, re.compile(r"(?<![0-9+.A-Za-z-])[0-9]{9,12}(?![0-9A-Za-z.-])")),
     (4, re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")),
     (5, re.compile(r"(?<![A-Za-z0-9])[A-Z]{4}[A-Z0-9]{16}(?![A-Za-z0-9])")),
@@ -179,17 +179,21 @@ def describe(text: str, start: int, kind: int, end: int) -> list[float]:
     digits = _NOT_DIGIT.sub("", s)
     groups = re.findall(r"[0-9]+", s)
     near = before[-16:]
+    labels = re.findall(r"[A-Za-z]+", s)
     return [
         *(float(kind == k) for k in range(len(KINDS))),
         len(s), len(digits), sum(c.isalpha() for c in s), sum(c.isupper() for c in s), len(groups), max(map(len, groups), default=0), min(map(len, groups), default=0),
         len(set(s)) / len(s), float(luhn(digits)) if digits else 0.0, float("(" in s), s.count("-"), s.count("."), s.count(" "), float(s.startswith("0")), float(s.startswith("(")),
         float(kind == 4 and len(s) < 50 and mod97(s)), float(_IBAN_LENGTH.get(s[:2]) == len(s.replace(" ", ""))), s.count(":"), float(bool(_SIGN.search(before))), sum(not c.isalnum() and c != " " for c in s),
+        len(labels), len(labels[-1]) if labels else 0, float(kind == 0 and bool(labels) and labels[-1].lower() in _ENDINGS),
         float(s.islower()), float(bool(digits) and any(c.isalpha() for c in s)), float(bool(_PREFIX.match(s))), float(set(s) <= _HEX),
         float(s.startswith("AKIA")), float(before[-1:] in "=:\"'"), float(after.isalnum()), float(after in "\"'"),
         *(float(bool(p.search(before))) for p in _CONTEXT), *(float(bool(p.search(near))) for p in _CONTEXT),
     ]
 
 
+#: Common last labels of domains (fixed values).
+_ENDINGS = frozenset("com org net edu gov info io biz eu de fr es it at ch nl be uk us ca au jp br pl se no dk fi pt".split())
 _TO_LETTERS = str.maketrans("0123456789", "QRSTUVWXYZ")
 
 
@@ -224,6 +228,16 @@ def _examples(n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarra
         head = pick(["2001:db8", "fe80", "2a02:" + hexa(4), hexa(4)])
         return either(f"{head}::" + ":".join(hexa(int(rng.integers(1, 5))) for _ in range(k)))
 
+    def written_address():
+        at, dot = pick([" [at] ", " (at) ", "[at]", "(at)", " [AT] "]), pick([".", " [dot] ", " (dot) ", "[dot]"])
+        name = low(int(rng.integers(1, 9))) + pick(["", "", "." + low(int(rng.integers(2, 9))), "_" + low(4), dig(2), "-" + low(3)])
+        host = low(int(rng.integers(2, 12))) + pick(["", "", "-" + low(5), dot + low(4)])
+        return name + at + host + dot + pick(sorted(_ENDINGS))
+
+    def filler():
+        w = low(int(rng.integers(2, 9)))
+        return pick([w, w, w, w.capitalize(), w + ",", w + ":", w.upper()])
+
     def password():
         w, d = low(int(rng.integers(4, 9))), dig(int(rng.integers(1, 5)))
         return pick([w + d, w.capitalize() + d + pick("!?$#@%&*"), w.capitalize() + pick("!?$#@%&*") + d, alnum(int(rng.integers(8, 33))), f"{w}-{low(5)}-{low(4)}", w + low(4), w[:3] + pick("!$#%&*") + alnum(5)])
@@ -233,7 +247,7 @@ def _examples(n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarra
         return pick([f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"0{a} {b} {c}", f"0{dig(9)}"])
 
     good = [
-        lambda: (pick(["mail me at ", "contact: ", "", "write to "]), f"{low(6)}{pick(['.', '_', ''])}{low(4)}{pick([' [at] ', ' (at) ', '[at]'])}{low(6)}{pick(['.', ' [dot] ', ' (dot) '])}{pick(['com', 'org', 'net'])}"),
+        lambda: (pick(["mail me at ", "contact: ", "", "write to ", "reach us under ", "reply to: ", "send it to ", "e-mail: "]), written_address()),
         lambda: (pick(["host ", "ip address ", "server at ", ""]), either(":".join(hexa(4) for _ in range(8)))),
         lambda: (pick(["host ", "ip address ", "server at ", "ipv6 ", "", "connect to "]), short_ipv6()),
         lambda: (pick(["card number ", "visa ", "pay with card ", "credit card: "]), grouped(card())),
@@ -244,10 +258,10 @@ def _examples(n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarra
         lambda: (pick(["key ", "", "", low(5) + " "]), "AKIA" + pick([t := up(16), t, t.translate(_TO_LETTERS)])),
         lambda: (pick(["password=", 'token = "', "secret: ", "api key ", "login token "]), either(hexa(int(pick([16, 18, 20, 24, 28, 32, 40, 48, 64, 96]))))),
         lambda: (pick(["password: ", "password=", "password is ", "pwd: ", "secret: ", "api_key=", "api key: ", 'token = "', "my login password is ", "credentials: ", "passwd="]), password()),
-        lambda: (pick(["", "", "key ", "token: ", "use ", low(5) + " "]), pick(["ghp_", "sk-", "xoxb-", "AIza", "eyJ"]) + alnum(int(rng.integers(20, 40)))),
+        lambda: (pick(["", "", "key ", "token: ", "use ", low(5) + " ", "Authorization: ", "authorization token: ", "export TOKEN=", "bearer "]), pick(["ghp_", "gho_", "sk-", "xoxb-", "AIza", "eyJ"]) + alnum(int(rng.integers(16, 60)))),
     ]
     bad = [
-        lambda: (pick(["see note ", "type ", ""]), f"{low(5)} (at) {low(6)}.{low(9)}"),
+        lambda: (pick(["see note ", "type ", "", "we met ", "the value ", "mail "]), f"{low(int(rng.integers(2, 9)))}{pick([' (at) ', ' [at] ', '(at)'])}{low(int(rng.integers(2, 9)))}.{low(int(rng.integers(5, 12)))}"),
         lambda: (pick(["the ", "a ", "forgot ", "this "]) + pick(["password ", "token ", "key ", "secret ", "login ", "credentials "]), pick([low(int(rng.integers(4, 10))), f"count {dig(3)}", "points", "reset", "page", "value", "itself", "manager"])),
         lambda: (pick(["the password is ", "the key is ", "the secret is ", "key: ", "token: "]), pick(["wrong", "required", "missing", "that", "long", "safe", "expired", "invalid", "simple", "none", "needed", "stored", "below", "this", "when"])),
         lambda: (pick(["class ", "ratio ", "see ", "use ", "verse "]), pick([f"{pick('abcdef')}::{pick('abcdef')}", "::", f"::{pick('abcdef')}{pick('abcdef')}"])),
@@ -265,7 +279,7 @@ def _examples(n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarra
     while len(y) < n:
         label = int(rng.random() < 0.5)
         lead, span = pick(good if label else bad)()
-        text = " ".join(low(int(rng.integers(2, 9))) for _ in range(int(rng.integers(0, 6)))) + " " + lead
+        text = " ".join(filler() for _ in range(int(rng.integers(0, 6)))) + pick([" ", " ", ". ", ""]) + lead
         at, text = len(text), text + span + pick(['"', " ", ". ", ", ", ""]) + low(4)
         for s, k, e in candidates(text):
             if s < at + len(span) and e > at:
