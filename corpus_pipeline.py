@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rimecast.llm.common import fresh, materialize
+from rimecast.llm.common import fresh, materialize, only_last
 from rimecast.llm.decontaminate import drop_contaminated
 from rimecast.llm.language_id import accept
 from rimecast.llm.line_dedup import remove_boilerplate
@@ -63,5 +63,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with only_last(spark):  # a stage's own tables go once its result is written
+            docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
