@@ -8,16 +8,20 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..scratch import shared_dir
+from ..shipping import ship
 
 #: A key filter has at most this many bits (32 MB), and is used for at most ``MAX_FILTER_KEYS`` keys;
 #: beyond that callers join on the keys, so that no filter lets nearly everything through.
 MAX_FILTER_BITS = 1 << 28
 MAX_FILTER_KEYS = MAX_FILTER_BITS // 12
 _SEGMENT = 32768
+#: So many edges fit into one task at no cost worth dealing them out.
+FEW_EDGES = 16_384
 
 
 def fresh(taken: list[str], *names: str) -> list[str]:
@@ -133,16 +137,19 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Connected components of undirected edges: rows (node, root), root the smallest node.
 
     Alternating large-star and small-star steps; each step is two aggregates and a join
-    over edges, none gathers a node's neighbours in one place.
+    over edges, none gathers a node's neighbours in one place. At most ``FEW_EDGES`` edges are joined up in one task.
     """
+    ship(edges.sparkSession)
     e = materialize(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges")
     size = _weight(e)
+    if size[0] <= FEW_EDGES:
+        return materialize(e.repartition(1).mapInArrow(_joined_up, "node long, root long"), "roots")
     while size[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # written, so that the join below exchanges both its sides and a hub's rows can be split
         low = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "lowest")
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        large = large.unionByName(low.where("m < u").select("u", F.col("m").alias("v"))).distinct()
+        large = large.unionByName(low.where("m < u").select("u", F.col("m").alias("v")))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         e = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
@@ -152,6 +159,23 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def _joined_up(batches):
+    """Roots of the nodes of a few edges, by union and find."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root[up] if up in root else up
+        return x
+
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            u, v = find(u), find(v)
+            root[max(u, v)] = min(u, v)
+    found = [(x, r) for x in list(root) if (r := find(x)) != x]
+    yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["node", "root"])
+
+
 def _weight(e: DataFrame) -> tuple:
     r = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return int(r[0]), r[1]

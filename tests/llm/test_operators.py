@@ -700,11 +700,14 @@ def test_pii_by_hand():
     assert sum(bool(pii.all_spans(t, pii.base_spans(t), model)) for t in HARMLESS) <= 1
 
 
-def test_components_and_scratch(spark):
+@pytest.mark.parametrize("few", [16_384, 0])
+def test_components_and_scratch(spark, few, monkeypatch):
     import random
 
     from rimecast.llm import common
 
+    monkeypatch.setattr(common, "FEW_EDGES", few)
+
     rng = random.Random(9)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000, i) for i in range(1001, 1100)] + [(i, i + 1) for i in range(2000, 2060)]
     root = {}
