@@ -20,8 +20,8 @@ from ..shipping import ship
 MAX_FILTER_BITS = 1 << 28
 MAX_FILTER_KEYS = MAX_FILTER_BITS // 12
 _SEGMENT = 32768
-#: So many edges fit into one task at no cost worth dealing them out.
-FEW_EDGES = 16_384
+#: So many edges (2 MB) are joined up in one task: dealing them out would cost more than it spreads.
+FEW_EDGES = 1 << 17
 
 
 def fresh(taken: list[str], *names: str) -> list[str]:
@@ -107,7 +107,7 @@ def key_filter(keys: DataFrame, column: str, n: int) -> KeyFilter | None:
     at = F.explode(F.array(key.bitwiseAND(F.lit(m)), F.shiftrightunsigned(key, 32).bitwiseAND(F.lit(m)))).alias("at")
     segments = keys.select(at).groupBy(F.shiftright("at", 15).alias("segment")).agg(F.bitmap_construct_agg(F.col("at") % _SEGMENT).alias("part"))
     bits = np.zeros((1 << log2) // 8, np.uint8)
-    for r in segments.toLocalIterator():
+    for r in segments.collect():  # 32 MB at most
         part = np.frombuffer(r["part"], np.uint8)
         bits[r["segment"] * _SEGMENT // 8 :][: len(part)] = part
     return KeyFilter(bits, log2)

@@ -43,6 +43,8 @@ BANDS, ROWS = 40, 6
 #: Most documents and shingles in a block of a family.
 BLOCK_DOCS, BLOCK_SHINGLES = 1024, 1_000_000
 LEADERS = 3
+#: Most followers that share one copy of their leader.
+LED_DOCS = 128
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, list[bytes | None]]:
@@ -311,7 +313,7 @@ def _links(texts: DataFrame, member: DataFrame, pairs: DataFrame, k: int, percen
 def _led(leader: DataFrame, large: DataFrame, percent: int) -> DataFrame:
     """Links between members and their leaders; a leader's followers are dealt out in chunks, each with a copy of the leader."""
     sized = leader.join(large.select("node", "n"), "node")
-    chunks_ = F.ceil(F.greatest(F.count("*") / BLOCK_DOCS, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    chunks_ = F.ceil(F.greatest(F.count("*") / LED_DOCS, F.sum("n") / BLOCK_SHINGLES)).cast("int")
     parts = materialize(sized.groupBy("leader").agg(chunks_.alias("chunks")), "led-chunks")
     follow = leader.join(parts, "leader").join(large, "node")
     follow = follow.select("leader", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk"), "node", F.lit(False).alias("leads"), "shingles")
