@@ -37,14 +37,16 @@ def deaccumulate_stream(acc: DataFrame, key: str = "cell_id", *, first_step: int
     def advance(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last, value, steps, values = state.get if state.exists else (first_step - 1, 0.0, [], [])
         late = state.hasTimedOut
-        new = pd.concat([pd.DataFrame({"step": steps, "tot_prec": values}, dtype="float64"), *([] if late else [b[["step", "tot_prec"]] for b in batches])])
+        held = [pd.DataFrame({"step": steps, "tot_prec": values})] if steps else []
+        new = pd.concat([*held, *([] if late else [b[["step", "tot_prec"]] for b in batches])])
         new = new[new["step"] > last].drop_duplicates("step").sort_values("step", kind="stable")
         begin = last + 1 if not late or new.empty else int(new["step"].iloc[0])
         last, value, amounts, steps, values = released(last, value, new["step"].to_numpy(np.int64), new["tot_prec"].to_numpy(np.float64), first_step, late)
         state.update((last, value, steps.tolist(), values.tolist()))
         if patience_ms is not None and len(steps):
             state.setTimeoutDuration(patience_ms)
-        yield pd.DataFrame({key: [group[0]] * len(amounts), "step": np.arange(begin, begin + len(amounts), dtype=np.int32), "total_precip_mm": amounts})
+        if len(amounts):
+            yield pd.DataFrame({key: [group[0]] * len(amounts), "step": np.arange(begin, begin + len(amounts), dtype=np.int32), "total_precip_mm": amounts})
 
     ship(acc.sparkSession)
     kind = acc.schema[key].dataType.simpleString()
