@@ -1,7 +1,7 @@
 """NumPy primitives over Arrow string columns: words, word hashes, window hashes.
 
-Everything works on the UTF-8 bytes of many texts at once. A batch is bounded by Spark in bytes
-(spark.sql.execution.arrow.maxBytesPerBatch, or one row if that is longer); its texts are taken in
+Everything works on the UTF-8 bytes of many texts at once. A batch is bounded in bytes
+(``common.BATCH_BYTES``, or one row if that is longer); its texts are taken in
 chunks of about ``CHUNK`` bytes (a longer text is a chunk of its own), so what is computed beside the batch is
 bounded by the longest text.
 

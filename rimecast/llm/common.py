@@ -20,10 +20,23 @@ from ..shipping import ship
 MAX_FILTER_BITS = 1 << 28
 MAX_FILTER_KEYS = MAX_FILTER_BITS // 12
 _SEGMENT = 32768
+BATCH_BYTES = 8 << 20
 #: So many edges (2 MB) are joined up in one task: dealing them out would cost more than it spreads.
 FEW_EDGES = 1 << 17
 
 
+def settings(spark: SparkSession) -> None:
+    """What Python operators need: the package on the workers, and Arrow batches of at most ``BATCH_BYTES`` (or one row).
+
+    The bound in bytes holds for the session's later queries too; it changes no result.
+    """
+    ship(spark)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).lower()
+    if now.endswith("b") and now[:-1].isdigit() and int(now[:-1]) > BATCH_BYTES:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
+
+
 def fresh(taken: list[str], *names: str) -> list[str]:
     """Column names like the given ones that clash with none of ``taken``, whatever the case."""
     used, out = {c.lower() for c in taken}, []

@@ -36,9 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ..shipping import ship
 from .arrays import Words, chunks, text_buffers, windows
-from .common import materialize
+from .common import materialize, settings
 
 
 INDEX_WORDS = 2_000_000
@@ -260,7 +259,7 @@ def _in_order(ids) -> list:
 def find_contamination(docs: DataFrame, items: DataFrame, *, overlap: float = 0.8) -> DataFrame:
     """One row per input row: doc_id, n_items, items (sorted ids, null last), overlap (of the best), contaminated."""
     spark = docs.sparkSession
-    ship(spark)
+    settings(spark)
     kind, item = (d.schema[c].dataType.simpleString() for d, c in ((docs, "doc_id"), (items, "item_id")))
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     none, parts = F.array().cast(f"array<{item}>"), []
@@ -296,7 +295,7 @@ def _search(shared, overlap: float, kind: pa.DataType):
 def drop_contaminated(docs: DataFrame, items: DataFrame, *, overlap: float = 0.8) -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns: one filter pass for each shard."""
     spark = docs.sparkSession
-    ship(spark)
+    settings(spark)
     at = docs.columns.index("text")
 
     def clean(shared):

@@ -28,9 +28,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..shipping import ship
 from .arrays import chunks, text_buffers
 
+from .common import settings
 from .linear import grams, letters, svm
 
 PER_LANGUAGE, LANGUAGES = 400, 64
@@ -192,7 +192,7 @@ def _predict(m: Model | None, column) -> tuple[np.ndarray, np.ndarray, np.ndarra
 def identify(docs: DataFrame, *, learn: Column) -> DataFrame:
     """One row per input row: doc_id, lang_pred, score. Only ``text`` is looked at for a prediction."""
     spark = docs.sparkSession
-    ship(spark)
+    settings(spark)
     model = spark.sparkContext.broadcast(train(docs, learn))
 
     def run(batches):
@@ -207,7 +207,7 @@ def identify(docs: DataFrame, *, learn: Column) -> DataFrame:
 def accept(docs: DataFrame, *, learn: Column, min_score: float = 0.5) -> DataFrame:
     """The rows like a learned language and with at least ``min_score``, with all their columns."""
     spark = docs.sparkSession
-    ship(spark)
+    settings(spark)
     model = spark.sparkContext.broadcast(train(docs, learn))
     at = docs.columns.index("text")
 

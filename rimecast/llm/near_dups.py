@@ -35,9 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..shipping import ship
 from .arrays import U, Words, binaries, chunks, fold, inside, mix, signed, text_buffers, windows
-from .common import components, fresh, key_filter, materialize, split_rows
+from .common import components, fresh, key_filter, materialize, settings, split_rows
 
 BANDS, ROWS = 40, 6
 #: Most documents and shingles in a block of a family.
@@ -249,7 +248,7 @@ def _followers(percent: int):
 def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80, n_bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per input row: doc_id, text_key (hash of the text), n_shingles, component_id, kept (doc_id = component_id)."""
     spark = docs.sparkSession
-    ship(spark)
+    settings(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", "text")
     keyed = texts.select("doc_id", "text", F.xxhash64("text").alias("text_key"))

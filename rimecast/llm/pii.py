@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..shipping import ship
 from .boosting import Calibrated
+from .common import settings
 
 
 #: The order of kinds at equal starts; the first four are the base kinds.
@@ -339,7 +339,7 @@ def find_pii(docs: DataFrame, *, with_redacted: bool = False) -> DataFrame:
     """doc_id, the base spans' counts n_email, n_ip, n_card, n_phone, base_sha256, spans, n_id and n_secret, n_added (all
     spans beyond the base ones), n_spans and, on request, the redacted text."""
     spark = docs.sparkSession
-    ship(spark)
+    settings(spark)
     model = spark.sparkContext.broadcast(train())
     base_counts = [f"n_{k}" for k in KINDS[:4]]
     more = ["n_id", "n_secret", "n_added", "n_spans"]

@@ -37,9 +37,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..shipping import ship
 from .arrays import U, Words, binaries, chunks, fold, inside, signed, text_buffers, windows
-from .common import key_filter, materialize, split_rows
+from .common import key_filter, materialize, settings, split_rows
 
 ANCHOR = 6
 _LAST = 0x7FFFFFFFFFFFFFFF
@@ -228,7 +227,7 @@ def paths(graph: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame, *, k: int = 20, anchor: int = ANCHOR) -> DataFrame:
     """Spans to remove: (doc, seq, start, words), ids as in ``docs`` (null ids as the largest), seq: bits of the hash of the row's words."""
     spark = docs.sparkSession
-    ship(spark)
+    settings(spark)
     texts = _texts(docs).where(F.col("text").isNotNull()).select("doc", "text")
     found = texts.mapInArrow(_own_anchors(k, anchor, False), "anchor long, sequence long")
     found = found.groupBy("anchor").agg(F.min("sequence").alias("a"), F.max("sequence").alias("z"))
@@ -285,7 +284,7 @@ def _cut(batches):
 
 def remove_repeats(docs: DataFrame, *, k: int = 20, anchor: int = ANCHOR) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, text (the words that stay, joined by a space)."""
-    ship(docs.sparkSession)
+    settings(docs.sparkSession)
     texts = _texts(docs)
     every = repeated_spans(docs, k=k, anchor=anchor).groupBy("doc", "seq").agg(F.collect_set(F.struct("start", "words")).alias("spans"))
     every = materialize(every, "spans")

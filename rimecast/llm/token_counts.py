@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..shipping import ship
+from .common import settings
 
 TABLE_ENTRIES = 32768
 SAMPLE_ROWS = 2000
@@ -134,7 +134,7 @@ def frequent_lengths(docs: DataFrame, path: str, *, text_col: str = "text") -> d
 def count_tokens(docs: DataFrame, tokenizer_path: str, *, id_col: str = "doc_id", text_col: str = "text", limit: int = 2048) -> DataFrame:
     """One row per input row: id, n_bytes, n_tokens, over_limit (n_tokens > limit)."""
     spark = docs.sparkSession
-    ship(spark)
+    settings(spark)
     table = spark.sparkContext.broadcast(frequent_lengths(docs, tokenizer_path, text_col=text_col))
     token = uuid.uuid4().hex
 

@@ -18,9 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..shipping import ship
 from .arrays import chunks, text_buffers
-from .common import materialize
+from .common import materialize, settings
 from .linear import grams, letters, logistic
 
 PER_CLASS = 1500
@@ -118,7 +117,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str) ->
 def score_toxicity(docs: DataFrame, labels: DataFrame, *, learn: Column, label_col: str = "toxic", threshold: float = 0.3) -> DataFrame:
     """One row per input row: doc_id, score, predicted (score >= threshold). ``learn``: a condition on labels."""
     spark = docs.sparkSession
-    ship(spark)
+    settings(spark)
     weights, bias = train(docs, labels, learn, label_col)
     model = spark.sparkContext.broadcast(weights)
 

@@ -187,6 +187,31 @@ def test_near_duplicate_families_in_blocks(spark, monkeypatch):
     assert bag(got, "doc_id", "n_shingles", "component_id") == Counter(components_brute(out, 3, 85))
 
 
+def test_near_duplicate_family_in_linear_traffic(spark, monkeypatch):
+    """Copies close to common leaders: each set travels to at most three leaders, and no pair of blocks is left to compare."""
+    import random
+
+    from rimecast.llm import near_dups
+
+    rows, write = {}, near_dups.materialize
+
+    def counted(df, label):
+        out = write(df, label)
+        rows[label] = rows.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(near_dups, "materialize", counted)
+    monkeypatch.setattr(near_dups, "BLOCK_DOCS", 64)
+    rng, n = random.Random(5), 2000
+    base = [f"w{i}" for i in range(200)]
+    family = [(i, " ".join(x if j != i % 200 else f"x{i}" for j, x in enumerate(base))) for i in range(n)]
+    other = [(n + i, " ".join(rng.choices(base, k=120))) for i in range(50)]
+    out = near_duplicates(spark.createDataFrame(family + other, "doc_id long, text string").repartition(8), k=3, percent=85)
+    assert out.where(f"doc_id < {n}").select("component_id").distinct().collect() == [(0,)]
+    assert out.where(f"doc_id >= {n} and kept").count() == 50
+    assert 0 < rows["led"] <= 3 * n and rows["left"] == 0 and rows["sets"] <= n + 50
+
+
 def test_deduplicate(docs, nothing):
     stay = deduplicate(docs)
     assert stay.columns == docs.columns
