@@ -105,6 +105,8 @@ _IBAN_LENGTH = {code: n for n, codes in IBAN_LENGTHS.items() for code in codes}
 #: What stands behind such a word, within quotes or up to a blank, may be a secret.
 _MARKS = ("passw", "passphrase", "pwd", "secret", "token", "key", "credential", "login")
 _MARKED = re.compile(r"(?:passw(?:or)?d|passphrase|pwd|secret|token|key|credentials?|login)[\"']?\x20{0,2}(?:[:=]{1,2}>?|is\b)?\x20{0,2}(?:\"([^\"\n]{4,})\"|'([^'\n]{4,})'|([^\s\"'][^\s]{3,}+))", re.IGNORECASE | re.ASCII)
+#: A value that is itself a mark with a sign, as in "login password=...", is only the name of the next one.
+_NAMED = re.compile(r"(?:passw(?:or)?d|passphrase|pwd|secret|token|key|credentials?|login)[\"']?\x20{0,2}[:=]", re.IGNORECASE | re.ASCII)
 _PREFIX = re.compile(r"gh[pousr]_|github_pat_|sk-|xox[abprs]-|AIza|eyJ")
 _HEX = frozenset("0123456789abcdefABCDEF")
 _SIGN = re.compile(r"(?:[:=]>?|\bis)\x20{0,2}[\"']?$")
@@ -155,7 +157,7 @@ def _marked(text: str):
             start, end = m.span(m.lastindex)
             if m.lastindex == 3:
                 end = start + len(text[start:end].rstrip(".,;:)]}>\"'"))
-            if end - start >= 4:
+            if end - start >= 4 and not _NAMED.match(text, start):
                 yield start, end
             at = start  # a value may be a mark itself, as in "secret key: ..."
 
