@@ -115,3 +115,65 @@ hit AS (SELECT doc_id, item_id, r, count(*) AS n FROM have JOIN want USING (k, s
 pair AS (SELECT doc_id, item_id, min(hit.n / total.n) AS o FROM hit JOIN total USING (item_id, r) GROUP BY doc_id, item_id HAVING count(*) = 2 AND min(hit.n / total.n) >= {overlap})
 SELECT d.doc_id, count(item_id) AS n_items, coalesce(string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id), '') AS items, round(coalesce(max(o), 0.0), 6) AS overlap, count(item_id) > 0 AS contaminated, count(item_id) = 0 AS kept
 FROM d LEFT JOIN pair USING (doc_id) GROUP BY d.doc_id"""
+
+
+def filter_audit() -> str:
+    words = r"regexp_extract_all(t, '[^\x20\x09-\x0D]+')"
+    order = "a.l || b.l || c.l || d.l || e.l"
+    return rf"""WITH raw AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+lab AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT raw.doc_id, part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, len({words}) < 100 AS A, 100 * len(list_distinct({words})) < 80 * len({words}) AS B,
+  100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t) AS C, regexp_matches(t, '[#$%&*|]') AS D, coalesce(raw.doc_id > min(raw.doc_id) OVER (PARTITION BY t), false) AS E FROM raw LEFT JOIN lab USING (doc_id)),
+cell AS (SELECT part, good, toxic, CASE WHEN A THEN 'A' ELSE '' END || CASE WHEN B THEN 'B' ELSE '' END || CASE WHEN C THEN 'C' ELSE '' END || CASE WHEN D THEN 'D' ELSE '' END || CASE WHEN E THEN 'E' ELSE '' END AS m, count(*) AS n FROM f GROUP BY ALL),
+x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+o AS (SELECT {order} AS filter_order FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+s AS (SELECT part, filter_order, step, substr(filter_order, step, 1) AS l, n, good, toxic, m, contains(m, substr(filter_order, step, 1)) AS fails,
+  step > 1 AND len(translate(m, substr(filter_order, 1, step - 1), '')) < len(m) AS gone FROM cell, o, (SELECT unnest(range(1, 6))::INT AS step)),
+g AS (SELECT part, filter_order, step, l, sum(CASE WHEN NOT fails AND NOT gone THEN n ELSE 0 END)::BIGINT AS kept, sum(CASE WHEN fails AND NOT gone THEN n ELSE 0 END)::BIGINT AS removed,
+  sum(CASE WHEN fails AND gone THEN n ELSE 0 END)::BIGINT AS redundant, sum(CASE WHEN m = l THEN n ELSE 0 END)::BIGINT AS unique_fails,
+  sum(CASE WHEN fails AND NOT gone AND good = 1 THEN n ELSE 0 END)::BIGINT AS good_lost, sum(CASE WHEN fails AND NOT gone AND toxic = 1 THEN n ELSE 0 END)::BIGINT AS toxic_lost FROM s GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, l))::BIGINT AS shapley FROM g"""
+
+
+#: Remainders of the bytes 0 to 255 for the reversed CRC-32 polynomial, and a CRC by them.
+_CRC_TABLE = "(SELECT list(c ORDER BY b) FROM (SELECT b, list_reduce(range(8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, b) AS c FROM (SELECT unnest(range(256)) AS b)))"
+
+
+def _crc32(text: str) -> str:
+    """SQL for the CRC-32 of an ASCII text, given a column ``crc`` with ``_CRC_TABLE``."""
+    codes = f"list_transform(string_split({text}, ''), lambda x: unicode(x)::BIGINT)"
+    return f"xor(list_reduce({codes}, lambda c, b: xor(c // 256, crc[(xor(c, b) % 256) + 1]), 4294967295), 4294967295)"
+
+
+def conversation_repair() -> str:
+    """The same edits by dynamic programming, row after row of all conversations, with the best (cost, audit) of each grammar state."""
+    far = "{'c': 1000000000, 'a': ''}"
+    plus = lambda s, price, edit: f"{{'c': {s}.c + {price}, 'a': {s}.a || '{edit}'}}"
+    least = lambda *xs: f"list_min([{', '.join(xs)}])"
+    when = lambda cond, x: f"CASE WHEN {cond} THEN {x} ELSE {far} END"
+    closed = f"""p0 AS q0, p1 AS q1, {least("p2", *[plus(p, 2, "I") for p in ("p0", "p1", "p3")])} AS q2, {least("p3", plus("p2", 2, "I"), plus("p0", 4, "II"), plus("p1", 4, "II"))} AS q3"""
+    u, r = [f"q{k}" for k in (0, 1, 3)], "NOT must"
+    return rf"""WITH RECURSIVE t AS (SELECT {_CRC_TABLE} AS crc),
+src AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS act FROM conversations, t),
+dam AS (SELECT conv_id, turn, CASE WHEN act = 4 THEN 'user' ELSE role END AS role, CASE WHEN act = 1 THEN '' WHEN act = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(CASE WHEN act = 3 THEN [1, 2] ELSE [1] END) AS copy FROM src WHERE act <> 0),
+ord AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, substr(sha256(length(role) || ':' || role || text), 1, 32)) AS i FROM dam),
+flag AS (SELECT *, substr(role, 1, 1) AS ini, NOT regexp_matches(text, '[^ 	-]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+  NOT regexp_matches(text, '[.!?][ 	-]*\z') AS cut, lag(role) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM ord),
+rows AS (SELECT *, blank OR again AS must, CASE WHEN cut AND NOT blank AND NOT again THEN 1 ELSE 0 END AS more FROM flag),
+sums AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE again AND NOT blank) AS duplicate, sum(more) AS truncated,
+  count(*) FILTER (WHERE i > 1 AND (substr(before, 1, 1) || ini) NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM rows GROUP BY conv_id),
+dp AS (SELECT conv_id, 0::BIGINT AS i, n, {{'c': 0, 'a': ''}} AS p0, {far} AS p1, {far} AS p2, {far} AS p3 FROM sums
+  UNION ALL SELECT conv_id, i, n, {plus("q0", 3, "D")}, {least(plus("q1", 3, "D"), when(f"{r} AND ini = 's'", plus("q0", "more", "K")))},
+    {least(plus("q2", 3, "D"), *[when(f"{r} AND ini = 'u'", plus(q, "more", "K")) for q in u], *[when(r, plus(q, "2 + more", "R")) for q in u])},
+    {least(plus("q3", 3, "D"), when(f"{r} AND ini = 'a'", plus("q2", "more", "K")), when(r, plus("q2", "2 + more", "R")))}
+    FROM (SELECT dp.conv_id, rows.i, n, ini, must, more::INT AS more, {closed} FROM dp JOIN rows ON dp.conv_id IS NOT DISTINCT FROM rows.conv_id AND rows.i = dp.i + 1)),
+fin AS (SELECT conv_id, {least("q0", "q3")} AS best FROM (SELECT conv_id, {closed} FROM dp WHERE i = n)),
+let AS (SELECT conv_id, u.p AS p, substr(best.a, u.p::INT, 1) AS edit FROM fin, LATERAL (SELECT unnest(range(1, length(best.a) + 1)) AS p) u),
+pos AS (SELECT *, sum(CASE WHEN edit = 'I' THEN 0 ELSE 1 END) OVER w AS i, sum(CASE WHEN edit = 'D' THEN 0 ELSE 1 END) OVER w AS j FROM let WINDOW w AS (PARTITION BY conv_id ORDER BY p)),
+old AS (SELECT pos.*, role, text, max(CASE WHEN edit = 'K' AND ini = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY pos.conv_id) AS s FROM pos LEFT JOIN rows ON pos.conv_id IS NOT DISTINCT FROM rows.conv_id AND pos.i = rows.i),
+line AS (SELECT conv_id, p, CASE WHEN edit = 'K' THEN role WHEN (j - s) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END AS l FROM old WHERE edit <> 'D'),
+rep AS (SELECT conv_id, string_agg(l, chr(10) ORDER BY p) AS t FROM line GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal,
+  coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(rep.t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN sums ON c.conv_id IS NOT DISTINCT FROM sums.conv_id LEFT JOIN fin ON c.conv_id IS NOT DISTINCT FROM fin.conv_id LEFT JOIN rep ON c.conv_id IS NOT DISTINCT FROM rep.conv_id"""

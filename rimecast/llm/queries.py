@@ -119,3 +119,27 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), overlap=0.8)
     items = F.array_join(F.transform("items", lambda i: i.cast("string")), ",")
     return out.select("doc_id", "n_items", items.alias("items"), F.round("overlap", 6).alias("overlap"), "contaminated", (~F.col("contaminated")).alias("kept"))
+
+
+@query(oracles.filter_audit())
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .filter_audit import filter_interactions
+
+    return filter_interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The conversations with rows dropped, emptied, cut, repeated or given to the user; dropped ones have ``present`` false."""
+    conv, turn = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn"))
+    act = F.crc32(F.concat(conv, F.lit(":"), turn)) % 20
+    role, text = F.coalesce("role", F.lit(" ")), F.coalesce("text", F.lit(" "))
+    text = F.when(act == 0, "").when(act == 1, "").when(act == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    copies = F.explode(F.when(act == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy")
+    return conversations.select("conv_id", "turn", F.when(act == 4, "user").otherwise(role).alias("role"), text.alias("text"), (act != 0).alias("present"), copies).drop("copy")
+
+
+@query(oracles.conversation_repair())
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .conversation_repair import repair_conversations
+
+    return repair_conversations(damaged(table(spark, sf_dir, "conversations")), F.col("present"))
