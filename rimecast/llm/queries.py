@@ -143,3 +143,12 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .conversation_repair import repair_conversations
 
     return repair_conversations(damaged(table(spark, sf_dir, "conversations")), F.col("present"))
+
+
+@query()
+def op13_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .piece_encoding import encode_pieces
+
+    out = encode_pieces(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), with_text=True)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
