@@ -1,12 +1,13 @@
 """SentencePiece encoding and decoding by a table of distinct chunks.
 
 Where no piece crosses a white-space marker, pieces can't span two marked words, so a text's ids are those of its chunks (a run of markers and
-what follows it; a line feed, where no longer piece has one, is a chunk of its own) put together by position. Chunks are
+what follows it; where no longer piece has a line feed, also a line feed and what follows it) put together by position. Chunks are
 counted, and each distinct one that occurs again is segmented once, in Spark, into a written table. Frequent chunks (at
 most ``TABLE_ENTRIES``) reach the workers as a broadcast table. A chunk that a filter of all repeated ones rules out occurs
 once in the corpus and is segmented where it stands. What is left, chunks that are neither frequent nor single,
 leaves holes: each is joined to the table by its chunk and comes back to its text by row and position. Between the two, a text
-travels as the compressed ids that are known. If no chunk but frequent ones repeats, nothing is exchanged at all.
+travels as the compressed ids that are known. If no chunk but frequent ones repeats, nothing is exchanged at all. Tasks cut a batch of
+texts at once, look up its distinct chunks, and spread their ids over the positions as arrays.
 
 Chunks of over ``LONGEST`` characters are segmented where they stand, so that rows of the table stay small. Vocabulary files
 for which the above doesn't hold (a piece with a marker behind another character, a normaliser that is not the identity, removal
@@ -20,24 +21,23 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import KeyFilter, key_filter, materialize, settings
+from .common import key_filter, materialize, settings
 
 MARK = "▁"
 LONGEST = 64
 TABLE_ENTRIES = 1 << 20
-#: A task counts chunks of so many characters before it hands them on.
-COUNTED_CHARS = 1 << 24
-OUT_BYTES = 8 << 20
-_HOLE = 0xFFFFFFFF
+#: A task adds counts up to about so many rows before it hands them on.
+COUNTED_ROWS = 1 << 20
+_HOLE = -1
 _SEED = 42
 
 
@@ -70,7 +70,11 @@ _CHARSMAP, _PREFIX, _REMOVE, _ESCAPE, _SUFFIX_FIELD, _RULES = 2, 3, 4, 5, 24, 6
 
 
 class Pieces:
-    """A vocabulary file on a worker: how it cuts texts, and the ids of single chunks."""
+    """A vocabulary file on a worker: how it cuts texts, the ids of single chunks, the bytes of ids.
+
+    A chunk is written without the marker it begins with, or with its line feed: "word", "\\nword", " word" for two markers
+    and a word, "" for a marker alone.
+    """
 
     def __init__(self, path: str):
         import sentencepiece
@@ -84,25 +88,70 @@ class Pieces:
                 piece = dict(_fields(value))
                 pieces.append(piece.get(_TEXT, b"").decode())
                 plain = plain and piece.get(_KIND, 1) != _USER_DEFINED
-        plain = plain and not spec.get(_CHARSMAP) and not spec.get(_RULES) and not spec.get(_REMOVE, 1) and spec.get(_ESCAPE, 1) == 1
-        # the sole place for a marker that is not asked of the library: at the front
-        plain = plain and len(self.model.encode("\n")) >= 2 and self.model.normalize("\n").endswith("\n")
-        self.prefix = MARK * bool(spec.get(_PREFIX, 1))
-        self.cuts = plain and self.prefix == MARK and not any(MARK in p.lstrip(MARK) for p in pieces) and not any("\n" in p and len(p) > 1 for p in pieces)
-        self.head = len(self.model.encode("\n")) if self.cuts else 0
-        self.find = re.compile(f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n").findall
+        plain = plain and not spec.get(_CHARSMAP) and not spec.get(_RULES) and not spec.get(_REMOVE, 1) and spec.get(_ESCAPE, 1) == 1 and spec.get(_PREFIX, 1) == 1
+        plain = plain and not any(MARK in p.lstrip(MARK) or ("\n" in p and len(p) > 1) for p in pieces)
+        # a line feed of its own behind the marker in front: what follows it is read as in the middle of a text
+        lone = self.model.encode("\n")
+        self.cuts = plain and len(lone) == 2 and self.model.id_to_piece(lone[0]) == MARK
+        self.mark = lone[:1]
+        self._find = re.compile(f"{MARK}+[^{MARK}\n]*|\n[^{MARK}\n]*").findall
+        self._pieces = pieces
 
     def chunks(self, text: str) -> list[str]:
-        return self.find(self.prefix + text.replace(" ", MARK)) if text else []
+        """The chunks of one text."""
+        return [c[1:] if c[0] == MARK else c for c in self._find(MARK + text.replace(" ", MARK))] if text else []
+
+    def cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The chunks of many texts, one after the other, and where each text's begin and end."""
+        texts = texts.cast(pa.large_string())
+        # between single blanks, and at line feeds, a text is simply split
+        odd = pc.or_(pc.match_substring_regex(texts, f"  |{MARK}|^ "), pc.equal(pc.binary_length(texts), 0))
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        if pc.any(odd).as_py():
+            rows = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+            other = pa.array([self.chunks(t) for t in texts.take(pa.array(rows)).to_pylist()], split.type)
+            at = np.arange(len(texts))
+            at[rows] = len(texts) + np.arange(len(rows))
+            split = pa.concat_arrays([split, other]).take(pa.array(at))
+        return split.flatten(), np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])
 
     def encode(self, chunks: list[str]) -> list[list[int]]:
         """The ids of each chunk as they are within a text."""
-        # the library puts a marker in front itself; a chunk without one is read behind a line feed
-        marked = [c[1:] if c[0] == MARK else "\n" + c for c in chunks]
-        if MARK in chunks:  # a single marker: an empty text has no ids at all
-            marked = [m or "\n" for m in marked]
-        ids = self.model.encode(marked, num_threads=1)
-        return [i[self.head :] if c[0] != MARK else i[: self.head - 1] if c == MARK else i for c, i in zip(chunks, ids, strict=True)]
+        ids = self.model.encode(chunks, num_threads=1) if chunks else []
+        return [self.mark if not c else i[1:] if c[0] == "\n" else i for c, i in zip(chunks, ids, strict=True)]
+
+    def surfaces(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Bytes of all pieces, and where each piece's begin and how many they are; -1 for ids that only the library decodes."""
+        parts = []
+        for i, piece in enumerate(self._pieces):
+            parts.append(bytes([int(piece[1:-1], 16)]) if self.model.is_byte(i) else piece.replace(MARK, " ").encode())
+        size = np.array([len(x) for x in parts], np.int64)
+        begin = np.cumsum(size) - size
+        for i in range(len(parts)):
+            if self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_unused(i):
+                size[i] = -1
+        return np.frombuffer(b"".join(parts), np.uint8), begin, size
+
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """Texts of ids that ``encode`` gave: the bytes of the pieces, without the marker in front."""
+        if not hasattr(self, "_surfaces"):
+            self._surfaces = self.surfaces()
+        data, begin, size = self._surfaces
+        begin, size = begin[ids], size[ids]
+        if (size < 0).any():
+            return pa.array([self.model.decode(ids[a:b].tolist()) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.large_string())
+        first = ends[:-1][ends[1:] > ends[:-1]]
+        begin[first] += 1
+        size[first] -= 1
+        total = np.concatenate([[0], np.cumsum(size)])
+        text = data[_spread(begin, size)]
+        return pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(total[ends].astype(np.int64)), pa.py_buffer(text))
+
+
+def _spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... of each range, one range after the other."""
+    total = np.cumsum(size)
+    return np.arange(total[-1] if len(total) else 0) + np.repeat(begin - (total - size), size)
 
 
 _WORKER: dict[str, object] = {}
@@ -118,36 +167,28 @@ def _key(chunk: str) -> int:
     return xxhash.xxh64_intdigest(chunk.encode(), _SEED)
 
 
-def _signed(key: int) -> int:
-    return key - (1 << 64) if key >> 63 else key
-
-
-def chunk_counts(docs: DataFrame, path: str) -> DataFrame:
+def chunk_counts(texts: DataFrame, path: str) -> DataFrame:
     """Distinct chunks of up to ``LONGEST`` characters and how often they occur: (chunk, n)."""
 
-    def counted(batches):
-        pieces, seen, size = _pieces(path), Counter(), 0
-
-        def put_out():
-            return pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], ["chunk", "n"])
+    def added(tables):
+        t = pa.concat_tables(tables).group_by("chunk").aggregate([("n", "sum")])
+        return pa.table({"chunk": t["chunk"], "n": t["n_sum"]})
 
+    def counted(batches):
+        pieces, seen, rows = _pieces(path), [], 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                if not text:
-                    continue
-                seen.update(pieces.chunks(text))
-                size += len(text)
-                if size >= COUNTED_CHARS:
-                    for long in [c for c in seen if len(c) > LONGEST]:
-                        del seen[long]
-                    yield put_out()
-                    seen, size = Counter(), 0
-        for long in [c for c in seen if len(c) > LONGEST]:
-            del seen[long]
+            chunks = pieces.cut(batch.column(0))[0].dictionary_encode()
+            words = chunks.dictionary.cast(pa.string())
+            n = np.bincount(chunks.indices.to_numpy(), minlength=len(words)).astype(np.int64)
+            seen.append(pa.table({"chunk": words, "n": n}).filter(pc.less_equal(pc.utf8_length(words), LONGEST)))
+            rows += seen[-1].num_rows
+            if rows >= COUNTED_ROWS:
+                yield from added(seen).to_batches(max_chunksize=1 << 16)
+                seen, rows = [], 0
         if seen:
-            yield put_out()
+            yield from added(seen).to_batches(max_chunksize=1 << 16)
 
-    return docs.select("text").mapInArrow(counted, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
+    return texts.select("text").mapInArrow(counted, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
 
 
 def segment(chunks: DataFrame, path: str) -> DataFrame:
@@ -157,8 +198,9 @@ def segment(chunks: DataFrame, path: str) -> DataFrame:
         pieces = _pieces(path)
         for batch in batches:
             words = batch.column(0).to_pylist()
-            ids = [np.array(x, "<u4").tobytes() for x in pieces.encode(words)] if words else []
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary()), pa.array([_signed(_key(w)) for w in words], pa.int64())], ["chunk", "n", "ids", "key"])
+            ids = [np.array(x, "<i4").tobytes() for x in pieces.encode(words)]
+            keys = np.array([_key(w) for w in words], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary()), pa.array(keys)], ["chunk", "n", "ids", "key"])
 
     return chunks.select("chunk", "n").mapInArrow(segmented, "chunk string, n long, ids binary, key long")
 
@@ -167,36 +209,60 @@ def _frequent(table: DataFrame, most: int) -> tuple[int, int, int]:
     """The least count of a frequent chunk, a power of two, with how many chunks have it, and how many there are."""
     power = F.floor(F.log2("n")).cast("int").alias("p")
     sizes = sorted(((r["p"], r["c"]) for r in table.groupBy(power).agg(F.count("*").alias("c")).collect()), reverse=True)  # 64 rows at most
-    least, taken = 64, 0
+    least, taken = 63, 0
     for p, c in sizes:
         if taken + c > most:
             break
         least, taken = p, taken + c
-    return (1 << least if least < 63 else (1 << 63) - 1), taken, sum(c for _, c in sizes)
+    return (1 << least) - (least == 63), taken, sum(c for _, c in sizes)
 
 
 class _Known:
     """Frequent chunks' ids, single chunks segmented where they stand, and holes for the others."""
 
     def __init__(self, path: str, shared):
-        table, self.filter, self.holes = shared.value
-        self.pieces, self.table = _pieces(path), table
-
-    def fill(self, text: str) -> tuple[list[bytes], dict[int, str]]:
-        """Ids of each chunk in order, and the chunks at positions that stay open."""
-        chunks = self.pieces.chunks(text)
-        ids = list(map(self.table.get, chunks))
-        if None not in ids:
-            return ids, {}
+        self.table, self.filter, self.holes = shared.value
+        self.pieces = _pieces(path)
+
+    def look_up(self, words: list[str]) -> tuple[list[bytes], list[int]]:
+        """Ids of distinct chunks, and which of them stay open."""
+        ids = list(map(self.table.get, words))
         missed = [k for k, x in enumerate(ids) if x is None]
-        open_at = {}
-        if self.holes:
-            may = np.ones(len(missed), bool) if self.filter is None else self.filter(np.array([_key(chunks[k]) for k in missed], np.uint64))
-            open_at = {k: chunks[k] for k, m in zip(missed, may.tolist(), strict=True) if m and len(chunks[k]) <= LONGEST}
-            missed = [k for k in missed if k not in open_at]
-        for k, found in zip(missed, self.pieces.encode([chunks[k] for k in missed]) if missed else (), strict=True):
-            ids[k] = np.array(found, "<u4").tobytes()
-        return ids, open_at
+        holes = []
+        if self.holes and missed:
+            may = np.ones(len(missed), bool) if self.filter is None else self.filter(np.array([_key(words[k]) for k in missed], np.uint64))
+            holes = [k for k, m in zip(missed, may.tolist(), strict=True) if m and len(words[k]) <= LONGEST]
+            for k in holes:
+                ids[k] = _OPEN
+            missed = [k for k in missed if ids[k] is None]
+        for k, found in zip(missed, self.pieces.encode([words[k] for k in missed]), strict=True):
+            ids[k] = np.array(found, "<i4").tobytes()
+        return ids, holes
+
+    def fill(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a batch of texts, with ``_HOLE`` for what stays open, and where each text's begin and end."""
+        chunks, ends = self.pieces.cut(texts)
+        chunks = chunks.dictionary_encode()
+        ids, _ = self.look_up(chunks.dictionary.to_pylist())
+        size = np.array([len(x) >> 2 for x in ids], np.int64)
+        flat, begin, at = np.frombuffer(b"".join(ids), "<i4"), np.cumsum(size) - size, chunks.indices.to_numpy()
+        size = size[at]
+        return flat[_spread(begin[at], size)], np.concatenate([[0], np.cumsum(size)])[ends]
+
+    def open(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """For each hole the row of its text, its number among the text's holes, and the chunk."""
+        chunks, ends = self.pieces.cut(texts)
+        chunks = chunks.dictionary_encode()
+        _, holes = self.look_up(chunks.dictionary.to_pylist())
+        is_open = np.zeros(len(chunks.dictionary), bool)
+        is_open[holes] = True
+        at = np.flatnonzero(is_open[chunks.indices.to_numpy()])
+        row = np.searchsorted(ends, at, side="right") - 1
+        number = np.arange(len(at)) - np.searchsorted(row, row)
+        return row, number, chunks.dictionary.take(chunks.indices.take(pa.array(at)))
+
+
+_OPEN = np.array([_HOLE], "<i4").tobytes()
 
 
 def _known(path: str, shared, token: str) -> _Known:
@@ -207,33 +273,11 @@ def _known(path: str, shared, token: str) -> _Known:
     return _WORKER["known", token]
 
 
-class _Rows:
-    """Output rows as batches of bounded size."""
-
-    def __init__(self, model, with_text: bool):
-        self.model, self.with_text = model, with_text
-        self.clear()
-
-    def clear(self):
-        self.doc, self.ids, self.text, self.size = [], [], [], 0
-
-    def put(self, doc, ids: np.ndarray) -> bool:
-        self.doc.append(doc)
-        self.ids.append(ids)
-        if self.with_text:
-            self.text.append(self.model.decode(ids.tolist()) if len(ids) else "")
-        self.size += 8 * len(ids) + 64
-        return self.size >= OUT_BYTES
-
-    def batch(self, kind: pa.DataType) -> pa.RecordBatch:
-        ends = np.cumsum([0, *map(len, self.ids)])
-        flat = np.concatenate([*self.ids, np.empty(0, "<u4")]).astype(np.int32)
-        columns = [pa.array(self.doc, kind), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))]
-        names = ["doc_id", "ids"]
-        if self.with_text:
-            columns, names = [*columns, pa.array(self.text, pa.string())], [*names, "decoded"]
-        self.clear()
-        return pa.RecordBatch.from_arrays(columns, names)
+def _result(pieces: Pieces, doc: pa.Array, ids: np.ndarray, ends: np.ndarray, with_text: bool) -> pa.RecordBatch:
+    columns, names = [doc, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)))], ["doc_id", "ids"]
+    if with_text:
+        columns, names = [*columns, pieces.decode(ids, ends).cast(pa.string())], [*names, "decoded"]
+    return pa.RecordBatch.from_arrays(columns, names)
 
 
 def encode_pieces(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, entries: int = TABLE_ENTRIES) -> DataFrame:
@@ -244,97 +288,77 @@ def encode_pieces(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_co
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>" + ", decoded string" * with_text
     if not Pieces(path).cuts:
-
-        def whole(batches):
-            model = _pieces(path).model
-            for batch in batches:
-                out = _Rows(model, with_text)
-                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    if out.put(doc, np.array(model.encode(text, num_threads=1), "<u4")):
-                        yield out.batch(batch.schema.field(0).type)
-                yield out.batch(batch.schema.field(0).type)
-
-        return rows.mapInArrow(whole, schema)
-
+        return rows.mapInArrow(lambda batches: _whole(batches, path, with_text), schema)
     table = materialize(segment(chunk_counts(rows, path).where("n > 1"), path), "chunk-table")
     least, taken, total = _frequent(table, entries)
-    often = {chunk: ids for chunk, ids in table.where(F.col("n") >= least).select("chunk", "ids").collect()}  # ``entries`` rows of bounded size at most
+    often = dict(table.where(F.col("n") >= least).select("chunk", "ids").collect())  # ``entries`` rows of bounded size at most
     rare = table.where(F.col("n") < least).select("chunk", "ids", "key")
-    filter_ = key_filter(rare.select("key"), "key", total - taken) if total > taken else None
-    shared, token = spark.sparkContext.broadcast((often, filter_, total > taken)), uuid.uuid4().hex
+    only = key_filter(rare.select("key"), "key", total - taken) if total > taken else None
+    shared, token = spark.sparkContext.broadcast((often, only, total > taken)), uuid.uuid4().hex
     del often
-
     if total == taken:
-
-        def known(batches):
-            table = _known(path, shared, token)
-            out = _Rows(table.pieces.model, with_text)
-            for batch in batches:
-                kind = batch.schema.field(0).type
-                for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    if out.put(doc, np.frombuffer(b"".join(table.fill(text)[0]), "<u4")):
-                        yield out.batch(kind)
-                if out.doc:
-                    yield out.batch(kind)
-
-        return rows.mapInArrow(known, schema)
-
+        return rows.mapInArrow(lambda batches: _complete(batches, path, shared, token, with_text), schema)
     # two hashes of id and text name a row; equal rows share their holes
     rows = rows.select(F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64("text", F.lit(1), "doc_id").alias("k2"), "doc_id", "text")
     holes = rows.select("k1", "k2", "text").mapInArrow(lambda batches: _open(batches, path, shared, token), "k1 long, k2 long, at int, chunk string")
-    found = holes.join(rare.select("chunk", "ids"), "chunk").groupBy("k1", "k2").agg(F.sort_array(F.collect_set(F.struct("at", "ids"))).alias("found"))
-    partly = rows.mapInArrow(lambda batches: _partly(batches, path, shared, token), f"k1 long, k2 long, doc_id {rows.schema['doc_id'].dataType.simpleString()}, size int, known binary")
-    both = partly.join(found.hint("merge"), ["k1", "k2"], "left").select("doc_id", "size", "known", "found")
+    # what the filter let through although it is single comes back as it went
+    back = F.struct("at", "ids", F.when(F.col("ids").isNull(), F.col("chunk")).alias("chunk"))
+    found = holes.join(rare.select("chunk", "ids"), "chunk", "left").groupBy("k1", "k2").agg(F.sort_array(F.collect_set(back)).alias("found"))
+    partly = rows.mapInArrow(lambda batches: _partly(batches, path, shared, token), f"k1 long, k2 long, doc_id {rows.schema['doc_id'].dataType.simpleString()}, n int, known binary")
+    both = partly.join(found.hint("merge"), ["k1", "k2"], "left").select("doc_id", "n", "known", "found")
     return both.mapInArrow(lambda batches: _filled(batches, path, with_text), schema)
 
 
+def _whole(batches, path, with_text):
+    model = _pieces(path).model
+    for batch in batches:
+        ids = [model.encode(t, num_threads=1) for t in batch.column(1).to_pylist()]
+        text = [pa.array([model.decode(i) if i else "" for i in ids], pa.string())] * with_text
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())), *text], ["doc_id", "ids", "decoded"][: 2 + with_text])
+
+
+def _complete(batches, path, shared, token, with_text):
+    known = _known(path, shared, token)
+    for batch in batches:
+        yield _result(known.pieces, batch.column(0), *known.fill(batch.column(1)), with_text)
+
+
 def _open(batches, path, shared, token):
-    table = _known(path, shared, token)
+    known = _known(path, shared, token)
     for batch in batches:
-        where, at, chunks = [], [], []
-        for row, text in enumerate(batch.column(2).to_pylist()):
-            if text and (found := table.fill(text)[1]):
-                where += [row] * len(found)
-                at += found.keys()
-                chunks += found.values()
-        where = pa.array(where, pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(where), batch.column(1).take(where), pa.array(at, pa.int32()), pa.array(chunks, pa.string())], ["k1", "k2", "at", "chunk"])
+        row, number, chunks = known.open(batch.column(2))
+        row = pa.array(row)
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(number, pa.int32()), chunks.cast(pa.string())], ["k1", "k2", "at", "chunk"])
 
 
 def _partly(batches, path, shared, token):
-    """Ids of the chunks that are known, compressed, holes as one number above all ids followed by the position."""
-    table = _known(path, shared, token)
-    hole = np.array([_HOLE], "<u4").tobytes()
+    """The ids that are known, compressed, with ``_HOLE`` where one or more are not."""
+    known = _known(path, shared, token)
     for batch in batches:
-        sizes, known = [], []
-        for text in batch.column(3).to_pylist():
-            ids, found = table.fill(text) if text else ([], ())
-            for k in found:
-                ids[k] = hole + np.array([k], "<u4").tobytes()
-            data = b"".join(ids)
-            sizes.append(len(data))
-            known.append(pa.compress(data, codec="zstd", asbytes=True) if data else b"")
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sizes, pa.int32()), pa.array(known, pa.binary())], ["k1", "k2", "doc_id", "size", "known"])
+        ids, ends = known.fill(batch.column(3))
+        # ids below 32,767 take two bytes; -1 stays -1
+        small = ids.astype("<i2") if len(known.pieces.model) < 1 << 15 else ids.astype("<i4")
+        data = [pa.compress(small[a:b].tobytes(), codec="zstd", asbytes=True) if a < b else b"" for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.diff(ends), pa.int32()), pa.array(data, pa.binary())], ["k1", "k2", "doc_id", "n", "known"])
 
 
 def _filled(batches, path, with_text):
-    out = _Rows(_pieces(path).model, with_text)
+    pieces = _pieces(path)
+    kind = np.dtype("<i2" if len(pieces.model) < 1 << 15 else "<i4")
     for batch in batches:
-        kind = batch.schema.field(0).type
-        for doc, size, known, found in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            ids = np.frombuffer(pa.decompress(known, size, codec="zstd", asbytes=True), "<u4") if size else np.empty(0, "<u4")
-            at = np.flatnonzero(ids == _HOLE)
-            if len(at):
-                given = {x["at"]: np.frombuffer(x["ids"], "<u4") for x in found}
-                parts, begin = [], 0
-                for a in at.tolist():
-                    parts += [ids[begin:a], given[int(ids[a + 1])]]
-                    begin = a + 2
-                ids = np.concatenate([*parts, ids[begin:]])
-            if out.put(doc, ids):
-                yield out.batch(kind)
-        if out.doc:
-            yield out.batch(kind)
+        texts = []
+        for n, known, found in zip(*[c.to_pylist() for c in batch.columns[1:]], strict=True):
+            ids = np.frombuffer(pa.decompress(known, n * kind.itemsize, codec="zstd", asbytes=True), kind).astype("<i4") if n else np.empty(0, "<i4")
+            if found:
+                given = [np.array(pieces.encode([x["chunk"]])[0], "<i4") if x["ids"] is None else np.frombuffer(x["ids"], "<i4") for x in found]
+                size = np.ones(len(ids), np.int64)
+                at = np.flatnonzero(ids == _HOLE)
+                size[at] = [len(g) for g in given]
+                ids = np.repeat(ids, size)
+                ids[_spread((np.cumsum(size) - size)[at], size[at])] = np.concatenate(given)
+            texts.append(ids)
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in texts], dtype=np.int64)])
+        yield _result(pieces, batch.column(0), np.concatenate([*texts, np.empty(0, "<i4")]), ends, with_text)
 
 
 def decode_pieces(encoded: DataFrame, path: str, *, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
