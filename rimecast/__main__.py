@@ -16,7 +16,9 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="rimecast", description="Precipitation type of every member, step and column of a run.")
     p.add_argument("--model", choices=sorted(C.MODELS), required=True)
     p.add_argument("--store", required=True, help="root of the field store")
+    p.add_argument("--store-form", choices=("tables", "messages"), default="tables", help="how the store keeps fields")
     p.add_argument("--output-root", required=True)
+    p.add_argument("--messages", action="store_true", help="also write a message per member and step (from a store of messages)")
     p.add_argument("--members", default="all", help="all, or members like 000,001")
     p.add_argument("--date", help="YYYYMMDD; without it the newest complete run is taken")
     p.add_argument("--time", help="HHMM")
@@ -43,6 +45,8 @@ def main(argv: list[str] | None = None) -> int:
         p.error("give both --date and --time, or neither")
     if a.max_wall_s is not None and a.max_wall_s <= 0:
         p.error("--max-wall-s must be positive")
+    if a.messages and a.store_form != "messages":
+        p.error("--messages needs --store-form messages")
     try:
         config = RunConfig(a.model, parse_members(a.members, a.model), a.max_step, a.precip_mask_threshold_mm, a.vertical_cutoff_m, a.chunk_size, a.workers, not a.no_prefetch)
     except ValueError as x:
@@ -54,7 +58,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("rimecast").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     summary = run(
         spark, a.store, a.output_root, config, run_date=a.date, run_time=a.time, lookback_days=a.lookback_days, check_inputs=not a.skip_input_checks, max_wall_s=a.max_wall_s,
-        check_outputs=not a.no_output_file_check, summary_json=a.summary_json, monitoring_json=a.monitoring_json, document_root=a.document_root,
+        check_outputs=not a.no_output_file_check, summary_json=a.summary_json, monitoring_json=a.monitoring_json, document_root=a.document_root, store_form=a.store_form, messages=a.messages,
     )
     print(json.dumps(summary, indent=2, sort_keys=True))
     return summary["monitoring"]["recommended_exit_code"]

@@ -147,3 +147,9 @@ def field_counts(fields: DataFrame, expected: DataFrame) -> DataFrame:
 def cell_codes(results: DataFrame, size: int = BLOCK) -> DataFrame:
     """(step, cell_id, ptype), a row per cell."""
     return results.select("step", "block", F.posexplode("ptype").alias("at", "ptype")).select("step", (F.col("block").cast("long") * size + F.col("at")).alias("cell_id"), "ptype")
+
+
+def step_codes(results: DataFrame) -> DataFrame:
+    """(step, codes): the whole field of each step, in the order of cells."""
+    blocks = F.sort_array(F.collect_list(F.struct("block", "ptype")))["ptype"]
+    return results.groupBy("step").agg(F.flatten(blocks).alias("codes"))  # one field

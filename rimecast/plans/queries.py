@@ -13,8 +13,9 @@ from ..functions import constants as C
 from ..operators import align, blocks, diagnose, energy, kernel, layers, quality, temporal, validate, vertical
 from ..scratch import shared_dir
 from ..sources import fixtures as fx
+from ..sources.field_source import MessageStore, write_field_files
 from ..sources.field_store import FieldStore, write_fields
-from ..sources.sinks import read_categorical
+from ..sources.sinks import read_categorical, read_messages
 from ..sources.synthetic import synthetic_arrays, synthetic_levels
 from ..streaming.deaccumulate import replay
 from . import catalog, monitoring
@@ -461,6 +462,51 @@ def run_summary(spark, sf_dir):
     return spark.createDataFrame(rows, kinds)
 
 
+def _message_run(spark, sf_dir) -> str:
+    """A run over the derived store kept as messages, with messages as outputs: the outputs' root."""
+    base = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+    write_field_files(fx.run_fields(spark, sf_dir), f"{base}/store")
+    config = RunConfig(fx.RUN["model"], fx.RUN_MEMBERS, fx.RUN_STEPS - 1, cutoff_m=9000.0, full_levels=fx.RUN_LEVELS)
+    done = runs.run(spark, f"{base}/store", f"{base}/out", config, run_date=fx.RUN["run_date"], run_time=fx.RUN["run_time"], check_outputs=True, store_form="messages", messages=True)
+    if done["failed"]:
+        raise RuntimeError(str(done["failed"]))
+    return f"{base}/out"
+
+
+@query(_RUN_CODES + "SELECT member, step, CAST(cell_id AS BIGINT) AS cell_id, ptype, 502712 AS param_id FROM cells")
+def message_roundtrip(spark, sf_dir):
+    """Fields read from message files, codes written into each step's own message of precipitation, and those messages read back."""
+    codes = read_messages(spark, runs.message_root(_message_run(spark, sf_dir)))
+    cells = codes.select("member", "step", F.posexplode("codes").alias("cell_id", "ptype"))
+    return cells.select("member", "step", F.col("cell_id").cast("long").alias("cell_id"), "ptype", F.lit(C.OUTPUT_PARAM).alias("param_id"))
+
+
+@query(
+    f"WITH {O.COLUMNS}, r AS (SELECT *, row_number() OVER (PARTITION BY lev ORDER BY cell_id) - 1 AS pos FROM levels WHERE lev BETWEEN 5 AND 8)"
+    " SELECT 1 AS step, CAST(lev + 1 AS INTEGER) AS lev, CAST(pos AS INTEGER) AS pos, round(temperature_k + 2.0e0 - 1.5e0, 6) AS value FROM r"
+)
+def field_request(spark, sf_dir):
+    """One parameter, step and range of levels of one member, from message files: filters go down to files and messages."""
+    root = f"{shared_dir(spark)}/store-{uuid.uuid4().hex}"
+    write_field_files(fx.run_fields(spark, sf_dir), root)
+    asked = MessageStore(spark, root).request(**fx.RUN, member="001", params=["T"], steps=(1, 1), levels=(6, 9))
+    return asked.select("step", "lev", F.posexplode("values").alias("pos", "value")).withColumn("value", F.round("value", 6))
+
+
+@query(
+    "WITH f AS (SELECT m.member, s.step, p.id AS param_id, l.lev FROM (VALUES ('000'), ('001'), ('002')) m(member), (VALUES (0), (1)) s(step), (VALUES (500014), (500001), (500035)) p(id), (SELECT unnest(range(1, 21)) AS lev) l"
+    " UNION ALL SELECT m.member, s.step, p.id, 0 FROM (VALUES ('000'), ('001'), ('002')) m(member), (VALUES (0), (1)) s(step), (VALUES (500041), (500010)) p(id)"
+    " UNION ALL SELECT m.member, 0, 500008, unnest(range(1, 22)) FROM (VALUES ('000'), ('001'), ('002')) m(member))"
+    " SELECT member, CAST(step AS INTEGER) AS step, CAST(param_id AS INTEGER) AS param_id, CAST(lev AS INTEGER) AS lev, CASE WHEN param_id IN (500041, 500010) THEN 'sfc' ELSE 'ml' END AS levtype, CASE WHEN param_id = 500041 THEN 'fs' ELSE 'none' END AS timespan"
+    " FROM f WHERE (SELECT count(*) FROM orders) > 0"
+)
+def message_catalogue(spark, sf_dir):
+    """What a store of messages holds, from the heads of its messages."""
+    root = f"{shared_dir(spark)}/store-{uuid.uuid4().hex}"
+    write_field_files(fx.run_fields(spark, sf_dir), root)
+    return MessageStore(spark, root).catalogue().select("member", "step", "param_id", "lev", "levtype", "timespan")
+
+
 def _derived_store(spark, sf_dir, fields: DataFrame) -> FieldStore:
     root = f"{shared_dir(spark)}/store-{uuid.uuid4().hex}"
     write_fields(fields, root)

@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 from ..functions import constants as C
 from ..operators import align, blocks, vertical
 from ..operators.quality import DataQualityError
+from ..sources.field_source import MessageStore
 from ..sources.field_store import PARTITIONS, FieldStore
-from ..sources.sinks import staging, write_categorical, write_json
+from ..sources.sinks import commit_messages, staging, write_categorical, write_json
 from . import catalog, monitoring
 from .config import RunConfig
 from .provenance import snapshot
@@ -59,12 +60,15 @@ def expected_fields(spark: SparkSession, config: RunConfig, first: int) -> DataF
 
 def check_fields(fields: DataFrame, config: RunConfig, first: int) -> DataFrame:
     """The fields, each exactly once: of repeated single-level fields the last written counts, what else is missing or repeated is an error."""
-    odd = blocks.field_counts(fields, expected_fields(fields.sparkSession, config, first)).orderBy("param_id", "step", "lev").limit(_PREVIEW + 1).collect()
     names = {i: n for n, i in C.PARAMS.items()}
     flat = {C.PARAMS[p] for p in ("TOT_PREC", "T_G")}
-    if any(r["n"] == 0 or r["param_id"] not in flat for r in odd):
-        said = [f"{names[r['param_id']]} step {r['step']} level {r['lev']}: expected 1 field, got {r['n']}" for r in odd[:_PREVIEW]]
-        raise RuntimeError("; ".join(said) + ("; ..." if len(odd) > _PREVIEW else ""))
+    allowed = F.col("param_id").isin(*flat) & (F.col("n") > 0)
+    # errors come first, so that allowed repeats can't hide them
+    odd = blocks.field_counts(fields, expected_fields(fields.sparkSession, config, first)).orderBy(allowed, "param_id", "step", "lev").limit(_PREVIEW + 1).collect()
+    wrong = [r for r in odd if r["n"] == 0 or r["param_id"] not in flat]
+    if wrong:
+        said = [f"{names[r['param_id']]} step {r['step']} level {r['lev']}: expected 1 field, got {r['n']}" for r in wrong[:_PREVIEW]]
+        raise RuntimeError("; ".join(said) + ("; ..." if len(wrong) > _PREVIEW else ""))
     if not odd:
         return fields
     single = F.col("param_id").isin(*flat)
@@ -90,7 +94,7 @@ def gate(results: DataFrame, config: RunConfig) -> dict[str, int]:
     return found
 
 
-def run_member(store: FieldStore, config: RunConfig, member: str, run_date: str, run_time: str, output: str, *, check_inputs: bool = True, discovery_s: float = 0.0) -> dict:
+def run_member(store: FieldStore, config: RunConfig, member: str, run_date: str, run_time: str, output: str, *, check_inputs: bool = True, discovery_s: float = 0.0, messages: bool = False) -> dict:
     """Counts, quality counters and timings of one member."""
     times, start = {"discovery_s": discovery_s}, time.perf_counter()
     begun = start
@@ -116,7 +120,13 @@ def run_member(store: FieldStore, config: RunConfig, member: str, run_date: str,
         counted = gate(results, config)
         lap("quality_s")
         named = {"model": config.model, "run_date": run_date, "run_time": run_time, "member": member}
-        written = write_categorical(blocks.cell_codes(results).withColumns({k: F.lit(v) for k, v in named.items()}), output, expected=counted["total_columns"])
+        keys = {k: F.lit(v) for k, v in named.items()}
+        written = write_categorical(blocks.cell_codes(results).withColumns(keys), output, expected=counted["total_columns"])
+        if messages:
+            # each step's message is its own field of precipitation, with codes in place of values
+            own = store.messages(**named, params=["TOT_PREC"], steps=(0, config.max_step), timespan="fs")
+            own = align.last_of_each(own, ["member", "step"], "written")
+            commit_messages(blocks.step_codes(results).withColumns(keys), message_root(output), own.select("member", "step", "message"))
         lap("write_s")
     LOG.info("member %s ends: %s step(s) written, %s of %s columns active", member, written.get(member, 0), counted["active_columns"], counted["total_columns"])
     return {
@@ -131,6 +141,18 @@ def merge_counts(results: dict[str, dict], key: str, names) -> dict:
     return {n: round(sum(r[key].get(n, 0) for r in results.values()), 3) for n in names}
 
 
+def message_root(output_root: str) -> str:
+    """Where a run's messages go: a folder that readers of the tables skip."""
+    return f"{output_root.rstrip('/')}/_messages"
+
+
+def open_store(spark: SparkSession, root: str, form: str = "tables") -> FieldStore:
+    """The fields under ``root``, kept as tables or as messages."""
+    if form not in ("tables", "messages"):
+        raise ValueError(f"a store holds tables or messages, not {form!r}")
+    return FieldStore(spark, root) if form == "tables" else MessageStore(spark, root)
+
+
 def document_folder(output_root: str, model: str, run_date: str, run_time: str) -> str:
     """Where summary.json and monitoring.json of a run go by default: a folder that readers of the outputs skip."""
     return f"{output_root.rstrip('/')}/_documents/{model}/{run_date}/{run_time}"
@@ -138,18 +160,21 @@ def document_folder(output_root: str, model: str, run_date: str, run_time: str)
 
 def run(
     spark: SparkSession, store_root: str, output_root: str, config: RunConfig, *, run_date: str | None = None, run_time: str | None = None, lookback_days: int = 2,
-    check_inputs: bool = True, max_wall_s: float | None = None, check_outputs: bool = False, summary_json: str | Path | None = None, monitoring_json: str | Path | None = None, document_root: str | Path | None = None,
+    check_inputs: bool = True, max_wall_s: float | None = None, check_outputs: bool = False, summary_json: str | Path | None = None, monitoring_json: str | Path | None = None, document_root: str | Path | None = None, store_form: str = "tables", messages: bool = False,
 ) -> dict:
     """Run all members; returns the summary with its monitoring status.
 
+    ``store_form`` says how fields are kept; with ``messages`` a store of messages also gives one message file per member and step.
     Both are also written as JSON: to ``document_folder``, or under ``document_root`` if it is given, and to the files asked for.
     """
     if (run_date is None) != (run_time is None):
         raise ValueError("give both the date and the time of a run, or neither")
     if max_wall_s is not None and max_wall_s <= 0:
         raise ValueError(f"max_wall_s must be positive, got {max_wall_s}")
+    if messages and store_form != "messages":
+        raise ValueError("messages are made from the messages of a store that has them")
     LOG.info("run of %s begins: member(s) %s", config.model, ", ".join(config.members))
-    store, begun, discovery = FieldStore(spark, store_root), time.perf_counter(), 0.0
+    store, begun, discovery = open_store(spark, store_root, store_form), time.perf_counter(), 0.0
     if run_date is None:
         probe = "000" if "000" in config.members else config.members[0]
         run_date, run_time = catalog.discover(store.catalogue(), model=config.model, member=probe, max_step=config.max_step, lookback_days=lookback_days, full=config.full_levels, half=config.full_levels + 1)
@@ -161,7 +186,7 @@ def run(
 
     def one(member: str) -> None:
         try:
-            done[member] = run_member(store, config, member, run_date, run_time, output_root, check_inputs=check_inputs, discovery_s=discovery)
+            done[member] = run_member(store, config, member, run_date, run_time, output_root, check_inputs=check_inputs, discovery_s=discovery, messages=messages)
         except Exception as x:  # a member's failure is a result
             failed[member] = f"{type(x).__name__}: {x}"
             LOG.exception("member %s failed", member)

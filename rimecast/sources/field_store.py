@@ -44,10 +44,15 @@ class FieldStore:
         fields = self.spark.read.schema(SCHEMA).parquet(self.root)
         return fields.withColumn("written", F.struct("_metadata.file_modification_time", "_metadata.file_path", "_metadata.row_index"))
 
-    def request(self, *, model: str, run_date: str, run_time: str, member: str | list[str], params: list[str], steps: tuple[int, int] | None = None, levels: tuple[int, int] | None = None, timespan: str | None = None) -> DataFrame:
-        """Fields of a request: partition filters first, then step and level ranges pushed to the scan."""
+    def request(self, **ask) -> DataFrame:
+        """Fields of a request (see ``ask``)."""
+        return self.ask(self.scan(), **ask)
+
+    @staticmethod
+    def ask(fields: DataFrame, *, model: str, run_date: str, run_time: str, member: str | list[str], params: list[str], steps: tuple[int, int] | None = None, levels: tuple[int, int] | None = None, timespan: str | None = None) -> DataFrame:
+        """Filters of a request: keys of partitions first, then step and level ranges, all pushed to the scan."""
         members = [member] if isinstance(member, str) else member
-        out = self.scan().where(
+        out = fields.where(
             (F.col("model") == model) & (F.col("run_date") == run_date) & (F.col("run_time") == run_time) & F.col("member").isin(*members) & F.col("param_id").isin(*[C.PARAMS[p] for p in params])
         )
         if steps:

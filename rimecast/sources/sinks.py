@@ -1,4 +1,8 @@
-"""Outputs: categorical fields as partitioned tables or encoded messages, documents as JSON files."""
+"""Outputs: categorical fields as partitioned tables or field messages, documents as JSON files.
+
+All of a run's outputs go through Hadoop's view of the path, or, for messages, through a sink that resolves the path as Hadoop does:
+a root without a scheme is on the session's default file system for every one of them.
+"""
 
 from __future__ import annotations
 
@@ -19,12 +23,15 @@ from pyspark.sql import types as T
 from ..functions import constants as C
 from ..functions.tokens import output_path
 from ..operators.validate import check_codes
-from ..shipping import ship
+from .field_source import FILES, qualified, register
+from .messages import decode_fields, refill, shape_of
 
 RUN_KEYS = ["model", "run_date", "run_time", "member"]
 OUTPUT_KEYS = [*RUN_KEYS, "step"]
 
 
+#: One file of a step's outputs holds at most so many cells.
+CELLS_PER_FILE = 4_000_000
 OUTPUT_SCHEMA = "cell_id long, ptype int, param_id int, model string, run_date string, run_time string, member string, step int"
 
 
@@ -38,6 +45,7 @@ class _Files:
 
     def __init__(self, spark: SparkSession, root: str):
         sc = spark.sparkContext
+        self.jvm, self.gateway = sc._jvm, sc._gateway
         self.make = sc._jvm.org.apache.hadoop.fs.Path
         self.fs = self.make(root).getFileSystem(sc._jsc.hadoopConfiguration())
 
@@ -55,6 +63,23 @@ class _Files:
         if not self.fs.rename(self.make(source), self.make(target)):
             raise OSError(f"can't move {source} to {target}")
 
+    def put(self, path: str, content: bytes) -> None:
+        """A whole file in place of what was there: readers see the old one or the new one."""
+        part = f"{path}.{uuid.uuid4().hex}.tmp"
+        out = self.fs.create(self.make(part), True)
+        try:
+            out.write(bytearray(content))
+        finally:
+            out.close()
+        rename = getattr(self.jvm.org.apache.hadoop.fs, "Options$Rename")
+        how = self.gateway.new_array(rename, 1)
+        how[0] = rename.OVERWRITE
+        try:
+            self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), self.fs.getConf()).rename(self.make(part), self.make(path), how)
+        except Exception:
+            self.delete(part)
+            raise
+
 
 @contextmanager
 def staging(spark: SparkSession, root: str) -> Iterator[str]:
@@ -78,7 +103,9 @@ def write_categorical(field: DataFrame, root: str, *, expected: int | None = Non
     good = field if whole else check_codes(field, expected=expected)
     with staging(spark, root) as path:
         rows = good.select(*OUTPUT_KEYS, F.lit(C.OUTPUT_PARAM).alias("param_id"), "cell_id", F.col("ptype").cast("int").alias("ptype"))
-        rows.write.partitionBy(*OUTPUT_KEYS).parquet(f"{path}/new")
+        # dealt out by step, so that the number of files follows from the number of cells, not of tasks
+        part = F.floor(F.col("cell_id") / CELLS_PER_FILE)
+        rows.repartition(*OUTPUT_KEYS, part).write.partitionBy(*OUTPUT_KEYS).parquet(f"{path}/new")
         files = _Files(spark, root)
         members = files.folders(f"{path}/new/" + "/".join(f"{k}=*" for k in RUN_KEYS))
         if members:
@@ -111,32 +138,58 @@ class Template:
     shape: tuple[int, ...]
 
 
-def write_messages(field: DataFrame, root: str, templates: DataFrame, encode: Callable[[Template, list[int]], bytes]) -> DataFrame:
-    """Encoded outputs, one file per member and step: rows (model, run_date, run_time, member, step, path, cells).
+def whole_codes(field: DataFrame) -> DataFrame:
+    """(OUTPUT_KEYS, codes): the codes of each member and step in the order of cells, from a row per cell."""
+    return field.groupBy(*OUTPUT_KEYS).agg(F.sort_array(F.collect_list(F.struct("cell_id", "ptype")))["ptype"].alias("codes"))  # one field
 
-    ``templates``: rows (model, shape, message); ``encode`` makes the message of a field from its template and its codes in
-    the order of cells. ``root`` is a folder that all executors share. A file appears whole, by renaming, or not at all.
-    """
-    spark = field.sparkSession
-    ship(spark)
-    checked = check_codes(field)
-    whole = checked.groupBy(*OUTPUT_KEYS).agg(F.sort_array(F.collect_list(F.struct("cell_id", "ptype")))["ptype"].alias("codes"))  # one field
-    path = output_path(root, *[F.col(k) for k in OUTPUT_KEYS]).alias("path")
-    rows = whole.select(*OUTPUT_KEYS, "codes", path).join(templates.select("model", "shape", "message"), "model")
 
-    def write(batches):
+def commit_messages(whole: DataFrame, root: str, templates: DataFrame, encode: Callable[[Template, list[int]], bytes] | None = None) -> int:
+    """Codes of whole fields as messages, one file per member and step under ``root``; how many were committed.
+
+    ``templates``: rows (message, and shape if the encoder needs one other than the message's own) with those of ``OUTPUT_KEYS`` that
+    tell them apart, as a rule each step's own field of precipitation. ``encode`` makes a message from its template and codes; by
+    default ``refill``. A step without a template is an error. All files appear, each whole, or, if anything fails before, none.
+    """
+    spark = whole.sparkSession
+    register(spark)
+    by = [k for k in OUTPUT_KEYS if k in templates.columns]
+    shape = ["shape"] if "shape" in templates.columns else []
+    path = output_path("", *[F.col(k) for k in OUTPUT_KEYS])
+    rows = whole.select(*OUTPUT_KEYS, "codes", F.ltrim(path, F.lit("/")).alias("path")).join(templates.select(*by, *shape, "message"), by, "left")
+
+    def encoded(batches):
         import pyarrow as pa
 
         for b in batches:
+            done = []
             for r in b.to_pylist():
-                if prod(r["shape"]) != len(r["codes"]):
-                    raise ValueError(f"{len(r['codes'])} codes don't fill the shape {r['shape']} of {r['path']}")
-                _whole_file(Path(r["path"]), encode(Template(r["message"], tuple(r["shape"])), r["codes"]))
-            n = pa.array([len(r["codes"]) for r in b.to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*[b.column(k) for k in OUTPUT_KEYS], b.column("path"), n], [*OUTPUT_KEYS, "path", "cells"])
+                if r["message"] is None:
+                    raise ValueError(f"no template for {r['path']}")
+                size = tuple(r["shape"]) if shape else shape_of(r["message"])
+                if prod(size) != len(r["codes"]):
+                    raise ValueError(f"{len(r['codes'])} codes don't fill the shape {list(size)} of {r['path']}")
+                done.append(encode(Template(r["message"], size), r["codes"]) if encode else refill(r["message"], r["codes"]))
+            yield pa.RecordBatch.from_arrays([b.column("path"), pa.array(done, pa.binary())], ["path", "content"])
+
+    rows.mapInArrow(encoded, "path string, content binary").write.format(FILES).option("root", qualified(spark, root)).mode("append").save()
+    return whole.count()
+
+
+def write_messages(field: DataFrame, root: str, templates: DataFrame, encode: Callable[[Template, list[int]], bytes] | None = None) -> DataFrame:
+    """A row per cell as messages (see ``commit_messages``), written when called: rows (model, run_date, run_time, member, step, path, cells)."""
+    checked = check_codes(field)
+    commit_messages(whole_codes(checked), root, templates, encode)
+    path = output_path(root, *[F.col(k) for k in OUTPUT_KEYS]).alias("path")
+    return checked.groupBy(*OUTPUT_KEYS).agg(F.count("*").alias("cells")).select(*OUTPUT_KEYS, path, "cells")
+
 
-    kinds = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in OUTPUT_KEYS)
-    return rows.mapInArrow(write, f"{kinds}, path string, cells long")
+def read_messages(spark: SparkSession, root: str) -> DataFrame:
+    """What ``commit_messages`` has written: (OUTPUT_KEYS, codes), keys from the paths, codes from the messages."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.ptype.grib2").load(root)
+    part = lambda k: F.regexp_extract("path", r"/([^/]+)/([^/]+)/([^/]+)/([^/]+)/lfff([0-9]{2})([0-9]{2})0000[^/]*$", k)
+    keys = [part(k + 1).alias(name) for k, name in enumerate(RUN_KEYS)]
+    step = (part(5).cast("int") * 24 + part(6).cast("int")).alias("step")
+    return decode_fields(files.select(*keys, step, F.col("content").alias("message"))).select(*OUTPUT_KEYS, F.col("values").cast("array<int>").alias("codes"))
 
 
 def _whole_file(path: Path, content: bytes) -> None:
@@ -154,16 +207,11 @@ def _whole_file(path: Path, content: bytes) -> None:
 def write_json(payload: dict, destination: str | Path, spark: SparkSession | None = None) -> str | Path:
     """Indented, sorted JSON with a final newline; a reader sees the old file or the whole new one.
 
-    With a session the destination may be on any file system that Hadoop knows.
+    With a session the destination is on whatever file system Hadoop finds for it, as the outputs are; without, a local file.
     """
     text = json.dumps(payload, indent=2, sort_keys=True) + "\n"
-    if spark is not None and "://" in str(destination):
-        files, part = _Files(spark, str(destination)), f"{destination}.{uuid.uuid4().hex}.tmp"
-        out = files.fs.create(files.make(part), True)
-        out.write(bytearray(text.encode()))
-        out.close()
-        files.delete(str(destination))
-        files.move(part, str(destination))
+    if spark is not None:
+        _Files(spark, str(destination)).put(str(destination), text.encode())
         return destination
     path = Path(destination)
     _whole_file(path, text.encode())
