@@ -2,12 +2,12 @@
 
 Where no piece crosses a white-space marker, pieces can't span two marked words, so a text's ids are those of its chunks (a run of markers and
 what follows it; where no longer piece has a line feed, also a line feed and what follows it) put together by position. Chunks are
-counted, and each distinct one that occurs again is segmented once, in Spark, into a written table. Frequent chunks (at
-most ``TABLE_ENTRIES``) reach the workers as a broadcast table. A chunk that a filter of all repeated ones rules out occurs
+counted, and each distinct one that occurs again is segmented once, in Spark, into a written table. The frequent ones,
+as many as ``TABLE_BYTES`` hold, reach the workers as a broadcast Arrow table. A chunk that a filter of all repeated ones rules out occurs
 once in the corpus and is segmented where it stands. What is left, chunks that are neither frequent nor single,
 leaves holes: each is joined to the table by its chunk and comes back to its text by row and position. Between the two, a text
-travels as the compressed ids that are known. If no chunk but frequent ones repeats, nothing is exchanged at all. Tasks cut a batch of
-texts at once, look up its distinct chunks, and spread their ids over the positions as arrays.
+travels as the compressed ids that are known. If no chunk but frequent ones repeats, nothing is exchanged at all. Tasks cut many
+texts at once, look up their distinct chunks, and spread their ids over the positions as arrays.
 
 Chunks of over ``LONGEST`` characters are segmented where they stand, so that rows of the table stay small. Vocabulary files
 for which the above doesn't hold (a piece with a marker behind another character, a normaliser that is not the identity, removal
@@ -34,10 +34,11 @@ from .common import key_filter, materialize, settings
 
 MARK = "▁"
 LONGEST = 64
-TABLE_ENTRIES = 1 << 20
-#: A task adds counts up to about so many rows before it hands them on.
-COUNTED_ROWS = 1 << 20
+TABLE_BYTES = 64 << 20
+#: Texts are cut in slices of so many bytes; a task adds counts up to about so many rows before it hands them on.
+SLICE, COUNTED_ROWS = 1 << 22, 1 << 19
 _HOLE = -1
+_OPEN = np.array([_HOLE], "<i4").tobytes()
 _SEED = 42
 
 
@@ -120,32 +121,31 @@ class Pieces:
         ids = self.model.encode(chunks, num_threads=1) if chunks else []
         return [self.mark if not c else i[1:] if c[0] == "\n" else i for c, i in zip(chunks, ids, strict=True)]
 
-    def surfaces(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Bytes of all pieces, and where each piece's begin and how many they are; -1 for ids that only the library decodes."""
-        parts = []
-        for i, piece in enumerate(self._pieces):
-            parts.append(bytes([int(piece[1:-1], 16)]) if self.model.is_byte(i) else piece.replace(MARK, " ").encode())
-        size = np.array([len(x) for x in parts], np.int64)
-        begin = np.cumsum(size) - size
-        for i in range(len(parts)):
-            if self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_unused(i):
-                size[i] = -1
-        return np.frombuffer(b"".join(parts), np.uint8), begin, size
+    def surfaces(self) -> tuple[pa.Array, np.ndarray]:
+        """Bytes of all pieces, then the same without the marker they begin with; and which ids only the library decodes."""
+        whole = [bytes([int(p[1:-1], 16)]) if self.model.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(self._pieces)]
+        strange = [self.model.is_control(i) or self.model.is_unknown(i) or self.model.is_unused(i) for i in range(len(whole))]
+        return pa.array(whole + [x[1:] if x[:1] == b" " else x for x in whole], pa.large_binary()), np.array(strange)
 
     def decode(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
         """Texts of ids that ``encode`` gave: the bytes of the pieces, without the marker in front."""
         if not hasattr(self, "_surfaces"):
             self._surfaces = self.surfaces()
-        data, begin, size = self._surfaces
-        begin, size = begin[ids], size[ids]
-        if (size < 0).any():
+        surfaces, strange = self._surfaces
+        if strange[ids].any():
             return pa.array([self.model.decode(ids[a:b].tolist()) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.large_string())
-        first = ends[:-1][ends[1:] > ends[:-1]]
-        begin[first] += 1
-        size[first] -= 1
-        total = np.concatenate([[0], np.cumsum(size)])
-        text = data[_spread(begin, size)]
-        return pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(total[ends].astype(np.int64)), pa.py_buffer(text))
+        at = ids.astype(np.int32)
+        at[ends[:-1][ends[1:] > ends[:-1]]] += len(self._pieces)
+        data, offsets = _joined(surfaces, at)
+        return pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(offsets[ends]), data)
+
+
+def _joined(parts: pa.Array, at: np.ndarray) -> tuple[pa.Buffer, np.ndarray]:
+    """The bytes of the chosen parts, one after the other, and where each one's begin and end."""
+    if not len(at):
+        return pa.py_buffer(b""), np.zeros(1, np.int64)
+    _, offsets, data = parts.take(pa.array(at)).buffers()
+    return data, np.frombuffer(offsets, np.int64)[: len(at) + 1]
 
 
 def _spread(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -167,6 +167,15 @@ def _key(chunk: str) -> int:
     return xxhash.xxh64_intdigest(chunk.encode(), _SEED)
 
 
+def _slices(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``SLICE`` bytes of text, or one longer text."""
+    ends, at = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)), 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE, side="right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def chunk_counts(texts: DataFrame, path: str) -> DataFrame:
     """Distinct chunks of up to ``LONGEST`` characters and how often they occur: (chunk, n)."""
 
@@ -175,18 +184,21 @@ def chunk_counts(texts: DataFrame, path: str) -> DataFrame:
         return pa.table({"chunk": t["chunk"], "n": t["n_sum"]})
 
     def counted(batches):
-        pieces, seen, rows = _pieces(path), [], 0
+        pieces, seen, fresh_rows = _pieces(path), [], 0
         for batch in batches:
-            chunks = pieces.cut(batch.column(0))[0].dictionary_encode()
-            words = chunks.dictionary.cast(pa.string())
-            n = np.bincount(chunks.indices.to_numpy(), minlength=len(words)).astype(np.int64)
-            seen.append(pa.table({"chunk": words, "n": n}).filter(pc.less_equal(pc.utf8_length(words), LONGEST)))
-            rows += seen[-1].num_rows
-            if rows >= COUNTED_ROWS:
-                yield from added(seen).to_batches(max_chunksize=1 << 16)
-                seen, rows = [], 0
+            for part in _slices(batch, 0):
+                chunks = pieces.cut(part.column(0))[0].dictionary_encode()
+                words = chunks.dictionary.cast(pa.string())
+                n = np.bincount(chunks.indices.to_numpy(), minlength=len(words)).astype(np.int64)
+                seen.append(pa.table({"chunk": words, "n": n}).filter(pc.less_equal(pc.utf8_length(words), LONGEST)))
+                fresh_rows += seen[-1].num_rows
+                if fresh_rows >= COUNTED_ROWS:
+                    seen, fresh_rows = [added(seen)], 0
+                    if seen[0].num_rows >= COUNTED_ROWS:
+                        yield from seen.pop().to_batches(max_chunksize=1 << 16)
         if seen:
             yield from added(seen).to_batches(max_chunksize=1 << 16)
+        pa.default_memory_pool().release_unused()
 
     return texts.select("text").mapInArrow(counted, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
 
@@ -208,61 +220,77 @@ def segment(chunks: DataFrame, path: str) -> DataFrame:
 def _frequent(table: DataFrame, most: int) -> tuple[int, int, int]:
     """The least count of a frequent chunk, a power of two, with how many chunks have it, and how many there are."""
     power = F.floor(F.log2("n")).cast("int").alias("p")
-    sizes = sorted(((r["p"], r["c"]) for r in table.groupBy(power).agg(F.count("*").alias("c")).collect()), reverse=True)  # 64 rows at most
-    least, taken = 63, 0
-    for p, c in sizes:
-        if taken + c > most:
+    size = F.sum(F.octet_length("chunk") + F.octet_length("ids"))
+    sizes = sorted(table.groupBy(power).agg(F.count("*").alias("c"), size.alias("b")).collect(), reverse=True)  # 64 rows at most
+    least, taken, held = 63, 0, 0
+    for p, c, b in sizes:
+        if held + b > most:
             break
-        least, taken = p, taken + c
-    return (1 << least) - (least == 63), taken, sum(c for _, c in sizes)
+        least, taken, held = p, taken + c, held + b
+    return (1 << least) - (least == 63), taken, sum(c for _, c, _ in sizes)
 
 
 class _Known:
     """Frequent chunks' ids, single chunks segmented where they stand, and holes for the others."""
 
     def __init__(self, path: str, shared):
-        self.table, self.filter, self.holes = shared.value
-        self.pieces = _pieces(path)
-
-    def look_up(self, words: list[str]) -> tuple[list[bytes], list[int]]:
-        """Ids of distinct chunks, and which of them stay open."""
-        ids = list(map(self.table.get, words))
-        missed = [k for k, x in enumerate(ids) if x is None]
-        holes = []
-        if self.holes and missed:
-            may = np.ones(len(missed), bool) if self.filter is None else self.filter(np.array([_key(words[k]) for k in missed], np.uint64))
-            holes = [k for k, m in zip(missed, may.tolist(), strict=True) if m and len(words[k]) <= LONGEST]
-            for k in holes:
-                ids[k] = _OPEN
-            missed = [k for k in missed if ids[k] is None]
-        for k, found in zip(missed, self.pieces.encode([words[k] for k in missed]), strict=True):
-            ids[k] = np.array(found, "<i4").tobytes()
-        return ids, holes
+        packed, self.filter, self.holes = shared.value
+        table = pa.ipc.open_stream(packed).read_all().combine_chunks()
+        self.pieces, self.keys = _pieces(path), table["key"].to_numpy()
+        self.chunks, self.ids = (table[c].chunk(0) if table.num_rows else pa.array([], t) for c, t in (("chunk", pa.large_string()), ("ids", pa.large_binary())))
+
+    def look_up(self, words: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """Ids, as 32-bit numbers, at which place among them each distinct chunk has its own, and which chunks stay open."""
+        keys = np.array([_key(w) for w in words.to_pylist()], np.uint64)
+        at = np.searchsorted(self.keys, keys.view(np.int64))
+        at[at == len(self.keys)] = 0
+        hit = np.flatnonzero(self.keys[at] == keys.view(np.int64)) if len(self.keys) else np.empty(0, np.int64)
+        # equal keys are no proof; what another chunk's key hides is segmented below like any other
+        same = pc.equal(self.chunks.take(pa.array(at[hit])), words.take(pa.array(hit))).to_numpy(zero_copy_only=False).astype(bool)
+        missing = np.ones(len(words), bool)
+        missing[hit[same]] = False
+        missed = np.flatnonzero(missing)
+        is_open = np.zeros(len(words), bool)
+        if self.holes and len(missed):
+            may = pc.less_equal(pc.utf8_length(words.take(pa.array(missed))), LONGEST).to_numpy(zero_copy_only=False).astype(bool)
+            if self.filter is not None:
+                may &= self.filter(keys[missed])
+            is_open[missed[may]] = True
+            missed = missed[~may]
+        found = self.pieces.encode(words.take(pa.array(missed)).to_pylist())
+        # behind the table's ids: those found here, then one hole
+        at[missed], at[is_open] = len(self.ids) + np.arange(len(missed)), len(self.ids) + len(missed)
+        used = np.unique(at)
+        own, extra = used[used < len(self.ids)], pa.array([np.array(x, "<i4").tobytes() for x in found] + [_OPEN], pa.large_binary())
+        ids = pa.concat_arrays([self.ids.take(pa.array(own)), extra.take(pa.array(used[len(own) :] - len(self.ids)))])
+        return ids, np.searchsorted(used, at), is_open
 
     def fill(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a batch of texts, with ``_HOLE`` for what stays open, and where each text's begin and end."""
         chunks, ends = self.pieces.cut(texts)
         chunks = chunks.dictionary_encode()
-        ids, _ = self.look_up(chunks.dictionary.to_pylist())
-        size = np.array([len(x) >> 2 for x in ids], np.int64)
-        flat, begin, at = np.frombuffer(b"".join(ids), "<i4"), np.cumsum(size) - size, chunks.indices.to_numpy()
-        size = size[at]
-        return flat[_spread(begin[at], size)], np.concatenate([[0], np.cumsum(size)])[ends]
+        ids, at, _ = self.look_up(chunks.dictionary)
+        data, offsets = _joined(ids, at[chunks.indices.to_numpy()])
+        return np.frombuffer(data, "<i4", int(offsets[-1]) >> 2), offsets[ends] >> 2
 
     def open(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
         """For each hole the row of its text, its number among the text's holes, and the chunk."""
         chunks, ends = self.pieces.cut(texts)
         chunks = chunks.dictionary_encode()
-        _, holes = self.look_up(chunks.dictionary.to_pylist())
-        is_open = np.zeros(len(chunks.dictionary), bool)
-        is_open[holes] = True
+        is_open = self.look_up(chunks.dictionary)[2]
         at = np.flatnonzero(is_open[chunks.indices.to_numpy()])
         row = np.searchsorted(ends, at, side="right") - 1
         number = np.arange(len(at)) - np.searchsorted(row, row)
         return row, number, chunks.dictionary.take(chunks.indices.take(pa.array(at)))
 
 
-_OPEN = np.array([_HOLE], "<i4").tobytes()
+def _packed(table: pa.Table) -> bytes:
+    """A table compressed: what the workers keep of it beside the one that they use."""
+    table = table.cast(pa.schema([("chunk", pa.large_string()), ("ids", pa.large_binary()), ("key", pa.int64())]))
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+        w.write_table(table)
+    return out.getvalue().to_pybytes()
 
 
 def _known(path: str, shared, token: str) -> _Known:
@@ -280,7 +308,7 @@ def _result(pieces: Pieces, doc: pa.Array, ids: np.ndarray, ends: np.ndarray, wi
     return pa.RecordBatch.from_arrays(columns, names)
 
 
-def encode_pieces(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, entries: int = TABLE_ENTRIES) -> DataFrame:
+def encode_pieces(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, table_bytes: int = TABLE_BYTES) -> DataFrame:
     """(doc_id, ids) for each row, as the library encodes whole texts without begin or end ids; with ``with_text`` also
     ``decoded``, what the library decodes the ids to."""
     spark = docs.sparkSession
@@ -290,8 +318,8 @@ def encode_pieces(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_co
     if not Pieces(path).cuts:
         return rows.mapInArrow(lambda batches: _whole(batches, path, with_text), schema)
     table = materialize(segment(chunk_counts(rows, path).where("n > 1"), path), "chunk-table")
-    least, taken, total = _frequent(table, entries)
-    often = dict(table.where(F.col("n") >= least).select("chunk", "ids").collect())  # ``entries`` rows of bounded size at most
+    least, taken, total = _frequent(table, table_bytes)
+    often = _packed(table.where(F.col("n") >= least).select("chunk", "ids", "key").orderBy("key").toArrow())  # bounded in bytes
     rare = table.where(F.col("n") < least).select("chunk", "ids", "key")
     only = key_filter(rare.select("key"), "key", total - taken) if total > taken else None
     shared, token = spark.sparkContext.broadcast((often, only, total > taken)), uuid.uuid4().hex
@@ -320,26 +348,32 @@ def _whole(batches, path, with_text):
 def _complete(batches, path, shared, token, with_text):
     known = _known(path, shared, token)
     for batch in batches:
-        yield _result(known.pieces, batch.column(0), *known.fill(batch.column(1)), with_text)
+        for part in _slices(batch, 1):
+            yield _result(known.pieces, part.column(0), *known.fill(part.column(1)), with_text)
+    pa.default_memory_pool().release_unused()
 
 
 def _open(batches, path, shared, token):
     known = _known(path, shared, token)
     for batch in batches:
-        row, number, chunks = known.open(batch.column(2))
-        row = pa.array(row)
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(number, pa.int32()), chunks.cast(pa.string())], ["k1", "k2", "at", "chunk"])
+        for part in _slices(batch, 2):
+            row, number, chunks = known.open(part.column(2))
+            row = pa.array(row)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(row), part.column(1).take(row), pa.array(number, pa.int32()), chunks.cast(pa.string())], ["k1", "k2", "at", "chunk"])
+    pa.default_memory_pool().release_unused()
 
 
 def _partly(batches, path, shared, token):
     """The ids that are known, compressed, with ``_HOLE`` where one or more are not."""
     known = _known(path, shared, token)
     for batch in batches:
-        ids, ends = known.fill(batch.column(3))
-        # ids below 32,767 take two bytes; -1 stays -1
-        small = ids.astype("<i2") if len(known.pieces.model) < 1 << 15 else ids.astype("<i4")
-        data = [pa.compress(small[a:b].tobytes(), codec="zstd", asbytes=True) if a < b else b"" for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.diff(ends), pa.int32()), pa.array(data, pa.binary())], ["k1", "k2", "doc_id", "n", "known"])
+        for part in _slices(batch, 3):
+            ids, ends = known.fill(part.column(3))
+            # ids below 32,767 take two bytes; -1 stays -1
+            small = ids.astype("<i2") if len(known.pieces.model) < 1 << 15 else ids.astype("<i4")
+            data = [pa.compress(small[a:b].tobytes(), codec="zstd", asbytes=True) if a < b else b"" for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(np.diff(ends), pa.int32()), pa.array(data, pa.binary())], ["k1", "k2", "doc_id", "n", "known"])
+    pa.default_memory_pool().release_unused()
 
 
 def _filled(batches, path, with_text):
