@@ -11,35 +11,34 @@ class BoostedTrees:
     def __init__(self, x: np.ndarray, y: np.ndarray, *, trees: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 16, l2: float = 1.0):
         self.depth, self.trees = depth, []
         cuts = [np.unique(np.quantile(c, np.linspace(0, 1, bins + 1)[1:-1])) for c in x.T]
+        binned = np.stack([np.searchsorted(v, c, side="left") for v, c in zip(cuts, x.T, strict=True)], axis=1) + bins * np.arange(x.shape[1])
+        # no cut behind the last one of a feature
+        none = np.array([[k >= len(v) for k in range(bins - 1)] for v in cuts])
         p = np.clip(y.mean(), 1e-6, 1 - 1e-6)
         self.base = np.log(p / (1 - p))
         z = np.full(len(y), self.base)
         for _ in range(trees):
             q = 1 / (1 + np.exp(-z))
             g, h = q - y, q * (1 - q)
-            tree = self._grow(x, g, h, cuts, l2, rate)
+            tree = self._grow(x, binned, none, g, h, cuts, l2, rate)
             self.trees.append(tree)
             z += self._leaf(tree, x)
 
-    def _grow(self, x, g, h, cuts, l2, rate):
+    def _grow(self, x, binned, none, g, h, cuts, l2, rate):
         n = (1 << self.depth) - 1
         feature, cut, value = np.zeros(n, int), np.full(n, np.inf), np.zeros(n + 1)
         node = np.zeros(len(x), int)
         for at in range(n):
             rows = np.flatnonzero(node == at)
-            best = 1e-6
             if len(rows) > 1:
                 gs, hs = g[rows].sum(), h[rows].sum()
-                for f, values in enumerate(cuts):
-                    if not len(values):
-                        continue
-                    b = np.searchsorted(values, x[rows, f], side="left")
-                    gl = np.cumsum(np.bincount(b, g[rows], len(values) + 1))[:-1]
-                    hl = np.cumsum(np.bincount(b, h[rows], len(values) + 1))[:-1]
-                    gain = gl**2 / (hl + l2) + (gs - gl) ** 2 / (hs - hl + l2) - gs**2 / (hs + l2)
-                    k = int(np.argmax(gain))
-                    if gain[k] > best:
-                        best, feature[at], cut[at] = gain[k], f, values[k]
+                of, wide = binned[rows].ravel(), binned.shape[1]
+                gl, hl = (np.cumsum(np.bincount(of, np.repeat(v[rows], wide), wide * (none.shape[1] + 1)).reshape(wide, -1), axis=1)[:, :-1] for v in (g, h))
+                gain = gl**2 / (hl + l2) + (gs - gl) ** 2 / (hs - hl + l2) - gs**2 / (hs + l2)
+                gain[none] = 0
+                f, k = np.unravel_index(int(np.argmax(gain)), gain.shape)
+                if gain[f, k] > 1e-6:
+                    feature[at], cut[at] = f, cuts[f][k]
             node[rows] = 2 * at + 1 + (x[rows, feature[at]] > cut[at])
         for leaf in range(n + 1):
             rows = node == n + leaf

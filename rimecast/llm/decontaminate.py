@@ -20,7 +20,7 @@ is looked into only if its maxima plus what the frequent terms can add reach the
 blocks each item's score is computed in full, and all items at or above their threshold are retrieved: there is no cut
 at k. What is retrieved is verified by the rule.
 
-Words are runs of letters and digits in lower case. One row per input row. Null or empty texts and items match
+Words are runs of letters, the marks on them and digits of any script, in lower case: neither quotes of any kind nor capitals tell two texts apart. One row per input row. Null or empty texts and items match
 nothing. Ids may be of any type; items with equal ids (null is one, too) are reported once, with the best of their
 overlaps. Other columns are not read.
 """
@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -46,6 +47,8 @@ SHINGLE = 5
 _CLOSE = 1e-9
 K1, B = 1.2, 0.75
 
+#: What ends a word, in texts that aren't ASCII.
+_OTHER = r"[^\pL\pM\pN]+"
 _PLAIN = np.full(256, 0x20, np.uint8)
 for _lo, _hi in ((48, 58), (97, 123), (128, 256)):
     _PLAIN[_lo:_hi] = np.arange(_lo, _hi)
@@ -59,9 +62,16 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return w.hashes(), w.first
 
 
+def plain_texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and offsets of texts in which only words have bytes above ASCII, and these in lower case."""
+    data, offsets = text_buffers(column)
+    if not len(data) or data.max() < 128:
+        return data, offsets
+    return text_buffers(pc.replace_substring_regex(pc.utf8_lower(column), _OTHER, " "))
+
+
 def _hashes(text: str) -> np.ndarray:
-    raw = np.frombuffer(text.encode(), np.uint8)
-    return word_hashes(raw, np.array([0, len(raw)]))[0]
+    return word_hashes(*plain_texts(pa.array([text])))[0]
 
 
 def question_and_answer(text: str) -> tuple[str, str]:
@@ -281,7 +291,7 @@ def _search(shared, overlap: float, kind: pa.DataType):
     def run(batches):
         index = shared.value
         for b in batches:
-            data, offsets = text_buffers(b.column(2))
+            data, offsets = plain_texts(b.column(2))
             for lo, hi in chunks(offsets):
                 h, first = word_hashes(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 got = matches(index, h, first, overlap)
@@ -301,7 +311,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, *, overlap: float = 0.8
     def clean(shared):
         def run(batches):
             for b in batches:
-                data, offsets = text_buffers(b.column(at))
+                data, offsets = plain_texts(b.column(at))
                 good = np.ones(len(offsets) - 1, bool)
                 for lo, hi in chunks(offsets):
                     h, first = word_hashes(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])

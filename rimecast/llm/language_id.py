@@ -4,8 +4,9 @@ A text is its hashed byte n-grams (letters only, lower case), as square roots of
 stage picks the language family, a second the language within it; both are one-versus-one
 linear support vector machines, the winner having most votes, then the largest sum of margins.
 
-Training uses a bounded sample: at most ``PER_LANGUAGE`` labelled documents, picked by a hash of id and text, of each
-of at most ``LANGUAGES`` languages (those with most labelled rows). Every text is predicted whole. The score is the least logistic
+Training uses a bounded sample: at most ``per_language`` labelled documents, picked by a hash of id and text, of every
+language, and ``FAMILY_ROWS`` of them, spread evenly over its languages, for a family. Rows that repeat an id and a text count once,
+also where the sample's rate is set. Every text is predicted whole. The score is the least logistic
 margin against the rivals of the two stages, between 0 and 1; a winner of all its duels has 0.5
 or more whatever the text, so the score alone can't tell an unknown language.
 
@@ -33,7 +34,8 @@ from .arrays import chunks, text_buffers
 from .common import settings
 from .linear import grams, letters, svm
 
-PER_LANGUAGE, LANGUAGES = 400, 64
+#: Default bounds of the sample that is learned from.
+PER_LANGUAGE, FAMILY_ROWS = 400, 1600
 LOG2 = 13
 SIZES = (1, 2, 3)
 SLOPE = 3.0
@@ -82,15 +84,30 @@ def has_letter(data: np.ndarray, offsets: np.ndarray, texts) -> np.ndarray:
     return sure
 
 
+class _Rows:
+    """Rows of features as they came from the workers: codes of n-grams and their values."""
+
+    def __init__(self, codes: list[bytes], values: list[bytes]):
+        self.codes, self.values = codes, values
+
+    def dense(self, which: np.ndarray) -> np.ndarray:
+        x = np.zeros((len(which), 1 << LOG2), np.float32)
+        for i, k in enumerate(which):
+            x[i, np.frombuffer(self.codes[k], np.uint16)] = np.frombuffer(self.values[k], np.float16)
+        return x
+
+
 class Duel:
     """One-versus-one machines over a list of names."""
 
-    def __init__(self, names: list[str], x: np.ndarray, y: np.ndarray):
+    def __init__(self, names: list[str], rows: _Rows, y: np.ndarray):
         self.names, self.pairs = names, list(combinations(range(len(names)), 2))
-        self.w = np.zeros((len(self.pairs), x.shape[1] + 1), np.float32)
+        self.w = np.zeros((len(self.pairs), (1 << LOG2) + 1), np.float32)
         for p, (a, b) in enumerate(self.pairs):
-            use = (y == names[a]) | (y == names[b])
-            self.w[p] = svm(x[use].astype(np.float64), np.where(y[use] == names[a], 1.0, -1.0))
+            use = np.flatnonzero((y == names[a]) | (y == names[b]))
+            x = rows.dense(use).astype(np.float64)
+            seen = np.flatnonzero(x.any(axis=0))  # what neither has gets no weight
+            self.w[p, np.r_[seen, -1]] = svm(x[:, seen], np.where(y[use] == names[a], 1.0, -1.0))
 
     def __call__(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Winner and its confidence."""
@@ -110,14 +127,23 @@ class Duel:
 
 
 class Model:
-    def __init__(self, x: np.ndarray, lang: np.ndarray):
+    def __init__(self, rows: _Rows, lang: np.ndarray):
         family = np.array([_FAMILY.get(v, v) for v in lang], object)
+        names = sorted(set(lang))
         self.families = sorted(set(family))
-        self.first = Duel(self.families, x, family)
-        self.second = [Duel(sorted(set(lang[family == f])), x[family == f], lang[family == f]) for f in self.families]
-        shares = [np.square(x[lang == v]) for v in sorted(set(lang))]
-        self.log = np.log(np.stack([s.mean(axis=0) for s in shares]) + SMOOTH / (1 << LOG2)).astype(np.float32)
-        self.own = np.array([(s @ w).mean() for s, w in zip(shares, self.log, strict=True)])
+        # of a family's languages as many rows each as fit, in the sample's order
+        place = np.zeros(len(lang), int)
+        for v in names:
+            place[lang == v] = np.arange((lang == v).sum())
+        share = {f: max(1, FAMILY_ROWS // len(set(lang[family == f]))) for f in self.families}
+        some = place < np.array([share[f] for f in family])
+        self.first = Duel(self.families, rows, np.where(some, family, None))
+        self.second = [Duel(sorted(set(lang[family == f])), rows, np.where(family == f, lang, None)) for f in self.families]
+        self.log, self.own = np.zeros((len(names), 1 << LOG2), np.float32), np.zeros(len(names))
+        for k, v in enumerate(names):
+            shares = np.square(rows.dense(np.flatnonzero(lang == v)))
+            self.log[k] = np.log(shares.mean(axis=0) + SMOOTH / (1 << LOG2))
+            self.own[k] = (shares @ self.log[k]).mean()
         self.least = -np.inf
 
     def likeness(self, x: np.ndarray) -> np.ndarray:
@@ -147,28 +173,30 @@ def _vectors(batches):
         data, offsets = text_buffers(b.column(1))
         for lo, hi in _small(offsets):
             x = features(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
-            yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array([r.tobytes() for r in x.astype(np.float16)], pa.binary()), b.column(2).slice(lo, hi - lo)], ["lang", "x", "cut"])
+            at = [np.flatnonzero(r).astype(np.uint16) for r in x]
+            sparse = [pa.array([c.tobytes() for c in at], pa.binary()), pa.array([r[c].astype(np.float16).tobytes() for r, c in zip(x, at, strict=True)], pa.binary())]
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), *sparse, b.column(2).slice(lo, hi - lo)], ["lang", "codes", "values", "cut"])
 
 
-def train(docs: DataFrame, learn: Column) -> Model | None:
+def train(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> Model | None:
     """Fit on a sample of the rows where ``learn`` holds and the language is known."""
     known = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    most = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    counts = {r["lang"]: r["n"] for r in most.collect()}
+    different = known.select("lang", "doc_id", F.xxhash64("text").alias("key")).distinct()
+    counts = {r["lang"]: r["n"] for r in different.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
     if not counts:
         return None
     place = F.pmod(F.xxhash64("doc_id", "text", F.lit("language")), F.lit(1 << 20))
-    rate = F.create_map(*[F.lit(v) for k, n in sorted(counts.items()) for v in (k, min(1 << 20, PER_LANGUAGE * (1 << 20) // n + 1))])
+    rate = F.create_map(*[F.lit(v) for k, n in sorted(counts.items()) for v in (k, min(1 << 20, 2 * per_language * (1 << 20) // n + 64))])
     cut = F.regexp_extract("text", rf"(?s)\p{{L}}.{{0,{CUT - 1}}}", 0).alias("cut")
     # repeated rows have one place and count once
     drawn = known.where(place < F.coalesce(rate[F.col("lang")], F.lit(0))).groupBy("lang", "doc_id", F.xxhash64("text").alias("key")).agg(F.first("text").alias("text"))
+    # the rate lets some more through than needed, so that all languages with enough rows have as many
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "key"), "doc_id")
-    drawn = drawn.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= PER_LANGUAGE)
-    rows = drawn.select("lang", "text", cut).mapInArrow(_vectors, "lang string, x binary, cut string").collect()
+    drawn = drawn.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
+    rows = drawn.select("lang", "text", cut, "rank").mapInArrow(_vectors, "lang string, codes binary, values binary, cut string").collect()
     if not rows:
         return None
-    x = np.stack([np.frombuffer(r["x"], np.float16) for r in rows]).astype(np.float32)
-    model = Model(x, np.array([r["lang"] for r in rows], object))
+    model = Model(_Rows([r["codes"] for r in rows], [r["values"] for r in rows]), np.array([r["lang"] for r in rows], object))
     model.calibrate(pa.array([r["cut"] for r in rows if r["cut"]], pa.string()))
     return model
 

@@ -8,7 +8,8 @@ spread over ``min_sites`` sites or more is boilerplate: it stays in the document
 smallest id that has it and is removed from all others. Only texts that may hold a line to remove are exchanged.
 
 A null site counts as a site of its own, a null text as empty. Rows with a null id come last in
-the order of ids. Repeated rows count as one document for the order and get equal results.
+the order of ids, by the hashes of their texts: a line that only such rows have stays in the one with the least. Rows
+that repeat an id count as one document for the order. Repeated rows get equal results.
 All columns are handed through, whatever their names; input columns that are called like the two counts give way to them.
 """
 
@@ -34,16 +35,16 @@ def line_slots(docs: DataFrame, site_col: str) -> DataFrame:
 
 
 def boilerplate(slots: DataFrame, *, min_sites: int = 10) -> DataFrame:
-    """Lines spread over ``min_sites`` sites or more: (line, first_doc)."""
+    """Lines spread over ``min_sites`` sites or more, and where each stays: (line, first_doc, first_key), the key where no id is known."""
     often = materialize(slots.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= min_sites).select("line"), "common-lines")
-    common = join_lines(slots, often, "line")
-    spread = common.groupBy("line").agg(F.hll_sketch_agg("site", LG_K).alias("sketch"), F.min("doc_id").alias("first_doc"))
-    spread = materialize(spread.select("line", "first_doc", F.hll_sketch_estimate("sketch").alias("sites")), "line-spread")
+    common, home = join_lines(slots, often, "line"), ["line", "first_doc", "first_key"]
+    spread = common.groupBy("line").agg(F.hll_sketch_agg("site", LG_K).alias("sketch"), F.min("doc_id").alias("first_doc"), F.min("text_key").alias("first_key"))
+    spread = materialize(spread.select(*home, F.hll_sketch_estimate("sketch").alias("sites")), "line-spread")
     low, high = math.floor(min_sites * (1 - _ERRORS)), math.ceil(min_sites * (1 + _ERRORS))
-    near = materialize(spread.where(F.col("sites").between(low, high)).select("line", "first_doc"), "near-lines")
+    near = materialize(spread.where(F.col("sites").between(low, high)).select(*home), "near-lines")
     exact = join_lines(common, near.select("line"), "line", "left_semi").groupBy("line", "site").agg(F.lit(1)).groupBy("line").agg(F.count("*").alias("exact"))
-    near = near.join(exact, "line").where(F.col("exact") >= min_sites).select("line", "first_doc")
-    return spread.where(F.col("sites") > high).select("line", "first_doc").unionByName(near)
+    near = near.join(exact, "line").where(F.col("exact") >= min_sites).select(*home)
+    return spread.where(F.col("sites") > high).select(*home).unionByName(near)
 
 
 def remove_boilerplate(docs: DataFrame, *, site_col: str = "source", min_sites: int = 10, counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
@@ -51,7 +52,8 @@ def remove_boilerplate(docs: DataFrame, *, site_col: str = "source", min_sites:
     slots = line_slots(docs, site_col)
     found = materialize(boilerplate(slots, min_sites=min_sites), "boilerplate")
     id_, key, gone = fresh([*docs.columns, *counts], "id", "key", "gone")
-    hits = join_lines(slots, found, "line").where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
+    stays = F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.col("doc_id").isNotNull() | (F.col("text_key") == F.col("first_key")))
+    hits = join_lines(slots, found, "line").where(~stays)
     hits = materialize(hits.groupBy(F.col("doc_id").alias(id_), F.col("text_key").alias(key)).agg(F.collect_set("line").alias(gone)), "line-hits")
     maybe, clean = split_rows(docs, F.xxhash64("doc_id", F.xxhash64("text")), materialize(hits.select(F.xxhash64(id_, key).alias("key")), "hit-keys"))
     maybe = maybe.join(hits, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(key)), "left")

@@ -14,6 +14,9 @@ sum of tokens stays within the rest. The running sum goes down the digest's lead
 ``SLOT_LEVELS`` levels the 256 slots of the slot in which the prefix ends are summed up, so that only one of
 some 16 million slots of a leaf is ever sorted: 600 rows of a leaf of ten billion.
 
+Weights are whole numbers, fractions or decimals, compared within one level; a weight of 0 gives no budget (nor do its tokens
+count as capacity of what is above), a negative one is an error. A domain is a column of the documents or follows from the source.
+
 A document's tokens are its words, or what the column ``tokens`` says (null: 0); a document without any, as one with a null
 or empty text, is never selected and counts nowhere. Null domains, languages or sources form leaves of their own (''), and weights
 default to 1. Repeated rows are each a document with the same place in the order: their tokens
@@ -22,6 +25,9 @@ are taken together or not at all.
 
 from __future__ import annotations
 
+from fractions import Fraction
+from math import lcm
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,10 +46,23 @@ def default_domain(source: Column) -> Column:
     return F.when(kind == 1, "books").when(kind == 2, "code").when(kind == 3, "news").otherwise("web")
 
 
-def _weight(name: Column, weights: dict[str, int]) -> Column:
-    out = F.lit(1)
-    for k, v in sorted(weights.items()):
-        out = F.when(name == k, v).otherwise(out)
+Weight = int | float | str | Fraction
+
+
+def whole_weights(weights: dict[str, Weight]) -> tuple[dict[str, int], int]:
+    """The same weights as whole numbers, and what a weight of 1 is then."""
+    exact = {k: v if isinstance(v, Fraction) else Fraction(str(v)) for k, v in weights.items()}
+    if bad := sorted(k for k, v in exact.items() if v < 0):
+        raise ValueError(f"weights must not be negative: {', '.join(map(str, bad))}")
+    one = lcm(*(v.denominator for v in exact.values()))
+    return {k: int(v * one) for k, v in exact.items()}, one
+
+
+def _weight(name: Column, weights: dict[str, Weight]) -> Column:
+    given, one = whole_weights(weights)
+    out = F.lit(one)
+    for k, v in sorted(given.items()):
+        out = F.when(name == k, F.lit(v).cast(_WIDE)).otherwise(out)
     return out.cast(_WIDE)
 
 
@@ -69,13 +88,17 @@ def _share(children: DataFrame, parent: list[str], name: str) -> DataFrame:
     return t.select(*children.columns, share.cast(_WIDE).alias("budget"))
 
 
-def budgets(leaves: DataFrame, total: Column, weights: dict[str, dict[str, int]]) -> DataFrame:
+def budgets(leaves: DataFrame, total: Column, weights: dict[str, dict[str, Weight]]) -> DataFrame:
     """Budget of each leaf: columns domain, lang, source, tokens, cap, budget."""
-    given = None
+    given, none = None, F.lit(False)
+    for name in LEVELS:
+        none = none | (_weight(F.col(name), weights.get(name, {})) == 0)
+    leaves = leaves.withColumn("cap", F.when(none, F.lit(0).cast(_WIDE)).otherwise(F.col("cap")))
     for depth in range(len(LEVELS)):
         keys, parent = list(LEVELS[: depth + 1]), list(LEVELS[:depth])
         nodes = leaves.groupBy(*keys).agg(F.sum("cap").cast(_WIDE).alias("cap"))
-        nodes = nodes.withColumn("w", _weight(F.col(keys[-1]), weights.get(keys[-1], {})))
+        # what has no weight has no capacity either, so that any weight does
+        nodes = nodes.withColumn("w", F.greatest(_weight(F.col(keys[-1]), weights.get(keys[-1], {})), F.lit(1).cast(_WIDE)))
         if given is None:
             top = leaves.agg(F.least(total, F.sum("cap")).cast(_WIDE).alias("given")).first()[0]
             nodes = nodes.withColumn("given", F.lit(top).cast(_WIDE)).withColumn("root", F.lit(1))
@@ -100,7 +123,7 @@ def _few(leaves: DataFrame) -> DataFrame:
 
 
 def mix_sources(
-    docs: DataFrame, *, weights: dict[str, dict[str, int]], share: tuple[int, int] = (1, 2), max_epochs: int = 4, seed: int = 17, tokens: Column | None = None
+    docs: DataFrame, *, weights: dict[str, dict[str, Weight]], share: tuple[int, int] = (1, 2), max_epochs: int = 4, seed: int = 17, tokens: Column | None = None, domain: Column | None = None
 ) -> DataFrame:
     """Selected rows (doc_id, domain, lang, source, n_tokens, epoch): one for each epoch that takes a document.
 
@@ -108,7 +131,7 @@ def mix_sources(
     """
     source = F.coalesce("source", F.lit(""))
     size = n_words(F.col("text")) if tokens is None else tokens.cast("long")
-    rows = docs.select("doc_id", default_domain(F.col("source")).alias("domain"), F.coalesce("lang", F.lit("")).alias("lang"), source.alias("source"), size.alias("n_tokens"))
+    rows = docs.select("doc_id", (default_domain(F.col("source")) if domain is None else F.coalesce(domain.cast("string"), F.lit(""))).alias("domain"), F.coalesce("lang", F.lit("")).alias("lang"), source.alias("source"), size.alias("n_tokens"))
     rows = materialize(rows.where("n_tokens > 0"), "token-counts")
     leaves = rows.groupBy(*LEVELS).agg(F.sum("n_tokens").cast(_WIDE).alias("tokens")).withColumn("cap", (F.col("tokens") * max_epochs).cast(_WIDE))
     leaves = materialize(leaves, "leaves")

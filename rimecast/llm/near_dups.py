@@ -247,6 +247,11 @@ def _followers(percent: int):
 
 def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80, n_bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per input row: doc_id, text_key (hash of the text), n_shingles, component_id, kept (doc_id = component_id)."""
+    return _grouped(docs, k, percent, n_bands, rows).drop("group")
+
+
+def _grouped(docs: DataFrame, k: int, percent: int, n_bands: int, rows: int) -> DataFrame:
+    """``near_duplicates`` with the ``group`` of each row, one number per component, null for rows without a set."""
     spark = docs.sparkSession
     settings(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -267,10 +272,11 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 80, n_bands:
     linked = _with_roots(components(links, "a", "b"), "root")
     named = linked.join(classes.select("node", "rep"), "node")
     lowest = materialize(named.groupBy("root").agg(F.min("rep").alias("lowest")), "lowest")
-    named = named.join(lowest, "root").select("node", "lowest")
-    named = materialize(classes.select("node", "digest", "rep").join(named, "node", "left").select("digest", F.coalesce("lowest", "rep").alias("component_id")), "components")
+    named = named.join(lowest, "root").select("node", "root", "lowest")
+    named = classes.select("node", "digest", "rep").join(named, "node", "left").select("digest", F.coalesce("lowest", "rep").alias("component_id"), F.coalesce("root", "node").alias("group"))
+    named = materialize(named, "components")
     out = signed_rows.select("doc_id", "text_key", "n_shingles", "digest").join(named, "digest", "left")
-    out = out.select("doc_id", "text_key", "n_shingles", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    out = out.select("doc_id", "text_key", "n_shingles", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "group")
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
@@ -347,17 +353,24 @@ def _compared(rows: DataFrame, n_all: int, percent: int) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame, *, k: int = 5, percent: int = 80, n_bands: int = 48, rows: int = 5) -> DataFrame:
-    """The rows of ``docs`` that stay, one of each group, with all their columns; a repeated row stays once.
+    """The rows of ``docs`` that stay, with all their columns: of each group the one with the smallest id (null ids last), and of
+    rows that share that id the one with the least hash of its text. Rows without a word are in no group; a repeated row stays once.
 
     Only rows that may go, or may be repeated, are exchanged.
     """
     own = F.xxhash64("doc_id", F.xxhash64("text"))
-    found = near_duplicates(docs, k=k, percent=percent, n_bands=n_bands, rows=rows)
-    found = materialize(found.select("doc_id", "text_key", "kept", F.xxhash64("doc_id", "text_key").alias("key")), "decisions")
+    found = _grouped(docs, k, percent, n_bands, rows).select("doc_id", "text_key", "kept", "group", F.xxhash64("doc_id", "text_key").alias("key"))
+    found = materialize(found, "decisions")
+    # rows that have the group's smallest id, or all of them none: where these differ, only one stays
+    first = found.where("kept and group is not null")
+    several = first.groupBy("group").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").select("group")
     doubtful = found.groupBy("key").agg(F.count("*").alias("n"), F.min("kept").alias("kept")).where("n > 1 or not kept").select("key")
+    doubtful = doubtful.unionByName(first.join(several, "group", "left_semi").select("key")).distinct()
     maybe, sure = split_rows(docs, own, materialize(doubtful, "doubtful"))
     text_key, id_, key_ = fresh(docs.columns, "text_key", "stay_id", "stay_key")
-    stay = found.where("kept").select(F.col("doc_id").alias(id_), F.col("text_key").alias(key_)).distinct()
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")).alias("one")
+    stay = first.groupBy("group").agg(one).select("one.doc_id", "one.text_key").unionByName(found.where("group is null").select("doc_id", "text_key").distinct())
+    stay = stay.select(F.col("doc_id").alias(id_), F.col("text_key").alias(key_))
     maybe = maybe.withColumn(text_key, F.xxhash64("text"))
     maybe = maybe.join(stay, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(text_key) == F.col(key_)), "left_semi")
     return sure.unionByName(maybe.dropDuplicates(["doc_id", text_key]).select(*docs.columns))

@@ -22,7 +22,9 @@ FROM raw JOIN marked USING (doc_id) GROUP BY raw.doc_id"""
 def quality_rules(max_docs: int, max_share: float, max_removed: float) -> str:
     return rf"""WITH {_LINES},
 w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM raw),
-tri AS (SELECT doc_id, u.i AS i, count(*) OVER (PARTITION BY doc_id, ws[u.i], ws[u.i + 1], ws[u.i + 2]) AS c FROM w, LATERAL (SELECT unnest(range(1, len(ws) - 1)) AS i) u),
+tok AS (SELECT doc_id, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS i FROM w),
+gram AS (SELECT doc_id, i, x AS a, lead(x, 1) OVER o AS b, lead(x, 2) OVER o AS c FROM tok WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+tri AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS c FROM gram WHERE c IS NOT NULL),
 cov AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM tri, (VALUES (0), (1), (2)) v(k) WHERE c >= 2 GROUP BY doc_id),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM lines WHERE k <> '' GROUP BY doc_id),
 hot AS (SELECT site, k FROM (SELECT site, k, count(DISTINCT doc_id) AS n FROM lines WHERE k <> '' GROUP BY site, k) JOIN (SELECT site, count(DISTINCT doc_id) AS docs FROM raw GROUP BY site) USING (site)
@@ -97,8 +99,7 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(kep
 
 def contamination(shingle: int, overlap: float) -> str:
     """Verified overlaps over whole documents; the retrieval before it must not lose any of them."""
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    words = lambda x: rf"regexp_extract_all(translate(coalesce({x}, ''), '{upper}', '{upper.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    words = lambda x: rf"regexp_extract_all(lower(coalesce({x}, '')), '[\pL\pM\pN]+')"
     mark = r"(?:(?:^|\n)\s*(?:answer|a|antwort|réponse|respuesta)\s*[:.)]\s*|\?\s+)"
     size = f"least({shingle}, greatest(1, len(ws)))"
     return rf"""WITH i0 AS (SELECT item_id, text AS t, regexp_matches(text, '(?i){mark}') AS m FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
@@ -158,8 +159,10 @@ src AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') A
 dam AS (SELECT conv_id, turn, CASE WHEN act = 4 THEN 'user' ELSE role END AS role, CASE WHEN act = 1 THEN '' WHEN act = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
   unnest(CASE WHEN act = 3 THEN [1, 2] ELSE [1] END) AS copy FROM src WHERE act <> 0),
 ord AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, substr(sha256(length(role) || ':' || role || text), 1, 32)) AS i FROM dam),
-flag AS (SELECT *, substr(role, 1, 1) AS ini, NOT regexp_matches(text, '[^ 	-]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
-  NOT regexp_matches(text, '[.!?][ 	-]*\z') AS cut, lag(role) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM ord),
+flag AS (SELECT *, substr(role, 1, 1) AS ini, NOT regexp_matches(text, '[^ 	-
+]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+  NOT regexp_matches(text, '[.!?][ 	-
+]*\z') AS cut, lag(role) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM ord),
 rows AS (SELECT *, blank OR again AS must, CASE WHEN cut AND NOT blank AND NOT again THEN 1 ELSE 0 END AS more FROM flag),
 sums AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE again AND NOT blank) AS duplicate, sum(more) AS truncated,
   count(*) FILTER (WHERE i > 1 AND (substr(before, 1, 1) || ini) NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM rows GROUP BY conv_id),

@@ -22,6 +22,8 @@ from __future__ import annotations
 import hashlib
 import ipaddress
 import re
+from bisect import bisect_left
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -104,7 +106,13 @@ IBAN_LENGTHS = {
 _IBAN_LENGTH = {code: n for n, codes in IBAN_LENGTHS.items() for code in codes}
 #: What stands behind such a word, within quotes or up to a blank, may be a secret.
 _MARKS = ("passw", "passphrase", "pwd", "secret", "token", "key", "credential", "login")
-_MARKED = re.compile(r"(?:passw(?:or)?d|passphrase|pwd|secret|token|key|credentials?|login)[\"']?\x20{0,2}(?:[:=]{1,2}>?|is\b)?\x20{0,2}(?:\"([^\"\n]{4,})\"|'([^'\n]{4,})'|([^\s\"'][^\s]{3,}+))", re.IGNORECASE | re.ASCII)
+_MARKED = re.compile(r"(?:passw(?:or)?d|passphrase|pwd|secret|token|key|credentials?|login)[\"']?\x20{0,2}(?:[:=]{1,2}>?|is\b)?\x20{0,2}(?:\"([^\"\n]{4,})\"|'([^'\n]{4,})'|(?=([^\s\"'])[^\s]{3}))", re.IGNORECASE | re.ASCII)
+_RUN = re.compile(r"[^\s]+", re.ASCII)
+_TRAILING = frozenset(".,;:)]}>\"'")
+#: Of longer spans the beginning is described, and how long they are.
+DESCRIBED = 256
+#: Within a longer run without blanks, as of base64, only a mark with a sign or blank behind it is one.
+LONG_RUN = 1024
 #: A value that is itself a mark with a sign, as in "login password=...", is only the name of the next one.
 _NAMED = re.compile(r"(?:passw(?:or)?d|passphrase|pwd|secret|token|key|credentials?|login)[\"']?\x20{0,2}[:=]", re.IGNORECASE | re.ASCII)
 _PREFIX = re.compile(r"gh[pousr]_|github_pat_|sk-|xox[abprs]-|AIza|eyJ")
@@ -152,11 +160,19 @@ def _ibans(text: str):
 def _marked(text: str):
     low = text.lower()
     if any(w in low for w in _MARKS):
-        at = 0
+        at = run = close = begun = 0
         while m := _MARKED.search(text, at):
             start, end = m.span(m.lastindex)
             if m.lastindex == 3:
-                end = start + len(text[start:end].rstrip(".,;:)]}>\"'"))
+                if start >= run:  # else the same run as before: where it ends is known
+                    begun, run = start, _RUN.match(text, start).end()
+                    close = run
+                    while close > start and text[close - 1] in _TRAILING:
+                        close -= 1
+                end = max(start, close)
+                if run - begun > LONG_RUN and not any(c in ":= >" for c in text[m.start() : start]):
+                    at = start
+                    continue
             if end - start >= 4 and not _NAMED.match(text, start):
                 yield start, end
             at = start  # a value may be a mark itself, as in "secret key: ..."
@@ -177,14 +193,14 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
 
 def describe(text: str, start: int, kind: int, end: int) -> list[float]:
     """Format and context features of one candidate."""
-    s, before, after = text[start:end], text[max(0, start - 40) : start], text[end : end + 1]
+    s, before, after = text[start : min(end, start + DESCRIBED)], text[max(0, start - 40) : start], text[end : end + 1]
     digits = _NOT_DIGIT.sub("", s)
     groups = re.findall(r"[0-9]+", s)
     near = before[-16:]
     labels = re.findall(r"[A-Za-z]+", s)
     return [
         *(float(kind == k) for k in range(len(KINDS))),
-        len(s), len(digits), sum(c.isalpha() for c in s), sum(c.isupper() for c in s), len(groups), max(map(len, groups), default=0), min(map(len, groups), default=0),
+        end - start, len(digits), sum(c.isalpha() for c in s), sum(c.isupper() for c in s), len(groups), max(map(len, groups), default=0), min(map(len, groups), default=0),
         len(set(s)) / len(s), float(luhn(digits)) if digits else 0.0, float("(" in s), s.count("-"), s.count("."), s.count(" "), float(s.startswith("0")), float(s.startswith("(")),
         float(kind == 4 and len(s) < 50 and mod97(s)), float(_IBAN_LENGTH.get(s[:2]) == len(s.replace(" ", ""))), s.count(":"), float(bool(_SIGN.search(before))), sum(not c.isalnum() and c != " " for c in s),
         len(labels), len(labels[-1]) if labels else 0, float(kind == 0 and bool(labels) and labels[-1].lower() in _ENDINGS),
@@ -292,7 +308,9 @@ def _examples(n: int, seed: int = 11) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return np.array(x, np.float64), np.array(y, np.float64), np.array(kinds)
 
 
+@lru_cache(1)
 def train() -> Calibrated:
+    """The trees, the same in every process; they are grown once in each."""
     x, y, kinds = _examples(EXAMPLES)
     return Calibrated(x, y, kinds, len(KINDS), PRECISION, trees=150, depth=4)
 
@@ -314,12 +332,10 @@ def all_spans(text: str, base: list[tuple[int, int, int]], model: Calibrated) ->
             far[k] = e
             good.append((-p[i], free[i]))
     good.sort()
-    spots: set[int] = set()
     for _, c in good:
-        own = range(c[0], c[2])
-        if spots.isdisjoint(own):
-            spots.update(own)
-            taken.append(c)
+        at = bisect_left(taken, (c[2], -1, -1))
+        if not at or taken[at - 1][2] <= c[0]:  # what is taken doesn't overlap: only the last one that begins before can
+            taken.insert(at, c)
     return sorted(base + taken)
 
 

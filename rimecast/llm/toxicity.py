@@ -2,8 +2,7 @@
 
 A text is the set of its hashed byte n-grams (letters only, lower case, words set off by
 spaces). From labelled documents each n-gram gets its log-count ratio between toxic and other
-documents; all n-grams of at least ``LEAST_DOCS`` labelled documents, of either sign, are scaled by it (drawn towards 0
-where few documents speak for it), and a logistic regression on them gives the score, calibrated to the share of toxic labels.
+documents; all n-grams, of either sign, are scaled by it (drawn towards 0 where few documents speak for it), and a logistic regression on them gives the score, calibrated to the share of toxic labels.
 
 Training uses at most ``PER_CLASS`` labelled documents of each class, those with the smallest hashes of their
 ids; of rows that repeat an id, one text counts. Every text is scored whole. Null or empty texts get the score of the bias. Labels
@@ -25,7 +24,6 @@ from .linear import grams, letters, logistic
 PER_CLASS = 1500
 LOG2 = 20
 SIZES = (4, 5, 6)
-LEAST_DOCS = 8
 #: An n-gram of so many documents has its ratio multiplied by the square root of a half.
 DRAWN = 20
 L2 = 0.3
@@ -96,7 +94,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, label_col: str) ->
         both += np.frombuffer(r["counts"], np.uint32).reshape(2, -1)
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     df = both.sum(axis=0)
-    wanted = df >= LEAST_DOCS
+    wanted = df > 0
     best = np.flatnonzero(wanted)
     if len(sizes) < 2 or not len(best):
         return nothing
