@@ -17,8 +17,9 @@ from ..sources.field_source import MessageStore, write_field_files
 from ..sources.field_store import FieldStore, write_fields
 from ..sources.sinks import read_categorical, read_messages
 from ..sources.synthetic import synthetic_arrays, synthetic_levels
+from ..streaming.blocks import replay_blocks
 from ..streaming.deaccumulate import replay
-from . import catalog, monitoring
+from . import bitmaps, catalog, monitoring
 from . import oracles as O
 from . import run as runs
 from .config import RunConfig
@@ -197,6 +198,17 @@ def deaccumulate_stream(spark, sf_dir):
     return replay(_hours(spark, sf_dir), f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}").select("cell_id", "step", r6("total_precip_mm"))
 
 
+@query(ORACLES["deaccumulate_stream"])
+def deaccumulate_blocks_stream(spark, sf_dir):
+    """The same as blocks of 64 cells with state in RocksDB, the stream ended and begun anew half way."""
+    hours = _hours(spark, sf_dir).withColumn("block", F.floor(F.col("cell_id") / 64).cast("int"))
+    blocks = hours.groupBy("block", "step").agg(F.sort_array(F.collect_list(F.struct("cell_id", "tot_prec"))).alias("c"))  # 64 cells
+    cells = blocks.where("step = 0").select("block", F.posexplode("c.cell_id").alias("pos", "cell_id"))
+    out = replay_blocks(blocks.select("block", "step", F.col("c.tot_prec").alias("vals")), ["block"], f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}")
+    long = out.select("block", "step", F.posexplode("amounts").alias("pos", "total_precip_mm"))
+    return long.join(cells, ["block", "pos"]).select("cell_id", "step", r6("total_precip_mm"))
+
+
 @query(
     f"WITH {O.ACCUMULATED}, s AS (SELECT DISTINCT step FROM acc) SELECT CAST(floor(step / 5) AS BIGINT) AS chunk, CAST(min(step) AS INTEGER) AS first, CAST(max(step) AS INTEGER) AS last, count(*) AS n,"
     " CASE WHEN count(*) = 1 THEN CAST(min(step) AS VARCHAR) WHEN max(step) - min(step) + 1 = count(*) THEN min(step) || '/to/' || max(step) || '/by/1' END AS steps FROM s GROUP BY 1"
@@ -353,7 +365,8 @@ _CHECK = (
 _RUN = ["run_date", "member"]
 
 
-def _checked(spark, sf_dir) -> DataFrame:
+def _listed(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """A catalogue from events, and what is expected of its runs."""
     u = F.col("user_id")
     cat = fx.table(spark, sf_dir, "events").select(
         F.date_format("ts", "yyyyMMdd").alias("run_date"), F.col("event_type").alias("member"), (u % 3).cast("int").alias("param_id"), F.lit("any").alias("levtype"),
@@ -362,6 +375,11 @@ def _checked(spark, sf_dir) -> DataFrame:
     steps = list(range(6))
     rows = [(0, "T", "any", "none", steps, [0, 1, 2]), (1, "TOT_PREC", "any", "fs", steps, None), (2, "T_G", "any", "none", steps, None)]
     expected = spark.createDataFrame(rows, "param_id int, param string, levtype string, timespan string, steps array<int>, levels array<int>")
+    return cat, expected
+
+
+def _checked(spark, sf_dir) -> DataFrame:
+    cat, expected = _listed(spark, sf_dir)
     return catalog.completeness(cat, expected, _RUN)
 
 
@@ -370,6 +388,20 @@ def run_completeness(spark, sf_dir):
     return _checked(spark, sf_dir).select(*_RUN, "param", "has_span", "missing_steps", "missing_levels", "complete")
 
 
+@query(f"{_CHECK} SELECT run_date, member, param, has_span, CAST(missing_steps AS INTEGER) AS missing_steps, CAST(missing_levels AS INTEGER) AS missing_levels, complete FROM chk")
+def bitmap_completeness(spark, sf_dir):
+    """The same from a catalogue of bitmaps that grew day by day, was compacted, and was told some fields again."""
+    cat, expected = _listed(spark, sf_dir)
+    kept = bitmaps.BitmapCatalogue(spark, f"{shared_dir(spark)}/catalogue-{uuid.uuid4().hex}", _RUN)
+    third = F.dayofmonth(F.to_date("run_date", "yyyyMMdd")) % 3
+    for k in (0, 1, 2):
+        kept.add(cat.where(third == k))
+        if k == 1:
+            kept.compact()
+    kept.add(cat.where("step = 0"))
+    return bitmaps.completeness(kept.table(), expected, _RUN).select(*_RUN, "param", "has_span", "missing_steps", "missing_levels", "complete")
+
+
 @query(f"{_CHECK} SELECT member, max(run_date) AS run_date FROM (SELECT member, run_date FROM chk GROUP BY 1, 2 HAVING bool_and(complete)) GROUP BY member")
 def latest_complete_run(spark, sf_dir):
     runs = catalog.complete_runs(_checked(spark, sf_dir), _RUN).withColumn("run_time", F.lit("0000"))

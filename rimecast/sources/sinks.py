@@ -81,6 +81,11 @@ class _Files:
             raise
 
 
+def files_of(spark: SparkSession, root: str) -> _Files:
+    """The files under a root, on whatever file system it is."""
+    return _Files(spark, root)
+
+
 @contextmanager
 def staging(spark: SparkSession, root: str) -> Iterator[str]:
     """A folder of its own beside the outputs, which readers of ``root`` skip; it goes in any case."""
