@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import classify, guards, thermo, tokens
 from ..functions import constants as C
+from ..functions.sql_tables import register_tables
 from ..operators import align, blocks, diagnose, energy, kernel, layers, quality, temporal, validate, vertical
 from ..scratch import shared_dir
 from ..sources import fixtures as fx
@@ -154,6 +155,13 @@ def ptype_grid(spark, sf_dir):
     return diagnose.categorical(fx.profile_levels(spark, sf_dir), KEY)
 
 
+@query(O.ptype() + " SELECT cell_id, ptype FROM codes")
+def diagnose_sql(spark, sf_dir):
+    """The same asked in SQL, as a table function over a partitioned table."""
+    register_tables(spark)
+    return spark.sql("SELECT cell_id, ptype FROM diagnose(TABLE({levels}) PARTITION BY cell_id ORDER BY lev)", levels=fx.profile_levels(spark, sf_dir))
+
+
 @query(O.ptype() + " SELECT cell_id, ptype FROM codes")
 def ptype_array_fastpath(spark, sf_dir):
     """The same from array columns: one pass, no exchange."""
