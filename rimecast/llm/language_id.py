@@ -88,9 +88,9 @@ class _Rows:
     """Rows of features as they came from the workers: codes of n-grams and their values."""
 
     def __init__(self, codes: list[bytes], values: list[bytes]):
-        self.codes, self.values = codes, values
+        self.codes, self.values, self.shape = codes, values, (len(codes), 1 << LOG2)
 
-    def dense(self, which: np.ndarray) -> np.ndarray:
+    def __getitem__(self, which: np.ndarray) -> np.ndarray:
         x = np.zeros((len(which), 1 << LOG2), np.float32)
         for i, k in enumerate(which):
             x[i, np.frombuffer(self.codes[k], np.uint16)] = np.frombuffer(self.values[k], np.float16)
@@ -100,12 +100,12 @@ class _Rows:
 class Duel:
     """One-versus-one machines over a list of names."""
 
-    def __init__(self, names: list[str], rows: _Rows, y: np.ndarray):
+    def __init__(self, names: list[str], rows: np.ndarray | _Rows, y: np.ndarray):
         self.names, self.pairs = names, list(combinations(range(len(names)), 2))
-        self.w = np.zeros((len(self.pairs), (1 << LOG2) + 1), np.float32)
+        self.w = np.zeros((len(self.pairs), rows.shape[1] + 1), np.float32)
         for p, (a, b) in enumerate(self.pairs):
             use = np.flatnonzero((y == names[a]) | (y == names[b]))
-            x = rows.dense(use).astype(np.float64)
+            x = rows[use].astype(np.float64)
             seen = np.flatnonzero(x.any(axis=0))  # what neither has gets no weight
             self.w[p, np.r_[seen, -1]] = svm(x[:, seen], np.where(y[use] == names[a], 1.0, -1.0))
 
@@ -141,7 +141,7 @@ class Model:
         self.second = [Duel(sorted(set(lang[family == f])), rows, np.where(family == f, lang, None)) for f in self.families]
         self.log, self.own = np.zeros((len(names), 1 << LOG2), np.float32), np.zeros(len(names))
         for k, v in enumerate(names):
-            shares = np.square(rows.dense(np.flatnonzero(lang == v)))
+            shares = np.square(rows[np.flatnonzero(lang == v)])
             self.log[k] = np.log(shares.mean(axis=0) + SMOOTH / (1 << LOG2))
             self.own[k] = (shares @ self.log[k]).mean()
         self.least = -np.inf
