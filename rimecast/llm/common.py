@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -32,11 +33,16 @@ def settings(spark: SparkSession) -> None:
     """
     ship(spark)
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = spark.conf.get(key).lower()
-    if now.endswith("b") and now[:-1].isdigit() and int(now[:-1]) > BATCH_BYTES:
+    if _bytes(spark.conf.get(key)) > BATCH_BYTES:
         spark.conf.set(key, f"{BATCH_BYTES}b")
 
 
+def _bytes(size: str) -> int:
+    """A size as Spark's settings write it: 67108864, 65536k, 64m, 64MB; what isn't understood, such as -1, counts as unbounded."""
+    found = re.fullmatch(r"([0-9]+)([kmgtp]?)(?:i?b)?", size.strip().lower())
+    return int(found[1]) << 10 * " kmgtp".index(found[2] or " ") if found else 1 << 62
+
+
 def fresh(taken: list[str], *names: str) -> list[str]:
     """Column names like the given ones that clash with none of ``taken``, whatever the case."""
     used, out = {c.lower() for c in taken}, []
@@ -66,15 +72,20 @@ def _written(spark: SparkSession) -> list[str]:
 
 @contextmanager
 def only_last(spark: SparkSession) -> Iterator[None]:
-    """Of what is materialized within, only the last table stays: what came before served to make it.
+    """Of what is materialized within, only the last table stays: what came before served to make it. If the block fails, none stays.
 
     Only for blocks whose other tables no plan outside still reads.
     """
     paths, before = _written(spark), len(_written(spark))
-    yield
-    for path in paths[before:-1]:
-        _delete(spark, path)
-    del paths[before:-1]
+    keep = 0
+    try:
+        yield
+        keep = 1
+    finally:
+        gone = paths[before : len(paths) - keep]
+        for path in gone:
+            _delete(spark, path)
+        del paths[before : before + len(gone)]
 
 
 def _delete(spark: SparkSession, folder: str) -> bool:

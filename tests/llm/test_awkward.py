@@ -271,3 +271,33 @@ def test_contamination_against_brute_force(spark):
     got = find_contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
     want = _brute_contamination(docs, items)
     assert {r["doc_id"]: set(r["items"]) for r in got} == {i: want[i] for i, _ in docs}
+
+
+def test_sizes_of_batches(spark):
+    from rimecast.llm import common
+
+    assert [common._bytes(x) for x in ("67108864", "67108864b", "65536k", "64m", "64MB", " 1g ", "-1")] == [64 << 20] * 5 + [1 << 30, 1 << 62]
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    for size, after in (("64m", f"{8 << 20}b"), ("4MB", "4MB")):
+        spark.conf.set(key, size)
+        common.settings(spark)
+        assert spark.conf.get(key) == after
+    spark.conf.set(key, before)
+
+
+def test_a_failed_block_leaves_no_tables(spark):
+    from rimecast.llm import common
+
+    before = list(common._written(spark))
+    with pytest.raises(RuntimeError, match="half way"), common.only_last(spark):
+        one = common.materialize(spark.range(3), "one")
+        common.materialize(spark.range(4), "two")
+        raise RuntimeError("half way")
+    assert common._written(spark) == before
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist|FileNotFound"):
+        spark.read.parquet(one.inputFiles()[0]).count() if one.inputFiles() else one.count()
+    with common.only_last(spark):
+        common.materialize(spark.range(3), "one")
+        two = common.materialize(spark.range(4), "two")
+    assert len(common._written(spark)) == len(before) + 1 and two.count() == 4
