@@ -53,7 +53,7 @@ def _rounded(names: str, places: int = 6) -> str:
 
 @query(f"WITH {O.COLUMNS} SELECT cell_id, CAST(lev AS INTEGER) AS lev, {_rounded('height_m temperature_k pressure_pa', 4)}, round(specific_humidity, 9) AS specific_humidity, {_rounded('total_precip_mm ground_temperature_c', 4)} FROM levels")
 def scan_levels(spark, sf_dir):
-    t = fx.profile_levels(spark, sf_dir)
+    t = fx.profile_levels(spark, sf_dir, together=False)
     four = [r6(c, 4) for c in ("height_m", "temperature_k", "pressure_pa", "total_precip_mm", "ground_temperature_c")]
     return t.select("cell_id", "lev", *four, r6("specific_humidity", 9))
 
@@ -69,7 +69,7 @@ def full_level_heights(spark, sf_dir):
 
 @query(f"WITH {O.COLUMNS},{O.THERMO} SELECT cell_id, CAST(lev AS INTEGER) AS lev, {_rounded('temperature_c dew_point_k rh_ice_pct wet_bulb_c')} FROM thermo")
 def thermodynamics(spark, sf_dir):
-    t = thermo.with_thermodynamics(fx.profile_levels(spark, sf_dir))
+    t = thermo.with_thermodynamics(fx.profile_levels(spark, sf_dir, together=False))
     return t.select("cell_id", "lev", *[r6(c) for c in ("temperature_c", "dew_point_k", "rh_ice_pct", "wet_bulb_c")])
 
 
