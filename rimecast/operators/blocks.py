@@ -18,6 +18,7 @@ from ..shipping import ship
 from .kernel import ptype
 
 BLOCK = 1024
+_BLOCKS_PER_BATCH = 1024
 LEVEL_PARAMS = ("T", "P", "QV")
 #: Bad cells kept of each block and step: enough for a preview.
 KEPT_BAD = 6
@@ -29,9 +30,59 @@ _RESULT = "step int, block int, ptype array<int>, " + ", ".join(f"{c} long" for
 def field_blocks(fields: DataFrame, size: int = BLOCK) -> DataFrame:
     """(param_id, step, lev, block, values) from fields; heights, which hold for all steps, get a step before the first."""
     step = F.when(F.col("param_id") == C.PARAMS["HHL"], _STATIC).otherwise(F.col("step")).alias("step")
-    n = F.size("values")
-    cut = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / size).cast("int")), lambda i: F.slice("values", i * size + 1, size))
-    return fields.where(n > 0).select("param_id", step, "lev", F.posexplode(cut).alias("block", "values"))
+    ship(fields.sparkSession)
+
+    def cut(batches):
+        for b in batches:
+            values = b.column(3)
+            ends = values.offsets.to_numpy()
+            for i in range(b.num_rows):
+                n = int(ends[i + 1] - ends[i])
+                at = np.append(np.arange(0, n, size), n)
+                for k in range(0, len(at) - 1, _BLOCKS_PER_BATCH):
+                    edges = at[k : k + _BLOCKS_PER_BATCH + 1]
+                    parts = pa.ListArray.from_arrays(pa.array(edges - edges[0], pa.int32()), values.values.slice(int(ends[i] + edges[0]), int(edges[-1] - edges[0])))
+                    m = len(parts)
+                    keys = [pa.repeat(b.column(c)[i], m) for c in range(3)]
+                    yield pa.RecordBatch.from_arrays([*keys, pa.array(np.arange(k, k + m), pa.int32()), parts], ["param_id", "step", "lev", "block", "values"])
+
+    # cut in Arrow: slices of an array in an expression over all its blocks would each go through the whole array
+    return fields.where(F.size("values") > 0).select("param_id", step, "lev", "values").mapInArrow(cut, "param_id int, step int, lev int, block int, values array<double>")
+
+
+def whole_fields(parts: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Fields from parts of them: of the rows that differ only in ``block`` and ``values``, the values one after the other by block.
+
+    Fields with the same ``by`` (all keys, if it isn't given) follow each other in one task, which holds one field at a time.
+    """
+    spark = parts.sparkSession
+    ship(spark)
+    keys = [c for c in parts.columns if c not in ("block", "values")]
+    by = by or keys
+
+    def joined(batches):
+        key, found, kinds = None, [], None
+
+        def field():
+            values = pa.concat_arrays(found)
+            return pa.RecordBatch.from_arrays([*[pa.array([v], t) for v, t in zip(key, kinds, strict=True)], pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)], [*keys, "values"])
+
+        for b in batches:
+            kinds = [b.schema.field(c).type for c in keys]
+            values = b.column("values")
+            for i, k in enumerate(zip(*[b.column(c).to_pylist() for c in keys], strict=True)):
+                if k != key:
+                    if found:
+                        yield field()
+                    key, found = k, []
+                found.append(values[i].values)
+        if found:
+            yield field()
+
+    # a fixed number of tasks: by their size as compressed, many fields would be put into one
+    dealt = parts.select(*keys, "block", "values").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *by)
+    kinds = ", ".join(f"{k} {parts.schema[k].dataType.simpleString()}" for k in keys)
+    return dealt.sortWithinPartitions(*by, *[k for k in keys if k not in by], "block").mapInArrow(joined, f"{kinds}, values array<double>")
 
 
 def lowest_heights(fields: DataFrame) -> DataFrame:

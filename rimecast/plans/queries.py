@@ -502,10 +502,14 @@ def run_summary(spark, sf_dir):
     return spark.createDataFrame(rows, kinds)
 
 
+#: What the messages of one file have in common in the derived run.
+_FILE = ["member", "param_id", "step"]
+
+
 def _message_run(spark, sf_dir) -> str:
     """A run over the derived store kept as messages, with messages as outputs: the outputs' root."""
     base = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
-    write_field_files(fx.run_fields(spark, sf_dir), f"{base}/store")
+    write_field_files(fx.run_fields(spark, sf_dir, _FILE), f"{base}/store", in_order=True)
     config = RunConfig(fx.RUN["model"], fx.RUN_MEMBERS, fx.RUN_STEPS - 1, cutoff_m=9000.0, full_levels=fx.RUN_LEVELS)
     done = runs.run(spark, f"{base}/store", f"{base}/out", config, run_date=fx.RUN["run_date"], run_time=fx.RUN["run_time"], check_outputs=True, store_form="messages", messages=True)
     if done["failed"]:
@@ -528,7 +532,7 @@ def message_roundtrip(spark, sf_dir):
 def field_request(spark, sf_dir):
     """One parameter, step and range of levels of one member, from message files: filters go down to files and messages."""
     root = f"{shared_dir(spark)}/store-{uuid.uuid4().hex}"
-    write_field_files(fx.run_fields(spark, sf_dir), root)
+    write_field_files(fx.run_fields(spark, sf_dir, _FILE), root, in_order=True)
     asked = MessageStore(spark, root).request(**fx.RUN, member="001", params=["T"], steps=(1, 1), levels=(6, 9))
     return asked.select("step", "lev", F.posexplode("values").alias("pos", "value")).withColumn("value", F.round("value", 6))
 
@@ -543,7 +547,7 @@ def field_request(spark, sf_dir):
 def message_catalogue(spark, sf_dir):
     """What a store of messages holds, from the heads of its messages."""
     root = f"{shared_dir(spark)}/store-{uuid.uuid4().hex}"
-    write_field_files(fx.run_fields(spark, sf_dir), root)
+    write_field_files(fx.run_fields(spark, sf_dir, _FILE), root, in_order=True)
     return MessageStore(spark, root).catalogue().select("member", "step", "param_id", "lev", "levtype", "timespan")
 
 
@@ -560,11 +564,11 @@ def _derived_store(spark, sf_dir, fields: DataFrame) -> FieldStore:
 )
 def field_count_check(spark, sf_dir):
     """Fields of a member that are missing (one) or repeated (a parameter's first step)."""
-    fields = fx.run_fields(spark, sf_dir).where("member = '001'")
+    parts = fx.run_parts(spark, sf_dir, ("001",))
     lost = (F.col("param_id") == C.PARAMS["QV"]) & (F.col("lev") == 9) & (F.col("step") == 1)
-    again = fields.where(F.col("param_id").isin(C.PARAMS["P"], C.PARAMS["TOT_PREC"]) & (F.col("step") == 0))
+    again = parts.where(F.col("param_id").isin(C.PARAMS["P"], C.PARAMS["TOT_PREC"]) & (F.col("step") == 0))
     config = RunConfig(fx.RUN["model"], ("001",), fx.RUN_STEPS - 1, cutoff_m=9000.0, full_levels=fx.RUN_LEVELS)
-    found, first = runs.member_fields(_derived_store(spark, sf_dir, fields.where(~lost).unionByName(again)), config, "001", fx.RUN["run_date"], fx.RUN["run_time"])
+    found, first = runs.member_fields(_derived_store(spark, sf_dir, fx.named(blocks.whole_fields(parts.where(~lost)).unionByName(blocks.whole_fields(again)))), config, "001", fx.RUN["run_date"], fx.RUN["run_time"])
     return blocks.field_counts(found, runs.expected_fields(spark, config, first))
 
 

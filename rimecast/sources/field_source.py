@@ -290,19 +290,25 @@ def register(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
-def write_files(rows: DataFrame, root: str) -> None:
-    """Commit rows (path, content), and any columns to sort the parts of a file by: all of a path's rows become one file."""
+def write_files(rows: DataFrame, root: str, *, in_order: bool = False) -> None:
+    """Commit rows (path, content), and any columns to sort the parts of a file by: all of a path's rows become one file.
+
+    With ``in_order`` the rows of a path lie in one task already, one after the other, and aren't exchanged again.
+    """
     register(rows.sparkSession)
     order = [c for c in rows.columns if c not in ("path", "content")]
-    dealt = rows.repartition("path").sortWithinPartitions("path", *order).select("path", "content")
-    dealt.write.format(FILES).option("root", qualified(rows.sparkSession, root)).mode("append").save()
+    dealt = rows if in_order else rows.repartition("path").sortWithinPartitions("path", *order)
+    dealt.select("path", "content").write.format(FILES).option("root", qualified(rows.sparkSession, root)).mode("append").save()
+
 
+def write_field_files(fields: DataFrame, root: str, *, bits: int | None = None, shape: tuple[int, ...] | None = None, in_order: bool = False) -> None:
+    """Encode ``fields`` and commit a file for each parameter and step, in place of what it held; with ``bits`` values are packed.
 
-def write_field_files(fields: DataFrame, root: str, *, bits: int | None = None, shape: tuple[int, ...] | None = None) -> None:
-    """Encode ``fields`` and commit a file for each parameter and step, in place of what it held; with ``bits`` values are packed."""
+    ``in_order``: fields of one parameter and step follow each other in one task, by level.
+    """
     encoded = encode_fields(fields.select(*[f.name for f in SCHEMA]), bits=bits, shape=shape)
     name = F.concat(F.lpad(F.col("step").cast("string"), 5, "0"), F.lit(SUFFIX))
-    write_files(encoded.select(F.concat_ws("/", *PARTITIONS, name).alias("path"), "lev", F.col("message").alias("content")), root)
+    write_files(encoded.select(F.concat_ws("/", *PARTITIONS, name).alias("path"), "lev", F.col("message").alias("content")), root, in_order=in_order)
 
 
 class MessageStore(FieldStore):

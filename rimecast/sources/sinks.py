@@ -166,14 +166,15 @@ def commit_messages(whole: DataFrame, root: str, templates: DataFrame, encode: C
         import pyarrow as pa
 
         for b in batches:
-            done = []
-            for r in b.to_pylist():
+            done, codes = [], b.column("codes")
+            for i, r in enumerate(b.drop_columns(["codes"]).to_pylist()):
                 if r["message"] is None:
                     raise ValueError(f"no template for {r['path']}")
                 size = tuple(r["shape"]) if shape else shape_of(r["message"])
-                if prod(size) != len(r["codes"]):
-                    raise ValueError(f"{len(r['codes'])} codes don't fill the shape {list(size)} of {r['path']}")
-                done.append(encode(Template(r["message"], size), r["codes"]) if encode else refill(r["message"], r["codes"]))
+                own = codes[i].values
+                if prod(size) != len(own):
+                    raise ValueError(f"{len(own)} codes don't fill the shape {list(size)} of {r['path']}")
+                done.append(encode(Template(r["message"], size), own.to_pylist()) if encode else refill(r["message"], own.to_numpy(zero_copy_only=False)))
             yield pa.RecordBatch.from_arrays([b.column("path"), pa.array(done, pa.binary())], ["path", "content"])
 
     rows.mapInArrow(encoded, "path string, content binary").write.format(FILES).option("root", qualified(spark, root)).mode("append").save()

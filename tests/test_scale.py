@@ -31,3 +31,18 @@ def test_columns_are_exchanged_not_their_levels(spark, many_files, name):
     df = QUERIES[name](spark, many_files)
     assert "Generate" in df._jdf.queryExecution().executedPlan().toString()
     assert exchanged_levels(df) == []
+
+
+def test_fields_are_cut_and_put_together_without_going_through_them_cell_by_cell(spark, many_files):
+    from rimecast.operators.blocks import field_blocks
+    from rimecast.sources import fixtures as fx
+
+    made = fx.run_fields(spark, many_files)
+    # what is exchanged are blocks of cells, not a row per cell of each field
+    assert not re.search(r"collect_list\((named_)?struct\(cell_id, cell_id#\w+, value", made._jdf.queryExecution().executedPlan().toString())
+    values = [float(k) for k in range(2500)]
+    rows = spark.createDataFrame([(500008, 0, 1, values), (500014, 3, 2, values[:1024]), (500014, 3, 3, [])], "param_id int, step int, lev int, values array<double>")
+    cut = field_blocks(rows)
+    assert "slice(" not in cut._jdf.queryExecution().executedPlan().toString()
+    got = {(r["param_id"], r["step"], r["lev"], r["block"]): r["values"] for r in cut.collect()}
+    assert got == {(500008, -1, 1, k): values[k * 1024 : (k + 1) * 1024] for k in range(3)} | {(500014, 3, 2, 0): values[:1024]}
