@@ -157,9 +157,15 @@ def ptype_grid(spark, sf_dir):
 
 @query(O.ptype() + " SELECT cell_id, ptype FROM codes")
 def diagnose_sql(spark, sf_dir):
-    """The same asked in SQL, as a table function over a partitioned table."""
+    """The same asked in SQL, as a table function over a partitioned table of blocks of columns."""
     register_tables(spark)
-    return spark.sql("SELECT cell_id, ptype FROM diagnose(TABLE({levels}) PARTITION BY cell_id ORDER BY lev)", levels=fx.profile_levels(spark, sf_dir))
+    top = F.col("lev") == 0
+    levels = fx.profile_blocks(fx.column_blocks(spark, sf_dir)).select(
+        "block", "lev", "height_m", "pressure_pa", "temperature_k", "specific_humidity", F.when(top, F.col("cells.cell_id")).alias("cell_id"), F.when(top, F.col("cells.total_precip_mm")).alias("total_precip_mm"),
+        F.when(top, F.transform("cells", lambda c: c["ts"] - 2.0 * (c["cell_id"] % 3))).alias("ground_temperature_c"),
+    )
+    found = spark.sql("SELECT explode(arrays_zip(cell_id, ptype)) AS c FROM diagnose(TABLE({levels}) PARTITION BY block ORDER BY lev)", levels=levels)
+    return found.select("c.cell_id", "c.ptype")
 
 
 @query(O.ptype() + " SELECT cell_id, ptype FROM codes")

@@ -46,3 +46,19 @@ def test_fields_are_cut_and_put_together_without_going_through_them_cell_by_cell
     assert "slice(" not in cut._jdf.queryExecution().executedPlan().toString()
     got = {(r["param_id"], r["step"], r["lev"], r["block"]): r["values"] for r in cut.collect()}
     assert got == {(500008, -1, 1, k): values[k * 1024 : (k + 1) * 1024] for k in range(3)} | {(500014, 3, 2, 0): values[:1024]}
+
+
+def test_the_table_function_takes_many_columns_at_once(spark):
+    from pyspark.sql import functions as F
+
+    from rimecast.functions.sql_tables import PROFILE, SURFACE, register_tables
+    from rimecast.sources.synthetic import synthetic_levels
+
+    register_tables(spark)
+    levels = synthetic_levels(spark, 60, 20).withColumn("total_precip_mm", F.when(F.col("cell_id") != 5, F.col("total_precip_mm")))
+    one = spark.sql("SELECT cell_id, ptype FROM diagnose(TABLE({levels}) PARTITION BY cell_id ORDER BY lev)", levels=levels)
+    names = ["cell_id", *PROFILE, *SURFACE]
+    rows = levels.groupBy((F.col("cell_id") % 4).alias("block"), "lev").agg(F.sort_array(F.collect_list(F.struct(*[F.coalesce(c, F.lit(float("nan"))).alias(c) if c != "cell_id" else F.col(c) for c in names]))).alias("c"))
+    side = rows.select("block", "lev", *[F.col(f"c.{c}").alias(c) for c in names])
+    many = spark.sql("SELECT explode(arrays_zip(cell_id, ptype)) AS c FROM diagnose(TABLE({levels}) PARTITION BY block ORDER BY lev)", levels=side).select("c.*")
+    assert sorted(map(tuple, many.collect())) == sorted(map(tuple, one.collect())) and one.where("ptype > 0").count()
