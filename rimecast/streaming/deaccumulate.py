@@ -31,22 +31,34 @@ def released(last: int, value: float, steps: np.ndarray, values: np.ndarray, fir
     return last, value, amounts, steps[n:], values[n:]
 
 
+def _arrays(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Steps and values; rows without a step don't count."""
+    steps, values = rows["step"].to_numpy(), rows["tot_prec"].to_numpy(np.float64)
+    if steps.dtype.kind != "i":
+        known = pd.notna(steps)
+        steps, values = steps[known], values[known]
+    return steps.astype(np.int64), values
+
+
 def deaccumulate_stream(acc: DataFrame, key: str = "cell_id", *, first_step: int = 0, patience_ms: int | None = None) -> DataFrame:
     """Streaming (key, step, tot_prec) to (key, step, total_precip_mm)."""
 
     def advance(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last, value, steps, values = state.get if state.exists else (first_step - 1, 0.0, [], [])
         late = state.hasTimedOut
-        held = [pd.DataFrame({"step": steps, "tot_prec": values})] if steps else []
-        new = pd.concat([*held, *([] if late else [b[["step", "tot_prec"]] for b in batches])])
-        new = new[new["step"] > last].drop_duplicates("step").sort_values("step", kind="stable")
-        begin = last + 1 if not late or new.empty else int(new["step"].iloc[0])
-        last, value, amounts, steps, values = released(last, value, new["step"].to_numpy(np.int64), new["tot_prec"].to_numpy(np.float64), first_step, late)
+        # arrays, not frames: there is a call for each column and batch
+        seen = [(np.array(steps, np.int64), np.array(values, np.float64)), *([] if late else map(_arrays, batches))]
+        steps, values = (np.concatenate(x) for x in zip(*seen, strict=True))
+        steps, at = np.unique(steps, return_index=True)  # of repeats the first
+        new = np.searchsorted(steps, last, side="right")
+        steps, values = steps[new:], values[at[new:]]
+        begin = last + 1 if not late or not len(steps) else int(steps[0])
+        last, value, amounts, steps, values = released(last, value, steps, values, first_step, late)
         state.update((last, value, steps.tolist(), values.tolist()))
         if patience_ms is not None and len(steps):
             state.setTimeoutDuration(patience_ms)
         if len(amounts):
-            yield pd.DataFrame({key: [group[0]] * len(amounts), "step": np.arange(begin, begin + len(amounts), dtype=np.int32), "total_precip_mm": amounts})
+            yield pd.DataFrame({key: np.repeat(np.array([group[0]]), len(amounts)), "step": np.arange(begin, begin + len(amounts), dtype=np.int32), "total_precip_mm": amounts})
 
     ship(acc.sparkSession)
     kind = acc.schema[key].dataType.simpleString()

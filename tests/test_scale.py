@@ -62,3 +62,13 @@ def test_the_table_function_takes_many_columns_at_once(spark):
     side = rows.select("block", "lev", *[F.col(f"c.{c}").alias(c) for c in names])
     many = spark.sql("SELECT explode(arrays_zip(cell_id, ptype)) AS c FROM diagnose(TABLE({levels}) PARTITION BY block ORDER BY lev)", levels=side).select("c.*")
     assert sorted(map(tuple, many.collect())) == sorted(map(tuple, one.collect())) and one.where("ptype > 0").count()
+
+
+@pytest.mark.parametrize("name", ["deaccumulate", "accumulated"])
+def test_users_are_exchanged_not_their_dense_hours(spark, sf, tmp_path, name):
+    from rimecast.sources import fixtures as fx
+
+    spark.read.parquet(f"{sf}/events.parquet").repartition(8).write.parquet(f"{tmp_path}/events.parquet")
+    df = fx.accumulated(spark, str(tmp_path)) if name == "accumulated" else QUERIES[name](spark, str(tmp_path))
+    assert "Generate" in df._jdf.queryExecution().executedPlan().toString()
+    assert exchanged_levels(df) == []
