@@ -217,10 +217,12 @@ def deaccumulate_blocks_stream(spark, sf_dir):
     """The same as blocks of 64 cells with state in RocksDB, the stream ended and begun anew half way."""
     hours = _hours(spark, sf_dir).withColumn("block", F.floor(F.col("cell_id") / 64).cast("int"))
     blocks = hours.groupBy("block", "step").agg(F.sort_array(F.collect_list(F.struct("cell_id", "tot_prec"))).alias("c"))  # 64 cells
-    cells = blocks.where("step = 0").select("block", F.posexplode("c.cell_id").alias("pos", "cell_id"))
+    users = fx.table(spark, sf_dir, "events").select(F.col("user_id").alias("cell_id")).distinct()
+    cells = users.groupBy(F.floor(F.col("cell_id") / 64).cast("int").alias("block")).agg(F.sort_array(F.collect_list("cell_id")).alias("cells"))
     out = replay_blocks(blocks.select("block", "step", F.col("c.tot_prec").alias("vals")), ["block"], f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}")
-    long = out.select("block", "step", F.posexplode("amounts").alias("pos", "total_precip_mm"))
-    return long.join(cells, ["block", "pos"]).select("cell_id", "step", r6("total_precip_mm"))
+    # cells join as blocks, and only then become rows
+    long = out.join(cells, "block").select("step", F.explode(F.arrays_zip("cells", "amounts")).alias("c"))
+    return long.select(F.col("c.cells").alias("cell_id"), "step", F.round("c.amounts", 6).alias("total_precip_mm"))
 
 
 @query(
