@@ -51,13 +51,13 @@ def field_blocks(fields: DataFrame, size: int = BLOCK) -> DataFrame:
 
 
 def whole_fields(parts: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Fields from parts of them: of the rows that differ only in ``block`` and ``values``, the values one after the other by block.
+    """Fields from parts of them: of the rows that differ only in ``at`` and ``values``, the values one after the other by ``at``.
 
     Fields with the same ``by`` (all keys, if it isn't given) follow each other in one task, which holds one field at a time.
     """
     spark = parts.sparkSession
     ship(spark)
-    keys = [c for c in parts.columns if c not in ("block", "values")]
+    keys = [c for c in parts.columns if c not in ("at", "values")]
     by = by or keys
 
     def joined(batches):
@@ -80,9 +80,9 @@ def whole_fields(parts: DataFrame, by: list[str] | None = None) -> DataFrame:
             yield field()
 
     # a fixed number of tasks: by their size as compressed, many fields would be put into one
-    dealt = parts.select(*keys, "block", "values").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *by)
+    dealt = parts.select(*keys, "at", "values").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *by)
     kinds = ", ".join(f"{k} {parts.schema[k].dataType.simpleString()}" for k in keys)
-    return dealt.sortWithinPartitions(*by, *[k for k in keys if k not in by], "block").mapInArrow(joined, f"{kinds}, values array<double>")
+    return dealt.sortWithinPartitions(*by, *[k for k in keys if k not in by], "at").mapInArrow(joined, f"{kinds}, values array<double>")
 
 
 def lowest_heights(fields: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from ..functions.sql_tables import register_tables
 from ..operators import align, blocks, diagnose, energy, kernel, layers, quality, temporal, validate, vertical
 from ..scratch import shared_dir
 from ..sources import fixtures as fx
-from ..sources.field_source import MessageStore, write_field_files
+from ..sources.field_source import MessageStore, write_field_files, write_field_parts
 from ..sources.field_store import FieldStore, write_fields
 from ..sources.sinks import read_categorical, read_messages
 from ..sources.synthetic import synthetic_arrays, synthetic_levels
@@ -540,9 +540,10 @@ def message_roundtrip(spark, sf_dir):
 def field_request(spark, sf_dir):
     """One parameter, step and range of levels of one member, from message files: filters go down to files and messages."""
     root = f"{shared_dir(spark)}/store-{uuid.uuid4().hex}"
-    write_field_files(fx.run_fields(spark, sf_dir, _FILE), root, in_order=True)
+    write_field_parts(fx.named(fx.run_parts(spark, sf_dir)), root)
     asked = MessageStore(spark, root).request(**fx.RUN, member="001", params=["T"], steps=(1, 1), levels=(6, 9))
-    return asked.select("step", "lev", F.posexplode("values").alias("pos", "value")).withColumn("value", F.round("value", 6))
+    cells = asked.select("step", "lev", "at", F.posexplode("values").alias("k", "value"))
+    return cells.select("step", "lev", (F.col("at") + F.col("k")).alias("pos"), F.round("value", 6).alias("value"))
 
 
 @query(

@@ -1,7 +1,8 @@
 """Fields as message files: a data source that reads what a request asks for, and one that commits whole files.
 
 Layout: ``model/run_date/run_time/member/param_id/<step>.fields``, a file with the messages of all levels of one parameter
-and step, in order. Each file is one partition of the source. Filters on keys are pushed down: those on the folders and on the
+and step, in order, as they are or in compressed frames (``write_field_parts``). A file is a partition of the source for each ``SPLIT`` bytes.
+Large fields are read in parts of ``PART`` cells, ``at`` being the first of them. Filters on keys are pushed down: those on the folders and on the
 step prune while folders are listed, so no other file is opened; those on the level, its type and the time span are decided by a message's
 head, so of other messages no values are read. Batches leave as Arrow.
 
@@ -15,6 +16,7 @@ without a scheme is taken to be on the session's default file system, as Spark t
 
 from __future__ import annotations
 
+import bisect
 import struct
 import uuid
 from collections.abc import Iterator
@@ -28,17 +30,21 @@ from pyspark.sql import datasource as ds
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
-from ..shipping import ship
+from ..shipping import small_batches
 from .field_store import PARTITIONS, SCHEMA, FieldStore
-from .messages import _LEVEL, MessageError, encode_fields, keys_of, parameter_of, values_of
+from .messages import _LEVEL, END, LongMessage, MessageError, encode_fields, field_begin, keys_of, pack_bits, parameter_of
 
 FIELDS, FILES = "rimecast_fields", "rimecast_files"
 SUFFIX = ".fields"
 #: A message's first bytes, enough for its keys unless its grid is described at length; a batch holds about so many bytes.
 HEAD, BATCH = 512, 8 << 20
+#: Cells of a part, and bytes of a file that one task reads.
+PART, SPLIT = 1 << 17, 8 << 20
+#: Frames and table of the seekable form of Zstandard: any program for Zstandard gives back the messages one after the other.
+_CODEC, _FAST, _FRAME, _SKIPPED, _SEEKABLE = "zstd", 1, b"\x28\xb5\x2f\xfd", 0x184D2A5E, 0x8F92EAB1
 _STAGING = "_staging"
 _WRITTEN = "written struct<time:bigint,path:string,row:int>"
-_CONTENT = {"values": "values array<double>, ", "message": "message binary, ", "keys": ""}
+_CONTENT = {"values": "at int, values array<double>, ", "message": "message binary, ", "head": "message binary, ", "keys": ""}
 
 
 def source_schema(content: str) -> str:
@@ -78,16 +84,60 @@ _KEYS = (*PARTITIONS, "step", "lev", "levtype", "timespan")
 
 @dataclass
 class FieldFile(ds.InputPartition):
-    """One file: a parameter and a step of one member."""
+    """One file, a parameter and a step of one member, or one of several shares of it."""
 
     path: str
     keys: dict
     time: int
+    share: int = 0
+    shares: int = 1
 
     def __repr__(self) -> str:
         return f"FieldFile({self.path})"
 
 
+class Frames:
+    """A file of compressed frames as the bytes that they hold."""
+
+    def __init__(self, f: pa.NativeFile, path: str):
+        self.f, self.path, self.codec, self.last = f, path, pa.Codec(_CODEC), (-1, b"")
+        n, kind, magic = struct.unpack("<IBI", f.read_at(9, f.size() - 9)) if f.size() >= 17 else (0, 0, 0)
+        room = 8 * n + 17
+        table = f.read_at(room, f.size() - room) if magic == _SEEKABLE and not kind and room <= f.size() else b""
+        if len(table) < 17 or struct.unpack_from("<II", table) != (_SKIPPED, room - 8):
+            raise MessageError(f"{path}: frames without their table")
+        sizes = np.frombuffer(table, "<u4", 2 * n, 8).reshape(n, 2).astype(np.int64)
+        self.packed, self.plain = (np.concatenate([[0], x.cumsum()]).tolist() for x in sizes.T)
+        if self.packed[-1] + room != f.size():
+            raise MessageError(f"{path}: frames of {self.packed[-1]} bytes, expected {f.size() - room}")
+
+    def size(self) -> int:
+        return self.plain[-1]
+
+    def _frame(self, k: int) -> bytes:
+        if self.last[0] != k:
+            data = self.f.read_at(self.packed[k + 1] - self.packed[k], self.packed[k])
+            try:
+                self.last = k, self.codec.decompress(data, self.plain[k + 1] - self.plain[k], asbytes=True)
+            except OSError as x:
+                raise MessageError(f"{self.path}: frame {k} is broken") from x
+        return self.last[1]
+
+    def read_at(self, n: int, at: int) -> bytes:
+        end, out = min(at + n, self.size()), []
+        k = bisect.bisect_right(self.plain, at) - 1
+        while at < end:
+            out.append(self._frame(k)[at - self.plain[k] : end - self.plain[k]])
+            at, k = self.plain[k + 1], k + 1
+        return out[0] if len(out) == 1 else b"".join(out)
+
+
+def frames_table(sizes: list[tuple[int, int]]) -> bytes:
+    """The end of a file of frames, from their sizes: compressed and plain."""
+    entries = np.array(sizes, "<u4").tobytes()
+    return struct.pack("<II", _SKIPPED, len(entries) + 9) + entries + struct.pack("<IBI", len(sizes), 0, _SEEKABLE)
+
+
 class FieldReader(ds.DataSourceReader):
     def __init__(self, options: dict):
         self.root, self.content = options["root"], options.get("content", "values")
@@ -122,8 +172,9 @@ class FieldReader(ds.DataSourceReader):
                 if x.is_file and x.base_name.endswith(SUFFIX) and x.base_name[0] not in "._":
                     have = keys | {"step": int(x.base_name.removesuffix(SUFFIX))}
                     if self._wanted(have):
-                        files.append(FieldFile(x.path, have, (x.mtime_ns or 0) // 1000))
-        return sorted(files, key=lambda f: f.path)
+                        shares = -(-max(x.size, 1) // SPLIT) if self.content == "values" else 1
+                        files += [FieldFile(x.path, have, (x.mtime_ns or 0) // 1000, k, shares) for k in range(shares)]
+        return sorted(files, key=lambda f: (f.path, f.share))
 
     def read(self, partition: FieldFile | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # nothing fits the request
@@ -131,18 +182,40 @@ class FieldReader(ds.DataSourceReader):
         store, _ = file_system(self.root)
         rows, size = [], 0
         with store.open_input_file(partition.path) as f:
-            for row, (keys, message) in enumerate(self._messages(f, partition)):
-                if message is not None:
-                    rows.append((keys, message, row))
-                    size += len(message)
-                if size >= BATCH:
-                    yield self._batch(rows, partition)
-                    rows, size = [], 0
+            for row, (keys, found) in enumerate(self._messages(f, partition)):
+                for at, content in self._contents(found, partition) if found is not None else ():
+                    rows.append((keys, row, at, content))
+                    size += content.nbytes if self.content == "values" else len(content)
+                    if size >= BATCH:
+                        yield self._batch(rows, partition)
+                        rows, size = [], 0
         if rows:
             yield self._batch(rows, partition)
 
-    def _messages(self, f: pa.NativeFile, partition: FieldFile) -> Iterator[tuple[dict, bytes | None]]:
-        """Keys of each message, and the message (b"" if only keys are asked for) where it is wanted."""
+    def _contents(self, found: tuple, partition: FieldFile) -> Iterator[tuple[int, object]]:
+        """(first cell, what is asked for) of the share's parts of a message; but for values there is one."""
+        read, total = found
+        if self.content == "keys":
+            yield 0, b""
+        elif self.content == "message":
+            yield 0, read(total, 0)
+        elif self.content == "head":
+            yield 0, LongMessage(read, total).head()
+        else:
+            if total <= 8 * PART:
+                whole = read(total, 0)
+                read = lambda n, at: whole[at : at + n]
+            message = LongMessage(read, total)
+            n = max(1, -(-message.points() // PART))
+            begin, end = (n * k // partition.shares for k in (partition.share, partition.share + 1))
+            if not message.points() and begin < end:
+                yield 0, np.empty(0)
+            yield from message.values(PART, begin, end)
+
+    def _messages(self, f: pa.NativeFile, partition: FieldFile) -> Iterator[tuple[dict, tuple | None]]:
+        """Keys of each message, and where it is wanted how to read it (see ``LongMessage``) and its length."""
+        if f.size() >= 4 and f.read_at(4, 0) == _FRAME:
+            f = Frames(f, partition.path)
         at, end = 0, f.size()
         while at < end:
             want = min(HEAD, end - at)
@@ -166,21 +239,22 @@ class FieldReader(ds.DataSourceReader):
                 raise MessageError(f"{partition.path}: holds {name} of step {keys['step']}")
             have = partition.keys | {"lev": keys["lev"], "levtype": "ml" if keys["surface"] == _LEVEL else "sfc", "timespan": "fs" if keys["interval"] else "none"}
             wanted = self._wanted(have)
-            yield have, (b"" if self.content == "keys" else f.read_at(total, at)) if wanted else None
+            yield have, (lambda n, k, begin=at: f.read_at(n, begin + k), total) if wanted else None
             at += total
 
     def _batch(self, rows: list, partition: FieldFile) -> pa.RecordBatch:
-        column = lambda name, kind: pa.array([keys[name] for keys, _, _ in rows], kind)
+        column = lambda name, kind: pa.array([keys[name] for keys, *_ in rows], kind)
         out = [("step", column("step", pa.int32())), ("lev", column("lev", pa.int32())), ("levtype", column("levtype", pa.string())), ("timespan", column("timespan", pa.string()))]
         if self.content == "values":
-            parts = [values_of(m) for _, m, _ in rows]
+            parts = [values for *_, values in rows]
             ends = np.cumsum([0, *map(len, parts)])
+            out.append(("at", pa.array([at for _, _, at, _ in rows], pa.int32())))
             out.append(("values", pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts)))))
-        elif self.content == "message":
-            out.append(("message", pa.array([m for _, m, _ in rows], pa.binary())))
+        elif self.content in ("message", "head"):
+            out.append(("message", pa.array([m for *_, m in rows], pa.binary())))
         out += [(c, column(c, pa.int32() if c == "param_id" else pa.string())) for c in PARTITIONS]
         n = len(rows)
-        written = [pa.array([partition.time] * n, pa.int64()), pa.array([partition.path] * n, pa.string()), pa.array([r for _, _, r in rows], pa.int32())]
+        written = [pa.array([partition.time] * n, pa.int64()), pa.array([partition.path] * n, pa.string()), pa.array([r for _, r, _, _ in rows], pa.int32())]
         out.append(("written", pa.StructArray.from_arrays(written, ["time", "path", "row"])))
         return pa.RecordBatch.from_arrays([a for _, a in out], [c for c, _ in out])
 
@@ -282,7 +356,7 @@ class FileSink(ds.DataSource):
 
 def register(spark: SparkSession) -> None:
     """Make both known to the session, and let filters reach the source."""
-    ship(spark)
+    small_batches(spark)
     if spark.conf.get("spark.rimecast.sources", None) is None:
         spark.dataSource.register(FieldSource)
         spark.dataSource.register(FileSink)
@@ -307,8 +381,109 @@ def write_field_files(fields: DataFrame, root: str, *, bits: int | None = None,
     ``in_order``: fields of one parameter and step follow each other in one task, by level.
     """
     encoded = encode_fields(fields.select(*[f.name for f in SCHEMA]), bits=bits, shape=shape)
+    write_files(encoded.select(_path(), "lev", F.col("message").alias("content")), root, in_order=in_order)
+
+
+def _path():
+    """Where messages of a parameter and step are."""
     name = F.concat(F.lpad(F.col("step").cast("string"), 5, "0"), F.lit(SUFFIX))
-    write_files(encoded.select(F.concat_ws("/", *PARTITIONS, name).alias("path"), "lev", F.col("message").alias("content")), root, in_order=in_order)
+    return F.concat_ws("/", *PARTITIONS, name).alias("path")
+
+
+def write_field_parts(parts: DataFrame, root: str) -> None:
+    """Commit fields that come in parts (``at``: the first cell) as files of compressed frames, in place of what a parameter and step had.
+
+    A part becomes a frame where it is; frames are exchanged and put one after the other, so that no task holds a whole field. Values are
+    in double precision as they are. Parts that leave a gap, overlap or come twice are errors.
+    """
+    spark = parts.sparkSession
+    register(spark)
+    names = {i: n for n, i in C.PARAMS.items()}
+    keys = ["path", "param_id", "run_date", "run_time", "member", "step", "lev"]
+    kinds = "path string, param_id int, run_date string, run_time string, member string, step int, lev int, at int, n int, defined int, bitmap binary, data binary"
+
+    def packed(batches):
+        codec = pa.Codec(_CODEC, _FAST)
+        for b in batches:
+            values = b.column("values")
+            ends, flat = values.offsets.to_numpy(), values.values.to_numpy(zero_copy_only=False)
+            rows = []
+            for i in range(b.num_rows):
+                v = np.asarray(flat[ends[i] : ends[i + 1]], np.float64)
+                ok = np.isfinite(v)
+                known = v if ok.all() else v[ok]
+                rows.append((len(v), len(known), None if len(known) == len(v) else np.packbits(ok).tobytes(), codec.compress(known.astype(">f8"), asbytes=True) if len(known) else b""))
+            n, defined, bitmap, data = zip(*rows, strict=True) if rows else ((),) * 4
+            size, m = pa.array(n, pa.int32()), len(rows)
+            own = [b.column(k) for k in [*keys, "at"]]
+            own += [size, pa.array(defined, pa.int32())]
+            # what a field's beginning says of all its parts comes before their frames
+            yield pa.RecordBatch.from_arrays([*own, pa.array(bitmap, pa.binary()), pa.nulls(m, pa.binary())], [*keys, "at", "n", "defined", "bitmap", "data"])
+            yield pa.RecordBatch.from_arrays([*own, pa.nulls(m, pa.binary()), pa.array(data, pa.binary())], [*keys, "at", "n", "defined", "bitmap", "data"])
+
+    def joined(batches):
+        codec = pa.Codec(_CODEC, _FAST)
+        path, field, heads, sizes, out = None, None, [], [], []
+
+        def put(data: bytes, plain: int) -> None:
+            sizes.append((len(data), plain))
+            out.append((path, data))
+
+        def begin() -> None:
+            _, param, date, time, member, step, lev = field
+            at = 0
+            for first, n, _, _ in heads:
+                if first != at:
+                    raise MessageError(f"{path}, level {lev}: a part begins at cell {first}, expected {at}")
+                at += n
+            bits = None
+            if any(bitmap is not None for *_, bitmap in heads):
+                bits = pack_bits(np.concatenate([np.ones(n, bool) if x is None else np.unpackbits(np.frombuffer(x, np.uint8), count=n).astype(bool) for _, n, _, x in heads]), 1)
+            head = field_begin(names[param], at, sum(d for _, _, d, _ in heads), bits, run_date=date, run_time=time, member=member, step=step, lev=lev)
+            put(codec.compress(head, asbytes=True), len(head))
+            heads.clear()
+
+        def close() -> None:
+            if field is not None:
+                put(codec.compress(END, asbytes=True), len(END))
+
+        def end() -> None:
+            if path is not None:
+                close()
+                out.append((path, frames_table(sizes)))
+                sizes.clear()
+
+        def batch() -> pa.RecordBatch:
+            made = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.string(), pa.binary()), strict=True)], ["path", "content"])
+            out.clear()
+            return made
+
+        for b in batches:
+            data = b.column("data")
+            for i, (*key, at, n, defined, bitmap) in enumerate(zip(*[b.column(k).to_pylist() for k in [*keys, "at", "n", "defined", "bitmap"]], strict=True)):
+                if key != field:
+                    if key[0] != path:
+                        end()
+                        path = key[0]
+                    else:
+                        close()
+                    field = key
+                if not data[i].is_valid:
+                    heads.append((at, n, defined, bitmap))
+                    continue
+                if heads:
+                    begin()
+                if defined:
+                    put(data[i].as_py(), 8 * defined)
+                if len(out) >= 16:
+                    yield batch()
+        end()
+        if out:
+            yield batch()
+
+    rows = parts.select(_path(), *keys[1:], "at", "values").mapInArrow(packed, kinds)
+    dealt = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path").sortWithinPartitions("path", "lev", F.col("data").isNotNull(), "at")
+    write_files(dealt.mapInArrow(joined, "path string, content binary"), root, in_order=True)
 
 
 class MessageStore(FieldStore):
@@ -322,6 +497,14 @@ class MessageStore(FieldStore):
         """Distinct keys, from the heads of messages."""
         return self.scan("keys").select(*PARTITIONS, "step", "lev", "levtype", "timespan").distinct()
 
+    def keys(self, **ask) -> DataFrame:
+        """A row for each message of a request, from its head."""
+        return self.ask(self.scan("keys"), **ask)
+
     def messages(self, **ask) -> DataFrame:
         """A request's fields as the messages that they are."""
         return self.ask(self.scan("message"), **ask)
+
+    def heads(self, **ask) -> DataFrame:
+        """The first sections, up to the product, of a request's messages (``message``)."""
+        return self.ask(self.scan("head"), **ask)

@@ -1,8 +1,9 @@
-"""A store of fields on a partitioned table: one row per field, its values as an array.
+"""A store of fields on a partitioned table: one row per field, or per part of a field, its values as an array.
 
 Layout (the folder names are partition columns, so that a request prunes folders):
 ``model/run_date/run_time/member/param_id`` with columns step, lev (0 for single-level fields),
-levtype, timespan and values (array<double>, one per cell). The store's own catalogue is the
+levtype, timespan and values (array<double>, one per cell). Large fields come in parts, so that no task holds a whole one:
+``at`` is the cell of a part's first value (0, or not there, for whole fields). The store's own catalogue is the
 partition listing; no field is opened for it.
 """
 
@@ -29,10 +30,22 @@ SCHEMA = T.StructType(
         T.StructField("param_id", T.IntegerType()),
     ]
 )
+PART_SCHEMA = T.StructType([*SCHEMA.fields, T.StructField("at", T.IntegerType())])
+#: A task has so many files open at most; rows of more partitions are sorted.
+_OPEN_FILES = 64
+
+
+def unsorted_writes(spark: SparkSession) -> None:
+    """Let tasks of this session keep a file open for each partition, instead of sorting large rows by partition before they write."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    if int(spark.conf.get(key)) <= 0:
+        spark.conf.set(key, str(_OPEN_FILES))
 
 
 def write_fields(fields: DataFrame, root: str, mode: str = "append") -> None:
-    fields.select(*[f.name for f in SCHEMA]).write.mode(mode).partitionBy(*PARTITIONS).parquet(root)
+    """Add fields, whole or, with a column ``at``, in parts."""
+    unsorted_writes(fields.sparkSession)
+    fields.select(*[f.name for f in (PART_SCHEMA if "at" in fields.columns else SCHEMA)]).write.mode(mode).partitionBy(*PARTITIONS).parquet(root)
 
 
 class FieldStore:
@@ -40,14 +53,18 @@ class FieldStore:
         self.spark, self.root = spark, root
 
     def scan(self) -> DataFrame:
-        """All fields; ``written`` orders repeated ones by when, and where in a file, they were written."""
-        fields = self.spark.read.schema(SCHEMA).parquet(self.root)
+        """All fields, in the parts they were written in; ``written`` orders repeated ones by when, and where in a file, they were written."""
+        fields = self.spark.read.schema(PART_SCHEMA).parquet(self.root).withColumn("at", F.coalesce("at", F.lit(0)))
         return fields.withColumn("written", F.struct("_metadata.file_modification_time", "_metadata.file_path", "_metadata.row_index"))
 
     def request(self, **ask) -> DataFrame:
         """Fields of a request (see ``ask``)."""
         return self.ask(self.scan(), **ask)
 
+    def keys(self, **ask) -> DataFrame:
+        """A row for each field of a request, without values."""
+        return self.request(**ask).where("at = 0").drop("at", "values")
+
     @staticmethod
     def ask(fields: DataFrame, *, model: str, run_date: str, run_time: str, member: str | list[str], params: list[str], steps: tuple[int, int] | None = None, levels: tuple[int, int] | None = None, timespan: str | None = None) -> DataFrame:
         """Filters of a request: keys of partitions first, then step and level ranges, all pushed to the scan."""
