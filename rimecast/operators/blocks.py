@@ -1,9 +1,9 @@
-"""The column diagnostic over fields, as blocks of cells: the way of a production run.
+"""The column diagnostic over fields, as groups of cells: the way of a production run.
 
-A field (one array of values per parameter, step and level) is cut into blocks of ``BLOCK`` cells. All blocks are
-exchanged once, by block, and sorted by step: heights come first, then step after step, so one pass over a
+A field (one array of values per parameter, step and level, whole or in parts) is cut into groups of ``GROUP`` cells, each
+compressed. All groups are exchanged once, by group, and sorted by step: heights come first, then step after step, so one pass over a
 partition de-accumulates precipitation, checks that each parameter has exactly its levels, counts quality and
-diagnoses whole matrices of levels by cells, holding one step of one block at a time.
+diagnoses whole matrices of levels by cells, holding one step of one group at a time. Results are in blocks of ``BLOCK`` cells.
 """
 
 from __future__ import annotations
@@ -14,10 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
-from ..shipping import ship
+from ..shipping import ship, small_batches
 from .kernel import ptype
 
 BLOCK = 1024
+#: Cells that are exchanged and sorted together, a multiple of ``BLOCK``, and those that the kernel takes at once.
+GROUP, _KERNEL = 64 * BLOCK, 4 * BLOCK
+#: How groups are compressed on their way: fast, as they are read once.
+_CODEC, _LEVEL = "zstd", 1
 _BLOCKS_PER_BATCH = 1024
 LEVEL_PARAMS = ("T", "P", "QV")
 #: Bad cells kept of each block and step: enough for a preview.
@@ -85,16 +89,106 @@ def whole_fields(parts: DataFrame, by: list[str] | None = None) -> DataFrame:
     return dealt.sortWithinPartitions(*by, *[k for k in keys if k not in by], "at").mapInArrow(joined, f"{kinds}, values array<double>")
 
 
+def _begin(fields: DataFrame):
+    """The cell of a row's first value; fields without ``at`` are whole."""
+    return F.col("at") if "at" in fields.columns else F.lit(0).alias("at")
+
+
+def field_groups(fields: DataFrame, size: int = GROUP) -> DataFrame:
+    """(param_id, step, lev, group, begin, n, data) from fields or their parts: compressed values of cells of one group, from its ``begin`` on.
+
+    Heights, which hold for all steps, get a step before the first.
+    """
+    step = F.when(F.col("param_id") == C.PARAMS["HHL"], _STATIC).otherwise(F.col("step")).alias("step")
+    small_batches(fields.sparkSession)
+
+    def cut(batches):
+        codec = pa.Codec(_CODEC, _LEVEL)
+        for b in batches:
+            values = b.column(4)
+            ends = values.offsets.to_numpy()
+            flat = values.values.to_numpy(zero_copy_only=False)
+            first = b.column(3).to_pylist()
+            source, group, begin, n, data = [], [], [], [], []
+            for i, at in enumerate(first):
+                last = at + int(ends[i + 1] - ends[i])
+                a = at
+                while a < last:
+                    z = min(last, a - a % size + size)
+                    piece = np.ascontiguousarray(flat[ends[i] + a - at : ends[i] + z - at], np.float64)
+                    source.append(i)
+                    group.append(a // size)
+                    begin.append(a % size)
+                    n.append(z - a)
+                    data.append(codec.compress(piece, asbytes=True))
+                    a = z
+            keys = [b.column(c).take(pa.array(source, pa.int64())) for c in range(3)]
+            yield pa.RecordBatch.from_arrays([*keys, *[pa.array(x, pa.int32()) for x in (group, begin, n)], pa.array(data, pa.binary())], ["param_id", "step", "lev", "group", "begin", "n", "data"])
+
+    used = fields.where(F.size("values") > 0).select("param_id", step, "lev", _begin(fields), "values")
+    return used.mapInArrow(cut, "param_id int, step int, lev int, group int, begin int, n int, data binary")
+
+
+def _by_group(groups: DataFrame) -> DataFrame:
+    """Groups dealt out, each sorted by step; a fixed number of tasks, as by their size as compressed, many would be put into one."""
+    n = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return groups.repartition(n, "group").sortWithinPartitions("group", "step", "param_id", "lev", "begin")
+
+
+def _steps(batches):
+    """(group, step, rows) of sorted groups; rows are lists of (level, first cell within the group, values) by parameter."""
+    codec, key, rows = pa.Codec(_CODEC, _LEVEL), None, {}
+    for b in batches:
+        param, steps, lev, group, begin, n = (b.column(k).to_numpy(zero_copy_only=False).tolist() for k in range(6))
+        data = b.column(6)
+        for i in range(b.num_rows):
+            if (group[i], steps[i]) != key:
+                if rows:
+                    yield *key, rows
+                key, rows = (group[i], steps[i]), {}
+            values = np.frombuffer(codec.decompress(data[i].as_buffer(), 8 * n[i]), np.float64)
+            rows.setdefault(param[i], []).append((lev[i], begin[i], values))
+    if rows:
+        yield *key, rows
+
+
+def _copies(pieces: list) -> list[tuple[int, np.ndarray]]:
+    """(level, values) of each field in a group, from (level, begin, values); a field that is there twice comes twice."""
+    found: list[list] = []
+    for lev, begin, values in sorted(pieces, key=lambda x: x[:2]):
+        if begin == 0:
+            found.append([lev, len(values), [values]])
+            continue
+        before = next((f for f in found if f[0] == lev and f[1] == begin), None)
+        if before is None:
+            raise LookupError(f"the parts of level {lev} don't follow each other")
+        before[1] += len(values)
+        before[2].append(values)
+    return [(lev, v[0] if len(v) == 1 else np.concatenate(v)) for lev, _, v in found]
+
+
 def lowest_heights(fields: DataFrame) -> DataFrame:
     """(lev, height_m): the lowest height of each full level (0 at the top) over all cells, from fields of half levels."""
-    half = field_blocks(fields.where(F.col("param_id") == C.PARAMS["HHL"])).select("lev", "block", "values")
-    below = half.select((F.col("lev") - 1).alias("lev"), "block", F.col("values").alias("lower"))
-    full = half.join(below, ["lev", "block"]).select((F.col("lev") - 1).alias("lev"), F.array_min(F.zip_with("values", "lower", lambda a, b: 0.5 * (a + b))).alias("low"))
-    return full.groupBy("lev").agg(F.min("low").alias("height_m"))
+
+    def lowest(batches):
+        for _, _, rows in _steps(batches):
+            try:
+                half = _copies(rows[C.PARAMS["HHL"]])
+            except LookupError:
+                continue  # said when the group is diagnosed
+            low: dict[int, float] = {}
+            for lev, upper in half:
+                for lower in (v for k, v in half if k == lev + 1):
+                    n = min(len(upper), len(lower))
+                    low[lev - 1] = np.fmin(low.get(lev - 1, np.nan), np.fmin.reduce(0.5 * (upper[:n] + lower[:n])))
+            yield pa.RecordBatch.from_arrays([pa.array(list(low), pa.int32()), pa.array(list(low.values()), pa.float64())], ["lev", "low"])
+
+    half = _by_group(field_groups(fields.where(F.col("param_id") == C.PARAMS["HHL"])))
+    return half.mapInArrow(lowest, "lev int, low double").groupBy("lev").agg(F.min("low").alias("height_m"))
 
 
-class _Block:
-    """What is kept of a block from step to step."""
+class _Group:
+    """What is kept of a group of cells from step to step."""
 
     def __init__(self, number: int, first_level: int, last_level: int, threshold: float):
         self.number, self.levels, self.threshold = number, range(first_level, last_level + 1), threshold
@@ -102,7 +196,7 @@ class _Block:
         self.before: np.ndarray | None = None
 
     def _stack(self, rows: dict, param: str, levels: range) -> np.ndarray:
-        found = sorted(rows.get(C.PARAMS[param], []), key=lambda x: x[0])
+        found = _copies(rows.get(C.PARAMS[param], []))
         have = [lev for lev, _ in found]
         if have != list(levels):
             lost, twice = sorted(set(levels) - set(have)), sorted({x for x in have if have.count(x) > 1})
@@ -110,18 +204,19 @@ class _Block:
         return np.stack([v for _, v in found])
 
     def _flat(self, rows: dict, param: str) -> np.ndarray:
-        found = rows.get(C.PARAMS[param], [])
+        found = _copies(rows.get(C.PARAMS[param], []))
         if len(found) != 1:
             raise LookupError(f"{param}: expected 1 field(s), got {len(found)}")
         return found[0][1]
 
-    def take(self, step: int, rows: dict) -> tuple | None:
-        """The result of one step."""
+    def take(self, step: int, rows: dict) -> list[tuple]:
+        """The results of one step, one for each block of cells."""
+        number = self.number * (GROUP // BLOCK)
         try:
             if step == _STATIC:
                 half = self._stack(rows, "HHL", range(self.levels.start, self.levels.stop + 1))
                 self.heights = 0.5 * (half[:-1] + half[1:])
-                return None
+                return []
             if self.heights is None:
                 raise LookupError("HHL: no heights")
             t, p, q = (self._stack(rows, x, self.levels) for x in LEVEL_PARAMS)
@@ -131,73 +226,61 @@ class _Block:
             if not t.shape == p.shape == q.shape == self.heights.shape or not rain.shape == ground.shape == t.shape[1:]:
                 raise LookupError("fields differ in their number of cells")
         except (LookupError, ValueError) as x:
-            return self.number, step, [], [0] * len(C.QUALITY_COUNTERS), [], [], str(x).strip("'\"")
+            return [(number, step, [], [0] * len(C.QUALITY_COUNTERS), [], [], str(x).strip("'\""))]
         rain_ok, ground_ok = np.isfinite(rain), np.isfinite(ground)
         whole = np.logical_and.reduce([np.isfinite(x).all(axis=0) for x in (t, p, q, self.heights)])
         active = rain_ok & (np.where(rain_ok, rain, 0.0) > self.threshold)
         no_ground, no_profile = active & ~ground_ok, active & ~whole
-        counted = [len(rain), *(int(m.sum()) for m in (active, ~rain_ok, ~ground_ok, ~whole, no_ground, no_profile))]
+        masks = (active, ~rain_ok, ~ground_ok, ~whole, no_ground, no_profile)
         codes = np.zeros(len(rain), np.int32)
-        good = active & ground_ok & whole
-        if good.any():
-            codes[good] = ptype(*(np.ascontiguousarray(x[:, good]) for x in (t, q, p, self.heights)), ground[good])
-        return self.number, step, codes, counted, np.flatnonzero(no_ground)[:KEPT_BAD], np.flatnonzero(no_profile)[:KEPT_BAD], None
-
-
-def diagnose_blocks(blocks: DataFrame, *, first_level: int, last_level: int, threshold: float = 0.0, size: int = BLOCK) -> DataFrame:
+        good = np.flatnonzero(active & ground_ok & whole)
+        for k in range(0, len(good), _KERNEL):
+            at = good[k : k + _KERNEL]
+            codes[at] = ptype(*(np.ascontiguousarray(x[:, at]) for x in (t, q, p, self.heights)), ground[at])
+        out = []
+        for k in range(0, len(rain), BLOCK):
+            cells = slice(k, k + BLOCK)
+            counted = [len(rain[cells]), *(int(m[cells].sum()) for m in masks)]
+            out.append((number + k // BLOCK, step, codes[cells], counted, np.flatnonzero(no_ground[cells])[:KEPT_BAD], np.flatnonzero(no_profile[cells])[:KEPT_BAD], None))
+        return out
+
+
+def diagnose_groups(groups: DataFrame, *, first_level: int, last_level: int, threshold: float = 0.0) -> DataFrame:
     """One row per step and block: codes, quality counters, bad active cells, and what is wrong with its fields (``problem``).
 
     Levels are numbered as in the fields, ``first_level`` to ``last_level``; half levels go one further.
     """
-    ship(blocks.sparkSession)
+    small_batches(groups.sparkSession)
 
     def packed(results: list) -> pa.RecordBatch:
         at = lambda k: [r[k] for r in results]
-        ints, base = pa.list_(pa.int32()), np.array(at(0)) * size
+        ints, base = pa.list_(pa.int32()), np.array(at(0)) * BLOCK
         bad = [pa.array([np.asarray(x, np.int32) + b for x, b in zip(at(k), base, strict=True)], ints) for k in (4, 5)]
         counts = [pa.array([r[3][j] for r in results], pa.int64()) for j in range(len(C.QUALITY_COUNTERS))]
         columns = [pa.array(at(1), pa.int32()), pa.array(at(0), pa.int32()), pa.array(at(2), ints), *counts, *bad, pa.array(at(6), pa.string())]
         return pa.RecordBatch.from_arrays(columns, ["step", "block", "ptype", *C.QUALITY_COUNTERS, "bad_ground", "bad_profile", "problem"])
 
     def run(batches):
-        block: _Block | None = None
-        step, rows = _STATIC, {}
-
-        def closed():
-            got = block.take(step, rows) if block is not None and rows else None
-            return [] if got is None else [got]
-
-        for b in batches:
-            done = []
-            param, steps, lev, number = (b.column(k).to_numpy(zero_copy_only=False) for k in range(4))
-            values = b.column(4)
-            cut = values.offsets.to_numpy()
-            flat = values.values.to_numpy(zero_copy_only=False)
-            for i in range(b.num_rows):
-                if block is None or number[i] != block.number or steps[i] != step:
-                    done += closed()
-                    if block is None or number[i] != block.number:
-                        block = _Block(int(number[i]), first_level, last_level, threshold)
-                    step, rows = int(steps[i]), {}
-                rows.setdefault(int(param[i]), []).append((int(lev[i]), flat[cut[i] : cut[i + 1]].astype(np.float64)))
-            if done:
+        group: _Group | None = None
+        for number, step, rows in _steps(batches):
+            if group is None or number != group.number:
+                group = _Group(number, first_level, last_level, threshold)
+            if done := group.take(step, rows):
                 yield packed(done)
-        if last := closed():
-            yield packed(last)
 
-    dealt = blocks.select("param_id", "step", "lev", "block", "values").repartition("block").sortWithinPartitions("block", "step", "param_id", "lev")
-    return dealt.mapInArrow(run, _RESULT)
+    return _by_group(groups).mapInArrow(run, _RESULT)
 
 
 def field_counts(fields: DataFrame, expected: DataFrame) -> DataFrame:
     """Fields that aren't there exactly once: (param_id, step, lev, n) for each of ``expected`` (param_id, step, lev) with n <> 1. Values aren't read."""
-    found = fields.groupBy("param_id", "step", "lev").agg(F.count("*").alias("n"))
+    begun = fields.where("at = 0") if "at" in fields.columns else fields  # the first part of each
+    found = begun.groupBy("param_id", "step", "lev").agg(F.count("*").alias("n"))
     return expected.join(found, ["param_id", "step", "lev"], "left").select("param_id", "step", "lev", F.coalesce("n", F.lit(0)).alias("n")).where("n <> 1")
 
 
-def cell_codes(results: DataFrame, size: int = BLOCK) -> DataFrame:
-    """(step, cell_id, ptype), a row per cell."""
-    return results.select("step", "block", F.posexplode("ptype").alias("at", "ptype")).select("step", (F.col("block").cast("long") * size + F.col("at")).alias("cell_id"), "ptype")
+def block_codes(results: DataFrame, size: int = BLOCK) -> DataFrame:
+    """(step, at, codes): the codes of each block and the cell of its first one."""
+    return results.select("step", (F.col("block").cast("long") * size).alias("at"), F.col("ptype").alias("codes"))
 
 
 def step_codes(results: DataFrame) -> DataFrame:

@@ -14,9 +14,9 @@ from ..functions.sql_tables import register_tables
 from ..operators import align, blocks, diagnose, energy, kernel, layers, quality, temporal, validate, vertical
 from ..scratch import shared_dir
 from ..sources import fixtures as fx
-from ..sources.field_source import MessageStore, write_field_files, write_field_parts
+from ..sources.field_source import MessageStore, write_field_parts
 from ..sources.field_store import FieldStore, write_fields
-from ..sources.sinks import read_categorical, read_messages
+from ..sources.sinks import read_categorical, read_codes
 from ..sources.synthetic import synthetic_arrays, synthetic_levels
 from ..streaming.blocks import replay_blocks
 from ..streaming.deaccumulate import replay
@@ -510,14 +510,10 @@ def run_summary(spark, sf_dir):
     return spark.createDataFrame(rows, kinds)
 
 
-#: What the messages of one file have in common in the derived run.
-_FILE = ["member", "param_id", "step"]
-
-
 def _message_run(spark, sf_dir) -> str:
     """A run over the derived store kept as messages, with messages as outputs: the outputs' root."""
     base = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
-    write_field_files(fx.run_fields(spark, sf_dir, _FILE), f"{base}/store", in_order=True)
+    write_field_parts(fx.named(fx.run_parts(spark, sf_dir)), f"{base}/store")
     config = RunConfig(fx.RUN["model"], fx.RUN_MEMBERS, fx.RUN_STEPS - 1, cutoff_m=9000.0, full_levels=fx.RUN_LEVELS)
     done = runs.run(spark, f"{base}/store", f"{base}/out", config, run_date=fx.RUN["run_date"], run_time=fx.RUN["run_time"], check_outputs=True, store_form="messages", messages=True)
     if done["failed"]:
@@ -528,9 +524,9 @@ def _message_run(spark, sf_dir) -> str:
 @query(_RUN_CODES + "SELECT member, step, CAST(cell_id AS BIGINT) AS cell_id, ptype, 502712 AS param_id FROM cells")
 def message_roundtrip(spark, sf_dir):
     """Fields read from message files, codes written into each step's own message of precipitation, and those messages read back."""
-    codes = read_messages(spark, runs.message_root(_message_run(spark, sf_dir)))
-    cells = codes.select("member", "step", F.posexplode("codes").alias("cell_id", "ptype"))
-    return cells.select("member", "step", F.col("cell_id").cast("long").alias("cell_id"), "ptype", F.lit(C.OUTPUT_PARAM).alias("param_id"))
+    codes = read_codes(spark, runs.message_root(_message_run(spark, sf_dir)))
+    cells = codes.select("member", "step", "at", F.posexplode("codes").alias("k", "ptype"))
+    return cells.select("member", "step", (F.col("at") + F.col("k")).cast("long").alias("cell_id"), "ptype", F.lit(C.OUTPUT_PARAM).alias("param_id"))
 
 
 @query(

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import logging
 import time
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
@@ -21,7 +22,7 @@ from ..operators import align, blocks, vertical
 from ..operators.quality import DataQualityError
 from ..sources.field_source import MessageStore
 from ..sources.field_store import PARTITIONS, FieldStore
-from ..sources.sinks import commit_messages, staging, write_categorical, write_json
+from ..sources.sinks import commit_codes, staging, write_categorical, write_json
 from . import catalog, monitoring
 from .config import RunConfig
 from .provenance import snapshot
@@ -37,17 +38,27 @@ def run_record(config: RunConfig, member: str, run_date: str, run_time: str) ->
     return {"date": run_date, "time": run_time, "model": config.model, "member": member, "type": "cf" if control else "pf", "number": None if control else int(member), "max_step": config.max_step}
 
 
-def member_fields(store: FieldStore, config: RunConfig, member: str, run_date: str, run_time: str) -> tuple[DataFrame, int]:
-    """All fields that a member needs, and its first level kept (numbered from 1)."""
+def _wanted(request: Callable[..., DataFrame], config: RunConfig, member: str, run_date: str, run_time: str, first: int) -> DataFrame:
+    """What a member needs from its first level kept on."""
     ask = {"model": config.model, "run_date": run_date, "run_time": run_time, "member": member}
-    steps = (0, config.max_step)
-    heights = store.request(**ask, params=["HHL"], steps=(0, 0))
+    steps, last = (0, config.max_step), config.full_levels
+    heights = request(**ask, params=["HHL"], steps=(0, 0), levels=(first, last + 1))
+    levels = request(**ask, params=list(blocks.LEVEL_PARAMS), steps=steps, levels=(first, last))
+    flat = request(**ask, params=["TOT_PREC"], steps=steps, timespan="fs").unionByName(request(**ask, params=["T_G"], steps=steps))
+    return heights.unionByName(levels).unionByName(flat)
+
+
+def member_fields(store: FieldStore, config: RunConfig, member: str, run_date: str, run_time: str) -> tuple[DataFrame, int]:
+    """All fields that a member needs, in the parts that the store has, and its first level kept (numbered from 1)."""
+    heights = store.request(model=config.model, run_date=run_date, run_time=run_time, member=member, params=["HHL"], steps=(0, 0))
     first = vertical.level_selection(blocks.lowest_heights(heights), config.cutoff_m).first()["first_lev"]
     first = 1 if first is None else first + 1
-    levels = store.request(**ask, params=list(blocks.LEVEL_PARAMS), steps=steps, levels=(first, config.full_levels))
-    heights = heights.where(F.col("lev").between(first, config.full_levels + 1))
-    flat = store.request(**ask, params=["TOT_PREC"], steps=steps, timespan="fs").unionByName(store.request(**ask, params=["T_G"], steps=steps))
-    return heights.unionByName(levels).unionByName(flat), first
+    return _wanted(store.request, config, member, run_date, run_time, first), first
+
+
+def member_keys(store: FieldStore, config: RunConfig, member: str, run_date: str, run_time: str, first: int) -> DataFrame:
+    """The same without values: a row for each field."""
+    return _wanted(store.keys, config, member, run_date, run_time, first)
 
 
 def expected_fields(spark: SparkSession, config: RunConfig, first: int) -> DataFrame:
@@ -58,13 +69,13 @@ def expected_fields(spark: SparkSession, config: RunConfig, first: int) -> DataF
     return t.select("param_id", "step", F.explode(F.sequence("low", "high")).alias("lev"))
 
 
-def check_fields(fields: DataFrame, config: RunConfig, first: int) -> DataFrame:
-    """The fields, each exactly once: of repeated single-level fields the last written counts, what else is missing or repeated is an error."""
+def check_fields(fields: DataFrame, keys: DataFrame, config: RunConfig, first: int) -> DataFrame:
+    """The fields, each exactly once by their ``keys``: of repeated single-level fields the last written counts, what else is missing or repeated is an error."""
     names = {i: n for n, i in C.PARAMS.items()}
     flat = {C.PARAMS[p] for p in ("TOT_PREC", "T_G")}
     allowed = F.col("param_id").isin(*flat) & (F.col("n") > 0)
     # errors come first, so that allowed repeats can't hide them
-    odd = blocks.field_counts(fields, expected_fields(fields.sparkSession, config, first)).orderBy(allowed, "param_id", "step", "lev").limit(_PREVIEW + 1).collect()
+    odd = blocks.field_counts(keys, expected_fields(fields.sparkSession, config, first)).orderBy(allowed, "param_id", "step", "lev").limit(_PREVIEW + 1).collect()
     wrong = [r for r in odd if r["n"] == 0 or r["param_id"] not in flat]
     if wrong:
         said = [f"{names[r['param_id']]} step {r['step']} level {r['lev']}: expected 1 field, got {r['n']}" for r in wrong[:_PREVIEW]]
@@ -72,7 +83,7 @@ def check_fields(fields: DataFrame, config: RunConfig, first: int) -> DataFrame:
     if not odd:
         return fields
     single = F.col("param_id").isin(*flat)
-    return fields.where(~single).unionByName(align.last_of_each(fields.where(single), [*PARTITIONS, "step", "lev"], "written"))
+    return fields.where(~single).unionByName(align.last_of_each(fields.where(single), [*PARTITIONS, "step", "lev", "at"], "written"))
 
 
 def gate(results: DataFrame, config: RunConfig) -> dict[str, int]:
@@ -110,10 +121,10 @@ def run_member(store: FieldStore, config: RunConfig, member: str, run_date: str,
         catalog.check_complete(store.catalogue(), model=config.model, run_date=run_date, run_time=run_time, member=member, max_step=config.max_step, full=config.full_levels, half=config.full_levels + 1)
         lap("discovery_s")
     fields, first = member_fields(store, config, member, run_date, run_time)
-    fields = check_fields(fields, config, first)
+    fields = check_fields(fields, member_keys(store, config, member, run_date, run_time, first), config, first)
     lap("request_s")
     with staging(spark, output) as path:
-        found = blocks.diagnose_blocks(blocks.field_blocks(fields), first_level=first, last_level=config.full_levels, threshold=config.threshold_mm)
+        found = blocks.diagnose_groups(blocks.field_groups(fields), first_level=first, last_level=config.full_levels, threshold=config.threshold_mm)
         found.write.parquet(path)
         results = spark.read.schema(found.schema).parquet(path)
         lap("diagnose_s")
@@ -121,12 +132,12 @@ def run_member(store: FieldStore, config: RunConfig, member: str, run_date: str,
         lap("quality_s")
         named = {"model": config.model, "run_date": run_date, "run_time": run_time, "member": member}
         keys = {k: F.lit(v) for k, v in named.items()}
-        written = write_categorical(blocks.cell_codes(results).withColumns(keys), output, expected=counted["total_columns"])
+        codes = blocks.block_codes(results).withColumns(keys)
+        written = write_categorical(codes, output, expected=counted["total_columns"])
         if messages:
             # each step's message is its own field of precipitation, with codes in place of values
-            own = store.messages(**named, params=["TOT_PREC"], steps=(0, config.max_step), timespan="fs")
-            own = align.last_of_each(own, ["member", "step"], "written")
-            commit_messages(blocks.step_codes(results).withColumns(keys), message_root(output), own.select("member", "step", "message"))
+            own = store.heads(**named, params=["TOT_PREC"], steps=(0, config.max_step), timespan="fs")
+            commit_codes(codes, message_root(output), align.last_of_each(own, ["member", "step"], "written"))
         lap("write_s")
     LOG.info("member %s ends: %s step(s) written, %s of %s columns active", member, written.get(member, 0), counted["active_columns"], counted["total_columns"])
     return {

@@ -23,8 +23,10 @@ from pyspark.sql import types as T
 from ..functions import constants as C
 from ..functions.tokens import output_path
 from ..operators.validate import check_codes
+from ..shipping import small_batches
 from .field_source import FILES, qualified, register
-from .messages import decode_fields, refill, shape_of
+from .field_store import unsorted_writes
+from .messages import LongMessage, coded_message, decode_fields, refill, shape_of
 
 RUN_KEYS = ["model", "run_date", "run_time", "member"]
 OUTPUT_KEYS = [*RUN_KEYS, "step"]
@@ -99,18 +101,27 @@ def staging(spark: SparkSession, root: str) -> Iterator[str]:
 def write_categorical(field: DataFrame, root: str, *, expected: int | None = None) -> dict[str, int]:
     """Write cell_id and ptype under model/run_date/run_time/member/step, in place of what those members had.
 
+    ``field`` has a row per cell, or ``codes`` of cells that follow each other and the first one's number, ``at``: these are dealt out as they
+    are, and become rows where they are written.
+
     All is written beside the outputs and checked there (codes, and their number if ``expected`` is given); only then each
     member's folder is put in its place by renaming. A failure leaves the outputs as they were, a second write gives the same
     rows, and other members may be written meanwhile. Returns the number of steps written of each member.
     """
     spark = field.sparkSession
-    whole = isinstance(field.schema["ptype"].dataType, T.IntegralType)
+    unsorted_writes(spark)
+    packed = "codes" in field.columns
+    whole = packed or isinstance(field.schema["ptype"].dataType, T.IntegralType)
     good = field if whole else check_codes(field, expected=expected)
     with staging(spark, root) as path:
-        rows = good.select(*OUTPUT_KEYS, F.lit(C.OUTPUT_PARAM).alias("param_id"), "cell_id", F.col("ptype").cast("int").alias("ptype"))
         # dealt out by step, so that the number of files follows from the number of cells, not of tasks
-        part = F.floor(F.col("cell_id") / CELLS_PER_FILE)
-        rows.repartition(*OUTPUT_KEYS, part).write.partitionBy(*OUTPUT_KEYS).parquet(f"{path}/new")
+        if packed:
+            tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # by their size, codes of many cells would be put into one task
+            dealt = good.select(*OUTPUT_KEYS, "at", "codes").repartition(tasks, *OUTPUT_KEYS, F.floor(F.col("at") / CELLS_PER_FILE))
+            good = dealt.select(*OUTPUT_KEYS, "at", F.posexplode("codes").alias("k", "ptype")).withColumn("cell_id", F.col("at") + F.col("k"))
+        rows = good.select(*OUTPUT_KEYS, F.lit(C.OUTPUT_PARAM).alias("param_id"), F.col("cell_id").cast("long").alias("cell_id"), F.col("ptype").cast("int").alias("ptype"))
+        dealt = rows if packed else rows.repartition(*OUTPUT_KEYS, F.floor(F.col("cell_id") / CELLS_PER_FILE))
+        dealt.write.partitionBy(*OUTPUT_KEYS).option("compression", "zstd").parquet(f"{path}/new")
         files = _Files(spark, root)
         members = files.folders(f"{path}/new/" + "/".join(f"{k}=*" for k in RUN_KEYS))
         if members:
@@ -181,6 +192,56 @@ def commit_messages(whole: DataFrame, root: str, templates: DataFrame, encode: C
     return whole.count()
 
 
+def commit_codes(codes: DataFrame, root: str, heads: DataFrame) -> None:
+    """``commit_messages`` for codes of cells that follow each other (OUTPUT_KEYS, codes, and the first one's number, ``at``).
+
+    ``heads``: (OUTPUT_KEYS, message), of each step's own message its first sections. A task takes the codes of one message in order and holds
+    them in a byte each; codes that leave a gap or come twice are errors, as is a step without a head.
+    """
+    spark = codes.sparkSession
+    register(spark)
+    path = F.ltrim(output_path("", *[F.col(k) for k in OUTPUT_KEYS]), F.lit("/")).alias("path")
+    none = F.lit(None)
+    rows = codes.select(path, F.col("at").cast("long").alias("at"), "codes", none.cast("binary").alias("head"))
+    rows = rows.unionByName(heads.select(path, F.lit(-1).cast("long").alias("at"), none.cast("array<int>").alias("codes"), F.col("message").alias("head")))
+    dealt = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path").sortWithinPartitions("path", "at")
+
+    def encoded(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        path, head, found, n = None, None, [], 0
+
+        def made():
+            if path is None or (head is not None and not n):  # a head without codes is another step's
+                return
+            if head is None:
+                raise ValueError(f"no template for {path}")
+            message = coded_message(head, np.concatenate(found))
+            yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([message], pa.binary())], ["path", "content"])
+
+        for b in batches:
+            codes = b.column("codes")
+            for i, (name, at, first) in enumerate(zip(*[b.column(k).to_pylist() for k in ("path", "at", "head")], strict=True)):
+                if name != path:
+                    yield from made()
+                    path, head, found, n = name, None, [], 0
+                if at < 0:
+                    if head is not None:
+                        raise ValueError(f"more than one template for {path}")
+                    head = first
+                    continue
+                if at != n:
+                    raise ValueError(f"codes of {path} begin at cell {at}, expected {n}")
+                own = codes[i].values.to_numpy(zero_copy_only=False)
+                small = len(own) and 0 <= own.min() and own.max() < 256
+                found.append(own.astype(np.uint8) if small else own)
+                n += len(own)
+        yield from made()
+
+    dealt.mapInArrow(encoded, "path string, content binary").write.format(FILES).option("root", qualified(spark, root)).mode("append").save()
+
+
 def write_messages(field: DataFrame, root: str, templates: DataFrame, encode: Callable[[Template, list[int]], bytes] | None = None) -> DataFrame:
     """A row per cell as messages (see ``commit_messages``), written when called: rows (model, run_date, run_time, member, step, path, cells)."""
     checked = check_codes(field)
@@ -191,11 +252,37 @@ def write_messages(field: DataFrame, root: str, templates: DataFrame, encode: Ca
 
 def read_messages(spark: SparkSession, root: str) -> DataFrame:
     """What ``commit_messages`` has written: (OUTPUT_KEYS, codes), keys from the paths, codes from the messages."""
+    return decode_fields(_message_files(spark, root)).select(*OUTPUT_KEYS, F.col("values").cast("array<int>").alias("codes"))
+
+
+def read_codes(spark: SparkSession, root: str, size: int = 1 << 17) -> DataFrame:
+    """The same in parts of ``size`` cells (a multiple of 8): (OUTPUT_KEYS, at, codes), ``at`` being a part's first cell."""
+    small_batches(spark)
+
+    def decoded(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            for i in range(b.num_rows):
+                content = b.column("message")[i].as_buffer()
+                message = LongMessage(lambda n, at, content=content: content[at : at + n].to_pybytes(), len(content))
+                keys = [b.column(k)[i] for k in OUTPUT_KEYS]
+                for at, values in message.values(size):
+                    codes = pa.array(values.astype(np.int32))
+                    part = pa.ListArray.from_arrays(pa.array([0, len(codes)], pa.int32()), codes)
+                    yield pa.RecordBatch.from_arrays([*[pa.repeat(k, 1) for k in keys], pa.array([at], pa.int32()), part], [*OUTPUT_KEYS, "at", "codes"])
+
+    return _message_files(spark, root).mapInArrow(decoded, "model string, run_date string, run_time string, member string, step int, at int, codes array<int>")
+
+
+def _message_files(spark: SparkSession, root: str) -> DataFrame:
+    """(OUTPUT_KEYS, message) of the files under ``root``."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.ptype.grib2").load(root)
     part = lambda k: F.regexp_extract("path", r"/([^/]+)/([^/]+)/([^/]+)/([^/]+)/lfff([0-9]{2})([0-9]{2})0000[^/]*$", k)
     keys = [part(k + 1).alias(name) for k, name in enumerate(RUN_KEYS)]
     step = (part(5).cast("int") * 24 + part(6).cast("int")).alias("step")
-    return decode_fields(files.select(*keys, step, F.col("content").alias("message"))).select(*OUTPUT_KEYS, F.col("values").cast("array<int>").alias("codes"))
+    return files.select(*keys, step, F.col("content").alias("message"))
 
 
 def _whole_file(path: Path, content: bytes) -> None:
