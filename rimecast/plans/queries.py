@@ -571,10 +571,12 @@ def field_count_check(spark, sf_dir):
     """Fields of a member that are missing (one) or repeated (a parameter's first step)."""
     parts = fx.run_parts(spark, sf_dir, ("001",))
     lost = (F.col("param_id") == C.PARAMS["QV"]) & (F.col("lev") == 9) & (F.col("step") == 1)
-    again = parts.where(F.col("param_id").isin(C.PARAMS["P"], C.PARAMS["TOT_PREC"]) & (F.col("step") == 0))
+    again = F.col("param_id").isin(C.PARAMS["P"], C.PARAMS["TOT_PREC"]) & (F.col("step") == 0)
+    fields = parts.where(~lost).withColumn("copy", F.explode(F.when(again, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
     config = RunConfig(fx.RUN["model"], ("001",), fx.RUN_STEPS - 1, cutoff_m=9000.0, full_levels=fx.RUN_LEVELS)
-    found, first = runs.member_fields(_derived_store(spark, sf_dir, fx.named(blocks.whole_fields(parts.where(~lost)).unionByName(blocks.whole_fields(again)))), config, "001", fx.RUN["run_date"], fx.RUN["run_time"])
-    return blocks.field_counts(found, runs.expected_fields(spark, config, first))
+    store = _derived_store(spark, sf_dir, fx.named(fields))
+    _, first = runs.member_fields(store, config, "001", fx.RUN["run_date"], fx.RUN["run_time"])
+    return blocks.field_counts(runs.member_keys(store, config, "001", fx.RUN["run_date"], fx.RUN["run_time"], first), runs.expected_fields(spark, config, first))
 
 
 @query(
