@@ -15,13 +15,12 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as C
 from ..shipping import ship, small_batches
+from ..sources.field_store import CODEC, CODEC_LEVEL
 from .kernel import ptype
 
 BLOCK = 1024
 #: Cells that are exchanged and sorted together, a multiple of ``BLOCK``, and those that the kernel takes at once.
 GROUP, _KERNEL = 64 * BLOCK, 4 * BLOCK
-#: How groups are compressed on their way: fast, as they are read once.
-_CODEC, _LEVEL = "zstd", 1
 _BLOCKS_PER_BATCH = 1024
 LEVEL_PARAMS = ("T", "P", "QV")
 #: Bad cells kept of each block and step: enough for a preview.
@@ -97,35 +96,39 @@ def _begin(fields: DataFrame):
 def field_groups(fields: DataFrame, size: int = GROUP) -> DataFrame:
     """(param_id, step, lev, group, begin, n, data) from fields or their parts: compressed values of cells of one group, from its ``begin`` on.
 
-    Heights, which hold for all steps, get a step before the first.
+    Packed parts that lie in one group go on as they are. Heights, which hold for all steps, get a step before the first.
     """
     step = F.when(F.col("param_id") == C.PARAMS["HHL"], _STATIC).otherwise(F.col("step")).alias("step")
     small_batches(fields.sparkSession)
 
     def cut(batches):
-        codec = pa.Codec(_CODEC, _LEVEL)
+        codec = pa.Codec(CODEC, CODEC_LEVEL)
         for b in batches:
-            values = b.column(4)
+            values, ready = b.column(4), b.column(6)
             ends = values.offsets.to_numpy()
             flat = values.values.to_numpy(zero_copy_only=False)
-            first = b.column(3).to_pylist()
             source, group, begin, n, data = [], [], [], [], []
-            for i, at in enumerate(first):
-                last = at + int(ends[i + 1] - ends[i])
-                a = at
+            for i, (at, m) in enumerate(zip(b.column(3).to_pylist(), b.column(5).to_pylist(), strict=True)):
+                own = ready[i].is_valid
+                if not own:
+                    part = flat[ends[i] : ends[i + 1]]
+                elif at // size < (at + m - 1) // size:
+                    part, own = np.frombuffer(codec.decompress(ready[i].as_buffer(), 8 * m), np.float64), False
+                a, last = at, at + (m if own else len(part))
                 while a < last:
                     z = min(last, a - a % size + size)
-                    piece = np.ascontiguousarray(flat[ends[i] + a - at : ends[i] + z - at], np.float64)
                     source.append(i)
                     group.append(a // size)
                     begin.append(a % size)
                     n.append(z - a)
-                    data.append(codec.compress(piece, asbytes=True))
+                    data.append(ready[i].as_py() if own else codec.compress(np.ascontiguousarray(part[a - at : z - at], np.float64), asbytes=True))
                     a = z
             keys = [b.column(c).take(pa.array(source, pa.int64())) for c in range(3)]
             yield pa.RecordBatch.from_arrays([*keys, *[pa.array(x, pa.int32()) for x in (group, begin, n)], pa.array(data, pa.binary())], ["param_id", "step", "lev", "group", "begin", "n", "data"])
 
-    used = fields.where(F.size("values") > 0).select("param_id", step, "lev", _begin(fields), "values")
+    if "data" not in fields.columns:
+        fields = fields.withColumns({"n": F.lit(None).cast("int"), "data": F.lit(None).cast("binary")})
+    used = fields.where((F.size("values") > 0) | (F.col("n") > 0)).select("param_id", step, "lev", _begin(fields), "values", "n", "data")
     return used.mapInArrow(cut, "param_id int, step int, lev int, group int, begin int, n int, data binary")
 
 
@@ -137,7 +140,7 @@ def _by_group(groups: DataFrame) -> DataFrame:
 
 def _steps(batches):
     """(group, step, rows) of sorted groups; rows are lists of (level, first cell within the group, values) by parameter."""
-    codec, key, rows = pa.Codec(_CODEC, _LEVEL), None, {}
+    codec, key, rows = pa.Codec(CODEC), None, {}
     for b in batches:
         param, steps, lev, group, begin, n = (b.column(k).to_numpy(zero_copy_only=False).tolist() for k in range(6))
         data = b.column(6)

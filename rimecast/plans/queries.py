@@ -479,7 +479,7 @@ _RUN_CODES = O.ptype(O.RUN_COLUMNS) + ", cells AS (SELECT lpad(CAST(cell_id // 1
 def _run_twice(spark, sf_dir) -> tuple[str, dict]:
     """A run over the derived store, done a second time with all its members at once: its outputs' root and its summary."""
     base = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
-    write_fields(fx.run_fields(spark, sf_dir), f"{base}/store")
+    write_fields(fx.named(fx.run_parts(spark, sf_dir, pack=True)), f"{base}/store")
     config = RunConfig(fx.RUN["model"], fx.RUN_MEMBERS, fx.RUN_STEPS - 1, cutoff_m=9000.0, full_levels=fx.RUN_LEVELS)
     ask = {"run_date": fx.RUN["run_date"], "run_time": fx.RUN["run_time"], "check_outputs": True, "max_wall_s": 1e6}
     runs.run(spark, f"{base}/store", f"{base}/out", config, **ask)
@@ -569,7 +569,7 @@ def _derived_store(spark, sf_dir, fields: DataFrame) -> FieldStore:
 )
 def field_count_check(spark, sf_dir):
     """Fields of a member that are missing (one) or repeated (a parameter's first step)."""
-    parts = fx.run_parts(spark, sf_dir, ("001",))
+    parts = fx.run_parts(spark, sf_dir, ("001",), pack=True)
     lost = (F.col("param_id") == C.PARAMS["QV"]) & (F.col("lev") == 9) & (F.col("step") == 1)
     again = F.col("param_id").isin(C.PARAMS["P"], C.PARAMS["TOT_PREC"]) & (F.col("step") == 0)
     fields = parts.where(~lost).withColumn("copy", F.explode(F.when(again, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))

@@ -49,11 +49,11 @@ def _wanted(request: Callable[..., DataFrame], config: RunConfig, member: str, r
 
 
 def member_fields(store: FieldStore, config: RunConfig, member: str, run_date: str, run_time: str) -> tuple[DataFrame, int]:
-    """All fields that a member needs, in the parts that the store has, and its first level kept (numbered from 1)."""
-    heights = store.request(model=config.model, run_date=run_date, run_time=run_time, member=member, params=["HHL"], steps=(0, 0))
+    """All fields that a member needs, in the parts and form that the store has, and its first level kept (numbered from 1)."""
+    heights = store.stored(model=config.model, run_date=run_date, run_time=run_time, member=member, params=["HHL"], steps=(0, 0))
     first = vertical.level_selection(blocks.lowest_heights(heights), config.cutoff_m).first()["first_lev"]
     first = 1 if first is None else first + 1
-    return _wanted(store.request, config, member, run_date, run_time, first), first
+    return _wanted(store.stored, config, member, run_date, run_time, first), first
 
 
 def member_keys(store: FieldStore, config: RunConfig, member: str, run_date: str, run_time: str, first: int) -> DataFrame:

@@ -497,6 +497,9 @@ class MessageStore(FieldStore):
         """Distinct keys, from the heads of messages."""
         return self.scan("keys").select(*PARTITIONS, "step", "lev", "levtype", "timespan").distinct()
 
+    def request(self, **ask) -> DataFrame:
+        return self.stored(**ask)
+
     def keys(self, **ask) -> DataFrame:
         """A row for each message of a request, from its head."""
         return self.ask(self.scan("keys"), **ask)
